@@ -6,16 +6,17 @@ whole number. A day appears only if its origin has a day in that range.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tellwatt.functions.dates import calendar_of, month_first, month_last
+from tellwatt.functions.dates import calendar_of, month_days, month_first, month_last
 from tellwatt.functions.scalars import cell_level, normalize_key, number_in, quoted
 from tellwatt.operators.reshape import day_columns
-from tellwatt.vocabulary import DAY, DEFAULT_WINDOW_DAYS, FLAG, FLAG_SCHEMA, KEY, ORIGIN, ORIGINS
+from tellwatt.vocabulary import DAY, DEFAULT_WINDOW_DAYS, FLAG, KEY, ORIGIN, ORIGINS
 
 
 def window_columns(dated: dict[str, date], target: date, window_days: int) -> list[str]:
@@ -33,67 +34,95 @@ def flags_from_wide(
     targets: list[date],
     window_days: int = DEFAULT_WINDOW_DAYS,
     binary: bool = False,
-    key: str = KEY,
+    keys: Sequence[str] = (KEY,),
 ) -> DataFrame:
     """Flags of a wide table for every target day; needs no shuffle."""
     dated = day_columns(df.columns)
     if not dated:
         raise ValueError("no day columns")
+    ids = [quoted(k) for k in keys]
     per_day, used = [], {}
     for target in targets:
         names = window_columns(dated, target, window_days)
         if names:
             used.update((c, cell_level(number_in(df, c), binary).alias(c)) for c in names)
             flag = largest([F.col(quoted(c)) for c in names])
-            per_day.append(F.struct(F.lit(target).alias(DAY), flag.alias(FLAG)))
+            per_day.append(F.struct(flag.alias(FLAG), F.lit(target).alias(DAY)))
     if not per_day:
-        return df.sparkSession.createDataFrame([], FLAG_SCHEMA).withColumnRenamed(KEY, key)
+        none = F.lit(None)
+        return df.select(*ids, none.cast("tinyint").alias(FLAG), none.cast("date").alias(DAY)).limit(0)
     # Each cell is parsed once here, not once for every window it lies in.
-    levels = df.select(quoted(key), *used.values())
-    rows = levels.select(quoted(key), F.explode(F.array(*per_day)).alias("_f"))
-    return rows.select(quoted(key), f"_f.{FLAG}", f"_f.{DAY}")
+    levels = df.select(*ids, *used.values())
+    return levels.select(*ids, F.inline(F.array(*per_day)))
 
 
 def observed_targets(readings: DataFrame, month: str, window_days: int) -> DataFrame:
     """Month days for which the origin has a day to look back on."""
     first, last = month_first(month), month_last(month)
-    ends = F.sequence(F.date_add(DAY, 1), F.date_add(DAY, window_days))
-    targets = readings.select(ORIGIN, DAY).distinct().select(ORIGIN, F.explode(ends).alias(DAY))
-    return targets.where(F.col(DAY).between(F.lit(first), F.lit(last))).distinct()
+    # Guarded, as a sequence would run backwards for a window of 0 days.
+    ahead = F.sequence(F.lit(1), F.lit(window_days)) if window_days else F.array().cast("array<int>")
+    steps = readings.select(ORIGIN, DAY).distinct().select(ORIGIN, DAY, F.explode(ahead).alias("step"))
+    targets = steps.select(ORIGIN, F.date_add(DAY, F.col("step")).alias(DAY)).distinct()
+    return targets.where(F.col(DAY).between(F.lit(first), F.lit(last)))
+
+
+def near_levels(readings: DataFrame, month: str, window_days: int, binary: Sequence[str]) -> DataFrame:
+    """Readings (ORIGEM, NIO, DATA, VALUE) that matter to a month, as levels."""
+    start = month_first(month) - timedelta(days=window_days)
+    end = month_last(month) - timedelta(days=1)
+    near = readings.where(F.col(DAY).between(F.lit(start), F.lit(end)))
+    number = number_in(near, "VALUE")
+    level = F.when(F.col(ORIGIN).isin(*binary), cell_level(number, True)).otherwise(cell_level(number, False))
+    return near.select(ORIGIN, KEY, DAY, level.alias(FLAG))
+
+
+def binary_zero(flag: Column, binary: Sequence[str]) -> Column:
+    """A binary origin has no null flags."""
+    return F.coalesce(flag, F.when(F.col(ORIGIN).isin(*binary), F.lit(0).cast("tinyint")))
 
 
 def flags_from_long(
     readings: DataFrame,
     month: str,
     window_days: int = DEFAULT_WINDOW_DAYS,
-    binary: tuple[str, ...] = ORIGINS[:1],
+    binary: Sequence[str] = ORIGINS[:1],
 ) -> DataFrame:
     """Flags of readings (ORIGEM, NIO, DATA, VALUE) for every day of a month.
 
-    Exact for any reading. Readings of one device and day are merged before the
-    shuffle, so a window group never holds more rows than the calendar has days.
+    Exact for any reading. Readings of a device and day are merged before they are
+    shuffled; a device's days then stand side by side, as in a wide table.
     """
-    if window_days == 0:
-        return readings.sparkSession.createDataFrame([], f"{ORIGIN} string, {KEY} string, {FLAG} tinyint, {DAY} date")
-    first, last = month_first(month), month_last(month)
-    number = number_in(readings, "VALUE")
-    level = F.when(F.col(ORIGIN).isin(*binary), cell_level(number, True)).otherwise(cell_level(number, False))
-    near = readings.where(
-        F.col(DAY).between(F.lit(first - timedelta(days=window_days)), F.lit(last - timedelta(days=1)))
-    )
-    daily = near.groupBy(ORIGIN, KEY, DAY).agg(F.max(level).alias(FLAG))
-    days = F.explode(calendar_of(F.lit(first), window_days)).alias(DAY)
-    grid = near.select(ORIGIN, KEY).distinct().select(ORIGIN, KEY, days, F.lit(None).cast("tinyint").alias(FLAG))
-    dense = daily.unionByName(grid).groupBy(ORIGIN, KEY, DAY).agg(F.max(FLAG).alias(FLAG))
-    preceding = (
-        W.partitionBy(ORIGIN, KEY).orderBy(F.unix_date(DAY)).rangeBetween(-window_days, -1)
-    )
-    flag = F.max(FLAG).over(preceding)
-    zero = F.when(F.col(ORIGIN).isin(*binary), F.lit(0).cast("tinyint"))
-    flags = dense.withColumn(FLAG, F.coalesce(flag, zero)).where(F.col(DAY) >= F.lit(first))
+    levels = near_levels(readings, month, window_days, binary)
+    start = month_first(month) - timedelta(days=window_days)
+    days = [start + timedelta(days=i) for i in range(window_days + month_last(month).day - 1)]
+    wide = levels.groupBy(ORIGIN, KEY).pivot(DAY, days).agg(F.max(FLAG))
+    flags = flags_from_wide(wide, month_days(month), window_days, keys=(ORIGIN, KEY))
     # At most one row per origin and calendar day.
-    valid = F.broadcast(observed_targets(near, month, window_days))
-    return flags.join(valid, [ORIGIN, DAY], "left_semi").select(ORIGIN, KEY, FLAG, DAY)
+    valid = F.broadcast(observed_targets(levels, month, window_days))
+    return flags.join(valid, [ORIGIN, DAY], "left_semi").select(
+        ORIGIN, KEY, binary_zero(F.col(FLAG), binary).alias(FLAG), DAY
+    )
+
+
+def flags_by_frame(
+    readings: DataFrame,
+    month: str,
+    window_days: int = DEFAULT_WINDOW_DAYS,
+    binary: Sequence[str] = ORIGINS[:1],
+) -> DataFrame:
+    """The same flags by a range frame over a row for every device and calendar day.
+
+    A frame's group holds no more rows than the calendar has days.
+    """
+    levels = near_levels(readings, month, window_days, binary)
+    daily = levels.groupBy(ORIGIN, KEY, DAY).agg(F.max(FLAG).alias(FLAG))
+    days = F.explode(calendar_of(F.lit(month_first(month)), window_days)).alias(DAY)
+    grid = levels.select(ORIGIN, KEY).distinct().select(ORIGIN, KEY, days)
+    dense = grid.join(daily, [ORIGIN, KEY, DAY], "left")
+    preceding = W.partitionBy(ORIGIN, KEY).orderBy(F.unix_date(DAY)).rangeBetween(-window_days, -1)
+    framed = dense.withColumn(FLAG, binary_zero(F.max(FLAG).over(preceding), binary))
+    valid = F.broadcast(observed_targets(levels, month, window_days))
+    return framed.join(valid, [ORIGIN, DAY], "left_semi").select(ORIGIN, KEY, FLAG, DAY)
 
 
 def sliding_flags(
@@ -118,7 +147,7 @@ def sliding_flags(
 
 def merge_origins(
     flags: DataFrame,
-    precedence: tuple[str, ...] = ORIGINS,
+    precedence: Sequence[str] = ORIGINS,
     order: str | None = None,
 ) -> DataFrame:
     """One flag per device and day: the first origin's, keys normalised.

@@ -16,16 +16,17 @@ def with_key(df: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def join_universe(
-    universe: DataFrame, flags: DataFrame, origin: str = MERGED_ORIGIN
+    universe: DataFrame, flags: DataFrame, origin: str = MERGED_ORIGIN, days: DataFrame | None = None
 ) -> DataFrame:
     """Every universe row of the days that have flags; 0 where a device has none.
 
-    Universe rows are never merged, so a device listed twice counts twice.
+    Universe rows are never merged, so a device listed twice counts twice. ``days``
+    (DATA) spares a pass over flags that are not stored.
     """
     flags = with_key(flags)
     # One row per calendar day.
-    days = F.broadcast(flags.select(DAY).distinct())
-    listed = with_key(universe).join(days, DAY, "left_semi")
+    valid = F.broadcast((flags if days is None else days).select(DAY).distinct())
+    listed = with_key(universe).join(valid, DAY, "left_semi")
     joined = listed.join(flags.select(DAY, KEY, FLAG), [DAY, KEY], "left")
     return joined.select(
         KEY,

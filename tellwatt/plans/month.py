@@ -87,38 +87,51 @@ class Month:
         return df.where(F.col(DAY).between(F.lit(self.start), F.lit(last)))
 
 
-def reported(number: Column, binary: bool) -> Column:
-    """Does this reading set its day? A plain reading other than 0 or 1 is an error."""
-    level = cell_level(number, binary)
+def is_on(level: Column, binary: bool) -> Column:
+    """Does a day with this level count? A plain level other than 0 or 1 is an error."""
     if binary:
         return level == 1
     wrong = F.raise_error(F.lit("plain reading is neither 0 nor 1; use flags_from_long")).cast("boolean")
-    return F.when(level.isNull() | (level == 0), F.lit(False)).when(level == 1, F.lit(True)).otherwise(wrong)
+    return F.when(level == 1, F.lit(True)).when(F.coalesce(level, F.lit(0)) == 0, F.lit(False)).otherwise(wrong)
 
 
 def long_days(origin: Origin, span: Month) -> DataFrame:
-    """One row per reading: key and the reading's day as a bit, if it reported."""
+    """One row per reading: key and the reading's day as a bit, if it counts."""
     near = span.near(origin.frame)
-    position = F.datediff(DAY, F.lit(span.start))
-    on = reported(number_in(near, "VALUE"), origin.binary)
-    days = F.when(on, daybits.bit(position)).otherwise(daybits.constant(0))
-    return near.select(normalize_key(F.col(KEY)).alias(KEY), days.alias("days"), F.lit(None).cast("bigint").alias("place"))
+    leveled = near.select(
+        normalize_key(F.col(KEY)).alias(KEY),
+        F.datediff(DAY, F.lit(span.start)).alias("position"),
+        cell_level(number_in(near, "VALUE"), origin.binary).alias("level"),
+    )
+    day = F.when(is_on(F.col("level"), origin.binary), daybits.bit(F.col("position")))
+    return leveled.select(
+        KEY, F.coalesce(day, daybits.constant(0)).alias("days"), F.lit(None).cast("bigint").alias("place")
+    )
+
+
+def near_columns(origin: Origin, span: Month) -> dict[str, int]:
+    """Day columns of a wide table that matter to the month, with their bit."""
+    last = span.last - timedelta(days=1)
+    dated = day_columns(origin.frame.columns)
+    return {c: (d - span.start).days for c, d in dated.items() if span.start <= d <= last}
 
 
 def wide_days(origin: Origin, span: Month) -> DataFrame:
-    """One row per device row: key and its reported days. Reads near columns only."""
+    """One row per device row: key and its days that count. Reads near columns only."""
     df = origin.frame
-    last = span.last - timedelta(days=1)
-    near = {c: (d - span.start).days for c, d in day_columns(df.columns).items() if span.start <= d <= last}
+    near = near_columns(origin, span)
+    place = F.col(quoted(origin.order)) if origin.order else F.lit(0)
+    leveled = df.select(
+        normalize_key(F.col(KEY)).alias(KEY),
+        place.cast("bigint").alias("place"),
+        *(cell_level(number_in(df, c), origin.binary).alias(f"level_{i}") for c, i in near.items()),
+    )
     bits = [
-        F.when(reported(number_in(df, c), origin.binary), daybits.constant(1 << i)).otherwise(daybits.constant(0))
-        for c, i in near.items()
+        F.when(is_on(F.col(f"level_{i}"), origin.binary), daybits.constant(1 << i)).otherwise(daybits.constant(0))
+        for i in near.values()
     ]
     days = reduce(lambda a, b: a.bitwiseOR(b), bits, daybits.constant(0))
-    place = F.col(quoted(origin.order)) if origin.order else F.lit(0)
-    return df.select(
-        normalize_key(F.col(KEY)).alias(KEY), days.alias("days"), place.cast("bigint").alias("place")
-    )
+    return leveled.select(KEY, days.alias("days"), "place")
 
 
 def covered_days(origin: Origin, span: Month) -> Column:
@@ -127,16 +140,13 @@ def covered_days(origin: Origin, span: Month) -> Column:
     A wide table shows its days in the header. For a long one this is a scalar
     subquery over its day column.
     """
-    if origin.is_long:
-        position = F.datediff(DAY, F.lit(span.start))
-        seen = span.near(origin.frame).agg(F.bit_or(daybits.bit(position)).alias("days"))
-        return F.coalesce(span.flags(seen.select("days").scalar()), daybits.constant(0))
-    last = span.last - timedelta(days=1)
-    bits = 0
-    for day in day_columns(origin.frame.columns).values():
-        if span.start <= day <= last:
-            bits |= 1 << (day - span.start).days
-    return span.flags(daybits.constant(bits))
+    if not origin.is_long:
+        seen = reduce(lambda bits, i: bits | 1 << i, near_columns(origin, span).values(), 0)
+        return span.flags(daybits.constant(seen))
+    position = F.datediff(DAY, F.lit(span.start))
+    seen = span.near(origin.frame).agg(F.bit_or(daybits.bit(position)).alias("days"))
+    targets = F.coalesce(span.flags(F.col("days")), daybits.constant(0))
+    return seen.select(targets.alias("targets")).scalar()
 
 
 def device_flags(origins: Sequence[Origin], span: Month) -> DataFrame:
@@ -163,10 +173,11 @@ def device_flags(origins: Sequence[Origin], span: Month) -> DataFrame:
     flags, taken = daybits.constant(0), daybits.constant(0)
     for i, origin in enumerate(origins):
         days = F.col(f"days_{i}")
-        own = daybits.without(F.coalesce(span.flags(days), daybits.constant(0)), taken)
-        flags = flags.bitwiseOR(own)
-        decided = F.when(days.isNotNull(), covered_days(origin, span)).otherwise(daybits.constant(0))
-        taken = taken.bitwiseOR(decided)
+        own = F.coalesce(span.flags(days), daybits.constant(0))
+        flags = flags.bitwiseOR(daybits.without(own, taken))
+        if i + 1 < len(origins):
+            decided = F.when(days.isNotNull(), covered_days(origin, span)).otherwise(daybits.constant(0))
+            taken = taken.bitwiseOR(decided)
     return devices.select(KEY, flags.alias("flags"))
 
 
@@ -207,10 +218,11 @@ def month_indicator(
     weighted = smart_brands(brands, kept).groupBy(KEY).agg(
         *(F.count_if(F.col(BRAND) == b).alias(f"n_{i}") for i, b in enumerate(kept))
     )
-    weights = F.array(*(F.struct(F.lit(b).alias(BRAND), F.col(f"n_{i}").alias("weight")) for i, b in enumerate(kept)))
+    by_brand = F.array(*(F.struct(F.lit(b).alias(BRAND), F.col(f"n_{i}").alias("weight")) for i, b in enumerate(kept)))
     devices = (
         weighted.join(device_flags(origins, span), KEY, "left")
-        .select(KEY, "flags", F.filter(weights, lambda w: w["weight"] > 0).alias("weights"))
+        .select(KEY, F.coalesce(F.col("flags"), daybits.constant(0)).alias("flags"), F.inline(by_brand))
+        .where(F.col("weight") > 0)
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
     position = F.dayofmonth(DAY) - 1
@@ -224,9 +236,9 @@ def month_indicator(
             F.pmod(F.xxhash64(CITY, DAY), F.lit(salts)).cast("int").alias("salt"),
         )
     )
-    on = daybits.has_bit(F.coalesce(F.col("flags"), daybits.constant(0)), position)
-    joined = listed.join(devices, [KEY, "salt"]).select(CITY, DAY, on.cast("bigint").alias("on"), F.inline("weights"))
+    joined = listed.join(devices, [KEY, "salt"])
+    on = daybits.has_bit(F.col("flags"), position)
     counted = joined.groupBy(CITY, BRAND, DAY).agg(
-        F.sum(F.col("on") * F.col("weight")).alias(COMM), F.sum("weight").alias(TOTAL)
+        F.coalesce(F.sum(F.when(on, F.col("weight"))), F.lit(0)).alias(COMM), F.sum("weight").alias(TOTAL)
     )
     return with_ratio(counted)

@@ -59,12 +59,6 @@ UNIVERSE_SCHEMA = T.StructType([
     T.StructField(DAY, T.DateType()),
 ])
 
-FLAG_SCHEMA = T.StructType([
-    T.StructField(KEY, T.StringType()),
-    T.StructField(FLAG, T.ByteType()),
-    T.StructField(DAY, T.DateType()),
-])
-
 BRAND_SCHEMA = T.StructType([
     T.StructField(KEY, T.StringType()),
     T.StructField(BRAND, T.StringType()),

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tellwatt.functions.dates import iso, month_days
-from tellwatt.operators.flags import flags_from_long, flags_from_wide, merge_origins, sliding_flags
+from tellwatt.operators.flags import (
+    flags_by_frame, flags_from_long, flags_from_wide, merge_origins, observed_targets, sliding_flags,
+)
 from tellwatt.operators.indicators import availability
 from tellwatt.operators.joins import join_brands, join_universe, with_key
 from tellwatt.operators.reshape import to_absolute_days
 from tellwatt.plans.month import Origin, flags_table, month_indicator
-from tellwatt.vocabulary import DAY, FLAG, KEY, ORIGIN
+from tellwatt.vocabulary import DAY, DEFAULT_WINDOW_DAYS, FLAG, KEY, ORIGIN
 from tellwatt.workloads import base
 from tellwatt.workloads.base import MONTH, REFERENCE, SEGMENTS, SQL_AVAILABILITY, SQL_READINGS, SQL_UNIVERSE
 
@@ -29,8 +31,10 @@ def availability_daily(spark, sf):
 
 
 def availability_step_by_step(spark, sf):
-    flags = merge_origins(flags_from_long(base.tagged_readings(spark, sf), MONTH))
-    joined = join_universe(base.universe(spark, sf), flags)
+    readings = base.tagged_readings(spark, sf)
+    flags = merge_origins(flags_from_long(readings, MONTH))
+    days = observed_targets(readings, MONTH, DEFAULT_WINDOW_DAYS)
+    joined = join_universe(base.universe(spark, sf), flags, days=days)
     return availability(join_brands(joined, base.brands(spark, sf), SEGMENTS))
 
 
@@ -81,6 +85,10 @@ def moving_or_flag_long(spark, sf):
     return edge(flags_from_long(base.tagged_readings(spark, sf), MONTH), KEY, ORIGIN, FLAG, DAY)
 
 
+def moving_or_flag_frame(spark, sf):
+    return edge(flags_by_frame(base.tagged_readings(spark, sf), MONTH), KEY, ORIGIN, FLAG, DAY)
+
+
 def moving_or_flag_bits(spark, sf):
     return edge(flags_table(base.origins(spark, sf), MONTH), KEY, FLAG, DAY)
 
@@ -146,6 +154,11 @@ QUERIES = {
         f"""WITH {SQL_READINGS} SELECT {PADDED} AS "NIO", o AS "ORIGEM", disp AS "DISP",
         strftime(d, '%Y-%m-%d') AS "DATA" FROM origin_flags""",
     ),
+    "moving_or_flag_frame": (
+        moving_or_flag_frame,
+        f"""WITH {SQL_READINGS} SELECT {PADDED} AS "NIO", o AS "ORIGEM", disp AS "DISP",
+        strftime(d, '%Y-%m-%d') AS "DATA" FROM origin_flags""",
+    ),
     "moving_or_flag_bits": (
         moving_or_flag_bits,
         f"""WITH {SQL_READINGS} SELECT CAST(k AS VARCHAR) AS "NIO", disp AS "DISP",
