@@ -1,4 +1,4 @@
-"""Sets of days as bits of one BIGINT.
+"""Sets of days as bits of one BIGINT, in SQL text.
 
 A month and its look-back fit into 63 bits, so a device's whole month travels
 through a shuffle as one number, and ``bit_or`` combines such numbers map-side.
@@ -6,39 +6,29 @@ through a shuffle as one number, and ``bit_or`` combines such numbers map-side.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # 63 usable bits less the 31 days of the longest month.
 MAX_WINDOW_DAYS = 32
 
 
-def constant(bits: int) -> Column:
-    return F.lit(bits).cast("bigint")
-
-
-def bit(position: Column) -> Column:
-    return F.call_function("shiftleft", constant(1), position)
+def bit(position: str) -> str:
+    return f"shiftleft(1L, {position})"
 
 
-def has_bit(days: Column, position: Column) -> Column:
-    return F.call_function("shiftright", days, position).bitwiseAND(constant(1)) == 1
+def has_bit(days: str, position: str) -> str:
+    return f"(shiftright({days}, {position}) & 1L) = 1L"
 
 
-def any_of_preceding(days: Column, window_days: int, month_length: int) -> Column:
+def any_of_preceding(days: str, window_days: int, month_length: int) -> str:
     """Month days that have a set bit among their preceding days.
 
     Bit 0 of ``days`` is the first look-back day; bit 0 of the result is the
     first day of the month.
     """
     if window_days == 0:
-        return constant(0)
-    shifted = [F.shiftright(days, i) if i else days for i in range(window_days)]
-    either = reduce(lambda a, b: a.bitwiseOR(b), shifted)
-    return either.bitwiseAND(constant((1 << month_length) - 1))
+        return f"({days} & 0L)"
+    either = " | ".join(f"shiftright({days}, {i})" for i in range(window_days))
+    return f"(({either}) & {(1 << month_length) - 1}L)"
 
 
-def without(days: Column, taken: Column) -> Column:
-    return days.bitwiseAND(F.bitwise_not(taken))
+def without(days: str, taken: str) -> str:
+    return f"({days} & ~({taken}))"

@@ -1,9 +1,12 @@
-"""Keys, readings and ratios as column expressions."""
+"""Keys, readings and ratios as SQL text.
+
+A wide table needs hundreds of these expressions. Spark parses a text at once; the
+same tree of Python calls takes seconds to build.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
@@ -12,44 +15,43 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def normalize_key(key: Column) -> Column:
+def normalize_key(key: str) -> str:
     """Key as text without leading zeros; its last character always stays."""
-    return F.regexp_replace(key.cast("string"), "^0+(.)", "$1")
+    text = f"cast({key} AS string)"
+    return f"coalesce(nullif(trim(LEADING '0' FROM {text}), ''), right({text}, 1))"
 
 
-def to_number(cell: Column) -> Column:
+def to_number(cell: str) -> str:
     """A reading as double, with comma or point; null when it is not a number."""
-    return F.regexp_replace(cell.cast("string"), ",", ".").try_cast("double")
+    return f"try_cast(replace(cast({cell} AS string), ',', '.') AS double)"
 
 
-def number_in(df: DataFrame, name: str) -> Column:
+def number_in(df: DataFrame, name: str) -> str:
     """``to_number`` of a column, skipping the text step where it is numeric already."""
-    column = F.col(quoted(name))
-    if isinstance(df.schema[name].dataType, T.NumericType):
-        return column.cast("double")
-    return to_number(column)
+    numeric = isinstance(df.schema[name].dataType, T.NumericType)
+    return f"cast({quoted(name)} AS double)" if numeric else to_number(quoted(name))
 
 
-def binarize(number: Column) -> Column:
+def binarize(number: str) -> str:
     """1 for a positive reading, 0 for any other and for null."""
-    return F.when(number > 0, F.lit(1)).otherwise(F.lit(0))
+    return f"CASE WHEN {number} > 0 THEN 1 ELSE 0 END"
 
 
-def to_flag(number: Column) -> Column:
+def to_flag(number: str) -> str:
     """A number as tinyint, fraction cut off; null when it does not fit."""
-    return number.try_cast("tinyint")
+    return f"try_cast({number} AS tinyint)"
 
 
-def cell_level(number: Column, binary: bool) -> Column:
+def cell_level(number: str, binary: bool) -> str:
     """What one reading adds to its day's flag."""
     return to_flag(binarize(number) if binary else number)
 
 
-def rejected(cell: Column) -> Column:
+def rejected(cell: str) -> str:
     """True for a cell that holds something other than a number."""
-    return cell.isNotNull() & to_number(cell).isNull()
+    return f"({cell} IS NOT NULL AND {to_number(cell)} IS NULL)"
 
 
-def ratio(part: Column, whole: Column) -> Column:
+def ratio(part: str, whole: str) -> str:
     """Quotient to four decimals, ties to the even digit."""
-    return F.bround(part / whole, 4)
+    return f"bround({part} / {whole}, 4)"

@@ -24,9 +24,10 @@ def window_columns(dated: dict[str, date], target: date, window_days: int) -> li
     return [c for c, d in dated.items() if first <= d <= last]
 
 
-def largest(values: list[Column]) -> Column:
+def largest(names: list[str]) -> str:
     """Row-wise maximum that skips nulls."""
-    return values[0] if len(values) == 1 else F.greatest(*values)
+    columns = [quoted(n) for n in names]
+    return columns[0] if len(columns) == 1 else f"greatest({', '.join(columns)})"
 
 
 def flags_from_wide(
@@ -45,15 +46,13 @@ def flags_from_wide(
     for target in targets:
         names = window_columns(dated, target, window_days)
         if names:
-            used.update((c, cell_level(number_in(df, c), binary).alias(c)) for c in names)
-            flag = largest([F.col(quoted(c)) for c in names])
-            per_day.append(F.struct(flag.alias(FLAG), F.lit(target).alias(DAY)))
+            used.update(dict.fromkeys(names))
+            per_day.append(f"struct({largest(names)} AS {FLAG}, DATE'{target}' AS {DAY})")
     if not per_day:
-        none = F.lit(None)
-        return df.select(*ids, none.cast("tinyint").alias(FLAG), none.cast("date").alias(DAY)).limit(0)
+        return df.selectExpr(*ids, f"cast(null AS tinyint) AS {FLAG}", f"cast(null AS date) AS {DAY}").limit(0)
     # Each cell is parsed once here, not once for every window it lies in.
-    levels = df.select(*ids, *used.values())
-    return levels.select(*ids, F.inline(F.array(*per_day)))
+    levels = df.selectExpr(*ids, *(f"{cell_level(number_in(df, c), binary)} AS {quoted(c)}" for c in used))
+    return levels.selectExpr(*ids, f"inline(array({', '.join(per_day)}))")
 
 
 def observed_targets(readings: DataFrame, month: str, window_days: int) -> DataFrame:
@@ -72,7 +71,9 @@ def near_levels(readings: DataFrame, month: str, window_days: int, binary: Seque
     end = month_last(month) - timedelta(days=1)
     near = readings.where(F.col(DAY).between(F.lit(start), F.lit(end)))
     number = number_in(near, "VALUE")
-    level = F.when(F.col(ORIGIN).isin(*binary), cell_level(number, True)).otherwise(cell_level(number, False))
+    level = F.when(F.col(ORIGIN).isin(*binary), F.expr(cell_level(number, True))).otherwise(
+        F.expr(cell_level(number, False))
+    )
     return near.select(ORIGIN, KEY, DAY, level.alias(FLAG))
 
 
@@ -139,7 +140,7 @@ def sliding_flags(
     """
     if late:
         readings = readings.withWatermark(time, late)
-    level = cell_level(number_in(readings, "VALUE"), binary)
+    level = F.expr(cell_level(number_in(readings, "VALUE"), binary))
     sliding = F.window(time, f"{window_days} days", "1 day")
     flags = readings.groupBy(KEY, sliding).agg(F.max(level).alias(FLAG))
     return flags.select(KEY, FLAG, F.to_date("window.end").alias(DAY))
@@ -158,6 +159,6 @@ def merge_origins(
     rank = F.when(position > 0, position).otherwise(len(precedence) + 1)
     # Rank and sequence in one number keep the aggregate hash-based.
     place = rank if order is None else F.shiftleft(rank, 58) + F.col(order)
-    keyed = flags.select(normalize_key(F.col(KEY)).alias(KEY), FLAG, DAY, place.alias("_place"))
+    keyed = flags.select(F.expr(normalize_key(KEY)).alias(KEY), FLAG, DAY, place.alias("_place"))
     first = keyed.groupBy(DAY, KEY).agg(F.min_by(FLAG, "_place").alias(FLAG))
     return first.select(KEY, FLAG, DAY)

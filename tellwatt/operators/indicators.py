@@ -20,14 +20,8 @@ def availability(joined: DataFrame) -> DataFrame:
 
 
 def with_ratio(counted: DataFrame) -> DataFrame:
-    return counted.select(
-        CITY,
-        BRAND,
-        COMM,
-        TOTAL,
-        ratio(F.col(COMM), F.col(TOTAL)).alias(RATIO),
-        iso(F.col(DAY)).alias(DAY),
-    ).select(*RESULT_SCHEMA.names)
+    shares = counted.withColumn(RATIO, F.expr(ratio(COMM, TOTAL)))
+    return shares.withColumn(DAY, iso(F.col(DAY))).select(*RESULT_SCHEMA.names)
 
 
 def flag_counts(flags: DataFrame, *by: str) -> DataFrame:

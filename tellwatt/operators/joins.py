@@ -12,7 +12,7 @@ from tellwatt.vocabulary import BRAND, CITY, DAY, FLAG, KEY, MERGED_ORIGIN, ORIG
 
 
 def with_key(df: DataFrame, key: str = KEY) -> DataFrame:
-    return df.withColumn(key, normalize_key(F.col(key)))
+    return df.withColumn(key, F.expr(normalize_key(key)))
 
 
 def join_universe(
@@ -41,7 +41,7 @@ def smart_brands(brands: DataFrame, kept: Sequence[str] = SMART_BRANDS) -> DataF
     """Brand table rows of the kept brands, compared case-sensitively."""
     brand = F.col(BRAND).cast("string")
     return brands.where(brand.isin(*kept)).select(
-        normalize_key(F.col(KEY)).alias(KEY), brand.alias(BRAND)
+        F.expr(normalize_key(KEY)).alias(KEY), brand.alias(BRAND)
     )
 
 

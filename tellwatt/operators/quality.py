@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +34,8 @@ def missing_days(df: DataFrame, calendar: DataFrame) -> DataFrame:
 
 def rejected_cells(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """One row: how many cells of these columns hold no number."""
-    per_column = [F.count_if(rejected(F.col(quoted(c)))) for c in columns]
-    return df.agg(reduce(lambda a, b: a + b, per_column).alias("rejected"))
+    per_column = " + ".join(f"count_if({rejected(quoted(c))})" for c in columns)
+    return df.selectExpr(f"{per_column} AS rejected")
 
 
 def reconcile(result: DataFrame, joined: DataFrame) -> DataFrame:

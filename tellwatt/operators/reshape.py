@@ -94,6 +94,6 @@ def to_long(df: DataFrame, ids: list[str] | None = None, value: str = "VALUE") -
     """One row per key and day; null readings stay."""
     ids = ids or [KEY]
     names = list(day_columns(df.columns))
-    text = df.select(*(quoted(c) for c in ids), *(F.col(quoted(c)).cast("string").alias(c) for c in names))
+    text = df.selectExpr(*map(quoted, ids), *(f"cast({quoted(c)} AS string) AS {quoted(c)}" for c in names))
     long = text.unpivot([quoted(c) for c in ids], [quoted(c) for c in names], "_day", value)
     return long.select(*(quoted(c) for c in ids), parse_date(F.col("_day")).alias(DAY), value)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -30,6 +30,9 @@ from tellwatt.vocabulary import (
 # repeated as often; it has one row where the universe has a month of rows.
 SALTS = 4
 
+# Position of a row's day among the bits of a month's flags.
+DAY_OF_MONTH = f"dayofmonth({DAY}) - 1"
+
 
 @dataclass(frozen=True)
 class Origin:
@@ -63,75 +66,72 @@ class Month:
             raise ValueError(f"window of 0 to {daybits.MAX_WINDOW_DAYS} days; use flags_from_long beyond")
 
     @property
-    def first(self):
+    def first(self) -> date:
         return month_first(self.month)
 
     @property
-    def last(self):
+    def last(self) -> date:
         return month_last(self.month)
 
     @property
-    def length(self) -> int:
-        return self.last.day
+    def start(self) -> date:
+        """First look-back day, bit 0 of a set of readings' days."""
+        return self.first - timedelta(days=self.window_days)
 
     @property
-    def start(self):
-        return self.first - timedelta(days=self.window_days)
+    def end(self) -> date:
+        """Last day whose readings matter."""
+        return self.last - timedelta(days=1)
 
-    def flags(self, days: Column) -> Column:
-        return daybits.any_of_preceding(days, self.window_days, self.length)
+    def flags(self, days: str) -> str:
+        return daybits.any_of_preceding(days, self.window_days, self.last.day)
 
     def near(self, df: DataFrame) -> DataFrame:
-        """Rows that can matter to the month."""
-        last = self.last - timedelta(days=1)
-        return df.where(F.col(DAY).between(F.lit(self.start), F.lit(last)))
+        """Readings that can matter to the month."""
+        return df.where(f"{DAY} BETWEEN DATE'{self.start}' AND DATE'{self.end}'")
 
+    def position(self) -> str:
+        return f"datediff({DAY}, DATE'{self.start}')"
 
-def is_on(level: Column, binary: bool) -> Column:
-    """Does a day with this level count? A plain level other than 0 or 1 is an error."""
+
+def level_bit(level: str, bit: str, binary: bool) -> str:
+    """A day's bit if its level counts. A plain level other than 0 or 1 is an error."""
     if binary:
-        return level == 1
-    wrong = F.raise_error(F.lit("plain reading is neither 0 nor 1; use flags_from_long")).cast("boolean")
-    return F.when(level == 1, F.lit(True)).when(F.coalesce(level, F.lit(0)) == 0, F.lit(False)).otherwise(wrong)
+        return f"CASE WHEN {level} = 1 THEN {bit} ELSE 0L END"
+    wrong = "raise_error('plain reading is neither 0 nor 1; use flags_from_long')"
+    return f"CASE WHEN {level} = 1 THEN {bit} WHEN coalesce({level}, 0) = 0 THEN 0L ELSE {wrong} END"
 
 
 def long_days(origin: Origin, span: Month) -> DataFrame:
     """One row per reading: key and the reading's day as a bit, if it counts."""
     near = span.near(origin.frame)
-    leveled = near.select(
-        normalize_key(F.col(KEY)).alias(KEY),
-        F.datediff(DAY, F.lit(span.start)).alias("position"),
-        cell_level(number_in(near, "VALUE"), origin.binary).alias("level"),
-    )
-    day = F.when(is_on(F.col("level"), origin.binary), daybits.bit(F.col("position")))
-    return leveled.select(
-        KEY, F.coalesce(day, daybits.constant(0)).alias("days"), F.lit(None).cast("bigint").alias("place")
+    leveled = near.selectExpr(
+        f"{normalize_key(KEY)} AS {KEY}",
+        f"{span.position()} AS position",
+        f"{cell_level(number_in(near, 'VALUE'), origin.binary)} AS level",
     )
+    day = level_bit("level", daybits.bit("position"), origin.binary)
+    return leveled.selectExpr(KEY, f"{day} AS days", "cast(null AS bigint) AS place")
 
 
 def near_columns(origin: Origin, span: Month) -> dict[str, int]:
     """Day columns of a wide table that matter to the month, with their bit."""
-    last = span.last - timedelta(days=1)
     dated = day_columns(origin.frame.columns)
-    return {c: (d - span.start).days for c, d in dated.items() if span.start <= d <= last}
+    return {c: (d - span.start).days for c, d in dated.items() if span.start <= d <= span.end}
 
 
 def wide_days(origin: Origin, span: Month) -> DataFrame:
     """One row per device row: key and its days that count. Reads near columns only."""
     df = origin.frame
     near = near_columns(origin, span)
-    place = F.col(quoted(origin.order)) if origin.order else F.lit(0)
-    leveled = df.select(
-        normalize_key(F.col(KEY)).alias(KEY),
-        place.cast("bigint").alias("place"),
-        *(cell_level(number_in(df, c), origin.binary).alias(f"level_{i}") for c, i in near.items()),
+    place = quoted(origin.order) if origin.order else "0"
+    leveled = df.selectExpr(
+        f"{normalize_key(KEY)} AS {KEY}",
+        f"cast({place} AS bigint) AS place",
+        *(f"{cell_level(number_in(df, c), origin.binary)} AS level_{i}" for c, i in near.items()),
     )
-    bits = [
-        F.when(is_on(F.col(f"level_{i}"), origin.binary), daybits.constant(1 << i)).otherwise(daybits.constant(0))
-        for i in near.values()
-    ]
-    days = reduce(lambda a, b: a.bitwiseOR(b), bits, daybits.constant(0))
-    return leveled.select(KEY, days.alias("days"), "place")
+    bits = [level_bit(f"level_{i}", f"{1 << i}L", origin.binary) for i in near.values()]
+    return leveled.selectExpr(KEY, f"{' | '.join(['0L', *bits])} AS days", "place")
 
 
 def covered_days(origin: Origin, span: Month) -> Column:
@@ -142,14 +142,16 @@ def covered_days(origin: Origin, span: Month) -> Column:
     """
     if not origin.is_long:
         seen = reduce(lambda bits, i: bits | 1 << i, near_columns(origin, span).values(), 0)
-        return span.flags(daybits.constant(seen))
-    position = F.datediff(DAY, F.lit(span.start))
-    seen = span.near(origin.frame).agg(F.bit_or(daybits.bit(position)).alias("days"))
-    targets = F.coalesce(span.flags(F.col("days")), daybits.constant(0))
-    return seen.select(targets.alias("targets")).scalar()
+        return F.expr(span.flags(f"{seen}L"))
+    seen = span.near(origin.frame).selectExpr(f"bit_or({daybits.bit(span.position())}) AS days")
+    return seen.selectExpr(f"coalesce({span.flags('days')}, 0L)").scalar()
 
 
-def device_flags(origins: Sequence[Origin], span: Month) -> DataFrame:
+def month_covered(covered: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a.bitwiseOR(b), covered)
+
+
+def device_flags(origins: Sequence[Origin], covered: Sequence[Column], span: Month) -> DataFrame:
     """One row per device: the month's flags as bits, bit 0 for the first day.
 
     An origin that lists the device decides every day it covers; the next one is
@@ -158,44 +160,35 @@ def device_flags(origins: Sequence[Origin], span: Month) -> DataFrame:
     rows = reduce(
         DataFrame.unionByName,
         [
-            (long_days(o, span) if o.is_long else wide_days(o, span)).withColumn("origin", F.lit(i))
+            (long_days(o, span) if o.is_long else wide_days(o, span)).selectExpr("*", f"{i} AS origin")
             for i, o in enumerate(origins)
         ],
     )
-    aggregates = []
+    merged = []
     for i, origin in enumerate(origins):
-        here = F.col("origin") == i
-        days = F.when(here, F.col("days"))
-        merged = F.bit_or(days) if origin.is_long else F.min_by(days, F.when(here, F.col("place")))
-        aggregates.append(merged.alias(f"days_{i}"))
-    devices = rows.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(*aggregates)
-
-    flags, taken = daybits.constant(0), daybits.constant(0)
-    for i, origin in enumerate(origins):
-        days = F.col(f"days_{i}")
-        own = F.coalesce(span.flags(days), daybits.constant(0))
-        flags = flags.bitwiseOR(daybits.without(own, taken))
-        if i + 1 < len(origins):
-            decided = F.when(days.isNotNull(), covered_days(origin, span)).otherwise(daybits.constant(0))
-            taken = taken.bitwiseOR(decided)
-    return devices.select(KEY, flags.alias("flags"))
-
+        days = "bit_or(days)" if origin.is_long else "min_by(days, place)"
+        merged.append(F.expr(f"{days} FILTER (WHERE origin = {i})").alias(f"days_{i}"))
+    devices = rows.where(f"{KEY} IS NOT NULL").groupBy(KEY).agg(*merged)
 
-def month_covered(origins: Sequence[Origin], span: Month) -> Column:
-    return reduce(lambda a, b: a.bitwiseOR(b), [covered_days(o, span) for o in origins])
+    devices = devices.withColumns({f"covered_{i}": c for i, c in enumerate(covered[:-1])})
+    flags, taken = "0L", "0L"
+    for i in range(len(origins)):
+        own = f"coalesce({span.flags(f'days_{i}')}, 0L)"
+        flags = f"{flags} | {daybits.without(own, taken)}"
+        taken = f"{taken} | CASE WHEN days_{i} IS NOT NULL THEN covered_{i} ELSE 0L END"
+    return devices.selectExpr(KEY, f"{flags} AS flags")
 
 
 def flags_table(origins: Sequence[Origin], month: str, window_days: int = DEFAULT_WINDOW_DAYS) -> DataFrame:
     """The merged flags as rows (NIO, DISP, DATA), one per device and covered day."""
     span = Month(month, window_days)
-    devices = device_flags(origins, span).withColumn("covered", month_covered(origins, span))
-    days = F.explode(F.sequence(F.lit(span.first), F.lit(span.last))).alias(DAY)
-    rows = devices.select(KEY, "flags", "covered", days)
-    position = F.dayofmonth(DAY) - 1
-    on = daybits.has_bit(F.col("flags"), position)
-    return rows.where(daybits.has_bit(F.col("covered"), position)).select(
-        KEY, on.cast("tinyint").alias(FLAG), DAY
+    covered = [covered_days(o, span) for o in origins]
+    devices = device_flags(origins, covered, span).withColumn("covered", month_covered(covered))
+    rows = devices.selectExpr(
+        KEY, "flags", "covered", f"explode(sequence(DATE'{span.first}', DATE'{span.last}')) AS {DAY}"
     )
+    on = daybits.has_bit("flags", DAY_OF_MONTH)
+    return rows.where(daybits.has_bit("covered", DAY_OF_MONTH)).selectExpr(KEY, f"cast({on} AS tinyint) AS {FLAG}", DAY)
 
 
 def month_indicator(
@@ -215,30 +208,29 @@ def month_indicator(
     spread over tasks, and AQE can split what remains.
     """
     span = Month(month, window_days)
+    covered = [covered_days(o, span) for o in origins]
+    # The brand is no grouping key here: brands and flags both come hashed by device.
     weighted = smart_brands(brands, kept).groupBy(KEY).agg(
         *(F.count_if(F.col(BRAND) == b).alias(f"n_{i}") for i, b in enumerate(kept))
     )
     by_brand = F.array(*(F.struct(F.lit(b).alias(BRAND), F.col(f"n_{i}").alias("weight")) for i, b in enumerate(kept)))
     devices = (
-        weighted.join(device_flags(origins, span), KEY, "left")
-        .select(KEY, F.coalesce(F.col("flags"), daybits.constant(0)).alias("flags"), F.inline(by_brand))
-        .where(F.col("weight") > 0)
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        weighted.join(device_flags(origins, covered, span), KEY, "left")
+        .select(KEY, "flags", F.inline(by_brand))
+        .where("weight > 0")
+        .selectExpr(KEY, BRAND, "weight", "coalesce(flags, 0L) AS flags", f"explode(sequence(0, {salts - 1})) AS salt")
     )
-    position = F.dayofmonth(DAY) - 1
     listed = (
-        universe.where(F.col(DAY).between(F.lit(span.first), F.lit(span.last)))
-        .where(daybits.has_bit(month_covered(origins, span), position))
-        .select(
-            normalize_key(F.col(KEY)).alias(KEY),
-            CITY,
-            DAY,
-            F.pmod(F.xxhash64(CITY, DAY), F.lit(salts)).cast("int").alias("salt"),
+        universe.where(f"{DAY} BETWEEN DATE'{span.first}' AND DATE'{span.last}'")
+        .withColumn("covered", month_covered(covered))
+        .where(daybits.has_bit("covered", DAY_OF_MONTH))
+        .selectExpr(
+            f"{normalize_key(KEY)} AS {KEY}", CITY, DAY, f"cast(pmod(xxhash64({CITY}, {DAY}), {salts}) AS int) AS salt"
         )
     )
     joined = listed.join(devices, [KEY, "salt"])
-    on = daybits.has_bit(F.col("flags"), position)
+    on = daybits.has_bit("flags", DAY_OF_MONTH)
     counted = joined.groupBy(CITY, BRAND, DAY).agg(
-        F.coalesce(F.sum(F.when(on, F.col("weight"))), F.lit(0)).alias(COMM), F.sum("weight").alias(TOTAL)
+        F.expr(f"coalesce(sum(weight) FILTER (WHERE {on}), 0L)").alias(COMM), F.sum("weight").alias(TOTAL)
     )
     return with_ratio(counted)

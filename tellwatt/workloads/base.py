@@ -41,16 +41,15 @@ def second_cell() -> Column:
     return F.when(F.col("event_type") == "signup", F.lit("1")).otherwise(F.lit("0"))
 
 
-def readings(spark: SparkSession, sf: str, cell: Column) -> DataFrame:
-    return table(spark, sf, "events").select(
-        padded("user_id").alias(KEY), F.to_date("ts").alias(DAY), cell.alias("VALUE")
-    )
+def readings(events: DataFrame, cell: Column) -> DataFrame:
+    return events.select(padded("user_id").alias(KEY), F.to_date("ts").alias(DAY), cell.alias("VALUE"))
 
 
 def origins(spark: SparkSession, sf: str) -> list[Origin]:
+    events = table(spark, sf, "events")
     return [
-        Origin(FIRST, readings(spark, sf, first_cell()), binary=True),
-        Origin(SECOND, readings(spark, sf, second_cell())),
+        Origin(FIRST, readings(events, first_cell()), binary=True),
+        Origin(SECOND, readings(events, second_cell())),
     ]
 
 
@@ -112,8 +111,8 @@ def any_signup() -> Column:
 
 def decimal_comma(df: DataFrame) -> DataFrame:
     """All cells as text with a decimal comma."""
-    cells = [F.regexp_replace(F.col(c).cast("string"), r"\.", ",").alias(c) for c in df.columns if c != KEY]
-    return df.select(KEY, *cells)
+    cells = [f"replace(cast(`{c}` AS string), '.', ',') AS `{c}`" for c in df.columns if c != KEY]
+    return df.selectExpr(KEY, *cells)
 
 
 # The same tables for the check in SQL.

@@ -23,7 +23,7 @@ from tellwatt.workloads.base import MONTH, REFERENCE, SEGMENTS, SQL_READINGS, SQ
 def relative_to_absolute(spark, sf):
     wide = base.decimal_comma(base.wide(spark, sf, base.quarter_purchases()))
     long = to_long(to_absolute_days(wide, REFERENCE))
-    return long.select(KEY, iso(F.col(DAY)).alias(DAY), scalars.to_number(F.col("VALUE")).alias("VALUE"))
+    return long.select(KEY, iso(F.col(DAY)).alias(DAY), F.expr(scalars.to_number("VALUE")).alias("VALUE"))
 
 
 def parse_dates(spark, sf):
@@ -73,7 +73,7 @@ def normalize_key(spark, sf):
         base.padded("c_custkey"), F.substring_index("c_name", "#", -1), F.concat(F.lit("00"), "c_mktsegment")
     )
     keys = customer.select(F.explode(raw).alias("raw"))
-    return keys.select("raw", scalars.normalize_key(F.col("raw")).alias(KEY))
+    return keys.selectExpr("raw", f"{scalars.normalize_key('raw')} AS {KEY}")
 
 
 def decimal_comma_binarize(spark, sf):
@@ -81,14 +81,14 @@ def decimal_comma_binarize(spark, sf):
     cell = F.when(F.col("l_returnflag") == "R", F.col("l_linestatus")).otherwise(
         F.regexp_replace(F.col("l_discount").cast("string"), r"\.", ",")
     )
-    number = scalars.to_number(F.col("cell"))
-    return table(spark, sf, "lineitem").withColumn("cell", cell).select(
+    number = scalars.to_number("cell")
+    return table(spark, sf, "lineitem").withColumn("cell", cell).selectExpr(
         "l_orderkey",
         "l_linenumber",
-        number.alias("number"),
-        scalars.to_flag(scalars.binarize(number)).alias("communicates"),
-        scalars.to_flag(F.col("l_quantity") / 7).alias("cut"),
-        scalars.rejected(F.col("cell")).alias("is_rejected"),
+        f"{number} AS number",
+        f"{scalars.to_flag(scalars.binarize(number))} AS communicates",
+        f"{scalars.to_flag('l_quantity / 7')} AS `cut`",
+        f"{scalars.rejected('cell')} AS is_rejected",
     )
 
 
