@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tellwatt.functions import daybits
 from tellwatt.functions.dates import month_first, month_last
-from tellwatt.functions.scalars import cell_level, normalize_key, number_in, quoted
+from tellwatt.functions.scalars import normalize_key, number_in, quoted, to_flag
 from tellwatt.operators.indicators import with_ratio
 from tellwatt.operators.joins import smart_brands
 from tellwatt.operators.reshape import day_columns
@@ -94,10 +94,11 @@ class Month:
         return f"datediff({DAY}, DATE'{self.start}')"
 
 
-def level_bit(level: str, bit: str, binary: bool) -> str:
-    """A day's bit if its level counts. A plain level other than 0 or 1 is an error."""
+def day_bit(number: str, bit: str, binary: bool) -> str:
+    """A day's bit if its reading counts. A plain reading other than 0 or 1 is an error."""
     if binary:
-        return f"CASE WHEN {level} = 1 THEN {bit} ELSE 0L END"
+        return f"CASE WHEN {number} > 0 THEN {bit} ELSE 0L END"
+    level = to_flag(number)
     wrong = "raise_error('plain reading is neither 0 nor 1; use flags_from_long')"
     return f"CASE WHEN {level} = 1 THEN {bit} WHEN coalesce({level}, 0) = 0 THEN 0L ELSE {wrong} END"
 
@@ -105,13 +106,11 @@ def level_bit(level: str, bit: str, binary: bool) -> str:
 def long_days(origin: Origin, span: Month) -> DataFrame:
     """One row per reading: key and the reading's day as a bit, if it counts."""
     near = span.near(origin.frame)
-    leveled = near.selectExpr(
-        f"{normalize_key(KEY)} AS {KEY}",
-        f"{span.position()} AS position",
-        f"{cell_level(number_in(near, 'VALUE'), origin.binary)} AS level",
+    numbers = near.selectExpr(
+        f"{normalize_key(KEY)} AS {KEY}", f"{span.position()} AS position", f"{number_in(near, 'VALUE')} AS number"
     )
-    day = level_bit("level", daybits.bit("position"), origin.binary)
-    return leveled.selectExpr(KEY, f"{day} AS days", "cast(null AS bigint) AS place")
+    day = day_bit("number", daybits.bit("position"), origin.binary)
+    return numbers.selectExpr(KEY, f"{day} AS days", "cast(null AS bigint) AS place")
 
 
 def near_columns(origin: Origin, span: Month) -> dict[str, int]:
@@ -125,13 +124,13 @@ def wide_days(origin: Origin, span: Month) -> DataFrame:
     df = origin.frame
     near = near_columns(origin, span)
     place = quoted(origin.order) if origin.order else "0"
-    leveled = df.selectExpr(
+    numbers = df.selectExpr(
         f"{normalize_key(KEY)} AS {KEY}",
         f"cast({place} AS bigint) AS place",
-        *(f"{cell_level(number_in(df, c), origin.binary)} AS level_{i}" for c, i in near.items()),
+        *(f"{number_in(df, c)} AS number_{i}" for c, i in near.items()),
     )
-    bits = [level_bit(f"level_{i}", f"{1 << i}L", origin.binary) for i in near.values()]
-    return leveled.selectExpr(KEY, f"{' | '.join(['0L', *bits])} AS days", "place")
+    bits = [day_bit(f"number_{i}", f"{1 << i}L", origin.binary) for i in near.values()]
+    return numbers.selectExpr(KEY, f"{' | '.join(['0L', *bits])} AS days", "place")
 
 
 def covered_days(origin: Origin, span: Month) -> Column:

@@ -33,10 +33,11 @@ PYTHON_DATE_PATTERNS = ("%d/%m/%Y", "%d-%m-%Y", "%Y-%m-%d")
 # Spelling of a day in a wide table's header.
 HEADER_DATE_PATTERN = "%d/%m/%Y"
 
-# File names: one universe file per day, one result file per month.
-UNIVERSE_GLOB = "*Diario_{day}.parquet"
-UNIVERSE_NAME = r"Diario_(\d{4}-\d{2}-\d{2})\.parquet"
-MONTH_RESULT_NAME = r"(?i)municipio_(\d{4}-\d{2})\.(csv|parquet)"
+# File names: one universe file per day, one result file per month. A universe that
+# Spark has partitioned by a column "file" has the same names behind "file=".
+UNIVERSE_GLOB = "{{Diario,file=Diario}}_{day}.parquet"
+UNIVERSE_NAME = r"/(?:file=)?Diario_(\d{4}-\d{2}-\d{2})\.parquet"
+MONTH_RESULT_NAME = r"(?i)/municipio_(\d{4}-\d{2})\.(csv|parquet)"
 
 # Delimiters in order of preference, and the one used when none is seen.
 DELIMITERS = (";", ",", "\t", "|")

@@ -150,7 +150,7 @@ def by_key(df):
     return {(r[KEY].lstrip("0") or "0", r[DAY]): r[FLAG] for r in df.collect()}
 
 
-@pytest.mark.parametrize("seed, window", [(1, 5), (2, 1), (3, 3), (4, 32), (5, 5)])
+@pytest.mark.parametrize("seed, window", [(1, 5), (2, 1), (4, 32)])
 @pytest.mark.parametrize("binary", [True, False])
 def test_all_plans_agree(spark, seed, window, binary):
     cells, days = grid(seed)

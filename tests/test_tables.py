@@ -237,9 +237,11 @@ def test_universe_of_a_month(spark, folder):
     for day in ("2026-01-31", "2026-02-01", "2026-02-03"):
         rows.write.parquet(f"{folder}/Diario_{day}.parquet")
     spark.range(1).write.parquet(f"{folder}/Other_2026-02-02.parquet")
-    assert read_universe(spark, folder).count() == 3
+    rows.write.parquet(f"{folder}/OldDiario_2026-02-02.parquet")
+    rows.write.parquet(f"{folder}/file=Diario_2026-02-04.parquet")
+    assert read_universe(spark, folder).count() == 4
     february = read_universe(spark, folder, "2026-02").collect()
-    assert sorted(r[DAY] for r in february) == [date(2026, 2, 1), date(2026, 2, 3)]
+    assert sorted(r[DAY] for r in february) == [date(2026, 2, d) for d in (1, 3, 4)]
 
 
 # --- Sinks and reports ----------------------------------------------------------
