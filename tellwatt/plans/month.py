@@ -26,9 +26,9 @@ from tellwatt.vocabulary import (
     BRAND, CITY, COMM, DAY, DEFAULT_WINDOW_DAYS, FLAG, KEY, SMART_BRANDS, TOTAL,
 )
 
-# The universe is spread over this many parts per device key. The device side is
-# repeated as often; it has one row where the universe has a month of rows.
-SALTS = 4
+# Parts that a device's universe rows are spread over in the join; the device side is
+# repeated as often. One is enough where AQE is on: see ``month_indicator``.
+SALTS = 1
 
 # Position of a row's day among the bits of a month's flags.
 DAY_OF_MONTH = f"dayofmonth({DAY}) - 1"
@@ -202,13 +202,16 @@ def month_indicator(
     """Availability by city, brand and day of a month.
 
     ``universe`` has NIO, MUNICIPIO and DATA (date). Repeated brand rows enter as a
-    weight, which gives the same sums as joining each of them. The join key is
-    salted by the universe row's content: a device with very many universe rows is
-    spread over tasks, and AQE can split what remains.
+    weight, which gives the same sums as joining each of them.
+
+    A device may hold any share of the universe's rows. The salt in the join key puts
+    an exchange right below each side of the join, which is what AQE needs to split
+    a skewed partition; without it the device side would stay as its aggregation left
+    it. More ``salts`` spread such a device by row content even without AQE.
     """
     span = Month(month, window_days)
     covered = [covered_days(o, span) for o in origins]
-    # The brand is no grouping key here: brands and flags both come hashed by device.
+    # Brands become columns, so that brands and flags both come hashed by device alone.
     weighted = smart_brands(brands, kept).groupBy(KEY).agg(
         *(F.count_if(F.col(BRAND) == b).alias(f"n_{i}") for i, b in enumerate(kept))
     )
