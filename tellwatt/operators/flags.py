@@ -136,7 +136,8 @@ def sliding_flags(
     """Sliding-window flags of (NIO, ts, VALUE), batch or streaming.
 
     Gives rows only where a window has readings; the universe join supplies the
-    zeros. ``late`` sets a watermark, which a stream needs in append mode.
+    zeros. ``late`` sets a watermark, which a stream needs in append mode. Windows
+    start at midnight UTC, so a column with a time zone needs a session in UTC.
     """
     if late:
         readings = readings.withWatermark(time, late)

@@ -5,16 +5,20 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tellwatt.functions.dates import month_days
+from tellwatt.operators.flags import flags_from_wide
 from tellwatt.operators.reshape import day_columns, header_row_to_absolute
 from tellwatt.plans.month import Origin, flags_table, month_indicator
 from tellwatt.plans.reports import enrich
 from tellwatt.sinks.writers import csv_to_parquet, write_csv
 from tellwatt.sources.dated import read_brands, read_reference_date, read_universe
 from tellwatt.sources.tables import read_if_present, read_table, with_file_order
-from tellwatt.vocabulary import DEFAULT_WINDOW_DAYS, RESULT_SCHEMA, SMART_BRANDS
+from tellwatt.vocabulary import DEFAULT_WINDOW_DAYS, ORIGIN, RESULT_SCHEMA, SMART_BRANDS
 
 logger = logging.getLogger(__name__)
 
@@ -59,6 +63,24 @@ def read_origins(spark: SparkSession, files: Sequence[OriginFiles]) -> list[Orig
     return origins
 
 
+def store_enriched(spark: SparkSession, files: OriginFiles, target: str) -> None:
+    """An origin's raw table as CSV, with dates as column names."""
+    write_csv(enrich(read_table(spark, files.table), read_reference_date(spark, files.reference)), target)
+
+
+def origin_flags_from_files(
+    spark: SparkSession, month: str, origins: Sequence[OriginFiles], window_days: int = DEFAULT_WINDOW_DAYS
+) -> DataFrame:
+    """A month's flags of each origin (NIO, DISP, DATA, ORIGEM), read from files; no shuffle."""
+    return reduce(
+        DataFrame.unionByName,
+        [
+            flags_from_wide(o.frame, month_days(month), window_days, o.binary).withColumn(ORIGIN, F.lit(o.name))
+            for o in read_origins(spark, origins)
+        ],
+    )
+
+
 def month_from_files(
     spark: SparkSession,
     month: str,

@@ -10,7 +10,9 @@ from tellwatt.functions.dates import iso, month_first
 from tellwatt.operators.flags import flags_from_long
 from tellwatt.operators.pages import file_boundaries, first_file_columns, folder_totals, page, with_position
 from tellwatt.operators.reshape import columns_between_by_header_row, to_long
-from tellwatt.plans.files import OriginFiles, flags_from_files, month_from_files, store_month
+from tellwatt.plans.files import (
+    OriginFiles, flags_from_files, month_from_files, origin_flags_from_files, store_enriched, store_month,
+)
 from tellwatt.plans.reports import enrich, export_columns, export_days, month_columns, month_report
 from tellwatt.session import shared_folder
 from tellwatt.sinks.writers import append_days, csv_to_parquet, write_csv, write_flags, write_table
@@ -132,11 +134,18 @@ def merged_flags_from_files(spark, sf):
     return edge(flags_from_files(spark, MONTH, store_origins(spark, sf, shared_folder(spark))), KEY, FLAG, DAY)
 
 
+def stored_origin_flags(spark, sf):
+    """Each origin's flags of the month, stored as one table by origin and day."""
+    folder = shared_folder(spark)
+    write_flags(origin_flags_from_files(spark, MONTH, store_origins(spark, sf, folder)), f"{folder}/flags")
+    schema = f"{KEY} string, {FLAG} tinyint, {ORIGIN} string, {DAY} string"
+    return read_parquet(spark, f"{folder}/flags", schema=schema).select(KEY, FLAG, ORIGIN, DAY)
+
+
 def enriched_readings(spark, sf):
     folder = shared_folder(spark)
-    second = store_origins(spark, sf, folder)[1]
-    table_ = enrich(read_table(spark, second.table), read_reference_date(spark, second.reference))
-    long = to_long(table_).select(KEY, DAY, F.col("VALUE").cast("int").alias("VALUE"))
+    store_enriched(spark, store_origins(spark, sf, folder)[1], f"{folder}/enriched.csv")
+    long = to_long(read_table(spark, f"{folder}/enriched.csv")).select(KEY, DAY, F.col("VALUE").cast("int").alias("VALUE"))
     return edge(long, KEY, DAY, "VALUE")
 
 
@@ -308,6 +317,11 @@ QUERIES = {
         f"""WITH {SQL_READINGS} SELECT CAST(k AS VARCHAR) AS "NIO", disp AS "DISP",
         strftime(d, '%Y-%m-%d') AS "DATA" FROM merged""",
     ),
+    "stored_origin_flags": (
+        stored_origin_flags,
+        f"""WITH {SQL_READINGS} SELECT {PADDED} AS "NIO", disp AS "DISP", o AS "ORIGEM",
+        strftime(d, '%Y-%m-%d') AS "DATA" FROM origin_flags""",
+    ),
     "enriched_readings": (
         enriched_readings,
         """WITH cells AS (

@@ -95,7 +95,7 @@ def moving_or_flag_bits(spark, sf):
 
 def moving_or_flag_sliding(spark, sf):
     events = base.table(spark, sf, "events").select(
-        base.padded("user_id").alias(KEY), F.col("ts").cast("timestamp").alias("ts"), base.first_cell().alias("VALUE")
+        base.padded("user_id").alias(KEY), "ts", base.first_cell().alias("VALUE")
     )
     return edge(sliding_flags(events).where(F.col(FLAG) == 1), KEY, FLAG, DAY)
 
