@@ -81,7 +81,7 @@ def page(spark: SparkSession, path: str, row: int, context: int = 5, csv: bool =
 
     files = scan(*sorted({b["file_path"] for b in found}))
     starts = F.create_map(
-        *(x for b in found for x in (F.lit(f"{b['file_path']}#{b['block']}"), F.lit(b["start_row"])))
+        *(x for b in found for x in (F.lit(f"{b['file_path']}#{b['block']}"), F.lit(b["start_row"]).cast("bigint")))
     )
     rows = blocks(files)
     if csv:

@@ -41,13 +41,15 @@ class Origin:
     ``frame`` is wide (a key and day columns) or long (NIO, DATA, VALUE). Readings
     of a ``binary`` origin count when positive; those of any other must be 0 or 1
     once cut to whole numbers. ``order`` ranks the rows of a wide frame whose keys
-    repeat; the first row then stands for the device.
+    repeat; the first row then stands for the device. ``days`` says which days a long
+    frame has; without it, a pass over the frame's day column finds them.
     """
 
     name: str
     frame: DataFrame
     binary: bool = False
     order: str | None = None
+    days: Sequence[date] | None = None
 
     @property
     def is_long(self) -> bool:
@@ -90,6 +92,9 @@ class Month:
         """Readings that can matter to the month."""
         return df.where(f"{DAY} BETWEEN DATE'{self.start}' AND DATE'{self.end}'")
 
+    def bit_of(self, day: date) -> int:
+        return (day - self.start).days
+
     def position(self) -> str:
         return f"datediff({DAY}, DATE'{self.start}')"
 
@@ -116,7 +121,7 @@ def long_days(origin: Origin, span: Month) -> DataFrame:
 def near_columns(origin: Origin, span: Month) -> dict[str, int]:
     """Day columns of a wide table that matter to the month, with their bit."""
     dated = day_columns(origin.frame.columns)
-    return {c: (d - span.start).days for c, d in dated.items() if span.start <= d <= span.end}
+    return {c: span.bit_of(d) for c, d in dated.items() if span.start <= d <= span.end}
 
 
 def wide_days(origin: Origin, span: Month) -> DataFrame:
@@ -136,14 +141,15 @@ def wide_days(origin: Origin, span: Month) -> DataFrame:
 def covered_days(origin: Origin, span: Month) -> Column:
     """Target days that the origin can answer for.
 
-    A wide table shows its days in the header. For a long one this is a scalar
-    subquery over its day column.
+    A wide table shows its days in the header. A long one may be told them; otherwise
+    this is a scalar subquery over its day column.
     """
-    if not origin.is_long:
-        seen = reduce(lambda bits, i: bits | 1 << i, near_columns(origin, span).values(), 0)
-        return F.expr(span.flags(f"{seen}L"))
-    seen = span.near(origin.frame).selectExpr(f"bit_or({daybits.bit(span.position())}) AS days")
-    return seen.selectExpr(f"coalesce({span.flags('days')}, 0L)").scalar()
+    if origin.is_long and origin.days is None:
+        seen = span.near(origin.frame).selectExpr(f"bit_or({daybits.bit(span.position())}) AS days")
+        return seen.selectExpr(f"coalesce({span.flags('days')}, 0L)").scalar()
+    days = origin.days if origin.is_long else day_columns(origin.frame.columns).values()
+    near = {span.bit_of(d) for d in days if span.start <= d <= span.end}
+    return F.expr(span.flags(f"{sum(1 << i for i in near)}L"))
 
 
 def month_covered(covered: Sequence[Column]) -> Column:

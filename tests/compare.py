@@ -18,7 +18,7 @@ def connect(sf: str):
 
 def cell(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 9)
+        return "nan" if math.isnan(value) else value
     return value
 
 

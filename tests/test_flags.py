@@ -178,8 +178,9 @@ def test_bits_merge_origins_like_rows(spark, seed):
     wide_2, long_2 = frames(spark, second, second_days)
     rows = long_1.withColumn(ORIGIN, F.lit("ORCA")).unionByName(long_2.withColumn(ORIGIN, F.lit("SANPLAT")))
     want = {k: v or 0 for k, v in by_key(merge_origins(flags_from_long(rows, MONTH))).items()}
-    for frames_ in ((wide_1, wide_2), (long_1, long_2), (wide_1, long_2)):
-        origins = [Origin("ORCA", frames_[0], True), Origin("SANPLAT", frames_[1])]
+    told = [Origin("ORCA", long_1, True, days=first_days), Origin("SANPLAT", long_2, days=second_days)]
+    pairs = [(wide_1, wide_2), (long_1, long_2), (wide_1, long_2)]
+    for origins in [told, *([Origin("ORCA", a, True), Origin("SANPLAT", b)] for a, b in pairs)]:
         got = by_key(flags_table(origins, MONTH))
         assert {k: v for k, v in got.items() if k in want} == want
         # Bits give a device a row on every covered day; rows only where its origin has one.

@@ -1,3 +1,5 @@
+import random
+import re
 from datetime import date
 
 import pytest
@@ -20,6 +22,12 @@ def test_key_strip(spark):
     assert one(spark, scalars.normalize_key("x"), 43, schema="x bigint") == ["43"]
 
 
+def test_key_strip_follows_its_pattern(spark):
+    rng = random.Random(3)
+    keys = ["".join(rng.choice("0001A é9") for _ in range(rng.randrange(9))) for _ in range(2000)]
+    assert one(spark, scalars.normalize_key("x"), *keys) == [re.sub("^0+(.)", r"\1", k) for k in keys]
+
+
 def test_parse_date(spark):
     got = one(spark, parse_date(F.col("x")), "2026-02-24", "24-02-2026", "24/02/2026", "4/2/2026", "31/02/2026", "NIO", None)
     day = date(2026, 2, 24)
