@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from tellwatt.functions.dates import iso
 from tellwatt.sources.tables import read_csv
-from tellwatt.vocabulary import DAY, ORIGIN
+from tellwatt.vocabulary import DAY, DAY_FOLDER, ORIGIN
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -23,19 +23,21 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def append_days(df: DataFrame, path: str, fmt: str = "parquet", fresh: bool = False) -> None:
-    """Add a batch of days to a table partitioned by day.
+    """Add a batch of days to a table with a folder per day.
 
     A day written before is replaced, so a repeated run changes nothing; an empty
-    batch leaves the table as it is. ``fresh`` starts over.
+    batch leaves the table as it is. ``fresh`` starts over. Folders are named by a
+    copy of DATA, so that each file holds all columns.
     """
     overwrite = "static" if fresh else "dynamic"
     (
         # Groups a day's rows into few files and lets AQE split a large day.
-        df.hint("rebalance", DAY)
+        df.withColumn(DAY_FOLDER, df[DAY])
+        .hint("rebalance", DAY_FOLDER)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite)
         .option("header", True)
-        .partitionBy(DAY)
+        .partitionBy(DAY_FOLDER)
         .format("parquet" if fmt.lower() == "parquet" else "csv")
         .save(path)
     )

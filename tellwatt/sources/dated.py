@@ -70,11 +70,14 @@ def month_pattern(folder: str, suffix: str) -> str:
 def read_month_results(spark: SparkSession, folder: str) -> DataFrame | None:
     """All stored month results, with ``file_path``, ``month`` and ``suffix``; None if there are none.
 
-    Unreadable files are skipped.
+    A result may be a file, a folder of files or a table that grew by day. Unreadable
+    files are skipped.
     """
     parts = []
     for suffix in ("csv", "parquet"):
-        reader = spark.read.schema(RESULT_SCHEMA).option("ignoreCorruptFiles", True)
+        reader = (
+            spark.read.schema(RESULT_SCHEMA).option("ignoreCorruptFiles", True).option("recursiveFileLookup", True)
+        )
         if suffix == "csv":
             reader = reader.option("header", True).option("enforceSchema", False)
         found = read_if_present(lambda: reader.format(suffix).load(month_pattern(folder, suffix)))

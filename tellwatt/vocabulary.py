@@ -39,6 +39,9 @@ UNIVERSE_GLOB = "{{Diario,file=Diario}}_{day}.parquet"
 UNIVERSE_NAME = r"/(?:file=)?Diario_(\d{4}-\d{2}-\d{2})\.parquet"
 MONTH_RESULT_NAME = r"(?i)/municipio_(\d{4}-\d{2})\.(csv|parquet)"
 
+# Name of the day folders of a table that grows by day.
+DAY_FOLDER = "day"
+
 # Delimiters in order of preference, and the one used when none is seen.
 DELIMITERS = (";", ",", "\t", "|")
 DEFAULT_DELIMITER = ","

@@ -328,6 +328,19 @@ def test_report(spark, folder):
     ]
 
 
+def test_report_of_all_kinds_of_results(spark, folder):
+    header = ",".join(RESULT_SCHEMA.names)
+    put(f"{folder}/municipio_2026-01.csv", f"{header}\nA,Nansen,1,2,0.5,2026-01-31\n")
+    append_days(batch(spark, "2026-02-01"), f"{folder}/municipio_2026-02.csv", "csv")
+    append_days(batch(spark, "2026-02-02"), f"{folder}/municipio_2026-02.csv", "csv")
+    append_days(batch(spark, "2026-03-01"), f"{folder}/municipio_2026-03.parquet")
+    write_table(batch(spark, "2026-04-01"), f"{folder}/municipio_2026-04.parquet")
+    report = month_report(spark, folder)
+    assert report.columns == RESULT_SCHEMA.names
+    days = [r[DAY] for r in report.collect()]
+    assert days == ["2026-01-31", *(d for d in ("2026-02-01", "2026-02-02", "2026-03-01", "2026-04-01") for _ in "ab")]
+
+
 def test_report_columns_and_order(spark):
     df = spark.createDataFrame([("2026-01-02", 1), ("2026-01-01", 2)], "DATA string, more int")
     assert [tuple(r) for r in combine_months(df).collect()] == [("2026-01-01", 2), ("2026-01-02", 1)]
