@@ -1,7 +1,10 @@
 """All queries of this subpackage: name to query and SQL, or None where SQL can't express it."""
 
-from tellwatt.llm import simhash
+from tellwatt.llm import languages, packing, simhash, substrings
 
 QUERIES = {
     **simhash.QUERIES,
+    **substrings.QUERIES,
+    **packing.QUERIES,
+    **languages.QUERIES,
 }
