@@ -1,10 +1,27 @@
 """All queries of this subpackage: name to query and SQL, or None where SQL can't express it."""
 
-from tellwatt.llm import languages, packing, simhash, substrings
+from tellwatt.llm import (
+    chats,
+    languages,
+    licences,
+    mixing,
+    neighbours,
+    packing,
+    pages,
+    phrases,
+    simhash,
+    substrings,
+)
 
 QUERIES = {
     **simhash.QUERIES,
+    **mixing.QUERIES,
+    **chats.QUERIES,
     **substrings.QUERIES,
+    **neighbours.QUERIES,
+    **phrases.QUERIES,
     **packing.QUERIES,
+    **pages.QUERIES,
+    **licences.QUERIES,
     **languages.QUERIES,
 }
