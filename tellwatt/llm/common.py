@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tellwatt.session import shared_folder
 
@@ -57,6 +56,6 @@ def word_lists(text: bytes, size: int = 1 << 20):
         start = end + 1
 
 
-def documents_like(df: DataFrame, like: DataFrame) -> DataFrame:
-    """Only the columns of ``like``, in its order."""
-    return df.select(*[F.col(f"`{c}`") for c in like.columns])
+def documents(df: DataFrame) -> DataFrame:
+    """Only the columns of ``documents``, so that no other can clash with one that is added."""
+    return df.select(*DOCUMENT_COLUMNS)

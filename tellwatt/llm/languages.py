@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellwatt.llm.common import documents_like, pieces, table
+from tellwatt.llm.common import documents, pieces, table
 
 #: Presence of n-grams of these lengths, in so many hashed places.
 LENGTHS = (1, 2, 3, 4)
@@ -165,8 +165,9 @@ def op10_languages(spark: SparkSession, sf: str) -> DataFrame:
 
 def identify(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
     """Pipeline stage: documents in no known language go; missing ``lang`` values are filled in."""
-    told = predict(docs, fit(docs.where(fold() != 2))).where(F.col("lang_pred") != UNKNOWN)
-    return documents_like(told.withColumn("lang", F.coalesce("lang", "lang_pred")), docs)
+    known = documents(docs)
+    told = predict(known, fit(known.where(fold() != 2))).where(F.col("lang_pred") != UNKNOWN)
+    return documents(told.withColumn("lang", F.coalesce("lang", "lang_pred")))
 
 
 QUERIES = {"op10_languages": (op10_languages, None)}

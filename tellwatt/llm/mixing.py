@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tellwatt.llm.common import WORD, documents_like, stored, table
+from tellwatt.llm.common import WORD, documents, stored, table
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -72,7 +72,7 @@ def mix(sized: DataFrame, seed: int = 2, weights=WEIGHTS, share: float = SHARE,
     in ``STEPS``, are ordered.
     """
     keyed = sized.withColumn("key_", _key())
-    drawn = keyed.select("key_", "source", "doc_id", "size", "random_")
+    drawn = stored(keyed.select("key_", "source", "doc_id", "size", "random_"))
     square = (F.col("size").cast("decimal(19,0)") * F.col("size").cast("decimal(19,0)")).cast("decimal(38,0)")
     totals = drawn.groupBy("key_", "source").agg(
         F.sum("size").alias("source_size"), F.sum(square).cast("double").alias("square")
@@ -141,9 +141,9 @@ def op2_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
     """Pipeline stage: documents as often as the mix takes them; those taken no time go."""
-    mixed = mix(docs.withColumn("size", sizes()).withColumn("random_", random()))
-    return documents_like(mixed.withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-                          .where("copies > 0"), docs)
+    mixed = mix(documents(docs).withColumn("size", sizes()).withColumn("random_", random()))
+    copies = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
+    return documents(mixed.withColumn("copy", copies))
 
 
 SQL = r"""

@@ -1,5 +1,6 @@
 """All queries of this subpackage: name to query and SQL, or None where SQL can't express it."""
 
+import corpus_pipeline
 from tellwatt.llm import (
     chats,
     languages,
@@ -24,4 +25,5 @@ QUERIES = {
     **pages.QUERIES,
     **licences.QUERIES,
     **languages.QUERIES,
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

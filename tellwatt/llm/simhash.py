@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellwatt.llm.common import LOWER_BYTES, documents_like, pieces, stored, table, utf8, word_lists
+from tellwatt.llm.common import LOWER_BYTES, documents, pieces, stored, table, utf8, word_lists
 from tellwatt.llm.components import components
 
 SEED = 42
@@ -228,13 +228,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
         near_groups(docs, shingle=5, bits=36, tables=12, similarity=0.8)
         .where("doc_id = component_id").select("doc_id").distinct()
     )
-    unnamed = docs.where("doc_id IS NULL")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    known = documents(docs)
     once = (
-        docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(row).alias("row"))
+        known.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct(*known.columns)).alias("row"))
         .join(kept, "doc_id", "left_semi").select("row.*")
     )
-    return documents_like(once, docs).unionByName(unnamed)
+    return once.unionByName(known.where("doc_id IS NULL"))
 
 
 QUERIES = {"op1_simhash": (op1_simhash, None)}

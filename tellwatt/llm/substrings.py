@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellwatt.llm.common import DOCUMENT_COLUMNS, documents_like, pieces, stored, table, utf8, word_lists
+from tellwatt.llm.common import documents, pieces, stored, table, utf8, word_lists
 
 WINDOW = 50
 #: Counters of each of the sketch's two rows, as a power of two: 32 MB of bits a row.
@@ -465,11 +465,10 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
     A text that loses nothing stays as it is; one that loses words becomes the words
     left, joined by spaces, and its ``n_chars`` is counted anew.
     """
-    known = docs.select(*[F.col(f"`{c}`") for c in DOCUMENT_COLUMNS])
-    cut = remove_repeats(known)
+    cut = remove_repeats(documents(docs))
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     chars = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("n_chars"))
-    return documents_like(cut.withColumn("n_chars", chars).withColumn("text", text), known)
+    return documents(cut.withColumn("n_chars", chars).withColumn("text", text))
 
 
 SQL = r"""
