@@ -20,6 +20,8 @@ PART_ROWS = 2048
 MOST_LEAVES = 4096
 #: Queries that meet a part of a leaf in one group.
 QUERY_BLOCK = 4096
+#: What rounding may do to a projection, so that equal vectors are at distance zero.
+SLACK = 1e-9
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -211,7 +213,8 @@ def _visits(shared, parts: list[int], home: bool):
                 if home:
                     row, leaf = np.arange(len(some)), own
                 else:
-                    row, leaf = np.nonzero(tree.distances(points) <= some["bound"].to_numpy()[:, None] * limit)
+                    reach = some["bound"].to_numpy() * limit + SLACK * np.abs(points).max(1)
+                    row, leaf = np.nonzero(tree.distances(points) <= reach[:, None])
                 times = np.full(len(row), 1) if home else number[leaf]
                 row, leaf = np.repeat(row, times), np.repeat(leaf, times)
                 part = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
@@ -234,7 +237,8 @@ def _search(shared, k: int):
             vectors, ids = np.stack(rows["vector"].to_numpy()), rows["vec_id"].to_numpy()
             places = vectors @ axes
             for query, vector, bound in zip(queries["query_id"], queries["vector"], queries["bound"]):
-                away = np.sqrt(((places - vector @ axes) ** 2).sum(1))
+                point = vector @ axes
+                away = np.sqrt(((places - point) ** 2).sum(1)) - SLACK * np.abs(point).max()
                 order = np.argsort(away)
                 best: dict[int, float] = {}
                 at, step = 0, 64
