@@ -1,0 +1,119 @@
+from collections import Counter
+
+import numpy as np
+import pytest
+from xxhash import xxh64_intdigest
+
+from tellwatt.llm.components import components
+from tellwatt.llm.simhash import _meeting, links, near_dedup, near_groups, op1_simhash
+
+
+def words(text):
+    return bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode()).split()
+
+
+def shingles(text, n):
+    w = words(text)
+    return [b" ".join(w[i:i + n]) for i in range(len(w) - n + 1)] if len(w) >= n else [b" ".join(w)] * bool(w)
+
+
+def fingerprint(text, n=3):
+    made = shingles(text, n)
+    counts = [0] * 64
+    for s in made:
+        h = xxh64_intdigest(s, 42)
+        for i in range(64):
+            counts[i] += h >> i & 1
+    return sum((counts[i] * 2 > len(made)) << i for i in range(64))
+
+
+def roots(nodes, linked):
+    up = {n: n for n in nodes}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in linked:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def test_query_is_brute_force(spark, odd, rows):
+    got = Counter(tuple(r) for r in op1_simhash(spark, odd).collect())
+    prints = {}
+    for doc, text in rows:
+        if doc is not None:
+            prints[doc] = fingerprint(text)
+    close = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 3]
+    root = roots(prints, close)
+    of_print = {prints[d]: root[d] for d in prints}
+    want = Counter((doc, f"{fingerprint(text):016x}", of_print[fingerprint(text)]) for doc, text in rows)
+    assert got == want
+    assert len(set(root.values())) < len(root)
+
+
+def test_empty(spark, none):
+    assert op1_simhash(spark, none).collect() == []
+    assert near_dedup(spark, spark.read.parquet(f"{none}/documents.parquet"), none).collect() == []
+
+
+@pytest.mark.parametrize("bits", [64, 36])
+def test_every_pair_within_three_bits_is_connected(spark, bits):
+    rng = np.random.default_rng(bits)
+    centres = rng.integers(0, 1 << 63, 12, dtype=np.uint64)
+    prints = []
+    for c in centres:
+        for _ in range(25):
+            flips = rng.choice(bits, rng.integers(0, 5), replace=False)
+            prints.append(int(c) % (1 << bits) ^ sum(1 << int(f) for f in flips))
+    prints = list(dict.fromkeys(prints))
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    nodes = spark.createDataFrame([(k, [p]) for k, p in enumerate(signed)], "node long, prints array<long>")
+    found = [(r.a, r.b) for r in links(nodes, bits).collect()]
+    assert all((prints[a] ^ prints[b]).bit_count() <= 3 for a, b in found)
+    close = [(a, b) for a in range(len(prints)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 3]
+    assert roots(range(len(prints)), found) == roots(range(len(prints)), close)
+    assert len(found) < 70 * len(prints)
+
+
+def test_a_cell_without_partners_gives_no_links():
+    import pandas as pd
+
+    frame = pd.DataFrame({"node": [1, 2], "low": [0, 255], "even": [True, True], "k": [0, 2], "t": [0, 0], "cell": [0, 0]})
+    assert _meeting(16, False)(frame).empty
+
+
+def test_components_of_a_path_a_star_and_loops(spark):
+    pairs = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (None, 3)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {**{k: 0 for k in range(1, 41)}, **{k: 100 for k in range(101, 160)}}
+
+
+def test_hot_copies_are_one_node(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "IF(id % 3 = 0, concat('text ', id, ' is its own kind'), 'the same words in all of them') AS text")
+    groups = near_groups(docs)
+    sizes = Counter(r.component_id for r in groups.collect())
+    assert sizes[1] == 2000
+
+
+def test_stage_keeps_one_of_each_group(spark, odd, rows):
+    docs = spark.read.parquet(f"{odd}/documents.parquet")
+    kept = near_dedup(spark, docs, odd)
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    left = [r.doc_id for r in kept.collect()]
+    named = {d: t for d, t in rows if d is not None}
+    assert left.count(None) == 2
+    left = [d for d in left if d is not None]
+    assert len(left) == len(set(left))
+
+    def likeness(a, b):
+        a, b = set(shingles(a, 5)), set(shingles(b, 5))
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    gone = set(named) - set(left)
+    assert all(any(likeness(named[g], named[d]) >= 0.75 for d in named if d < g) for g in gone)
+    alike = [(a, b) for a in named for b in named if a < b and likeness(named[a], named[b]) >= 0.9]
+    assert alike and all(b in gone for _, b in alike)
