@@ -22,8 +22,12 @@ def normalize_key(key: str) -> str:
 
 
 def to_number(cell: str) -> str:
-    """A reading as double, with comma or point; null when it is not a number."""
-    return f"try_cast(replace(cast({cell} AS string), ',', '.') AS double)"
+    """A reading as double, with comma or point; null when it is not a number.
+
+    No letter but an exponent's is part of a number: ``1d`` and ``NaN`` are none.
+    """
+    text = f"replace(cast({cell} AS string), ',', '.')"
+    return f"CASE WHEN {text} NOT RLIKE '[a-df-zA-DF-Z]' THEN try_cast({text} AS double) END"
 
 
 def number_in(df: DataFrame, name: str) -> str:
@@ -47,9 +51,13 @@ def cell_level(number: str, binary: bool) -> str:
     return to_flag(binarize(number) if binary else number)
 
 
-def rejected(cell: str) -> str:
-    """True for a cell that holds something other than a number."""
-    return f"({cell} IS NOT NULL AND {to_number(cell)} IS NULL)"
+def rejected(cell: str, plain: bool = False) -> str:
+    """True for a cell that holds something other than a number.
+
+    Of a ``plain`` origin, also for a number that does not fit a flag.
+    """
+    wanted = to_flag(to_number(cell)) if plain else to_number(cell)
+    return f"({cell} IS NOT NULL AND {wanted} IS NULL)"
 
 
 def ratio(part: str, whole: str) -> str:

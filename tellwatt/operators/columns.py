@@ -10,21 +10,19 @@ from pyspark.sql import functions as F
 from tellwatt.functions.scalars import quoted
 from tellwatt.vocabulary import RESULT_SCHEMA
 
-ALL_COLUMNS = ("", "*", "all", "todas", "todos")
 
-
-def resolve_columns(columns: Sequence[str], spec: str) -> list[str]:
-    """Columns named by a list such as ``1-10,name,first-last``.
+def resolve_columns(columns: Sequence[str], spec: str | None) -> list[str]:
+    """Columns named by a list such as ``1-10,name,first-last``; all for None or ``*``.
 
     Positions count from 1 and are clamped; the ends of a range of names may
     come in any order; unknown names give nothing. Each column appears once.
     """
-    if spec.strip().lower() in ALL_COLUMNS:
+    if spec is None or spec.strip() == "*":
         return list(columns)
     chosen: dict[str, None] = {}
     for part in (p.strip() for p in spec.split(",")):
         ends = [e.strip() for e in part.split("-", 1)]
-        if all(e.isdigit() for e in ends):
+        if all(e.isascii() and e.isdigit() for e in ends):
             low, high = int(ends[0]), int(ends[-1])
             inside = [c for i, c in enumerate(columns, 1) if low <= i <= high]
         elif all(e in columns for e in ends):
@@ -36,7 +34,7 @@ def resolve_columns(columns: Sequence[str], spec: str) -> list[str]:
     return list(chosen)
 
 
-def select_columns(df: DataFrame, spec: str) -> DataFrame:
+def select_columns(df: DataFrame, spec: str | None) -> DataFrame:
     chosen = resolve_columns(df.columns, spec)
     if not chosen:
         raise ValueError(f"no column matches {spec!r}")

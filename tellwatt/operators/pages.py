@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tellwatt.sources.tables import read_csv, read_parquet
+from tellwatt.functions.scalars import quoted
+from tellwatt.sources.tables import (
+    CSV_SUFFIXES, PARQUET_SUFFIXES, list_files, read_csv, read_folder, read_parquet, read_table,
+)
 
 
 def block_boundaries(df: DataFrame) -> DataFrame:
@@ -53,47 +58,79 @@ def folder_totals(df: DataFrame, columns: int) -> DataFrame:
     )
 
 
+def path_of(file_path: str) -> str:
+    """A file's path as readers take it; metadata columns have it encoded as a URL."""
+    return unquote(file_path)
+
+
 def first_file_columns(spark: SparkSession, df: DataFrame) -> list[str]:
-    """Column names of the first file by path, which speaks for a whole folder."""
-    return read_parquet(spark, min(df.inputFiles())).columns
+    """Column names of the first file by path, which speaks for a whole folder.
 
+    ``df`` has ``file_path`` or comes right from files.
+    """
+    path = "file_path" if "file_path" in df.columns else "_metadata.file_path"
+    first = df.agg(F.min(path)).first()[0]
+    return read_table(spark, path_of(first)).columns if first else []
 
-def page(spark: SparkSession, path: str, row: int, context: int = 5, csv: bool = False) -> DataFrame:
-    """Rows ``row - context`` to ``row + context`` of a table, with their ``row_number``.
 
-    Two steps: count rows per block (Parquet counts come from footers), then read
-    only the files that hold the page. At most one file per page row is named to
-    the driver.
+def _is_csv(path: str) -> bool:
+    return path.lower().endswith(CSV_SUFFIXES)
+
+
+def numbered(spark: SparkSession, starts: dict[str, int], csv: bool) -> DataFrame:
+    """The rows of these files with ``row_number``, counted on from each file's start.
+
+    Parquet knows a row's place in its file. A CSV file is read in blocks; rows are
+    counted per block and numbered in the same query over the same files, so both see
+    the same blocks.
     """
-    def scan(*paths: str) -> DataFrame:
-        return read_csv(spark, *paths) if csv else read_parquet(spark, *paths)
+    first = F.create_map(*(F.lit(x) for pair in starts.items() for x in pair))
+    paths = [path_of(p) for p in sorted(starts)]
+    if not csv:
+        place = first[F.col("_metadata.file_path")] + F.col("_metadata.row_index")
+        return read_parquet(spark, *paths).select("*", place.alias("row_number"))
+    rows = with_position(read_csv(spark, *paths)).withColumn("_order", F.monotonically_increasing_id())
+    blocks = rows.groupBy("file_path", "block").agg(F.count("*").alias("_rows"), F.min("_order").alias("_first"))
+    before = F.sum("_rows").over(W.partitionBy("file_path").orderBy("block")) - F.col("_rows")
+    blocks = blocks.withColumn("_start", first[F.col("file_path")] + before)
+    placed = rows.join(blocks, ["file_path", "block"])
+    number = F.col("_start") + F.col("_order") - F.col("_first")
+    return placed.withColumn("row_number", number).drop("file_path", "block", "_order", "_rows", "_first", "_start")
 
-    def blocks(df: DataFrame) -> DataFrame:
-        placed = with_position(df)
-        return placed if csv else placed.withColumn("block", F.lit(0).cast("bigint"))
 
-    bounds = block_boundaries(blocks(scan(path)).select("file_path", "block"))
-    low, high = row - context, row + context
-    holding = bounds.where((F.col("rows") > 0) & (F.col("end_row") >= low) & (F.col("start_row") <= high))
-    found = holding.select("file_path", "block", "start_row", "end_row").collect()
-    if not any(b["start_row"] <= row <= b["end_row"] for b in found):
-        raise IndexError(f"row {row} is outside the table")
+def page(spark: SparkSession, path: str, row: int, context: int = 5, csv: bool = False) -> DataFrame:
+    """Rows ``row - context`` to ``row + context`` of a table, with their ``row_number``.
 
-    files = scan(*sorted({b["file_path"] for b in found}))
-    starts = F.create_map(
-        *(x for b in found for x in (F.lit(f"{b['file_path']}#{b['block']}"), F.lit(b["start_row"]).cast("bigint")))
-    )
-    rows = blocks(files)
-    if csv:
-        rows = rows.withColumn("_order", F.monotonically_increasing_id())
-    else:
-        rows = rows.withColumn("_order", F.col("_metadata.row_index"))
-    rows = rows.withColumn("_start", F.element_at(starts, F.concat_ws("#", "file_path", "block")))
-    rows = rows.where(F.col("_start").isNotNull())
-    if csv:
-        # A block is at most spark.sql.files.maxPartitionBytes long.
-        inside = F.row_number().over(W.partitionBy("file_path", "block").orderBy("_order")) - 1
+    ``path`` is a file or a folder of files; ``csv`` says that files without an ending
+    are CSV. A folder may hold both formats under the same columns, all text then.
+    Two steps: count rows per file (Parquet counts come from footers), then number
+    those of the files that hold the page; at most one file per page row is named to
+    the driver. Every number of the page has a row, or the query fails.
+    """
+    files = list_files(spark, path)
+    kinds = {"csv" if _is_csv(f) else "parquet" if f.lower().endswith(PARQUET_SUFFIXES) else "" for f in files} - {""}
+    if len(kinds) == 2:
+        rows = read_folder(spark, path)
     else:
-        inside = F.col("_order")
-    numbered = rows.withColumn("row_number", F.col("_start") + inside)
-    return numbered.where(F.col("row_number").between(low, high)).drop("file_path", "block", "_order", "_start")
+        rows = with_position(read_csv(spark, path) if csv or kinds == {"csv"} else read_parquet(spark, path))
+    bounds = file_boundaries(rows.select("file_path"))
+    low, high = max(row - context, 0), row + context
+    last = bounds.agg(F.max("end_row")).first()[0]
+    if last is None or not 0 <= row <= last:
+        raise IndexError(f"row {row} is outside the table")
+    holding = bounds.where((F.col("rows") > 0) & (F.col("end_row") >= low) & (F.col("start_row") <= high))
+    starts = {b["file_path"]: b["start_row"] for b in holding.select("file_path", "start_row").collect()}
+    parts = []
+    for kind in (True, False):
+        of_kind = {p: s for p, s in starts.items() if (_is_csv(p) or csv and not p.lower().endswith(PARQUET_SUFFIXES)) == kind}
+        if of_kind:
+            parts.append(numbered(spark, of_kind, kind))
+    if len(parts) == 2:
+        parts = [p.select(*(F.col(quoted(c)).cast("string").alias(c) if c != "row_number" else F.col(c) for c in p.columns)) for p in parts]
+    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    found = found.where(F.col("row_number").between(low, high)).withColumn("_found", F.lit(True))
+    wanted = spark.range(low, min(high, last) + 1).withColumnRenamed("id", "row_number")
+    missed = F.raise_error(F.concat(F.lit("no row with number "), F.col("row_number").cast("string"))).cast("bigint")
+    checked = F.when(F.col("_found").isNull(), missed).otherwise(F.col("row_number"))
+    joined = wanted.join(found, "row_number", "left").withColumn("row_number", checked)
+    return joined.select(*(quoted(c) for c in found.columns if c not in ("row_number", "_found")), "row_number")

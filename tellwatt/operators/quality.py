@@ -32,17 +32,29 @@ def missing_days(df: DataFrame, calendar: DataFrame) -> DataFrame:
     return calendar.join(df.select(DAY).distinct(), DAY, "left_anti")
 
 
-def rejected_cells(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """One row: how many cells of these columns hold no number."""
-    per_column = " + ".join(f"count_if({rejected(quoted(c))})" for c in columns)
+def rejected_cells(df: DataFrame, columns: Iterable[str], plain: bool = False) -> DataFrame:
+    """One row: how many cells of these columns hold no number, or none that fits a ``plain`` flag."""
+    per_column = " + ".join(f"count_if({rejected(quoted(c), plain)})" for c in columns)
     return df.selectExpr(f"{per_column} AS rejected")
 
 
 def reconcile(result: DataFrame, joined: DataFrame) -> DataFrame:
-    """Per day, the result's totals beside the counts of the rows it came from."""
+    """Per day, the result's totals beside the counts of the rows it came from.
+
+    ``joined`` is read again here: give rows that are stored, or counts of them (with
+    ``comm_rows`` and ``total_rows``) by day.
+    """
+    if {"comm_rows", "total_rows"} <= set(joined.columns):
+        return _compared(result, joined.groupBy(DAY).agg(
+            F.sum("comm_rows").alias("comm_rows"), F.sum("total_rows").alias("total_rows")
+        ))
     rows = joined.groupBy(DAY).agg(
         F.sum(F.col(FLAG).cast("bigint")).alias("comm_rows"), F.count(KEY).alias("total_rows")
     )
+    return _compared(result, rows)
+
+
+def _compared(result: DataFrame, rows: DataFrame) -> DataFrame:
     sides = day_totals(result).join(rows, DAY, "full")
     equal = F.col("comm").eqNullSafe(F.col("comm_rows")) & F.col("total").eqNullSafe(F.col("total_rows"))
     return sides.select(DAY, "comm", "comm_rows", "total", "total_rows", equal.alias("matches"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tellwatt.functions import daybits
 from tellwatt.functions.dates import month_first, month_last
-from tellwatt.functions.scalars import normalize_key, number_in, quoted, to_flag
+from tellwatt.functions.scalars import normalize_key, number_in, quoted
 from tellwatt.operators.indicators import with_ratio
 from tellwatt.operators.joins import smart_brands
 from tellwatt.operators.reshape import day_columns
@@ -103,9 +103,12 @@ def day_bit(number: str, bit: str, binary: bool) -> str:
     """A day's bit if its reading counts. A plain reading other than 0 or 1 is an error."""
     if binary:
         return f"CASE WHEN {number} > 0 THEN {bit} ELSE 0L END"
-    level = to_flag(number)
+    # Compared as they are: a cast could turn what does not fit into a harmless null.
     wrong = "raise_error('plain reading is neither 0 nor 1; use flags_from_long')"
-    return f"CASE WHEN {level} = 1 THEN {bit} WHEN coalesce({level}, 0) = 0 THEN 0L ELSE {wrong} END"
+    return (
+        f"CASE WHEN {number} >= 1 AND {number} < 2 THEN {bit} "
+        f"WHEN {number} IS NULL OR {number} > -1 AND {number} < 1 THEN 0L ELSE {wrong} END"
+    )
 
 
 def long_days(origin: Origin, span: Month) -> DataFrame:

@@ -46,12 +46,13 @@ def combine_months(results: DataFrame, distinct: bool = False) -> DataFrame:
 def month_report(
     spark: SparkSession, folder: str, distinct: bool = False, prefer: str | None = None
 ) -> DataFrame | None:
-    """All stored month results of a folder; None if it has none.
+    """All stored month results of a folder; None if it has none that can be read.
 
-    A month stored as CSV and as Parquet counts twice unless ``distinct`` is set or
+    Columns beyond the result's own stand last; files that can't be read are logged, and
+    listed by ``read_month_results``. A month stored as CSV and as Parquet counts twice unless ``distinct`` is set or
     ``prefer`` names the format to take for such months.
     """
-    results = read_month_results(spark, folder)
+    results, _ = read_month_results(spark, folder)
     if results is None:
         return None
     if prefer:

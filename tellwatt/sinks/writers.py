@@ -7,11 +7,11 @@ from pyspark.sql import types as T
 
 from tellwatt.functions.dates import iso
 from tellwatt.sources.tables import read_csv
-from tellwatt.vocabulary import DAY, DAY_FOLDER, ORIGIN
+from tellwatt.vocabulary import CSV_TEXT, DAY, DAY_FOLDER, ORIGIN
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(**CSV_TEXT).option("header", True).csv(path)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
@@ -36,6 +36,7 @@ def append_days(df: DataFrame, path: str, fmt: str = "parquet", fresh: bool = Fa
         .hint("rebalance", DAY_FOLDER)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite)
+        .options(**CSV_TEXT)
         .option("header", True)
         .partitionBy(DAY_FOLDER)
         .format("parquet" if fmt.lower() == "parquet" else "csv")

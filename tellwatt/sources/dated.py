@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
+import logging
+import re
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellwatt.functions.dates import parse_date
 from tellwatt.functions.scalars import quoted
-from tellwatt.sources.tables import read_csv, read_if_present, read_or_empty, read_parquet
+from tellwatt.sources.tables import list_files, read_csv, read_or_empty, read_parquet
 from tellwatt.vocabulary import (
     BRAND, BRAND_SCHEMA, CITY, DAY, KEY, MONTH_RESULT_NAME, RESULT_SCHEMA, UNIVERSE_GLOB, UNIVERSE_NAME,
     UNIVERSE_SCHEMA,
 )
 
+logger = logging.getLogger(__name__)
+
+# What Spark raises for a file that is not what its name says, or breaks midway.
+UNREADABLE = (PySparkException, Py4JJavaError)
+
 
 def read_reference_date(spark: SparkSession, path: str) -> date:
     """The date in the first cell of a one-row CSV."""
@@ -67,35 +77,99 @@ def month_pattern(folder: str, suffix: str) -> str:
     return f"{folder.rstrip('/')}/{any_case('municipio_')}????-??.{any_case(suffix)}"
 
 
-def read_month_results(spark: SparkSession, folder: str) -> DataFrame | None:
-    """All stored month results, with ``file_path``, ``month`` and ``suffix``; None if there are none.
+def month_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored month results of a folder (``month``, ``suffix``), those without rows included."""
+    names = sorted({_named(file) for file in _stored_files(spark, folder)})
+    return spark.createDataFrame(names, "month string, suffix string")
+
+
+def _stored_files(spark: SparkSession, folder: str) -> list[str]:
+    files = [f for suffix in ("csv", "parquet") for f in list_files(spark, month_pattern(folder, suffix))]
+    return [f for f in files if _named(f)]
+
+
+def _named(file: str) -> tuple[str, str] | None:
+    found = re.search(MONTH_RESULT_NAME, file)
+    return (found[1], found[2].lower()) if found else None
 
-    A result may be a file, a folder of files or a table that grew by day. Unreadable
-    files are skipped.
+
+def read_month_results(spark: SparkSession, folder: str) -> tuple[DataFrame | None, DataFrame]:
+    """All stored month results, and the files that can't be read.
+
+    The rows have the result's columns by name and type, in whatever order or type a
+    file has them; columns beyond these, as text unless all files agree on their type;
+    and ``file_path``, ``month`` and ``suffix``. They are None if there is nothing to
+    read. A result may be a file, a folder of files or a table that grew by day. The
+    other table has ``file_path`` and ``reason``; each such file is also logged.
+
+    Every file's own header or footer counts, and files of a kind are read together.
+    Month results are small, a row per city, brand and day, so each is read once
+    beforehand: a file that breaks midway is left out whole.
     """
+    kinds: dict[tuple, list[str]] = {}
+    skipped: list[tuple[str, str]] = []
+    for file in _stored_files(spark, folder):
+        suffix = _named(file)[1]
+        try:
+            fields = tuple(_open(spark, suffix, file).dtypes)
+        except UNREADABLE as error:
+            skipped.append((file, _reason(error)))
+            continue
+        if fields:
+            kinds.setdefault((suffix, fields), []).append(file)
     parts = []
-    for suffix in ("csv", "parquet"):
-        reader = (
-            spark.read.schema(RESULT_SCHEMA).option("ignoreCorruptFiles", True).option("recursiveFileLookup", True)
-        )
-        if suffix == "csv":
-            reader = reader.option("header", True).option("enforceSchema", False)
-        found = read_if_present(lambda: reader.format(suffix).load(month_pattern(folder, suffix)))
-        if found is not None:
+    for (suffix, fields), files in kinds.items():
+        good = files if _whole(spark, suffix, files, []) else [f for f in files if _whole(spark, suffix, [f], skipped)]
+        if good:
             path = F.col("_metadata.file_path")
             parts.append(
-                found.select(
-                    "*",
+                _open(spark, suffix, *good).select(
+                    *[_result_column(name, kind) for name, kind in fields],
                     path.alias("file_path"),
                     F.regexp_extract(path, MONTH_RESULT_NAME, 1).alias("month"),
                     F.lower(F.regexp_extract(path, MONTH_RESULT_NAME, 2)).alias("suffix"),
-                ).where(F.col("month") != "")
+                )
             )
+    for file, reason in skipped:
+        logger.warning("left out %s: %s", file, reason)
+    left_out = spark.createDataFrame(skipped, "file_path string, reason string")
     if not parts:
-        return None
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
-def month_files(results: DataFrame) -> DataFrame:
-    """The files behind ``read_month_results``, by name."""
-    return results.select("month", "suffix").distinct().orderBy("month", "suffix")
+        return None, left_out
+    types: dict[str, set[str]] = {}
+    for part in parts:
+        for name, kind in part.dtypes:
+            types.setdefault(name, set()).add(kind)
+    mixed = [name for name, found in types.items() if len(found) > 1]
+    parts = [p.withColumns({n: F.col(quoted(n)).cast("string") for n in mixed if n in p.columns}) for p in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), left_out
+
+
+def _open(spark: SparkSession, suffix: str, *files: str) -> DataFrame:
+    return read_csv(spark, *files) if suffix == "csv" else read_parquet(spark, *files)
+
+
+def _whole(spark: SparkSession, suffix: str, files: list[str], skipped: list) -> bool:
+    try:
+        _open(spark, suffix, *files).write.format("noop").mode("overwrite").save()
+    except UNREADABLE as error:
+        skipped.extend((file, _reason(error)) for file in files)
+        return False
+    return True
+
+
+def _reason(error: Exception) -> str:
+    text = str(error.java_exception) if isinstance(error, Py4JJavaError) else str(error)
+    return text.strip().split("\n")[0][:300]
+
+
+def _result_column(name: str, kind: str) -> Column:
+    """A column under its type in the result; counts may be written with a fraction of zero."""
+    wanted = {f.name: f.dataType.simpleString() for f in RESULT_SCHEMA}
+    column = F.col(quoted(name))
+    if name not in wanted or wanted[name] == kind:
+        return column
+    if wanted[name] == "bigint":
+        return F.coalesce(column.try_cast("bigint"), column.try_cast("double").try_cast("bigint")).alias(name)
+    if kind in ("date", "timestamp"):
+        return F.date_format(column, "yyyy-MM-dd").alias(name)
+    return column.try_cast(wanted[name]).alias(name)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tellwatt.functions.scalars import quoted
-from tellwatt.vocabulary import DEFAULT_DELIMITER, DELIMITERS
+from tellwatt.vocabulary import CSV_NOTHING, CSV_TEXT, DEFAULT_DELIMITER, DELIMITERS
 
 CSV_SUFFIXES = (".csv", ".txt")
 PARQUET_SUFFIXES = (".parquet", ".pq")
@@ -26,14 +28,20 @@ def read_csv(
     delimiter: str = DEFAULT_DELIMITER,
     encoding: str = "UTF-8",
     rejects: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header. Without a schema every column is text, so keys keep their zeros.
 
     A field that does not fit its type becomes null. ``rejects`` names a column of
-    the schema that takes the text of such a record.
+    the schema that takes the text of such a record. A quoted empty field is an empty
+    text, one with nothing in it null. Fields with line breaks need ``multi_line``,
+    with which a file is read by one task.
     """
     reader = (
-        spark.read.option("header", True)
+        spark.read.options(**CSV_TEXT)
+        .option("nullValue", CSV_NOTHING)
+        .option("multiLine", multi_line)
+        .option("header", True)
         .option("sep", delimiter)
         .option("encoding", encoding)
         .option("mode", "PERMISSIVE")
@@ -71,31 +79,48 @@ def read_or_empty(spark: SparkSession, read, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema) if found is None else found
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the files at a path or pattern, however deep, in order; contents stay unread.
+
+    It brings a name per file to the driver, as every reader's listing does.
+    """
+    def read() -> DataFrame:
+        return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+
+    found = read_if_present(read)
+    return [] if found is None else sorted(r["path"] for r in found.collect())
+
+
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """A file's first line; reads its beginning only, however long it is."""
+    row = spark.read.text(file).first()
+    return row[0] if row else None
+
+
+def delimiter_in(line: str | None) -> str:
+    return next((d for d in DELIMITERS if line and d in line), DEFAULT_DELIMITER)
+
+
 def detect_delimiter(spark: SparkSession, path: str) -> str:
     """The preferred delimiter in the first line of a file, or of the first by path.
 
     Reads only the beginning of that file.
     """
-    files = sorted(spark.read.text(path).inputFiles())
-    line = spark.read.text(files[0]).first() if files else None
-    return next((d for d in DELIMITERS if line and d in line[0]), DEFAULT_DELIMITER)
-
-
-def delimiters_by_file(spark: SparkSession, path: str) -> DataFrame:
-    """First line and delimiter of each file below ``path``, in one pass over the text."""
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("position"),
-    )
-    first = (
-        lines.where(F.col("block") == 0)
-        .groupBy("file_path")
-        .agg(F.min_by("value", "position").alias("first_line"))
-    )
-    found = [F.when(F.col("first_line").contains(d), F.lit(d)) for d in DELIMITERS]
-    return first.withColumn("delimiter", F.coalesce(*found, F.lit(DEFAULT_DELIMITER)))
+    files = list_files(spark, path)
+    return delimiter_in(first_line(spark, files[0]) if files else None)
+
+
+def delimiters_by_file(spark: SparkSession, path: str, at_once: int = 16) -> DataFrame:
+    """``file_path``, ``first_line`` and ``delimiter`` of each file below ``path``.
+
+    Each file's beginning is read by a task of its own and no more of it, so the work
+    follows the number of files, not their size.
+    """
+    files = list_files(spark, path)
+    with ThreadPoolExecutor(at_once) as pool:
+        lines = list(pool.map(lambda file: first_line(spark, file), files))
+    rows = [(file, line, delimiter_in(line)) for file, line in zip(files, lines)]
+    return spark.createDataFrame(rows, "file_path string, first_line string, delimiter string")
 
 
 def read_folder(spark: SparkSession, path: str, delimiter: str | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tellwatt.vocabulary import DAY, DAY_FOLDER
+from tellwatt.vocabulary import CSV_TEXT, DAY, DAY_FOLDER
 
 
 def append_days_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "csv") -> StreamingQuery:
@@ -13,6 +13,7 @@ def append_days_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "cs
     return (
         df.withColumn(DAY_FOLDER, df[DAY])
         .writeStream.format(fmt)
+        .options(**CSV_TEXT)
         .option("header", True)
         .option("path", path)
         .option("checkpointLocation", checkpoint)

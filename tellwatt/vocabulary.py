@@ -48,6 +48,12 @@ DEFAULT_DELIMITER = ","
 
 DEFAULT_WINDOW_DAYS = 5
 
+# CSV text as common tools have it: a quote in a field is doubled, spaces belong to it.
+CSV_TEXT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+# Stands for a field with nothing in it while reading, so that a quoted empty text isn't null.
+CSV_NOTHING = "\u0000"
+
 RESULT_SCHEMA = T.StructType([
     T.StructField(CITY, T.StringType()),
     T.StructField(BRAND, T.StringType()),

@@ -21,7 +21,7 @@ from tellwatt.sources.tables import (
     delimiters_by_file, detect_delimiter, read_csv, read_folder, read_parquet, read_table,
 )
 from tellwatt.streaming.daily import append_days_stream
-from tellwatt.vocabulary import CITY, DAY, FLAG, KEY, ORIGIN, RAW_KEY, RESULT_SCHEMA
+from tellwatt.vocabulary import BRAND, CITY, DAY, FLAG, KEY, ORIGIN, RAW_KEY, RESULT_SCHEMA
 from tellwatt.workloads import base
 from tellwatt.workloads.base import MONTH, SEGMENTS, SQL_AVAILABILITY, SQL_READINGS, SQL_UNIVERSE, table
 from tellwatt.workloads.flags import PADDED, edge
@@ -35,6 +35,26 @@ def csv_roundtrip(spark, sf):
     return read_csv(spark, f"{folder}/orders.csv", schema=orders.schema)
 
 
+def awkward_text():
+    """Texts of documents with what CSV readers stumble over, by rule."""
+    text = F.col("text")
+    return (
+        F.when(F.col("doc_id") % 6 == 0, F.concat(F.lit('He said "hi", '), text))
+        .when(F.col("doc_id") % 6 == 1, F.concat(text, F.lit("\n\nlast\\line\"")))
+        .when(F.col("doc_id") % 6 == 2, F.concat(F.lit("  "), text, F.lit(" \t")))
+        .when(F.col("doc_id") % 6 == 3, F.lit(""))
+        .when(F.col("doc_id") % 6 == 4, F.lit(None).cast("string"))
+        .otherwise(text)
+    )
+
+
+def csv_text_roundtrip(spark, sf):
+    rows = table(spark, sf, "documents").select("doc_id", awkward_text().alias("text"), "source")
+    path = f"{shared_folder(spark)}/texts.csv"
+    write_csv(rows, path)
+    return read_csv(spark, path, schema=rows.schema, multi_line=True)
+
+
 def text_columns_csv(spark, sf):
     """Without a schema every column stays text, zeros in front included."""
     folder = shared_folder(spark)
@@ -211,9 +231,34 @@ def monthly_report_preferred(spark, sf):
     return month_report(spark, stored_months(spark, sf), prefer="parquet")
 
 
+def uneven_months(spark, sf):
+    """Three thirds of a result stored in three shapes, a month without rows and one that is no Parquet."""
+    result = availability_ratio(spark, sf)
+    folder = shared_folder(spark)
+    third = F.month(F.to_date(DAY)) % 3
+    shuffled = result.select(*reversed(result.columns)).withColumn("CONTAGEM_TOT", F.col("CONTAGEM_TOT").cast("double"))
+    write_csv(shuffled.where(third == 0), f"{folder}/municipio_2024-01.csv")
+    noted = result.withColumn("NOTE", F.concat_ws(', "', CITY, BRAND))
+    write_csv(noted.select("NOTE", *result.columns).where(third == 1), f"{folder}/municipio_2024-02.csv")
+    write_table(result.withColumn(DAY, F.to_date(DAY)).where(third == 2), f"{folder}/municipio_2024-03.parquet")
+    write_csv(result.limit(0), f"{folder}/municipio_2024-04.csv")
+    result.select(F.to_csv(F.struct(CITY)).alias("value")).limit(1).write.text(f"{folder}/municipio_2024-05.parquet")
+    return folder
+
+
+def monthly_report_uneven(spark, sf):
+    return month_report(spark, uneven_months(spark, sf))
+
+
+def monthly_files_skipped(spark, sf):
+    _, skipped = read_month_results(spark, uneven_months(spark, sf))
+    return skipped.select(F.regexp_extract("file_path", "municipio_([0-9-]+)", 1).alias("month")).distinct()
+
+
 def monthly_files(spark, sf):
-    results = read_month_results(spark, stored_months(spark, sf))
-    return month_files(results).join(results.groupBy("month", "suffix").agg(F.count("*").alias("rows")), ["month", "suffix"])
+    folder = stored_months(spark, sf)
+    results, _ = read_month_results(spark, folder)
+    return month_files(spark, folder).join(results.groupBy("month", "suffix").agg(F.count("*").alias("rows")), ["month", "suffix"])
 
 
 def partitioned_flags(spark, sf):
@@ -253,6 +298,15 @@ def row_page_csv(spark, sf):
     return found.select(F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"), "row_number")
 
 
+def row_page_deep(spark, sf):
+    """A page late in a folder of long CSV files, under a name with a space."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.rpad("l_returnflag", 400, "x").alias("pad"))
+    path = f"{shared_folder(spark)}/long lines"
+    write_csv(lines.repartitionByRange(4, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber"), path)
+    found = page(spark, path, row=lines.count() * 4 // 5, context=5, csv=True)
+    return found.select(F.col("l_orderkey").cast("bigint"), F.col("l_linenumber").cast("int"), "row_number")
+
+
 def driver_folder(spark, sf):
     return read_parquet(spark, sf)
 
@@ -286,6 +340,12 @@ def page_sql(columns: str) -> str:
 
 QUERIES = {
     "csv_roundtrip": (csv_roundtrip, "SELECT * FROM orders"),
+    "csv_text_roundtrip": (
+        csv_text_roundtrip,
+        r"""SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'He said "hi", ' || text
+          WHEN 1 THEN text || chr(10) || chr(10) || 'last\line"' WHEN 2 THEN '  ' || text || ' ' || chr(9)
+          WHEN 3 THEN '' WHEN 4 THEN NULL ELSE text END AS text, source FROM documents""",
+    ),
     "text_columns_csv": (
         text_columns_csv, """SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS "NIO", c_name FROM customer"""
     ),
@@ -346,6 +406,12 @@ QUERIES = {
     "monthly_report": (monthly_report, f"WITH r AS ({SQL_ORDER_RATIO}) SELECT * FROM r UNION ALL SELECT * FROM r"),
     "monthly_report_distinct": (monthly_report_distinct, SQL_ORDER_RATIO),
     "monthly_report_preferred": (monthly_report_preferred, SQL_ORDER_RATIO),
+    "monthly_report_uneven": (
+        monthly_report_uneven,
+        f"""WITH r AS ({SQL_ORDER_RATIO}) SELECT *,
+        CASE WHEN month(CAST("DATA" AS DATE)) % 3 = 1 THEN "MUNICIPIO" || ', "' || "INTELIGENTE" END AS "NOTE" FROM r""",
+    ),
+    "monthly_files_skipped": (monthly_files_skipped, "SELECT DISTINCT '2024-05' AS month FROM orders"),
     "monthly_files": (
         monthly_files,
         f"""WITH r AS ({SQL_ORDER_RATIO}) SELECT '2024-01' AS month, suffix, count(*) AS rows
@@ -360,6 +426,13 @@ QUERIES = {
     "append_by_stream": (append_by_stream, SQL_ORDER_RATIO),
     "row_page": (row_page, page_sql("*")),
     "row_page_csv": (row_page_csv, page_sql("o_orderkey, o_custkey")),
+    "row_page_deep": (
+        row_page_deep,
+        """SELECT * FROM (
+          SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS row_number
+          FROM lineitem)
+        WHERE row_number BETWEEN (SELECT count(*) FROM lineitem) * 4 // 5 - 5 AND (SELECT count(*) FROM lineitem) * 4 // 5 + 5""",
+    ),
     "file_row_index": (
         file_row_index,
         f"""SELECT file, rows, CAST(sum(rows) OVER (ORDER BY file) - rows AS BIGINT) AS start_row,

@@ -1,10 +1,13 @@
+import re
 from datetime import date
 from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tellwatt.operators.columns import canonical_order, resolve_columns, sample_rows, search, select_columns
+from tellwatt.operators import pages
 from tellwatt.operators.pages import file_boundaries, first_file_columns, folder_totals, page, with_position
 from tellwatt.operators.reshape import (
     columns_between, columns_between_by_header_row, relative_day_names, rename_raw_key, to_absolute_days, to_long,
@@ -87,7 +90,7 @@ NAMES = ["NIO", "TIPO", "90", "89"]
         ("TIPO, 4", ["TIPO", "89"]),
         ("none-90", []),
         ("none", []),
-        ("all", NAMES),
+        ("²", []),
         ("*", NAMES),
         ("3-1", []),
     ],
@@ -323,7 +326,7 @@ def test_report(spark, folder):
     assert keys(month_report(spark, folder)) == [("2026-01-31", None), a, a, b, b]
     assert keys(month_report(spark, folder, distinct=True)) == [("2026-01-31", None), a, b]
     assert keys(month_report(spark, folder, prefer="parquet")) == [("2026-01-31", None), a, b]
-    assert [tuple(r) for r in month_files(read_month_results(spark, folder)).collect()] == [
+    assert [tuple(r) for r in month_files(spark, folder).collect()] == [
         ("2026-01", "csv"), ("2026-02", "csv"), ("2026-02", "parquet"),
     ]
 
@@ -349,10 +352,75 @@ def test_report_columns_and_order(spark):
     assert BRAND in combine_months(batch(spark, "2026-01-01")).columns
 
 
-def test_unreadable_month_is_skipped(spark, folder):
+def test_unreadable_month_is_skipped_and_named(spark, folder):
     batch(spark, "2026-01-25").coalesce(1).write.parquet(f"{folder}/municipio_2026-01.parquet")
     put(f"{folder}/municipio_2026-02.parquet", "not parquet at all")
+    batch(spark, "2026-03-01").coalesce(1).write.parquet(f"{folder}/municipio_2026-03.parquet")
+    part = next(Path(f"{folder}/municipio_2026-03.parquet").glob("part-*"))
+    whole = part.read_bytes()
+    part.write_bytes(whole[:8] + bytes(60) + whole[68:])  # breaks behind its first bytes, with a sound footer
+    next(Path(f"{folder}/municipio_2026-03.parquet").glob(".part-*.crc")).write_bytes(b"")
     assert month_report(spark, folder).count() == 2
+    results, skipped = read_month_results(spark, folder)
+    assert results.count() == 2
+    assert sorted(re.search(r"municipio_....-..", r["file_path"])[0] for r in skipped.collect()) == [
+        "municipio_2026-02", "municipio_2026-03",
+    ]
+
+
+def test_months_of_any_shape(spark, folder):
+    """Another order, a column more, a date as date, counts with a fraction, and no rows."""
+    header = ",".join(RESULT_SCHEMA.names)
+    put(f"{folder}/municipio_2026-01.csv", f"{header}\nA,Nansen,1,2,0.5,2026-01-31\n")
+    put(f"{folder}/municipio_2026-02.csv", "DATA,INTELIGENTE,MUNICIPIO,DISP,CONTAGEM_TOT,CONTAGEM_COMM\n2026-02-01,Nansen,B,0.5,4.0,2.0\n")
+    put(f"{folder}/municipio_2026-03.csv", f"{header},NOTE\nC,Nansen,1,2,0.5,2026-03-01,\"new, \"\"here\"\"\"\n")
+    batch(spark, "2026-04-01").withColumn("DATA", F.to_date("DATA")).write.parquet(f"{folder}/municipio_2026-04.parquet")
+    put(f"{folder}/municipio_2026-05.csv", f"{header}\n")
+    report = month_report(spark, folder)
+    assert report.columns == [*RESULT_SCHEMA.names, "NOTE"]
+    assert [(r[DAY], r["CONTAGEM_TOT"], r["NOTE"]) for r in report.collect()][:3] == [
+        ("2026-01-31", 2, None), ("2026-02-01", 4, None), ("2026-03-01", 2, 'new, "here"'),
+    ]
+    assert report.count() == 3 + batch(spark, "2026-04-01").count()
+    assert [r["month"] for r in month_files(spark, folder).collect()] == [f"2026-0{m}" for m in range(1, 6)]
+
+
+AWKWARD = ['He said "hi", x', "two\nlines", "\r\n", " spaced ", "", None, 'back\\"slash', "tab\t", '"', "a,b;c", "é日"]
+
+
+def test_csv_text_survives(spark, folder):
+    df = spark.createDataFrame(list(enumerate(AWKWARD)), "n int, s string").coalesce(1)
+    write_csv(df, f"{folder}/t.csv")
+    back = read_csv(spark, f"{folder}/t.csv", schema=df.schema, multi_line=True)
+    assert [r["s"] for r in back.orderBy("n").collect()] == AWKWARD
+    con = duckdb.connect()
+    rows = con.execute(
+        f"SELECT n, s FROM read_csv('{folder}/t.csv/*.csv', header=true, quote='\"', escape='\"', "
+        "columns={'n': 'INT', 's': 'VARCHAR'}, allow_quoted_nulls=false, new_line='\\n') ORDER BY n"
+    ).fetchall()
+    assert [s for _, s in rows] == AWKWARD
+    days = df.withColumn("DATA", F.lit("2026-01-01"))
+    append_days(days, f"{folder}/days", "csv")
+    again = read_csv(spark, f"{folder}/days", multi_line=True)
+    assert sorted(str(r["s"]) for r in again.collect()) == sorted(map(str, AWKWARD))
+
+
+def test_page_in_a_folder_of_both_formats_with_a_space(spark, folder):
+    root = f"{folder}/a b"
+    spark.range(100).selectExpr("id AS n", "'p' AS s").coalesce(1).write.parquet(f"{root}/1.parquet")
+    put(f"{root}/2.csv", "n,s\n" + "".join(f"{i},c\n" for i in range(100, 200)))
+    found = page(spark, root, 99, 2).collect()
+    assert sorted((r["row_number"], r["n"], r["s"]) for r in found) == [
+        (k, str(k), "p" if k < 100 else "c") for k in range(97, 102)
+    ]
+
+
+def test_page_without_a_row_fails(spark, folder, monkeypatch):
+    spark.range(50).coalesce(1).write.parquet(f"{folder}/t")
+    real = pages.numbered
+    monkeypatch.setattr(pages, "numbered", lambda *a: real(*a).where("id != 21"))
+    with pytest.raises(Exception, match="no row with number 21"):
+        page(spark, f"{folder}/t", 20, 3).collect()
 
 
 def test_shared_folder(spark):
