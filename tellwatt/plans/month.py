@@ -4,6 +4,10 @@ Each device's readings become one BIGINT of days (``daybits``), merged map-side.
 The flags of a month are bit shifts of that number, so the plan shuffles one
 small row per device in place of one per device and day, and the universe, by
 far the largest input, is shuffled once.
+
+Bits say yes or no and span 63 days. With ``levels`` a device's month is an array with
+the largest reading of each day's window instead, which takes any plain reading and any
+window; the plan is otherwise the same.
 """
 
 from __future__ import annotations
@@ -18,12 +22,12 @@ from pyspark.sql import functions as F
 
 from tellwatt.functions import daybits
 from tellwatt.functions.dates import month_first, month_last
-from tellwatt.functions.scalars import normalize_key, number_in, quoted
+from tellwatt.functions.scalars import cell_level, normalize_key, number_in, quoted
 from tellwatt.operators.indicators import with_ratio
 from tellwatt.operators.joins import smart_brands
 from tellwatt.operators.reshape import day_columns
 from tellwatt.vocabulary import (
-    BRAND, CITY, COMM, DAY, DEFAULT_WINDOW_DAYS, FLAG, KEY, SMART_BRANDS, TOTAL,
+    BRAND, CITY, COMM, DAY, DEFAULT_WINDOW_DAYS, FLAG, KEY, ORIGIN, SMART_BRANDS, TOTAL,
 )
 
 # Parts that a device's universe rows are spread over in the join; the device side is
@@ -40,9 +44,11 @@ class Origin:
 
     ``frame`` is wide (a key and day columns) or long (NIO, DATA, VALUE). Readings
     of a ``binary`` origin count when positive; those of any other must be 0 or 1
-    once cut to whole numbers. ``order`` ranks the rows of a wide frame whose keys
-    repeat; the first row then stands for the device. ``days`` says which days a long
-    frame has; without it, a pass over the frame's day column finds them.
+    once cut to whole numbers, unless the month is counted in ``levels``. ``order`` ranks
+    the rows of a wide frame whose keys repeat; the first row then stands for the device.
+    ``days`` says which days a long frame has; without it, a pass over the frame's day
+    column finds them. A ``tagged`` frame is long and holds several origins' readings,
+    with the name in ORIGEM; origins that share one are read in one pass.
     """
 
     name: str
@@ -50,6 +56,7 @@ class Origin:
     binary: bool = False
     order: str | None = None
     days: Sequence[date] | None = None
+    tagged: bool = False
 
     @property
     def is_long(self) -> bool:
@@ -64,8 +71,8 @@ class Month:
     window_days: int = DEFAULT_WINDOW_DAYS
 
     def __post_init__(self) -> None:
-        if not 0 <= self.window_days <= daybits.MAX_WINDOW_DAYS:
-            raise ValueError(f"window of 0 to {daybits.MAX_WINDOW_DAYS} days; use flags_from_long beyond")
+        if self.window_days < 0:
+            raise ValueError("a window has no days before it begins")
 
     @property
     def first(self) -> date:
@@ -86,12 +93,20 @@ class Month:
         return self.last - timedelta(days=1)
 
     def flags(self, days: str) -> str:
+        if self.window_days > daybits.MAX_WINDOW_DAYS:
+            raise ValueError(f"bits span a window of {daybits.MAX_WINDOW_DAYS} days; set levels beyond")
         return daybits.any_of_preceding(days, self.window_days, self.last.day)
 
     def near(self, df: DataFrame) -> DataFrame:
         """Readings that can matter to the month."""
         return df.where(f"{DAY} BETWEEN DATE'{self.start}' AND DATE'{self.end}'")
 
+    def targets_after(self, day: str) -> str:
+        """Month days, as bits, in whose window a day lies."""
+        low = f"greatest(datediff({day}, DATE'{self.first}') + 1, 0)"
+        high = f"least(datediff({day}, DATE'{self.first}') + {self.window_days}, {self.last.day - 1})"
+        return f"CASE WHEN {low} <= {high} THEN shiftleft(1L, {high} + 1) - shiftleft(1L, {low}) ELSE 0L END"
+
     def bit_of(self, day: date) -> int:
         return (day - self.start).days
 
@@ -104,21 +119,39 @@ def day_bit(number: str, bit: str, binary: bool) -> str:
     if binary:
         return f"CASE WHEN {number} > 0 THEN {bit} ELSE 0L END"
     # Compared as they are: a cast could turn what does not fit into a harmless null.
-    wrong = "raise_error('plain reading is neither 0 nor 1; use flags_from_long')"
+    wrong = "raise_error('plain reading is neither 0 nor 1; set levels')"
     return (
         f"CASE WHEN {number} >= 1 AND {number} < 2 THEN {bit} "
         f"WHEN {number} IS NULL OR {number} > -1 AND {number} < 1 THEN 0L ELSE {wrong} END"
     )
 
 
-def long_days(origin: Origin, span: Month) -> DataFrame:
-    """One row per reading: key and the reading's day as a bit, if it counts."""
-    near = span.near(origin.frame)
+def shared_frames(origins: Sequence[Origin]) -> list[list[int]]:
+    """Places of the origins, those that share a tagged frame together."""
+    groups: dict[object, list[int]] = {}
+    for i, origin in enumerate(origins):
+        groups.setdefault(id(origin.frame) if origin.tagged else ("own", i), []).append(i)
+    return list(groups.values())
+
+
+def by_tag(origins: Sequence[Origin], places: Sequence[int], value) -> str:
+    """A value for each origin of a frame, told apart by its tag."""
+    if not origins[places[0]].tagged:
+        return value(places[0])
+    cases = " ".join(f"WHEN '{origins[i].name}' THEN {value(i)}" for i in places)
+    return f"CASE {ORIGIN} {cases} END"
+
+
+def long_days(origins: Sequence[Origin], places: Sequence[int], span: Month) -> DataFrame:
+    """One row per reading: key, the reading's day as a bit, if it counts, and its origin."""
+    near = span.near(origins[places[0]].frame)
+    tag = [ORIGIN] if origins[places[0]].tagged else []
     numbers = near.selectExpr(
-        f"{normalize_key(KEY)} AS {KEY}", f"{span.position()} AS position", f"{number_in(near, 'VALUE')} AS number"
+        f"{normalize_key(KEY)} AS {KEY}", f"{span.position()} AS position", f"{number_in(near, 'VALUE')} AS number", *tag
     )
-    day = day_bit("number", daybits.bit("position"), origin.binary)
-    return numbers.selectExpr(KEY, f"{day} AS days", "cast(null AS bigint) AS place")
+    day = by_tag(origins, places, lambda i: day_bit("number", daybits.bit("position"), origins[i].binary))
+    origin = by_tag(origins, places, str)
+    return numbers.selectExpr(KEY, f"{day} AS days", "cast(null AS bigint) AS place", f"{origin} AS origin")
 
 
 def near_columns(origin: Origin, span: Month) -> dict[str, int]:
@@ -141,18 +174,38 @@ def wide_days(origin: Origin, span: Month) -> DataFrame:
     return numbers.selectExpr(KEY, f"{' | '.join(['0L', *bits])} AS days", "place")
 
 
-def covered_days(origin: Origin, span: Month) -> Column:
-    """Target days that the origin can answer for.
+def covered_days(origins: Sequence[Origin], span: Month) -> list[Column]:
+    """Target days that each origin can answer for, as bits.
 
     A wide table shows its days in the header. A long one may be told them; otherwise
-    this is a scalar subquery over its day column.
+    this is a scalar subquery over its day column, one for all origins of a frame.
     """
-    if origin.is_long and origin.days is None:
-        seen = span.near(origin.frame).selectExpr(f"bit_or({daybits.bit(span.position())}) AS days")
-        return seen.selectExpr(f"coalesce({span.flags('days')}, 0L)").scalar()
-    days = origin.days if origin.is_long else day_columns(origin.frame.columns).values()
-    near = {span.bit_of(d) for d in days if span.start <= d <= span.end}
-    return F.expr(span.flags(f"{sum(1 << i for i in near)}L"))
+    found: dict[int, Column] = {}
+    for places in shared_frames(origins):
+        first = origins[places[0]]
+        if first.is_long and any(origins[i].days is None for i in places):
+            after = span.targets_after(DAY)
+            own = {i: f" FILTER (WHERE {ORIGIN} = '{origins[i].name}')" if first.tagged else "" for i in places}
+            masks = ", ".join(f"coalesce(bit_or({after}){own[i]}, 0L) AS c{i}" for i in places)
+            seen = span.near(first.frame).selectExpr(f"struct({masks}) AS covered").scalar()
+            found.update({i: seen.getField(f"c{i}") for i in places if origins[i].days is None})
+        for i in places:
+            if i not in found:
+                days = origins[i].days if first.is_long else day_columns(first.frame.columns).values()
+                near = [d for d in days if span.start <= d <= span.end]
+                masks_ = " | ".join(span.targets_after(f"DATE'{d}'") for d in near) or "0L"
+                found[i] = F.expr(f"({masks_})")
+    return [found[i] for i in range(len(origins))]
+
+
+def covered_table(origins: Sequence[Origin], month: str, window_days: int = DEFAULT_WINDOW_DAYS) -> DataFrame:
+    """The month's days (DATA) that any origin can answer for."""
+    span = Month(month, window_days)
+    days = origins[0].frame.sparkSession.range(1).select(
+        month_covered(covered_days(origins, span)).alias("covered"),
+        F.explode(F.sequence(F.lit(span.first), F.lit(span.last))).alias(DAY),
+    )
+    return days.where(daybits.has_bit("covered", DAY_OF_MONTH)).select(DAY)
 
 
 def month_covered(covered: Sequence[Column]) -> Column:
@@ -165,11 +218,13 @@ def device_flags(origins: Sequence[Origin], covered: Sequence[Column], span: Mon
     An origin that lists the device decides every day it covers; the next one is
     asked about the rest.
     """
+    span.flags("0L")  # refuses a window that the bits can't span
     rows = reduce(
         DataFrame.unionByName,
         [
-            (long_days(o, span) if o.is_long else wide_days(o, span)).selectExpr("*", f"{i} AS origin")
-            for i, o in enumerate(origins)
+            long_days(origins, places, span) if origins[places[0]].is_long
+            else wide_days(origins[places[0]], span).selectExpr("*", f"{places[0]} AS origin")
+            for places in shared_frames(origins)
         ],
     )
     merged = []
@@ -187,16 +242,73 @@ def device_flags(origins: Sequence[Origin], covered: Sequence[Column], span: Mon
     return devices.selectExpr(KEY, f"{flags} AS flags")
 
 
-def flags_table(origins: Sequence[Origin], month: str, window_days: int = DEFAULT_WINDOW_DAYS) -> DataFrame:
+def origin_levels(origin: Origin, span: Month) -> DataFrame:
+    """One row per device row: key, the largest reading of each month day's window, and the row's place."""
+    if origin.is_long:
+        own = origin.frame.where(F.col(ORIGIN) == origin.name) if origin.tagged else origin.frame
+        near = span.near(own)
+        level = cell_level(number_in(near, "VALUE"), origin.binary)
+        days = [span.start + timedelta(days=i) for i in range((span.end - span.start).days + 1)]
+        frame = (
+            near.selectExpr(f"{normalize_key(KEY)} AS {KEY}", DAY, f"{level} AS level")
+            .groupBy(KEY).pivot(DAY, days).agg(F.max("level"))
+        )
+        levels, place = {quoted(str(d)): d for d in days}, "0"
+    else:
+        dated = day_columns(origin.frame.columns)
+        near_names = {c: d for c, d in dated.items() if span.start <= d <= span.end}
+        place = quoted(origin.order) if origin.order else "0"
+        frame = origin.frame.selectExpr(
+            f"{normalize_key(KEY)} AS {KEY}", f"cast({place} AS bigint) AS place",
+            *(f"{cell_level(number_in(origin.frame, c), origin.binary)} AS level_{i}" for i, c in enumerate(near_names)),
+        )
+        levels, place = {f"level_{i}": d for i, d in enumerate(near_names.values())}, "place"
+    windows = []
+    for number in range(span.last.day):
+        target = span.first + timedelta(days=number)
+        inside = [c for c, d in levels.items() if target - timedelta(days=span.window_days) <= d < target]
+        windows.append("cast(null AS tinyint)" if not inside else inside[0] if len(inside) == 1 else f"greatest({', '.join(inside)})")
+    return frame.selectExpr(KEY, f"array({', '.join(windows)}) AS levels", f"cast({place} AS bigint) AS place")
+
+
+def device_levels(origins: Sequence[Origin], covered: Sequence[Column], span: Month) -> DataFrame:
+    """One row per device: the month's levels, by day. The first origin that lists a device decides, as for flags."""
+    rows = reduce(
+        DataFrame.unionByName,
+        [origin_levels(o, span).selectExpr("*", f"{i} AS origin") for i, o in enumerate(origins)],
+    )
+    merged = [F.expr(f"min_by(levels, place) FILTER (WHERE origin = {i})").alias(f"levels_{i}") for i in range(len(origins))]
+    devices = rows.where(f"{KEY} IS NOT NULL").groupBy(KEY).agg(*merged)
+    devices = devices.withColumns({f"covered_{i}": c for i, c in enumerate(covered)})
+    cases = " ".join(
+        f"WHEN levels_{i} IS NOT NULL AND {daybits.has_bit(f'covered_{i}', 'd')} THEN coalesce(levels_{i}[d], 0Y)"
+        for i in range(len(origins))
+    )
+    return devices.selectExpr(KEY, f"transform(sequence(0, {span.last.day - 1}), d -> CASE {cases} ELSE 0Y END) AS flags")
+
+
+def device_month(origins: Sequence[Origin], covered: Sequence[Column], span: Month, levels: bool) -> DataFrame:
+    return (device_levels if levels else device_flags)(origins, covered, span)
+
+
+def level_of_day(levels: bool) -> str:
+    """A row's flag, from its device's month."""
+    if levels:
+        return f"coalesce(flags[{DAY_OF_MONTH}], 0Y)"
+    return f"cast({daybits.has_bit('coalesce(flags, 0L)', DAY_OF_MONTH)} AS tinyint)"
+
+
+def flags_table(
+    origins: Sequence[Origin], month: str, window_days: int = DEFAULT_WINDOW_DAYS, levels: bool = False
+) -> DataFrame:
     """The merged flags as rows (NIO, DISP, DATA), one per device and covered day."""
     span = Month(month, window_days)
-    covered = [covered_days(o, span) for o in origins]
-    devices = device_flags(origins, covered, span).withColumn("covered", month_covered(covered))
+    covered = covered_days(origins, span)
+    devices = device_month(origins, covered, span, levels).withColumn("covered", month_covered(covered))
     rows = devices.selectExpr(
         KEY, "flags", "covered", f"explode(sequence(DATE'{span.first}', DATE'{span.last}')) AS {DAY}"
     )
-    on = daybits.has_bit("flags", DAY_OF_MONTH)
-    return rows.where(daybits.has_bit("covered", DAY_OF_MONTH)).selectExpr(KEY, f"cast({on} AS tinyint) AS {FLAG}", DAY)
+    return rows.where(daybits.has_bit("covered", DAY_OF_MONTH)).selectExpr(KEY, f"{level_of_day(levels)} AS {FLAG}", DAY)
 
 
 def month_indicator(
@@ -207,9 +319,13 @@ def month_indicator(
     window_days: int = DEFAULT_WINDOW_DAYS,
     kept: Sequence[str] = SMART_BRANDS,
     salts: int = SALTS,
+    levels: bool = False,
 ) -> DataFrame:
     """Availability by city, brand and day of a month.
 
+    ``levels`` is for plain readings beyond 1 and windows beyond 32 days: a device then
+    adds its largest reading of the window, not just one, to the communicating count.
+
     ``universe`` has NIO, MUNICIPIO and DATA (date). Repeated brand rows enter as a
     weight, which gives the same sums as joining each of them.
 
@@ -219,17 +335,17 @@ def month_indicator(
     it. More ``salts`` spread such a device by row content even without AQE.
     """
     span = Month(month, window_days)
-    covered = [covered_days(o, span) for o in origins]
+    covered = covered_days(origins, span)
     # Brands become columns, so that brands and flags both come hashed by device alone.
     weighted = smart_brands(brands, kept).groupBy(KEY).agg(
         *(F.count_if(F.col(BRAND) == b).alias(f"n_{i}") for i, b in enumerate(kept))
     )
     by_brand = F.array(*(F.struct(F.lit(b).alias(BRAND), F.col(f"n_{i}").alias("weight")) for i, b in enumerate(kept)))
     devices = (
-        weighted.join(device_flags(origins, covered, span), KEY, "left")
+        weighted.join(device_month(origins, covered, span, levels), KEY, "left")
         .select(KEY, "flags", F.inline(by_brand))
         .where("weight > 0")
-        .selectExpr(KEY, BRAND, "weight", "coalesce(flags, 0L) AS flags", f"explode(sequence(0, {salts - 1})) AS salt")
+        .selectExpr(KEY, BRAND, "weight", "flags", f"explode(sequence(0, {salts - 1})) AS salt")
     )
     listed = (
         universe.where(f"{DAY} BETWEEN DATE'{span.first}' AND DATE'{span.last}'")
@@ -240,8 +356,7 @@ def month_indicator(
         )
     )
     joined = listed.join(devices, [KEY, "salt"])
-    on = daybits.has_bit("flags", DAY_OF_MONTH)
     counted = joined.groupBy(CITY, BRAND, DAY).agg(
-        F.expr(f"coalesce(sum(weight) FILTER (WHERE {on}), 0L)").alias(COMM), F.sum("weight").alias(TOTAL)
+        F.expr(f"sum(weight * {level_of_day(levels)})").alias(COMM), F.sum("weight").alias(TOTAL)
     )
     return with_ratio(counted)

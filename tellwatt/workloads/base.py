@@ -7,7 +7,7 @@ others are not.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,6 @@ from tellwatt.plans.month import Origin
 from tellwatt.vocabulary import BRAND, CITY, DAY, KEY, ORIGIN, ORIGINS
 
 MONTH = "2024-01"
-REFERENCE = date(2024, 1, 31)
 SEGMENTS = ("BUILDING", "MACHINERY", "FURNITURE")
 
 FIRST, SECOND = ORIGINS
@@ -46,11 +45,9 @@ def readings(events: DataFrame, cell: Column) -> DataFrame:
 
 
 def origins(spark: SparkSession, sf: str) -> list[Origin]:
-    events = table(spark, sf, "events")
-    return [
-        Origin(FIRST, readings(events, first_cell()), binary=True),
-        Origin(SECOND, readings(events, second_cell())),
-    ]
+    """Both origins, read in one pass."""
+    tagged = tagged_readings(spark, sf)
+    return [Origin(FIRST, tagged, binary=True, tagged=True), Origin(SECOND, tagged, tagged=True)]
 
 
 def tagged_readings(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,10 +81,22 @@ def brands(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def reading_days(spark: SparkSession, sf: str) -> tuple[date, date]:
+    """First and last day that has an event."""
+    bounds = table(spark, sf, "events").agg(F.min("ts"), F.max("ts")).first()
+    return bounds[0].date(), bounds[1].date()
+
+
+def reference(spark: SparkSession, sf: str) -> date:
+    """The day after the last reading, which relative days count back from."""
+    return reading_days(spark, sf)[1] + timedelta(days=1)
+
+
 def wide(spark: SparkSession, sf: str, value: Column, merge=F.sum) -> DataFrame:
-    """Readings as a wide table under relative days; 30 is the day before the reference."""
-    relative = F.datediff(F.to_date("ts"), F.lit(month_first(MONTH))) + 1
-    days = list(range(30, 0, -1))
+    """Readings as a wide table under relative days; the highest is the day before the reference."""
+    first, last = reading_days(spark, sf)
+    relative = F.datediff(F.to_date("ts"), F.lit(first)) + 1
+    days = list(range((last - first).days + 1, 0, -1))
     return (
         table(spark, sf, "events")
         .select(padded("user_id").alias(KEY), relative.alias("day"), value.alias("value"))

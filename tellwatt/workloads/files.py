@@ -6,7 +6,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from tellwatt.functions.dates import iso, month_first
+from tellwatt.functions.dates import iso
 from tellwatt.operators.flags import flags_from_long
 from tellwatt.operators.pages import file_boundaries, first_file_columns, folder_totals, page, with_position
 from tellwatt.operators.reshape import columns_between_by_header_row, to_long
@@ -191,7 +191,8 @@ def legacy_table(spark, sf):
     """A wide table under digits, with a row of dates on top, stored as CSV."""
     wide = base.wide(spark, sf, base.quarter_purchases())
     digits = [c for c in wide.columns if c != KEY]
-    days = [f"{month_first(MONTH) + timedelta(days=int(c) - 1):%d/%m/%Y}" for c in digits]
+    start = base.reading_days(spark, sf)[0]
+    days = [f"{start + timedelta(days=int(c) - 1):%d/%m/%Y}" for c in digits]
     header = spark.createDataFrame([(None, *days)], wide.select(*(F.col(c).cast("string") for c in wide.columns)).schema)
     path = f"{shared_folder(spark)}/legacy.csv"
     write_csv(header.unionByName(wide.select(*(F.col(c).cast("string") for c in wide.columns))), path)
@@ -387,7 +388,7 @@ QUERIES = {
         """WITH cells AS (
           SELECT user_id AS k, CAST(ts AS DATE) AS d, max(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS v
           FROM events GROUP BY 1, 2),
-        days AS (SELECT CAST(range AS DATE) AS d FROM range(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY))
+        days AS (SELECT CAST(unnest(generate_series(min(ts)::DATE, max(ts)::DATE, INTERVAL 1 DAY)) AS DATE) AS d FROM events)
         SELECT lpad(CAST(g.k AS VARCHAR), 10, '0') AS "NIO", strftime(days.d, '%Y-%m-%d') AS "DATA", v AS "VALUE"
         FROM (SELECT DISTINCT user_id AS k FROM events) g CROSS JOIN days LEFT JOIN cells c ON c.k = g.k AND c.d = days.d""",
     ),

@@ -11,10 +11,10 @@ from tellwatt.operators.flags import (
 from tellwatt.operators.indicators import availability
 from tellwatt.operators.joins import join_brands, join_universe, with_key
 from tellwatt.operators.reshape import to_absolute_days
-from tellwatt.plans.month import Origin, flags_table, month_indicator
+from tellwatt.plans.month import Origin, covered_table, flags_table, month_indicator
 from tellwatt.vocabulary import DAY, DEFAULT_WINDOW_DAYS, FLAG, KEY, ORIGIN
 from tellwatt.workloads import base
-from tellwatt.workloads.base import MONTH, REFERENCE, SEGMENTS, SQL_AVAILABILITY, SQL_READINGS, SQL_UNIVERSE
+from tellwatt.workloads.base import MONTH, SEGMENTS, SQL_AVAILABILITY, SQL_READINGS, SQL_UNIVERSE
 
 PADDED = "lpad(CAST(k AS VARCHAR), 10, '0')"
 
@@ -67,17 +67,17 @@ SQL_OVERLAPPING = SQL_READINGS.replace(
 
 
 def moving_or_flag_wide(spark, sf):
-    table = to_absolute_days(base.decimal_comma(base.wide(spark, sf, base.quarter_purchases())), REFERENCE)
+    table = to_absolute_days(base.decimal_comma(base.wide(spark, sf, base.quarter_purchases())), base.reference(spark, sf))
     return edge(flags_from_wide(table, month_days(MONTH), binary=True), KEY, FLAG, DAY)
 
 
 def moving_or_flag_plain(spark, sf):
-    table = to_absolute_days(base.wide(spark, sf, base.half_signups()), REFERENCE)
+    table = to_absolute_days(base.wide(spark, sf, base.half_signups()), base.reference(spark, sf))
     return edge(flags_from_wide(table, month_days(MONTH)), KEY, FLAG, DAY)
 
 
 def moving_or_flag_two_days(spark, sf):
-    table = to_absolute_days(base.wide(spark, sf, base.quarter_purchases()), REFERENCE)
+    table = to_absolute_days(base.wide(spark, sf, base.quarter_purchases()), base.reference(spark, sf))
     return edge(flags_from_wide(table, month_days(MONTH), window_days=2, binary=True), KEY, FLAG, DAY)
 
 
@@ -93,6 +93,26 @@ def moving_or_flag_bits(spark, sf):
     return edge(flags_table(base.origins(spark, sf), MONTH), KEY, FLAG, DAY)
 
 
+def odd_readings(spark, sf):
+    """A plain origin with readings beyond 1, beyond a flag, and with a letter behind."""
+    kind = F.col("event_type")
+    cell = (
+        F.when(kind == "purchase", F.lit("2")).when(kind == "signup", F.lit("200")).when(kind == "view", F.lit("1d"))
+        .otherwise(F.lit("1,0"))
+    )
+    return [Origin(base.SECOND, base.readings(base.table(spark, sf, "events"), cell))]
+
+
+def moving_or_flag_levels(spark, sf):
+    return edge(flags_table(odd_readings(spark, sf), MONTH, 45, levels=True), KEY, FLAG, DAY)
+
+
+def availability_levels(spark, sf):
+    return month_indicator(
+        base.universe(spark, sf), base.brands(spark, sf), odd_readings(spark, sf), MONTH, 45, SEGMENTS, levels=True
+    )
+
+
 def moving_or_flag_sliding(spark, sf):
     events = base.table(spark, sf, "events").select(
         base.padded("user_id").alias(KEY), "ts", base.first_cell().alias("VALUE")
@@ -106,7 +126,9 @@ def dedup_first_by_origin(spark, sf):
 
 
 def universe_left_join(spark, sf):
-    joined = join_universe(base.universe(spark, sf), flags_table(base.origins(spark, sf), MONTH))
+    origins = base.origins(spark, sf)
+    days = covered_table(origins, MONTH)
+    joined = join_universe(base.universe(spark, sf), flags_table(origins, MONTH), days=days)
     return edge(joined, KEY, "MUNICIPIO", ORIGIN, FLAG, DAY)
 
 
@@ -127,13 +149,27 @@ cells AS (
   SELECT user_id AS k, CAST(ts AS DATE) AS d, sum(CASE WHEN event_type = '{event_type}' THEN {unit} ELSE 0 END) AS v
   FROM events GROUP BY 1, 2),
 grid AS (
-  SELECT k, days.d FROM (SELECT DISTINCT k FROM cells) CROSS JOIN days WHERE days.d > DATE '2024-01-01')
+  SELECT k, days.d FROM (SELECT DISTINCT k FROM cells) CROSS JOIN days WHERE days.d > (SELECT min(d) FROM cells) AND days.d <= (SELECT max(d) FROM cells) + {window})
 SELECT lpad(CAST(g.k AS VARCHAR), 10, '0') AS "NIO", CAST({flag} AS TINYINT) AS "DISP", strftime(g.d, '%Y-%m-%d') AS "DATA"
 FROM grid g LEFT JOIN cells c ON c.k = g.k AND c.d BETWEEN g.d - {window} AND g.d - 1
 GROUP BY g.k, g.d
 """
 
 
+# 200 fits no flag and 1d is no number; a device without any other reading has none.
+SQL_LEVELS = """
+days AS (SELECT CAST(range AS DATE) AS d FROM range(DATE '2024-01-01', DATE '2024-02-01', INTERVAL 1 DAY)),
+readings AS (
+  SELECT user_id AS k, CAST(ts AS DATE) AS d,
+    CASE event_type WHEN 'purchase' THEN 2 WHEN 'signup' THEN NULL WHEN 'view' THEN NULL ELSE 1 END AS v
+  FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-01' - 45 AND DATE '2024-01-30'),
+merged AS (
+  SELECT k, days.d, CAST(coalesce(max(v) FILTER (r.d BETWEEN days.d - 45 AND days.d - 1), 0) AS TINYINT) AS disp
+  FROM readings r CROSS JOIN (
+    SELECT * FROM days WHERE EXISTS (SELECT 1 FROM readings o WHERE o.d BETWEEN days.d - 45 AND days.d - 1)) days
+  GROUP BY k, days.d)
+"""
+
 BINARY = "CASE WHEN max(v) > 0 THEN 1 ELSE 0 END"
 
 QUERIES = {
@@ -164,6 +200,11 @@ QUERIES = {
         f"""WITH {SQL_READINGS} SELECT CAST(k AS VARCHAR) AS "NIO", disp AS "DISP",
         strftime(d, '%Y-%m-%d') AS "DATA" FROM merged""",
     ),
+    "moving_or_flag_levels": (
+        moving_or_flag_levels,
+        f"""WITH {SQL_LEVELS} SELECT CAST(k AS VARCHAR) AS "NIO", disp AS "DISP", strftime(d, '%Y-%m-%d') AS "DATA" FROM merged""",
+    ),
+    "availability_levels": (availability_levels, f"WITH {SQL_LEVELS}, {SQL_UNIVERSE} {SQL_AVAILABILITY}"),
     "moving_or_flag_sliding": (
         moving_or_flag_sliding,
         f"""WITH {SQL_READINGS} SELECT DISTINCT {PADDED} AS "NIO", CAST(1 AS TINYINT) AS "DISP",

@@ -9,20 +9,23 @@ from pyspark.sql import functions as F
 from tellwatt.functions import scalars
 from tellwatt.functions.dates import calendar_of, export_window, iso, parse_date
 from tellwatt.operators.columns import sample_rows, search, select_columns
-from tellwatt.operators.indicators import availability, brand_counts, day_totals, flag_counts
+from tellwatt.operators.indicators import availability, brand_counts, day_totals, flag_counts, with_ratio
 from tellwatt.operators.joins import join_brands, join_universe
 from tellwatt.operators.quality import checkpoint_stats, missing_days, reconcile, rejected_cells
 from tellwatt.operators.reshape import columns_between, to_absolute_days, to_long
-from tellwatt.plans.month import flags_table
+from tellwatt.plans.month import covered_table, flags_table
 from tellwatt.plans.reports import combine_months
-from tellwatt.vocabulary import BRAND, CITY, DAY, FLAG, KEY
+from tellwatt.session import shared_folder
+from tellwatt.sinks.writers import write_table
+from tellwatt.sources.tables import read_parquet
+from tellwatt.vocabulary import BRAND, CITY, COMM, DAY, FLAG, KEY, TOTAL
 from tellwatt.workloads import base
-from tellwatt.workloads.base import MONTH, REFERENCE, SEGMENTS, SQL_READINGS, SQL_UNIVERSE, table
+from tellwatt.workloads.base import MONTH, SEGMENTS, SQL_READINGS, SQL_UNIVERSE, table
 
 
 def relative_to_absolute(spark, sf):
     wide = base.decimal_comma(base.wide(spark, sf, base.quarter_purchases()))
-    long = to_long(to_absolute_days(wide, REFERENCE))
+    long = to_long(to_absolute_days(wide, base.reference(spark, sf)))
     return long.select(KEY, iso(F.col(DAY)).alias(DAY), F.expr(scalars.to_number("VALUE")).alias("VALUE"))
 
 
@@ -102,7 +105,7 @@ def rejected_cell_count(spark, sf):
 
 
 def date_range_projection(spark, sf):
-    wide = to_absolute_days(base.wide(spark, sf, base.quarter_purchases()), REFERENCE)
+    wide = to_absolute_days(base.wide(spark, sf, base.quarter_purchases()), base.reference(spark, sf))
     return columns_between(wide, date(2024, 1, 10), date(2024, 1, 20))
 
 
@@ -178,12 +181,21 @@ def days_without_large_orders(spark, sf):
 
 
 def reconciliation(spark, sf):
+    origins = base.origins(spark, sf)
     joined = join_brands(
-        join_universe(base.universe(spark, sf), flags_table(base.origins(spark, sf), MONTH)),
+        join_universe(base.universe(spark, sf), flags_table(origins, MONTH), days=covered_table(origins, MONTH)),
         base.brands(spark, sf),
         SEGMENTS,
     )
-    return reconcile(availability(joined), joined.withColumn(DAY, iso(F.col(DAY))))
+    # Counted once and stored; the result and the check both follow from the counts.
+    counts = joined.groupBy(CITY, BRAND, DAY).agg(
+        F.sum(F.col(FLAG).cast("bigint")).alias("comm_rows"), F.count(KEY).alias("total_rows")
+    )
+    path = f"{shared_folder(spark)}/counts"
+    write_table(counts, path)
+    counts = read_parquet(spark, path)
+    result = with_ratio(counts.withColumnsRenamed({"comm_rows": COMM, "total_rows": TOTAL}))
+    return reconcile(result, counts.withColumn(DAY, iso(F.col(DAY))))
 
 
 def value_search(spark, sf):
@@ -200,7 +212,7 @@ QUERIES = {
         """WITH cells AS (
           SELECT user_id AS k, CAST(ts AS DATE) AS d, CAST(sum(CASE WHEN event_type = 'purchase' THEN 0.25 ELSE 0 END) AS DOUBLE) AS v
           FROM events GROUP BY 1, 2),
-        days AS (SELECT CAST(range AS DATE) AS d FROM range(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY))
+        days AS (SELECT CAST(unnest(generate_series(min(ts)::DATE, max(ts)::DATE, INTERVAL 1 DAY)) AS DATE) AS d FROM events)
         SELECT lpad(CAST(g.k AS VARCHAR), 10, '0') AS "NIO", strftime(days.d, '%Y-%m-%d') AS "DATA", v AS "VALUE"
         FROM (SELECT DISTINCT user_id AS k FROM events) g CROSS JOIN days LEFT JOIN cells c ON c.k = g.k AND c.d = days.d""",
     ),

@@ -8,8 +8,9 @@ from tellwatt.functions.dates import month_days
 from tellwatt.operators.flags import (
     flags_by_frame, flags_from_long, flags_from_wide, merge_origins, sliding_flags,
 )
+from tellwatt.operators.quality import rejected_cells
 from tellwatt.operators.reshape import header_row_to_absolute, to_long
-from tellwatt.plans.month import Month, Origin, flags_table
+from tellwatt.plans.month import Origin, flags_table
 from tellwatt.vocabulary import DAY, FLAG, KEY, ORIGIN
 
 DAYS = ["20/01/2026", "21/01/2026", "22/01/2026", "23/01/2026", "24/01/2026"]
@@ -195,16 +196,38 @@ def test_first_row_of_a_wide_table_stands_for_the_device(spark):
     assert got["7", date(2026, 1, 11)] == 1
 
 
-def test_plain_reading_beyond_one_is_an_error_for_bits(spark):
-    df = table(spark, [("A", "2")], ["10/01/2026"])
-    with pytest.raises(Exception, match="neither 0 nor 1"):
-        flags_table([Origin("SANPLAT", df)], MONTH).collect()
-    assert by_key(flags_from_wide(df, [date(2026, 1, 12)])) == {("A", date(2026, 1, 12)): 2}
-
-
-def test_window_beyond_the_bits_is_refused():
+def test_plain_reading_beyond_one_needs_levels(spark):
+    df = table(spark, [("A", "2"), ("B", "200"), ("C", "1d"), ("D", "-3")], ["10/01/2026"])
+    for key in "ABD":
+        with pytest.raises(Exception, match="set levels"):
+            flags_table([Origin("SANPLAT", df.where(f"{KEY} = '{key}'"))], MONTH).collect()
+    day = date(2026, 1, 12)
+    assert by_key(flags_from_wide(df, [day])) == {("A", day): 2, ("B", day): None, ("C", day): None, ("D", day): -3}
+    got = by_key(flags_table([Origin("SANPLAT", df)], MONTH, levels=True))
+    assert {k: v for k, v in got.items() if k[1] == day} == {("A", day): 2, ("B", day): 0, ("C", day): 0, ("D", day): -3}
+    assert rejected_cells(df, ["10/01/2026"], plain=True).first()[0] == 2
+
+
+@pytest.mark.parametrize("window", [33, 45, 70])
+def test_window_beyond_the_bits_needs_levels(spark, window):
+    early, late = date(2026, 1, 1) - timedelta(days=window), date(2026, 1, 20)
+    names = [f"{d:%d/%m/%Y}" for d in (early, late)]
+    wide = table(spark, [("A", "1", "0"), ("B", "0", "3")], names)
+    rows = [("SANPLAT", k, d, v) for k, vs in (("A", "10"), ("B", "03")) for d, v in zip((early, late), vs)]
+    long = spark.createDataFrame(rows, f"{ORIGIN} string, {KEY} string, {DAY} date, VALUE string")
     with pytest.raises(ValueError):
-        Month(MONTH, 33)
+        flags_table([Origin("SANPLAT", wide)], MONTH, window)
+    want = by_key(flags_from_wide(wide, month_days(MONTH), window))
+    assert want["A", date(2026, 1, 1)] == 1 and want["B", date(2026, 1, 21)] == 3
+    for origin in (Origin("SANPLAT", wide), Origin("SANPLAT", long.drop(ORIGIN)), Origin("SANPLAT", long, tagged=True)):
+        assert by_key(flags_table([origin], MONTH, window, levels=True)) == want
+
+
+def test_levels_equal_bits_where_both_hold(spark):
+    wide = table(spark, [("A", "0,5", "1"), ("B", "0", None), (None, "1", "1")], ["31/12/2025", "10/01/2026"])
+    second = spark.createDataFrame([("A", date(2026, 1, 3), "0"), ("C", date(2026, 1, 3), "1")], f"{KEY} string, {DAY} date, VALUE string")
+    origins = [Origin("ORCA", wide, True), Origin("SANPLAT", second)]
+    assert by_key(flags_table(origins, MONTH, levels=True)) == by_key(flags_table(origins, MONTH))
 
 
 def test_sliding_flags_on_a_stream(spark, folder):

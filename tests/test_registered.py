@@ -1,5 +1,7 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as registered
@@ -33,3 +35,12 @@ def test_entry(spark):
     df = registered.entry(spark)
     assert df.columns == ["MUNICIPIO", "INTELIGENTE", "CONTAGEM_COMM", "CONTAGEM_TOT", "DISP", "DATA"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name, scans", [("availability_daily", 2), ("universe_left_join", 2)])
+def test_readings_are_scanned_once_for_rows_and_once_for_days(spark, name, scans):
+    df = registered.queries()[name](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan[plan.rindex("== Final Plan =="):plan.rindex("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert len(set(re.findall(r"FileScan parquet [^\n]*events.parquet[^\n]*", plan))) <= scans
