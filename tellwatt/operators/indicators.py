@@ -10,9 +10,12 @@ from tellwatt.functions.scalars import ratio
 from tellwatt.vocabulary import BRAND, CITY, COMM, DAY, FLAG, KEY, RATIO, RESULT_SCHEMA, TOTAL
 
 
-def availability(joined: DataFrame) -> DataFrame:
-    """Communicating and total devices, and their ratio, by city, brand and day."""
-    counted = joined.groupBy(CITY, BRAND, DAY).agg(
+def availability(joined: DataFrame, key: str = KEY, city: str = CITY) -> DataFrame:
+    """Communicating and total devices, and their ratio, by city, brand and day.
+
+    ``key`` and ``city`` are the columns' names; the result has the usual ones.
+    """
+    counted = joined.withColumnsRenamed({key: KEY, city: CITY}).groupBy(CITY, BRAND, DAY).agg(
         F.coalesce(F.sum(FLAG), F.lit(0)).alias(COMM),
         F.count(KEY).alias(TOTAL),
     )

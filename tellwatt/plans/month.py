@@ -24,7 +24,7 @@ from tellwatt.functions import daybits
 from tellwatt.functions.dates import month_first, month_last
 from tellwatt.functions.scalars import cell_level, normalize_key, number_in, quoted
 from tellwatt.operators.indicators import with_ratio
-from tellwatt.operators.joins import smart_brands
+from tellwatt.operators.joins import renamed, smart_brands
 from tellwatt.operators.reshape import day_columns
 from tellwatt.vocabulary import (
     BRAND, CITY, COMM, DAY, DEFAULT_WINDOW_DAYS, FLAG, KEY, ORIGIN, SMART_BRANDS, TOTAL,
@@ -48,7 +48,8 @@ class Origin:
     the rows of a wide frame whose keys repeat; the first row then stands for the device.
     ``days`` says which days a long frame has; without it, a pass over the frame's day
     column finds them. A ``tagged`` frame is long and holds several origins' readings,
-    with the name in ORIGEM; origins that share one are read in one pass.
+    with the name in ORIGEM; origins that share one are read in one pass. ``key`` is the
+    frame's key column.
     """
 
     name: str
@@ -57,6 +58,12 @@ class Origin:
     order: str | None = None
     days: Sequence[date] | None = None
     tagged: bool = False
+    key: str = KEY
+
+    def __post_init__(self) -> None:
+        if self.key != KEY:
+            object.__setattr__(self, "frame", self.frame.withColumnRenamed(self.key, KEY))
+            object.__setattr__(self, "key", KEY)
 
     @property
     def is_long(self) -> bool:
@@ -320,9 +327,14 @@ def month_indicator(
     kept: Sequence[str] = SMART_BRANDS,
     salts: int = SALTS,
     levels: bool = False,
+    key: str = KEY,
+    city: str = CITY,
 ) -> DataFrame:
     """Availability by city, brand and day of a month.
 
+    ``key`` and ``city`` are the columns' names in the universe and brand tables.
+
+
     ``levels`` is for plain readings beyond 1 and windows beyond 32 days: a device then
     adds its largest reading of the window, not just one, to the communicating count.
 
@@ -337,7 +349,8 @@ def month_indicator(
     span = Month(month, window_days)
     covered = covered_days(origins, span)
     # Brands become columns, so that brands and flags both come hashed by device alone.
-    weighted = smart_brands(brands, kept).groupBy(KEY).agg(
+    universe = renamed(universe, key, city)
+    weighted = smart_brands(brands, kept, key).groupBy(KEY).agg(
         *(F.count_if(F.col(BRAND) == b).alias(f"n_{i}") for i, b in enumerate(kept))
     )
     by_brand = F.array(*(F.struct(F.lit(b).alias(BRAND), F.col(f"n_{i}").alias("weight")) for i, b in enumerate(kept)))

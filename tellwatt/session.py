@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -39,11 +38,11 @@ def shared_folder(spark: SparkSession) -> str:
     """A new folder that every executor can read and write.
 
     It lies below ``spark.checkpoint.dir``; a local master may do without that
-    setting and gets a temporary folder.
+    setting, and its warehouse takes the folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="tellwatt-")
+        root = spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/tellwatt-{uuid.uuid4().hex}"

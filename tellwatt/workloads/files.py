@@ -115,10 +115,11 @@ def delimiter_by_file(spark, sf):
     return found.select(F.regexp_extract("file_path", "mark=([0-9])", 1).alias("mark"), "delimiter").distinct()
 
 
-def store_universe(spark, sf, folder):
+def store_universe(spark, sf, folder, without=None):
     """One folder per day, named like a day's file."""
     name = F.concat(F.lit("Diario_"), iso(F.col(DAY)), F.lit(".parquet"))
-    rows = base.universe(spark, sf).withColumn("file", name).drop(DAY)
+    rows = base.universe(spark, sf).where(F.col(DAY) != F.lit(without)) if without else base.universe(spark, sf)
+    rows = rows.withColumn("file", name).drop(DAY)
     rows.hint("rebalance", "file").write.partitionBy("file").parquet(folder)
 
 
@@ -150,6 +151,19 @@ def availability_from_files(spark, sf):
     return month_from_files(spark, MONTH, origins, f"{folder}/universe", f"{folder}/brands.parquet", kept=SEGMENTS)
 
 
+def availability_missing_files(spark, sf):
+    """A day without a universe file has no rows; a missing brand table leaves none at all, under the same types."""
+    folder = shared_folder(spark)
+    origins = store_origins(spark, sf, folder)
+    store_universe(spark, sf, f"{folder}/universe", without=date(2024, 1, 15))
+    write_table(base.brands(spark, sf), f"{folder}/brands.parquet")
+    found, none = (
+        month_from_files(spark, MONTH, origins, f"{folder}/universe", f"{folder}/{name}.parquet", kept=SEGMENTS)
+        for name in ("brands", "no_brands")
+    )
+    return found.unionByName(none)
+
+
 def merged_flags_from_files(spark, sf):
     return edge(flags_from_files(spark, MONTH, store_origins(spark, sf, shared_folder(spark))), KEY, FLAG, DAY)
 
@@ -373,6 +387,10 @@ QUERIES = {
     "availability_from_files": (
         availability_from_files, f"WITH {SQL_READINGS}, {SQL_UNIVERSE} {SQL_AVAILABILITY}"
     ),
+    "availability_missing_files": (
+        availability_missing_files,
+        f"""WITH {SQL_READINGS}, {SQL_UNIVERSE} SELECT * FROM ({SQL_AVAILABILITY}) WHERE "DATA" <> '2024-01-15'""",
+    ),
     "merged_flags_from_files": (
         merged_flags_from_files,
         f"""WITH {SQL_READINGS} SELECT CAST(k AS VARCHAR) AS "NIO", disp AS "DISP",

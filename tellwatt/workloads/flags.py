@@ -132,6 +132,32 @@ def universe_left_join(spark, sf):
     return edge(joined, KEY, "MUNICIPIO", ORIGIN, FLAG, DAY)
 
 
+def dedup_with_ties(spark, sf):
+    """Orders as flags of a customer and month, an origin a status; of an origin, the lowest order stands."""
+    flags = base.table(spark, sf, "orders").select(
+        base.padded("o_custkey").alias(KEY),
+        F.when(F.col("o_totalprice") > 150000, 1).otherwise(0).cast("tinyint").alias(FLAG),
+        F.trunc("o_orderdate", "year").alias(DAY),
+        F.when(F.col("o_orderstatus") == "P", base.FIRST).otherwise(base.SECOND).alias(ORIGIN),
+        F.col("o_orderkey").alias("seq"),
+    )
+    return edge(merge_origins(flags, order="seq"), KEY, FLAG, DAY)
+
+
+def availability_other_names(spark, sf):
+    """The month with its key and city columns under names of their own."""
+    tagged = base.tagged_readings(spark, sf).withColumnRenamed(KEY, "Device No.")
+    origins = [
+        Origin(base.FIRST, tagged, binary=True, tagged=True, key="Device No."),
+        Origin(base.SECOND, tagged, tagged=True, key="Device No."),
+    ]
+    names = {KEY: "Device No.", "MUNICIPIO": "Town"}
+    return month_indicator(
+        base.universe(spark, sf).withColumnsRenamed(names), base.brands(spark, sf).withColumnsRenamed(names),
+        origins, MONTH, kept=SEGMENTS, key="Device No.", city="Town",
+    )
+
+
 def brand_inner_join(spark, sf):
     return join_brands(base.devices(spark, sf), base.brands(spark, sf), SEGMENTS)
 
@@ -217,6 +243,16 @@ QUERIES = {
         f"""WITH {SQL_READINGS} SELECT CAST(k AS VARCHAR) AS "NIO", disp AS "DISP",
         strftime(d, '%Y-%m-%d') AS "DATA" FROM merged""",
     ),
+    "dedup_with_ties": (
+        dedup_with_ties,
+        """SELECT CAST(o_custkey AS VARCHAR) AS "NIO", CAST(CASE WHEN o_totalprice > 150000 THEN 1 ELSE 0 END AS TINYINT) AS "DISP",
+        strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') AS "DATA" FROM orders
+        QUALIFY row_number() OVER (PARTITION BY o_custkey, date_trunc('year', o_orderdate)
+          ORDER BY CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END, o_orderkey) = 1""",
+    ),
+    "availability_other_names": (
+        availability_other_names, f"WITH {SQL_READINGS}, {SQL_UNIVERSE} {SQL_AVAILABILITY}"
+    ),
     "universe_left_join": (
         universe_left_join,
         f"""WITH {SQL_READINGS}, {SQL_UNIVERSE} SELECT CAST(k AS VARCHAR) AS "NIO", city AS "MUNICIPIO",
