@@ -12,6 +12,8 @@ from tellwatt.llm.components import components
 
 SEED = 42
 CELL_ROWS = 16384
+#: How much the estimate of a likeness may fall short of it: about three standard deviations at 432 bits.
+MARGIN = 0.1
 
 
 def sketches(docs: DataFrame, shingle: int = 3, bits: int = 64, tables: int = 1) -> DataFrame:
@@ -173,9 +175,9 @@ def near_groups(docs: DataFrame, shingle: int = 3, bits: int = 64, tables: int =
     """``doc_id``, ``prints`` and ``component_id``, the smallest doc_id of the group.
 
     Two documents are linked if a fingerprint of both differs by three bits or
-    fewer and, where ``similarity`` is given, if the share of differing bits over
-    all tables says that their shingles' Jaccard likeness is at least that; groups
-    are what links connect. Equal sketches are one node from the start, so exact
+    fewer and, where ``similarity`` is given, if the Jaccard likeness of their sets of
+    shingles is at least that; groups are what links connect. The share of differing
+    bits over all tables turns most false pairs away before texts are compared. Equal sketches are one node from the start, so exact
     copies, however many, cost one row. Rows without a doc_id make no group: they
     take that of an equal sketch, or null. Repeated rows stay; no rows give none.
     """
@@ -185,7 +187,8 @@ def near_groups(docs: DataFrame, shingle: int = 3, bits: int = 64, tables: int =
     )
     found = links(nodes, bits, chains=similarity is not None)
     if similarity is not None:
-        found = _verified(found, nodes, bits * tables, similarity)
+        likely = _likely(found, nodes, bits * tables, max(0.0, similarity - MARGIN))
+        found = _verified(stored(likely), docs, shingle, similarity)
     roots = components(found)
     named = nodes.join(roots, "node", "left").select(
         "prints", F.coalesce("root", "node").alias("component_id")
@@ -193,7 +196,7 @@ def near_groups(docs: DataFrame, shingle: int = 3, bits: int = 64, tables: int =
     return sketched.join(named, "prints", "left").select("doc_id", "prints", "component_id")
 
 
-def _verified(found: DataFrame, nodes: DataFrame, width: int, similarity: float) -> DataFrame:
+def _likely(found: DataFrame, nodes: DataFrame, width: int, similarity: float) -> DataFrame:
     """Links whose whole sketches differ as little as that likeness allows.
 
     Shingle sets of Jaccard likeness J have cosine 2J / (1 + J), and a sketch bit
@@ -210,6 +213,37 @@ def _verified(found: DataFrame, nodes: DataFrame, width: int, similarity: float)
     return found.join(left, "a").join(right, "b").where(apart <= most).select("a", "b")
 
 
+def _verified(likely: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Links whose texts are as alike as that; only texts that stand in a link are read on."""
+    ends = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
+    texts = docs.select("doc_id", "text").join(ends, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    left, right = texts.toDF("a", "x"), texts.toDF("b", "y")
+    both = likely.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return both.mapInArrow(_alike(shingle, similarity), "a long, b long")
+
+
+def _alike(shingle: int, similarity: float):
+    def run(batches):
+        import pyarrow as pa
+
+        def shingles(text):
+            words = (text or b"").translate(LOWER_BYTES).split()
+            made = {b" ".join(g) for g in zip(*(words[i:] for i in range(shingle)))}
+            return made or ({b" ".join(words)} if words else set())
+
+        for part in pieces(batches):
+            keep, last, mine = [], None, set()
+            for x, y in zip(utf8(part.column(2)), utf8(part.column(3))):
+                if x != last:
+                    last, mine = x, shingles(x)
+                other = shingles(y)
+                same = len(mine & other)
+                keep.append(same >= similarity * (len(mine) + len(other) - same))
+            yield part.select([0, 1]).filter(pa.array(keep))
+
+    return run
+
+
 def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
     groups = near_groups(table(spark, sf, "documents"))
     return groups.select(
@@ -222,7 +256,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
 
     Five-word shingles and a likeness of 0.8, which a single 64-bit fingerprint can't
     reach within three bits: twelve fingerprints of 36 bits propose pairs, and all
-    432 bits decide. Rows without a doc_id stay; of rows that repeat one, one stays.
+    432 bits turn false ones away before texts are compared. Rows without a doc_id
+    stay; of rows that repeat one, one stays.
     """
     kept = (
         near_groups(docs, shingle=5, bits=36, tables=12, similarity=0.8)
