@@ -90,7 +90,7 @@ def mix(sized: DataFrame, seed: int = 2, weights=WEIGHTS, share: float = SHARE,
     order = ["rank_", "doc_id", "size"]
     steps = ranked.groupBy("key_", "step").agg(F.sum("size").alias("words"), F.first("missing").alias("missing"))
     upto = F.sum("words").over(Window.partitionBy("key_").orderBy("step"))
-    ends = (
+    ends = stored(
         steps.withColumn("before", upto - F.col("words"))
         .where((F.col("before") < F.col("missing")) & (F.col("before") + F.col("words") >= F.col("missing")))
         .select("key_", F.col("step").alias("end"), "before")
@@ -102,7 +102,7 @@ def mix(sized: DataFrame, seed: int = 2, weights=WEIGHTS, share: float = SHARE,
         inside.withColumn("middle", middle).where("middle <= missing")
         .groupBy("key_").agg(F.max(F.struct(*order)).alias("last"))
     )
-    limits = per.join(ends, "key_", "left").join(last, "key_", "left")
+    limits = stored(per.join(ends, "key_", "left").join(last, "key_", "left"))
     step = F.col("step")
     extra = (
         F.when((F.col("part") <= 0) | (F.col("missing") <= 0), 0)
