@@ -28,6 +28,35 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Hands memory that is free within a Python worker back to the system.
+
+    Workers outlive their tasks and would keep it, beside an executor's heap.
+    """
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(run):
+    """The function of a task, which gives memory back when it is through."""
+
+    def through(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return through
+
+
 def pieces(batches, rows: int = 256):
     """Arrow batches in slices of so many rows, to bound what a task holds decoded."""
     for batch in batches:
@@ -42,7 +71,7 @@ def utf8(column) -> list:
     return column.cast(pa.binary()).to_pylist()
 
 
-def word_lists(text: bytes, size: int = 1 << 20):
+def word_lists(text: bytes, size: int = 1 << 18):
     """The words of a text in lists made of about ``size`` bytes each."""
     import re
 

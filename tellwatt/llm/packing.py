@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tellwatt.llm.common import pieces, stored, table, utf8, word_lists
+from tellwatt.llm.common import giving_back, pieces, stored, table, utf8, word_lists
 
 CAPACITY = 2048
 END_ID = 0
@@ -13,6 +13,8 @@ END_ID = 0
 PARTS = 64
 #: Words whose ids a task remembers.
 REMEMBERED = 300_000
+#: Punctuation that is no part of a contraction.
+CLOSING = b'.,;:!?$%&*#|()[]{}<>"+-=/@^_~`'
 
 
 def default_tokenizer() -> str:
@@ -27,7 +29,9 @@ def tokenized(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
     ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32`` and, if wanted,
     ``ids`` (unsigned 32-bit, little endian). A null or empty text has the closing id
     alone. The vocabulary drops white space and no token spans it, so words are
-    looked up one by one and a task remembers those it has met.
+    looked up one by one and a task remembers those it has met. A word of letters
+    with punctuation behind it, which are apart in the vocabulary's pattern too, is
+    made of the ids of both; every other word goes through the whole tokenizer.
     """
     kept = ", ids binary" if keep_ids else ""
     return docs.select("doc_id", "text").mapInArrow(
@@ -39,6 +43,7 @@ def tokenized(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
 def _tokens(tokenizer: str, capacity: int, end_id: int, keep_ids: bool):
     def run(batches):
         import os
+        import re
         import zlib
         from array import array
 
@@ -48,15 +53,55 @@ def _tokens(tokenizer: str, capacity: int, end_id: int, keep_ids: bool):
         from tokenizers import Tokenizer
 
         model = Tokenizer.from_file(tokenizer)
+        merges = model.model
+        # Byte-level vocabularies write a byte as itself if it is a visible Latin-1 character, else from 256 on.
+        visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        hidden = sorted(set(range(256)).difference(visible))
+        letters = {b: chr(256 + k) for k, b in enumerate(hidden)}
+        latin = re.compile("[a-zß-öø-ÿ]+").fullmatch
+        known: dict[bytes, bytes] = {}  # a word's ids
+        stems: dict[bytes, bytes] = {}  # those of the stems and the punctuation words are made of
+        end, step = array("I", [end_id]).tobytes(), 4 * capacity
+
+        def whole(word: bytes) -> bytes:
+            return array("I", model.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+
+        def stem_ids(stem: bytes) -> bytes | None:
+            """For Latin letters alone: one run of the pattern, whose lower case is plain to see."""
+            if stem.isalpha():
+                stem = stem.lower()
+                if (found := stems.get(stem)) is None:
+                    found = stems[stem] = array("I", [t.id for t in merges.tokenize(stem.decode())]).tobytes()
+                return found
+            low = stem.decode().lower()
+            if latin(low) is None:
+                return None
+            stem = low.encode()
+            if (found := stems.get(stem)) is None:
+                spelled = stem.decode("latin-1").translate(letters)
+                found = stems[stem] = array("I", [t.id for t in merges.tokenize(spelled)]).tobytes()
+            return found
+
+        def word_ids(word: bytes) -> bytes:
+            stem = word.rstrip(CLOSING)
+            if not stem or (made := stem_ids(stem)) is None:
+                return whole(word)
+            tail = word[len(stem):]
+            if tail:
+                if (closing := stems.get(tail)) is None:
+                    closing = stems[tail] = whole(tail)
+                return made + closing
+            return made
+
+        def learn(words) -> None:
+            fresh = set(words).difference(known)
+            if len(known) + len(fresh) > REMEMBERED:
+                known.clear()
+                stems.clear()
+                fresh = set(words)
+            for word in fresh:
+                known[word] = word_ids(word)
 
-        class Known(dict):
-            def __missing__(self, word):
-                made = array("I", model.encode(word.decode(), add_special_tokens=False).ids).tobytes()
-                if len(self) < REMEMBERED and len(word) < 100:
-                    self[word] = made
-                return made
-
-        known, end, step = Known(), array("I", [end_id]).tobytes(), 4 * capacity
         for part in pieces(batches):
             rows = [[] for _ in range(6)]
             for doc, text in zip(part.column(0).to_pylist(), utf8(part.column(1))):
@@ -68,12 +113,13 @@ def _tokens(tokenizer: str, capacity: int, end_id: int, keep_ids: bool):
                         column.append(value)
 
                 for words in word_lists(text or b""):
+                    learn(words)
                     held += b"".join(map(known.__getitem__, words))
-                    whole = (len(held) - 1) // step if held else 0
-                    for k in range(whole):
+                    filled = (len(held) - 1) // step if held else 0
+                    for k in range(filled):
                         cut(held[k * step:(k + 1) * step], piece)
                         piece += 1
-                    held = held[whole * step:]
+                    held = held[filled * step:]
                 held += end
                 for k in range(0, len(held), step):
                     cut(held[k:k + step], piece)
@@ -82,7 +128,7 @@ def _tokens(tokenizer: str, capacity: int, end_id: int, keep_ids: bool):
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 6 if keep_ids else 5]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds)][: len(names)], names)
 
-    return run
+    return giving_back(run)
 
 
 def plan(lengths: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
@@ -208,7 +254,7 @@ def _places(slots, before, width: int):
                 [*batch.columns[:width], pa.array(sequence), pa.array(slots[slot, 3])], [*names, "sequence_id", "offset"]
             )
 
-    return run
+    return giving_back(run)
 
 
 def sequences(placed: DataFrame) -> DataFrame:
