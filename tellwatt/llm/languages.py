@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellwatt.llm.common import documents, pieces, table
+from tellwatt.llm.common import documents, giving_back, pieces, table
 
 #: Presence of n-grams of these lengths, in so many hashed places.
 LENGTHS = (1, 2, 3, 4)
@@ -17,21 +17,32 @@ RIDGE = 1e-3
 UNKNOWN = "und"
 
 
-def _reader():
+def _letters():
+    """For every code point, its letter in lower case, or a space: 4 MB."""
+    import numpy as np
+
+    def letter(code: int) -> int:
+        if 0xD800 <= code < 0xE000 or not chr(code).isalpha():
+            return 32
+        low = chr(code).lower()
+        return ord(low) if len(low) == 1 else code
+
+    return np.fromiter(map(letter, range(0x110000)), np.uint32, 0x110000)
+
+
+def _reader(lower):
     """A function from a text to the sorted places of its n-grams; None without a letter.
 
     Letters are lower-cased, and whatever else lies between them is one space.
     """
     import numpy as np
 
-    every = [chr(i) if not 0xD800 <= i < 0xE000 else " " for i in range(0x110000)]
-    lower = np.array([ord(c.lower()) if c.isalpha() and len(c.lower()) == 1 else ord(c) if c.isalpha() else 32 for c in every], np.uint64)
     factor, shift = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - PLACES.bit_length() + 1)
 
     def read(text):
         if not text:
             return None
-        codes = lower[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
+        codes = lower[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)].astype(np.uint64)
         blank = codes == 32
         if blank.all():
             return None
@@ -69,20 +80,25 @@ def fit(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS, ridge
         return {"languages": [], "weights": np.zeros((PLACES, 0), np.float32)}
     rate = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(sample / share[k]))])
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(10), "text"), 11) / float(1 << 53)
-    drawn = labelled.where(draw < rate[F.col("lang")]).mapInArrow(_presence(), "lang string, grams binary").collect()
+    letters = docs.sparkSession.sparkContext.broadcast(_letters())
+    drawn = labelled.where(draw < rate[F.col("lang")]).mapInArrow(_presence(letters), "lang string, grams binary").collect()
     rows = sorted({(lang, bytes(grams)) for lang, grams in drawn})
     known = sorted({lang for lang, _ in rows})
     if not known:
         return {"languages": [], "weights": np.zeros((PLACES, 0), np.float32)}
-    seen = np.stack([np.unpackbits(np.frombuffer(g, np.uint8)) for _, g in rows]).astype(np.float32)
-    seen /= np.sqrt(seen.sum(1, keepdims=True))
+
+    def presence(some) -> np.ndarray:
+        seen = np.unpackbits(np.stack([np.frombuffer(rows[k][1], np.uint8) for k in some]), axis=1).astype(np.float32)
+        return seen / np.sqrt(seen.sum(1, keepdims=True))
+
     names = np.array([known.index(lang) for lang, _ in rows])
     chosen = np.concatenate([np.flatnonzero(names == k)[:landmarks] for k in range(len(known))])
-    marks = seen[chosen]
+    marks = presence(chosen)
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     good = values > 1e-6 * values[-1]
     root = vectors[:, good] / np.sqrt(values[good])
-    mapped = (seen @ marks.T) @ root
+    places = np.array_split(np.arange(len(rows)), max(1, len(rows) // 128))
+    mapped = np.concatenate([presence(some) @ marks.T for some in places]) @ root
     targets = np.where(names[:, None] == np.arange(len(known)), 1.0, -1.0)
     # Every language weighs the same, however many rows it gave.
     weight = 1 / np.bincount(names)[names][:, None]
@@ -91,12 +107,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS, ridge
     return {"languages": known, "weights": (marks.T @ (root @ beta)).astype(np.float32)}
 
 
-def _presence():
+def _presence(letters):
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        read = _reader()
+        read = _reader(letters.value)
         for part in pieces(batches):
             lang, grams = [], []
             for name, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
@@ -107,7 +123,7 @@ def _presence():
                     grams.append(np.packbits(bits).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(grams, pa.binary())], ["lang", "grams"])
 
-    return run
+    return giving_back(run)
 
 
 def predict(docs: DataFrame, model: dict) -> DataFrame:
@@ -118,7 +134,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     regressions, four times enlarged. Whole texts count, whatever their length.
     """
     names = [f"`{n}` {t}" for n, t in docs.dtypes]
-    shared = docs.sparkSession.sparkContext.broadcast((model["languages"], model["weights"]))
+    shared = docs.sparkSession.sparkContext.broadcast((_letters(), model["languages"], model["weights"]))
     return docs.mapInArrow(
         _predict(docs.columns.index("text"), shared), ", ".join([*names, "lang_pred string", "score double"])
     )
@@ -129,8 +145,9 @@ def _predict(at: int, shared):
         import numpy as np
         import pyarrow as pa
 
-        read, (languages, weights) = _reader(), shared.value
-        for part in pieces(batches):
+        lower, languages, weights = shared.value
+        read = _reader(lower)
+        for part in pieces(batches, 64):
             found = [read(t) for t in part.column(at).to_pylist()]
             known = [k for k, f in enumerate(found) if f is not None and languages]
             lang, score = [UNKNOWN] * len(found), np.zeros(len(found))
@@ -148,7 +165,7 @@ def _predict(at: int, shared):
                 [*part.columns, pa.array(lang, pa.string()), pa.array(score)], [*part.schema.names, "lang_pred", "score"]
             )
 
-    return run
+    return giving_back(run)
 
 
 def fold():

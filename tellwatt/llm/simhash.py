@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellwatt.llm.common import LOWER_BYTES, documents, pieces, stored, table, utf8, word_lists
+from tellwatt.llm.common import documents, give_back, giving_back, LOWER_BYTES, pieces, stored, table, utf8, word_lists
 from tellwatt.llm.components import components
 
 SEED = 42
@@ -75,7 +75,7 @@ def _sketcher(shingle: int, bits: int, tables: int):
                 [part.column(0), pa.ListArray.from_arrays(offsets, flat)], ["doc_id", "prints"]
             )
 
-    return run
+    return giving_back(run)
 
 
 def links(nodes: DataFrame, bits: int, chains: bool = False) -> DataFrame:
@@ -166,6 +166,7 @@ def _meeting(low: int, chains: bool):
                 hit = (unique[place] == wanted) & (roots[place] != node[mine[r]])
                 found.append(np.unique(np.stack([roots[place[hit]], node[mine[r[hit]]]], 1), axis=0))
         made = np.unique(np.concatenate(found), axis=0)
+        give_back()
         return pd.DataFrame({"a": made[:, 0], "b": made[:, 1]})
 
     return run
@@ -241,7 +242,7 @@ def _alike(shingle: int, similarity: float):
                 keep.append(same >= similarity * (len(mine) + len(other) - same))
             yield part.select([0, 1]).filter(pa.array(keep))
 
-    return run
+    return giving_back(run)
 
 
 def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:

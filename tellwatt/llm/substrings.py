@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellwatt.llm.common import documents, pieces, stored, table, utf8, word_lists
+from tellwatt.llm.common import documents, give_back, giving_back, pieces, stored, table, utf8, word_lists
 
 WINDOW = 50
 #: Counters of each of the sketch's two rows, as a power of two: 32 MB of bits a row.
@@ -13,7 +13,7 @@ WIDTH_BITS = 28
 #: Counters a piece of a row has, as a power of two.
 PIECE_BITS = 20
 #: Windows that a task gathers before it passes them on.
-UNIT = 1 << 22
+UNIT = 1 << 20
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, width_bits: int = WIDTH_BITS) -> DataFrame:
@@ -69,7 +69,7 @@ def _sketch(docs: DataFrame, window: int, width_bits: int) -> list:
 
     rows = np.zeros((2, max(1, (1 << width_bits) >> 3)), np.uint8)
     per_row = 1 << (width_bits - piece_bits)
-    for piece, bits in merged.collect():  # at most all counters, one bit each
+    for piece, bits in merged.toLocalIterator(prefetchPartitions=True):  # at most all counters, one bit each
         length = len(bits)
         rows[piece // per_row, (piece % per_row) * length:(piece % per_row + 1) * length] = np.frombuffer(bits, np.uint8)
     return [rows[0], rows[1]]
@@ -95,7 +95,7 @@ def _hasher(window: int):
     powers = [[np.ones(1, np.uint64), np.ones(1, np.uint64)] for _ in bases]
     ahead = re.compile(rb"[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){0,%d}[^\x20\x09-\x0D]*" % (window - 2))
     gap = re.compile(rb"[\x20\x09-\x0D]")
-    most = 1 << 21
+    most = 1 << 19
 
     def grown(k, length):
         if len(powers[k][0]) < length:
@@ -228,7 +228,7 @@ def _counters(window: int, width_bits: int, piece_bits: int):
         if held:
             yield sent()
 
-    return run
+    return giving_back(run)
 
 
 def _merge(piece_bits: int):
@@ -257,7 +257,7 @@ def _merge(piece_bits: int):
         if now is not None:
             yield out(now, counts)
 
-    return run
+    return giving_back(run)
 
 
 def _packed(*columns) -> bytes:
@@ -267,7 +267,7 @@ def _packed(*columns) -> bytes:
     import numpy as np
     import zstandard
 
-    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns]
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns]
     head = pickle.dumps([(c.dtype.str, len(c)) for c in columns])
     return zstandard.ZstdCompressor(level=1).compress(len(head).to_bytes(4, "little") + head + b"".join(planes))
 
@@ -360,7 +360,7 @@ def _candidates(window: int, width_bits: int, shards: int, sketch):
         if count:
             yield sent()
 
-    return run
+    return giving_back(run)
 
 
 def _by_shard(doc, mark, word, shards: int):
@@ -405,7 +405,7 @@ def _settle(shards: int):
         if loads and (rows := settled(loads)):
             yield out(rows)
 
-    return run
+    return giving_back(run)
 
 
 def _remove(window: int):
@@ -447,6 +447,7 @@ def _remove(window: int):
             kept.append(b" ".join(parts))
         out = docs.append_column("n_words", pa.array(n_words, pa.int64()))
         out = out.append_column("n_removed", pa.array(n_removed, pa.int64()))
+        give_back()
         return out.append_column("kept", pa.array(kept, pa.binary()).cast(pa.string()))
 
     return run
