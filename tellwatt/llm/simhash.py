@@ -78,7 +78,7 @@ def _sketcher(shingle: int, bits: int, tables: int):
     return giving_back(run)
 
 
-def links(nodes: DataFrame, bits: int, chains: bool = False) -> DataFrame:
+def links(nodes: DataFrame, bits: int, ranks: tuple[int, int] | None = None) -> DataFrame:
     """Links ``a``, ``b`` between ``node`` rows that have a print within three bits.
 
     Half of three bits is one bit for one side and two for the other. Every print
@@ -87,15 +87,21 @@ def links(nodes: DataFrame, bits: int, chains: bool = False) -> DataFrame:
     whoever shares a variant, with one side within one bit of it, is a true pair,
     and every true pair shares one. All that meet at a variant are linked to the
     smallest node among those within one bit: each node gets one link there, not one
-    per pair. ``chains`` also links neighbours in a variant's list, for callers that
-    verify links by more than these bits.
+    per pair.
+
+    ``ranks`` is for callers that verify links by more than these bits, for whom one
+    star per variant is not enough: the nodes within one bit of a variant are ranked,
+    those from the first rank up to below the second are paired with all that meet
+    there and have another ``root``, and a row with the node and a null is given for
+    each node that meets others at a variant with ranks beyond.
 
     The shuffle deals out the variants by their first bits: a print is sent once to
     each first part that its variants have, and its variants are formed there. Their
     number is chosen so that a cell holds about ``CELL_ROWS`` prints, which bounds
     what a task holds at any size.
     """
-    prints = nodes.select("node", F.posexplode("prints").alias("t", "v"))
+    rooted = ["root"] if ranks else []
+    prints = nodes.select("node", *rooted, F.posexplode("prints").alias("t", "v"))
     n = nodes.count()
     prefix = max(4, min(24, bits - 8, (max(1, n) // CELL_ROWS).bit_length()))
     low = bits - prefix
@@ -110,43 +116,46 @@ def links(nodes: DataFrame, bits: int, chains: bool = False) -> DataFrame:
         F.concat(flips(0), flips(1))
     )
     first = F.shiftrightunsigned("v", low)
-    dealt = prints.select("node", "t", "v", F.explode(reach).alias("f")).select(
+    dealt = prints.select("node", *rooted, "t", "v", F.explode(reach).alias("f")).select(
         "node",
+        *rooted,
         F.col("v").bitwiseAND((1 << low) - 1).alias("low"),
         (F.bit_count("v") % 2 == 0).alias("even"),
         F.col("f.k").alias("k"),
         "t",
         first.bitwiseXOR(F.col("f.mask")).alias("cell"),
     )
-    return dealt.groupBy("t", "cell").applyInPandas(_meeting(low, chains), "a long, b long").distinct()
+    return dealt.groupBy("t", "cell").applyInPandas(_meeting(low, ranks), "a long, b long").distinct()
+
 
+def _meeting(low: int, ranks: tuple[int, int] | None):
+    from typing import Iterator
 
-def _meeting(low: int, chains: bool):
-    def run(frame):
+    import pandas as pd
+
+    def variants(frame):
+        """Variants within one bit, whose rows they are, by node within a variant, and where each variant begins."""
         import numpy as np
-        import pandas as pd
 
         node = frame["node"].to_numpy(np.int64)
         part = frame["low"].to_numpy(np.int64).view(np.uint64)
-        k, even = frame["k"].to_numpy(), frame["even"].to_numpy(bool)
+        k = frame["k"].to_numpy()
         ones = np.uint64(1) << np.arange(low, dtype=np.uint64)
         here, near = np.flatnonzero(k == 0), np.flatnonzero(k == 1)
-
-        # Variants within one bit, and whose they are.
         keys = np.concatenate([part[here], (part[here][:, None] ^ ones).ravel(), part[near]])
         owner = np.concatenate([here, np.repeat(here, low), near])
         order = np.lexsort((node[owner], keys))
-        keys, owner = keys[order], node[owner[order]]
+        keys, owner = keys[order], owner[order]
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-        centre = np.repeat(owner[starts], np.diff(np.r_[starts, len(keys)]))
-        met = centre != owner
-        found = [np.unique(np.stack([centre[met], owner[met]], 1), axis=0)]
-        if chains and len(keys):
-            same = np.flatnonzero((keys[1:] == keys[:-1]) & (owner[1:] != owner[:-1]))
-            found.append(np.unique(np.stack([owner[same], owner[same + 1]], 1), axis=0))
+        return keys, owner, starts
+
+    def visits(frame, unique):
+        """Places in ``unique`` of variants at two bits, and the rows they are of; a bitmap turns away nearly all."""
+        import numpy as np
 
-        # Variants at two bits are only looked up; a bitmap turns away nearly all.
-        unique, roots = keys[starts], owner[starts]
+        part = frame["low"].to_numpy(np.int64).view(np.uint64)
+        k, even = frame["k"].to_numpy(), frame["even"].to_numpy(bool)
+        ones = np.uint64(1) << np.arange(low, dtype=np.uint64)
         size = np.uint64(max(10, min(26, int(8 * max(1, len(unique))).bit_length())))
         factor, shift = np.uint64(0x9E3779B97F4A7C15), np.uint64(64) - size
         bitmap = np.zeros(1 << int(size), bool)
@@ -163,13 +172,84 @@ def _meeting(low: int, chains: bool):
                 r, c = np.nonzero(bitmap[(tried * factor) >> shift])
                 wanted = tried[r, c]
                 place = np.minimum(np.searchsorted(unique, wanted), len(unique) - 1)
-                hit = (unique[place] == wanted) & (roots[place] != node[mine[r]])
-                found.append(np.unique(np.stack([roots[place[hit]], node[mine[r[hit]]]], 1), axis=0))
+                hit = unique[place] == wanted
+                yield place[hit], mine[r[hit]]
+
+    def stars(frame):
+        import numpy as np
+        import pandas as pd
+
+        node = frame["node"].to_numpy(np.int64)
+        keys, owner, starts = variants(frame)
+        owner = node[owner]
+        centre = np.repeat(owner[starts], np.diff(np.r_[starts, len(keys)]))
+        met = centre != owner
+        found = [np.unique(np.stack([centre[met], owner[met]], 1), axis=0)]
+        roots = owner[starts]
+        for place, row in visits(frame, keys[starts]):
+            a, b = roots[place], node[row]
+            found.append(np.unique(np.stack([a[a != b], b[a != b]], 1), axis=0))
         made = np.unique(np.concatenate(found), axis=0)
         give_back()
         return pd.DataFrame({"a": made[:, 0], "b": made[:, 1]})
 
-    return run
+    def ranked(frames):
+        import numpy as np
+        import pandas as pd
+
+        frame = pd.concat(list(frames), ignore_index=True)
+        node, root = frame["node"].to_numpy(np.int64), frame["root"].to_numpy(np.int64)
+        keys, owner, starts = variants(frame)
+        unique, sizes = keys[starts], np.diff(np.r_[starts, len(keys)])
+        first, last = ranks
+        unfinished, waiting, held = np.zeros(len(frame), bool), [], 0
+
+        def pairs():
+            made = np.unique(np.concatenate(waiting), axis=0)
+            waiting.clear()
+            return pd.DataFrame({"a": made[:, 0], "b": pd.array(made[:, 1], "Int64")})
+
+        def keep(x, y):
+            other = root[x] != root[y]
+            x, y = node[x[other]], node[y[other]]
+            waiting.append(np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0))
+            return len(waiting[-1])
+
+        least = np.minimum.reduceat(root[owner], starts) if len(starts) else root[:0]
+        mixed = least != np.maximum.reduceat(root[owner], starts) if len(starts) else np.zeros(0, bool)
+        unfinished[owner[np.repeat(mixed & (sizes > last + 1), sizes)]] = True
+        for rank in range(first, min(last, int(sizes.max(initial=0)))):
+            where = np.flatnonzero(mixed & (sizes > rank + 1))
+            most = max(1, (1 << 20) // max(1, int(sizes.max(initial=1))))
+            for at in range(0, len(where), most):
+                some = where[at:at + most]
+                beyond = sizes[some] - rank - 1
+                begin = np.repeat(starts[some] + rank + 1 - (np.cumsum(beyond) - beyond), beyond)
+                held += keep(np.repeat(owner[starts[some] + rank], beyond), owner[begin + np.arange(beyond.sum())])
+                if held > 1 << 20:
+                    yield pairs()
+                    held = 0
+        for place, row in visits(frame, unique):
+            more = (sizes[place] > last) & (mixed[place] | (least[place] != root[row]))
+            unfinished[row[more]] = True
+            full = np.zeros(len(starts), bool)
+            full[place[more]] = True
+            unfinished[owner[np.repeat(full, sizes)]] = True
+            for rank in range(first, min(last, int(sizes[place].max(initial=0)))):
+                some = sizes[place] > rank
+                held += keep(owner[starts[place[some]] + rank], row[some])
+                if held > 1 << 20:
+                    yield pairs()
+                    held = 0
+        if waiting:
+            yield pairs()
+        left = np.unique(node[unfinished])
+        give_back()
+        yield pd.DataFrame({"a": left, "b": pd.array([None] * len(left), "Int64")})
+
+    # Given here, as annotations of this module are strings.
+    ranked.__annotations__ = {"frames": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]}
+    return ranked if ranks else stars
 
 
 def near_groups(docs: DataFrame, shingle: int = 3, bits: int = 64, tables: int = 1, similarity: float | None = None) -> DataFrame:
@@ -186,17 +266,48 @@ def near_groups(docs: DataFrame, shingle: int = 3, bits: int = 64, tables: int =
     nodes = stored(
         sketched.where("doc_id IS NOT NULL").groupBy("prints").agg(F.min("doc_id").alias("node"))
     )
-    found = links(nodes, bits, chains=similarity is not None)
-    if similarity is not None:
-        likely = _likely(found, nodes, bits * tables, max(0.0, similarity - MARGIN))
-        found = _verified(stored(likely), docs, shingle, similarity)
-    roots = components(found)
+    if similarity is None:
+        roots = components(links(nodes, bits))
+    else:
+        roots = _verified_groups(nodes, docs, shingle, bits, bits * tables, similarity)
     named = nodes.join(roots, "node", "left").select(
         "prints", F.coalesce("root", "node").alias("component_id")
     )
     return sketched.join(named, "prints", "left").select("doc_id", "prints", "component_id")
 
 
+def _verified_groups(nodes: DataFrame, docs: DataFrame, shingle: int, bits: int, width: int, similarity: float) -> DataFrame:
+    """``node`` and ``root`` of the groups that verified links connect.
+
+    In every round a few more of those that meet at a variant are compared with all
+    others there; who is in one group by then need not be compared any more. The rounds
+    go on until each two that meet are compared or in one group, so a smallest node
+    unlike the others hides no pair. They grow by four times: their number is a
+    logarithm of the largest meeting, and a family of many unlike members, each pair
+    of which has to be compared, comes last.
+    """
+    now, joined, tried = nodes.withColumn("root", F.col("node")), None, None
+    first, last = 0, 1
+    while True:
+        met = stored(links(now, bits, (first, last)))
+        likely = _likely(met.where("b IS NOT NULL"), nodes, width, max(0.0, similarity - MARGIN)).distinct()
+        if tried is not None:
+            likely = likely.join(tried, ["a", "b"], "left_anti")
+        likely = stored(likely)
+        found = stored(_verified(likely, docs, shingle, similarity))
+        tried = likely if tried is None else tried.union(likely)
+        joined = found if joined is None else joined.union(found)
+        roots = components(joined)
+        left = met.where("b IS NULL").select(F.col("a").alias("node")).distinct()
+        if left.isEmpty():
+            return roots
+        now = stored(
+            nodes.join(left, "node", "left_semi").join(roots, "node", "left")
+            .select("node", "prints", F.coalesce("root", "node").alias("root"))
+        )
+        first, last = last, 4 * last + 1
+
+
 def _likely(found: DataFrame, nodes: DataFrame, width: int, similarity: float) -> DataFrame:
     """Links whose whole sketches differ as little as that likeness allows.
 
