@@ -16,21 +16,24 @@ CELL_ROWS = 16384
 MARGIN = 0.1
 
 
-def sketches(docs: DataFrame, shingle: int = 3, bits: int = 64, tables: int = 1) -> DataFrame:
+def sketches(docs: DataFrame, shingle: int = 3, bits: int = 64, tables: int = 1, distinct: bool = False) -> DataFrame:
     """``doc_id`` and ``prints``, an array of ``tables`` fingerprints of ``bits`` bits each.
 
     ASCII letters are lower-cased, words are runs of anything but ASCII white space,
     and repeated shingles count as often as they occur. A text with fewer words than
     a shingle is one shingle; a null or wordless text has fingerprints zero. Bits
     beyond the 64 of a shingle's hash come from mixing that hash with a constant.
+    With ``distinct``, every shingle counts once, and ``key`` is a hash of the set.
     """
     return docs.select("doc_id", "text").mapInArrow(
-        _sketcher(shingle, bits, tables), "doc_id long, prints array<long>"
+        _sketcher(shingle, bits, tables, distinct), "doc_id long, prints array<long>" + ", key binary" * distinct
     )
 
 
-def _sketcher(shingle: int, bits: int, tables: int):
+def _sketcher(shingle: int, bits: int, tables: int, distinct: bool):
     def run(batches):
+        from hashlib import blake2b
+
         import numpy as np
         import pyarrow as pa
         from xxhash import xxh64_intdigest
@@ -41,8 +44,10 @@ def _sketcher(shingle: int, bits: int, tables: int):
         mix, low, high = np.uint64(0xD6E8FEB86659FD93), np.uint64(32), np.uint64(29)
         weights = np.uint64(1) << np.arange(bits, dtype=np.uint64)
 
-        def counts(grams):
-            plain = np.fromiter((xxh64_intdigest(g, SEED) for g in grams), np.uint64, len(grams))
+        def hashes(grams):
+            return np.fromiter((xxh64_intdigest(g, SEED) for g in grams), np.uint64, len(grams))
+
+        def counts(plain):
             sums = []
             for k in range(rounds):
                 h = plain
@@ -54,26 +59,33 @@ def _sketcher(shingle: int, bits: int, tables: int):
             return np.concatenate(sums)
 
         def prints(text):
-            total, seen, last = np.zeros(rounds * 64, np.int64), 0, []
+            total, seen, last, known = np.zeros(rounds * 64, np.int64), 0, [], np.zeros(0, np.uint64)
             for words in word_lists((text or b"").translate(LOWER_BYTES)):
                 last += words
                 grams = [b" ".join(g) for g in zip(*(last[i:] for i in range(shingle)))]
                 if grams:
-                    total += counts(grams)
-                    seen += len(grams)
+                    made = hashes(grams)
+                    if distinct:
+                        made = np.setdiff1d(made, known)
+                        known = np.union1d(known, made)
+                    for at in range(0, len(made), 1 << 15):
+                        total += counts(made[at:at + (1 << 15)])
+                    seen += len(made)
                     last = last[len(grams):]
             if not seen and last:
-                total, seen = counts([b" ".join(last)]), 1
+                known = hashes([b" ".join(last)])
+                total, seen = counts(known), 1
             set_bits = (total * 2 > seen)[: bits * tables].reshape(tables, bits)
-            return (set_bits * weights).sum(1, dtype=np.uint64).view(np.int64)
+            return (set_bits * weights).sum(1, dtype=np.uint64).view(np.int64), known
 
         for part in pieces(batches):
             made = [prints(t) for t in utf8(part.column(1))]
-            flat = pa.array(np.concatenate(made))
+            flat = pa.array(np.concatenate([p for p, _ in made]))
             offsets = pa.array(np.arange(len(made) + 1, dtype=np.int32) * tables)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.ListArray.from_arrays(offsets, flat)], ["doc_id", "prints"]
-            )
+            columns = {"doc_id": part.column(0), "prints": pa.ListArray.from_arrays(offsets, flat)}
+            if distinct:
+                columns["key"] = pa.array([blake2b(known.tobytes(), digest_size=16).digest() for _, known in made])
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return giving_back(run)
 
@@ -258,22 +270,25 @@ def near_groups(docs: DataFrame, shingle: int = 3, bits: int = 64, tables: int =
     Two documents are linked if a fingerprint of both differs by three bits or
     fewer and, where ``similarity`` is given, if the Jaccard likeness of their sets of
     shingles is at least that; groups are what links connect. The share of differing
-    bits over all tables turns most false pairs away before texts are compared. Equal sketches are one node from the start, so exact
-    copies, however many, cost one row. Rows without a doc_id make no group: they
-    take that of an equal sketch, or null. Repeated rows stay; no rows give none.
+    bits over all tables turns most false pairs away before texts are compared. Equal sketches,
+    or with ``similarity`` equal sets of shingles, are one node from the start, so exact
+    copies, however many, cost one row; other equal sketches are compared like any
+    pair. Rows without a doc_id make no group: they take that of an equal sketch or
+    set, or null. Repeated rows stay; no rows give none.
     """
-    sketched = stored(sketches(docs, shingle, bits, tables))
+    key = "prints" if similarity is None else "key"
+    sketched = stored(sketches(docs, shingle, bits, tables, distinct=similarity is not None))
     nodes = stored(
-        sketched.where("doc_id IS NOT NULL").groupBy("prints").agg(F.min("doc_id").alias("node"))
+        sketched.where("doc_id IS NOT NULL").groupBy(key).agg(F.min("doc_id").alias("node"), *[F.first("prints").alias("prints")] * (key != "prints"))
     )
     if similarity is None:
         roots = components(links(nodes, bits))
     else:
         roots = _verified_groups(nodes, docs, shingle, bits, bits * tables, similarity)
     named = nodes.join(roots, "node", "left").select(
-        "prints", F.coalesce("root", "node").alias("component_id")
+        key, F.coalesce("root", "node").alias("component_id")
     )
-    return sketched.join(named, "prints", "left").select("doc_id", "prints", "component_id")
+    return sketched.join(named, key, "left").select("doc_id", "prints", "component_id")
 
 
 def _verified_groups(nodes: DataFrame, docs: DataFrame, shingle: int, bits: int, width: int, similarity: float) -> DataFrame:

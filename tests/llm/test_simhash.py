@@ -176,3 +176,14 @@ def test_a_smallest_node_unlike_the_others_hides_no_pair(spark, monkeypatch):
     monkeypatch.setattr(simhash, "sketches", lambda *_, **__: made)
     got = {r.doc_id: r.component_id for r in near_groups(docs, 5, 36, 2, 0.8).collect()}
     assert got == {k: k % 4 for k in texts}
+
+
+def test_padding_makes_no_group_and_repeats_keep_none_apart(spark):
+    """Shingle sets decide: not a filler that outweighs a text, nor how often a passage is repeated."""
+    own = [" ".join(f"d{k}w{i}" for i in range(60)) for k in range(3)]
+    texts = [own[k] + " 0" * 300 for k in range(3)] + [own[2] + " 0" * 400]
+    base = [f"s{i}" for i in range(200)]
+    texts += [" ".join(base + base[:10] * 60), " ".join(base + base[90:100] * 60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_groups(docs, 5, 36, 12, 0.8).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 2, 4: 4, 5: 4}
