@@ -20,7 +20,10 @@ BASE = {
 }
 
 #: Without any of these a text holds no license; every rule's keyword and base phrase has one.
-GATE = ("licen", "spdx", "commons", "gpl", "public", "hereby", "redistribut", "cc")
+GATE = (
+    "licen", "spdx", "commons", "gpl", "public", "hereby", "redistribut", "cc", "bsd", "wtfpl", "openrail", "endorse", "proprietary",
+    "attribution",
+)
 
 #: Names of licenses: label, a word that every match has, a pattern over lower-case words.
 NAMES = (
@@ -108,7 +111,7 @@ WORDINGS = (
     ("mit", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy of this software"),
     ("isc", "hereby", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     ("bsd", "redistribut", r"redistribution and use in source and binary forms with or without modification are permitted"),
-    ("bsd-3", "redistribut", r"neither the name of .{0,200} may be used to endorse or promote products"),
+    ("bsd-3", "endorse", r"neither the name of .{0,200} may be used to endorse or promote products"),
     ("apache-2", "licen", r"you may not use this file except in compliance with the license"),
     ("gpl", "redistribut", r"this program is free software you can redistribute it and or modify it"),
     ("mpl-2", "licen", r"this source code form is subject to the terms of the mozilla public license v 2 0"),
@@ -116,7 +119,8 @@ WORDINGS = (
     ("unlicense", "public", r"this is free and unencumbered software released into the public domain"),
     ("wtfpl", "public", r"do what the fuck you want to public licen[cs]e"),
     ("public-domain", "public", r"(released|placed|dedicated) (in|into|to) the public domain"),
-    ("proprietary", "licen", r"all rights reserved .{0,60}proprietary and confidential|commercial licen[cs]e required|not licensed for (redistribution|commercial use)"),
+    ("proprietary", "proprietary", r"all rights reserved .{0,60}proprietary and confidential"),
+    ("proprietary", "licen", r"commercial licen[cs]e required|not licensed for (redistribution|commercial use)"),
 )
 
 #: Identifiers of tags: label and pattern of the identifier's words.

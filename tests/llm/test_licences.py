@@ -82,3 +82,46 @@ def test_no_python_in_the_plan(spark, odd):
     plan = op9_licenses(spark, odd)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
     assert awkward.SCHEMA
+
+
+def samples(pattern):
+    """Texts that a rule's pattern matches, each alternative and optional part at least once."""
+    from re import _parser
+
+    def made(parts):
+        out = [""]
+        for op, arg in parts:
+            name = str(op)
+            if name == "LITERAL":
+                some = [chr(arg)]
+            elif name == "ANY":
+                some = ["x"]
+            elif name == "IN":
+                some = [chr(v if str(o) == "LITERAL" else v[0]) for o, v in arg]
+            elif name == "MAX_REPEAT":
+                some = ([""] if arg[0] == 0 else []) + made(arg[2])
+            elif name == "SUBPATTERN":
+                some = made(arg[3])
+            else:
+                assert name == "BRANCH", name
+                some = [t for branch in arg[1] for t in made(branch)]
+            out = [a + b for a in out for b in some] if len(out) * len(some) <= 64 else [a + some[k % len(some)] for k, a in enumerate(out * len(some))][:256]
+        return out
+
+    return made(_parser.parse(pattern))
+
+
+def test_each_rule_finds_its_own_samples(spark):
+    """Neither the gate nor a rule's keyword keeps a text from the rule."""
+    texts = [(k, t) for k, (_, _, pattern, _) in enumerate(rules()) for t in dict.fromkeys(samples(pattern))]
+    made = rules()
+    for k, t in texts:
+        assert re.search(f"(?<= )(?:{made[k][2]})(?= )", f" {t} ") and made[k][1] in t and any(g in t for g in GATE), (made[k], t)
+    alone = [
+        "Distributed under BSD-3-Clause", "2-Clause BSD", "Simplified BSD", "FreeBSD", "Zero-Clause BSD", "WTFPL", "OpenRAIL-M",
+        "All rights reserved. Proprietary and confidential", "Neither the name of it may be used to endorse or promote products",
+    ]
+    docs = spark.createDataFrame(list(enumerate(alone)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in scan(docs).collect()}
+    assert [got[k][0] for k in range(9)] == ["bsd-3", "bsd-2", "bsd-2", "bsd-2", "bsd-0", "wtfpl", "openrail", "proprietary", "bsd-3"]
+    assert all(score > 0 for _, score in got.values())
