@@ -36,6 +36,14 @@ ENDS = {
 }
 #: Share of the best path's ratio that a path must reach.
 THRESHOLD = 0.2
+#: First words by which a name tells of a part rather than marks it, as in has-sidebar.
+TELLING = frozenset("no not without hide hidden has have with is show".split())
+#: Elements whose names tell what they are about, not what part of the page they are.
+TITLES = frozenset("h1 h2 h3 h4 h5 h6 p".split())
+#: Parts out by name count after all if less than this share of the letters outside links is left without them.
+LEFT = 0.25
+#: What a name takes off a path's ratio then.
+LOWERED = 1 / 3
 
 
 def extractor():
@@ -53,19 +61,24 @@ def extractor():
     attribute = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
     word = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
-    def standing(tag: str, attributes: str, inside: bool) -> tuple[str, bool, bool]:
-        """An element's step in a path, and whether it is out of the article or a part of it by name."""
+    def marks(name: str) -> bool:
+        """Whether one name of a class or id, by its last word, marks a part outside the article."""
+        parts = [w.lower() for w in word.findall(name)]
+        return bool(parts) and parts[-1] in OUTSIDE_NAMES and parts[0] not in TELLING and not INSIDE_NAMES & set(parts)
+
+    def standing(tag: str, attributes: str, inside: bool) -> tuple[str, bool, bool, bool]:
+        """An element's step in a path, whether it is out of the article, probably out by name, or a part of it by name."""
         if tag == "header":
-            return tag, not inside, False
+            return tag, not inside, False, False
         if not attributes:
-            return tag, tag in OUTSIDE, tag in INSIDE
-        names, out, hint = [], tag in OUTSIDE, tag in INSIDE
+            return tag, tag in OUTSIDE and tag != "form", tag == "form", tag in INSIDE
+        names, out, soft, hint = [], tag in OUTSIDE and tag != "form", tag == "form", tag in INSIDE
         for key, *values in attribute.findall(attributes):
             key, value = key.lower(), "".join(values)
             if key in ("class", "id"):
                 names.append(value)
                 parts = {w.lower() for w in word.findall(value)}
-                out = out or bool(parts & OUTSIDE_NAMES)
+                soft = soft or tag not in TITLES and any(map(marks, value.split()))
                 hint = hint or bool(parts & INSIDE_NAMES)
             elif key == "role":
                 out = out or value.lower() in OUTSIDE_ROLES
@@ -75,30 +88,34 @@ def extractor():
             elif key == "style" and "display:none" in value.replace(" ", "").lower():
                 out = True
         out = out and tag not in ("html", "body", "article", "main")
-        return ".".join([tag, *sorted(names)]), out, hint
+        soft = soft and tag not in ("html", "body", "article", "main")
+        if tag in INLINE:
+            out, soft = out or soft, False
+        return ".".join([tag, *sorted(names)]), out, soft, hint
 
-    def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str, int]]:
-        """Path, whether a step of it is named as content, text and letters in links, for every block in the article's reach."""
-        stack: list[tuple[str, str, bool, bool]] = []  # tag, step, outside, hinted
+    def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str, int, bool]]:
+        """Path, whether a step of it is named as content, text, letters in links, and whether a step is probably out, for every block in reach."""
+        stack: list[tuple[str, str, bool, bool, bool]] = []  # tag, step, outside, probably so, hinted
         found, texts, linked = [], [], 0
-        out = hint = links = 0
+        out = soft = hint = links = 0
 
         def close() -> None:
             nonlocal texts, linked
             if texts:
                 text = " ".join(html.unescape("".join(texts)).split())
                 if text:
-                    path = tuple(step for tag, step, _, _ in stack if tag not in INLINE)
-                    found.append((path, hint > 0, text, min(linked, len(text))))
+                    path = tuple(step for tag, step, *_ in stack if tag not in INLINE)
+                    found.append((path, hint > 0, text, min(linked, len(text)), soft > 0))
             texts, linked = [], 0
 
         def pop(to: int) -> None:
-            nonlocal out, hint, links
+            nonlocal out, soft, hint, links
             if any(tag not in INLINE for tag, *_ in stack[to:]):
                 close()
             while len(stack) > to:
-                tag, _, outside, hinted = stack.pop()
+                tag, _, outside, probably, hinted = stack.pop()
                 out -= outside
+                soft -= probably
                 hint -= hinted
                 links -= tag == "a"
 
@@ -145,9 +162,10 @@ def extractor():
             elif tag == "br":
                 hold(" ")
             if tag not in VOID:
-                step, outside, hinted = standing(tag, match.group(4), any(s[0] in INSIDE for s in stack) if tag == "header" else False)
-                stack.append((tag, step, outside, hinted))
+                step, outside, probably, hinted = standing(tag, match.group(4), any(s[0] in INSIDE for s in stack) if tag == "header" else False)
+                stack.append((tag, step, outside, probably, hinted))
                 out += outside
+                soft += probably
                 hint += hinted
                 links += tag == "a"
         hold(page[at:])
@@ -157,16 +175,16 @@ def extractor():
     def ratios(found) -> dict[tuple[str, ...], float]:
         """For every path, text and punctuation per block, fused, and smoothed along the page."""
         sums: dict[tuple[str, ...], list] = {}
-        for path, hinted, text, linked in found:
-            s = sums.setdefault(path, [0, 0, 0, 0, hinted])
+        for path, hinted, text, linked, probably in found:
+            s = sums.setdefault(path, [0, 0, 0, 0, probably, hinted])
             s[0] += 1
             s[1] += len(text)
             s[2] += sum(map(text.count, PUNCTUATION))
             s[3] += linked
         fused = []
-        for count, letters, marks, linked, hinted in sums.values():
-            ratio = (letters / count) ** 0.5 * (1 + marks / count) ** 0.5 * (1 - linked / letters)
-            fused.append(ratio * (3 if hinted else 1))
+        for count, letters, points, linked, probably, hinted in sums.values():
+            ratio = (letters / count) ** 0.5 * (1 + points / count) ** 0.5 * (1 - linked / letters)
+            fused.append(ratio * (3 if hinted else 1) * (LOWERED if probably else 1))
         padded = [fused[0], *fused, fused[-1]]
         smooth = [0.25 * a + 0.5 * b + 0.25 * c for a, b, c in zip(padded, padded[1:], padded[2:])]
         return {path: min(f, s) if h is False and f == 0 else s for (path, (*_, h)), f, s in zip(sums.items(), fused, smooth)}
@@ -175,6 +193,9 @@ def extractor():
         found = blocks(page or "")
         if not found:
             return ""
+        plain = [b for b in found if not b[4]]
+        if plain and sum(len(b[2]) - b[3] for b in plain) >= LEFT * sum(len(b[2]) - b[3] for b in found):
+            found = plain
         ratio = ratios(found)
         least = THRESHOLD * max(ratio.values())
         chosen = {path for path, r in ratio.items() if r >= least}
@@ -186,9 +207,9 @@ def extractor():
             root = root[: next((k for k, (a, b) in enumerate(zip(root, path)) if a != b), min(len(root), len(path)))]
         whole = [s.split(".")[0] for s in root]
         if named or whole and whole[-1] not in ("html", "body"):
-            inside = [t for path, _, t, _ in found if path[: len(root)] == root and (len(root) > 2 or path in chosen)]
+            inside = [t for path, _, t, *_ in found if path[: len(root)] == root and (len(root) > 2 or path in chosen)]
         else:
-            inside = [t for path, _, t, _ in found if path in chosen or path[-1:] and path[-1].split(".")[0] in ("h1", "h2", "h3")]
+            inside = [t for path, _, t, *_ in found if path in chosen or path[-1:] and path[-1].split(".")[0] in ("h1", "h2", "h3")]
         return "\n".join(inside)
 
     return extract
@@ -202,9 +223,11 @@ def main_text(pages: DataFrame) -> DataFrame:
     punctuation of a block are averaged, fused with the share of text outside links
     and with what the names say, smoothed along the page, and paths below a share of
     the best are dropped. What the remaining paths, those named as content first, have
-    in common is the article, and every block in it is kept. Parts that tags, roles or
-    names mark as menus, headers, footers, sidebars, notices, adverts, forms or
-    comments take no part at any step, nor do scripts and styles.
+    in common is the article, and every block in it is kept. Parts that tags or
+    roles mark as menus, headers, footers, sidebars or notices take no part at any step,
+    nor do scripts and styles. Forms, and parts that the last word of a class or id name
+    marks, take none either, unless little is left without them: then names only lower
+    a path's ratio.
 
     Character references are decoded, white space within a block becomes one space,
     and blocks are joined by line feeds. Null and empty pages, and pages without such

@@ -36,3 +36,17 @@ def test_query(spark, tmp_path):
     assert got == sorted([(1, "u", TEXT, len(TEXT)), (2, None, "", 0), (None, "v", "", 0), (1, "u", "é日", 2)], key=str)
     folder = awkward.saved(spark, f"{tmp_path}/b", pages=spark.createDataFrame([], "page_id long, url string, html string"))
     assert op8_pages(spark, folder).collect() == []
+
+
+@pytest.mark.parametrize("page", [
+    "<body><div class='no-sidebar'>{a}</div></body>", "<body><div class='has-sidebar comments-open'>{a}</div></body>",
+    "<body><form id=aspnetForm action=x><div>{a}</div></form></body>", "<body>{nav}<form><div class='sidebar'>{a}</div></form></body>",
+    "<body><article><div class='article-header'>{a}</div></article></body>",
+])
+def test_names_do_not_lose_the_article(page):
+    assert extractor()(page.format(a=ARTICLE, nav=NAV)) == TEXT
+
+
+def test_headings_named_like_other_parts_stay():
+    page = "<article><h2 id='discussion'>Said of it</h2><p>One, two. Three.</p><section id='related-work'><p>Four, five. Six.</p></section></article>"
+    assert extractor()(page) == "Said of it\nOne, two. Three.\nFour, five. Six."
