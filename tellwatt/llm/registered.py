@@ -6,6 +6,7 @@ from tellwatt.llm import (
     languages,
     licences,
     mixing,
+    negatives,
     neighbours,
     packing,
     pages,
@@ -25,5 +26,6 @@ QUERIES = {
     **pages.QUERIES,
     **licences.QUERIES,
     **languages.QUERIES,
+    **negatives.QUERIES,
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

@@ -1,0 +1,103 @@
+import math
+import random
+
+import awkward
+import pytest
+from pyspark.sql import functions as F
+from tellwatt.llm import negatives
+from tellwatt.llm.common import stored
+from tellwatt.llm.negatives import hard_negatives, op13_negatives, prepared
+
+SCHEMA = "vec_id long, embedding array<float>, label int, score string, block string, limits string"
+
+
+def table(spark, folder, rows):
+    return awkward.saved(spark, str(folder), embeddings=spark.createDataFrame([(*r, "x", "x", "x") for r in rows], SCHEMA))
+
+
+def brute(rows):
+    """Every anchor against every row, with Python's whole numbers."""
+    seen = {}
+    for i, v, label in rows:
+        if i is None or v is None or label is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        seen.setdefault(i, []).append(((label + 1) % 10 if i % 7 == 0 else label, [math.floor(256 * x) for x in v]))
+    rows = [(i, *min(of, key=lambda x: (x[0], len(x[1])))) for i, of in seen.items()]
+    for a, label, v in rows:
+        if a % 100:
+            continue
+        scores = sorted((-sum(x * y for x, y in zip(v, w)), i, other) for i, other, w in rows if i != a and len(w) == len(v))
+        for p, i, _ in [s for s in scores if s[2] == label][:5]:
+            window = [(n, j) for n, j, other in scores if other != label and 30 * -p <= 100 * -n <= 90 * -p]
+            for rank, (n, j) in enumerate(window[:10], 1):
+                yield a, i, rank, j, -p, -n
+
+
+def same(spark, folder, rows):
+    got = [tuple(r) for r in op13_negatives(spark, table(spark, folder, rows)).collect()]
+    want = list(brute(rows))
+    assert sorted(got) == sorted(want)
+    return want
+
+
+def f32(x):
+    import numpy as np
+
+    return float(np.float32(x))
+
+
+def vectors(seed, n, dims, ids=range(10**6)):
+    dice = random.Random(seed)
+    return [(i, [f32(dice.gauss(0.3, 0.4)) for _ in range(dims)], dice.randrange(3)) for i, _ in zip(ids, range(n))]
+
+
+def test_brute_force(spark, tmp_path):
+    assert len(same(spark, tmp_path, vectors(1, 600, 6))) > 50
+
+
+def test_small_blocks_change_nothing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(negatives, "BLOCK_NUMBERS", 64)
+    monkeypatch.setattr(negatives, "UNIT", 50)
+    assert same(spark, tmp_path, vectors(2, 500, 4))
+
+
+def test_ties_and_a_hot_vector(spark, tmp_path):
+    rows = [(i, [1.0, 0.5], 1) for i in range(0, 400, 50)] + [(i, [0.5, 0.5], i % 2 * 2) for i in range(1, 400, 2)]
+    assert len(same(spark, tmp_path, rows)) > 100
+
+
+def test_what_takes_part(spark, tmp_path):
+    nan, inf = float("nan"), float("inf")
+    rows = vectors(3, 60, 2) + [
+        (100, [1.0, 1.0], 4), (200, [nan, 1.0], 0), (300, [inf, 1.0], 0), (400, [None, 1.0], 0), (500, None, 0),
+        (600, [1.0, 1.0], None), (None, [1.0, 1.0], 0), (700, [], 0), (701, [], 1), (800, [1.0], 1), (801, [0.5], 2),
+        (900, [-1.0, -1.0], 0), (901, [0.0, 0.0], 0), (1000, [0.0, 0.0], 1), (802, [0.6], 2), (803, [1.0], 2),
+    ]
+    assert same(spark, tmp_path, rows + rows[:20] + [(3, [9.0, 9.0], 9)])
+
+
+def test_large_numbers_stay_exact(spark, tmp_path):
+    dice = random.Random(4)
+    rows = [(i, [f32(dice.uniform(1e5, 4e5)) for _ in range(3)], i % 2) for i in range(0, 300)]
+    assert max(abs(r[5]) for r in same(spark, tmp_path / "a", rows)) > 1 << 45
+    rows = [(i, [f32(dice.uniform(4e6, 9e6)), 1.0], i % 2) for i in range(0, 300)]
+    assert max(abs(r[4]) for r in same(spark, tmp_path / "b", rows)) > 1 << 60
+
+
+def test_no_rows_and_lone_labels(spark, tmp_path):
+    assert same(spark, tmp_path / "a", []) == []
+    assert same(spark, tmp_path / "b", [(0, [1.0], 1), (100, [1.0], 2), (200, [1.0], 3)]) == []
+
+
+def test_other_limits(spark):
+    rows = [(i, [1.0 + i / 100], i % 2) for i in range(50)]
+    held = stored(prepared(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")))
+    got = hard_negatives(held, F.col("vec_id") == 10, positives=1, negatives=3, low=0, high=100).collect()
+    assert [(r.positive_id, r.rank, r.negative_id) for r in sorted(got, key=lambda r: r.rank)] == [(48, 1, 47), (48, 2, 45), (48, 3, 43)]
+
+
+@pytest.mark.parametrize("kind", ["WindowGroupLimit"])
+def test_tasks_pass_on_only_what_may_count(spark, tmp_path, kind):
+    held = stored(prepared(spark.createDataFrame([(0, [1.0], 1)], "vec_id long, embedding array<float>, label int")))
+    plan = hard_negatives(held, F.col("vec_id") == 0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(kind) >= 2
