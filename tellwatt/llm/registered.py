@@ -3,6 +3,7 @@
 import corpus_pipeline
 from tellwatt.llm import (
     chats,
+    collocations,
     languages,
     licences,
     mixing,
@@ -26,6 +27,7 @@ QUERIES = {
     **pages.QUERIES,
     **licences.QUERIES,
     **languages.QUERIES,
+    **collocations.QUERIES,
     **negatives.QUERIES,
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
