@@ -88,3 +88,32 @@ def word_lists(text: bytes, size: int = 1 << 18):
 def documents(df: DataFrame) -> DataFrame:
     """Only the columns of ``documents``, so that no other can clash with one that is added."""
     return df.select(*DOCUMENT_COLUMNS)
+
+
+def packed(*columns) -> bytes:
+    """Numpy columns as bytes: lengths and types, then each column's bytes by significance, compressed."""
+    import pickle
+
+    import numpy as np
+    import zstandard
+
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns]
+    head = pickle.dumps([(c.dtype.str, len(c)) for c in columns])
+    return zstandard.ZstdCompressor(level=1).compress(len(head).to_bytes(4, "little") + head + b"".join(planes))
+
+
+def unpacked(data: bytes) -> list:
+    import pickle
+
+    import numpy as np
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    at = 4 + int.from_bytes(raw[:4], "little")
+    columns = []
+    for kind, length in pickle.loads(raw[4:at]):
+        size = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, length * size, at).reshape(size, length)
+        columns.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += length * size
+    return columns

@@ -12,6 +12,7 @@ from tellwatt.llm import (
     packing,
     pages,
     phrases,
+    scores,
     simhash,
     substrings,
 )
@@ -28,6 +29,7 @@ QUERIES = {
     **licences.QUERIES,
     **languages.QUERIES,
     **collocations.QUERIES,
+    **scores.QUERIES,
     **negatives.QUERIES,
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

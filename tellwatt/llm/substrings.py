@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellwatt.llm.common import documents, give_back, giving_back, pieces, stored, table, utf8, word_lists
+from tellwatt.llm.common import documents, give_back, giving_back, packed, pieces, stored, table, unpacked, utf8, word_lists
 
 WINDOW = 50
 #: Counters of each of the sketch's two rows, as a power of two: 32 MB of bits a row.
@@ -260,35 +260,6 @@ def _merge(piece_bits: int):
     return giving_back(run)
 
 
-def _packed(*columns) -> bytes:
-    """Numpy columns as bytes: lengths and types, then each column's bytes by significance, compressed."""
-    import pickle
-
-    import numpy as np
-    import zstandard
-
-    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns]
-    head = pickle.dumps([(c.dtype.str, len(c)) for c in columns])
-    return zstandard.ZstdCompressor(level=1).compress(len(head).to_bytes(4, "little") + head + b"".join(planes))
-
-
-def _unpacked(data: bytes) -> list:
-    import pickle
-
-    import numpy as np
-    import zstandard
-
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    at = 4 + int.from_bytes(raw[:4], "little")
-    columns = []
-    for kind, length in pickle.loads(raw[4:at]):
-        size = np.dtype(kind).itemsize
-        planes = np.frombuffer(raw, np.uint8, length * size, at).reshape(size, length)
-        columns.append(np.ascontiguousarray(planes.T).view(kind).ravel())
-        at += length * size
-    return columns
-
-
 def _text_mark(text: bytes) -> int:
     """Tells apart texts under one doc_id."""
     import zlib
@@ -334,7 +305,7 @@ def _candidates(window: int, width_bits: int, shards: int, sketch):
                 at_ = keep[at]
                 shard.append(int(to[at[0]]))
                 settled.append(False)
-                load.append(_packed(doc[at_], mark[at_], word[at_], h1[at_], h2[at_]))
+                load.append(packed(doc[at_], mark[at_], word[at_], h1[at_], h2[at_]))
             gone = np.sort(order[~mine])
             if len(gone):
                 for s, data in _by_shard(doc[gone], mark[gone], word[gone], shards):
@@ -370,7 +341,7 @@ def _by_shard(doc, mark, word, shards: int):
     to = (doc ^ (doc >> 13)) % shards
     by = np.argsort(to, kind="stable")
     for at in np.split(by, np.flatnonzero(np.diff(to[by])) + 1):
-        yield int(to[at[0]]), _packed(doc[at], mark[at], word[at])
+        yield int(to[at[0]]), packed(doc[at], mark[at], word[at])
 
 
 def _settle(shards: int):
@@ -386,7 +357,7 @@ def _settle(shards: int):
             )
 
         def settled(loads):
-            doc, mark, word, h1, h2 = (np.concatenate(c) for c in zip(*map(_unpacked, loads)))
+            doc, mark, word, h1, h2 = (np.concatenate(c) for c in zip(*map(unpacked, loads)))
             order, _, least = _first_doc(h1, h2, doc)
             gone = np.sort(order[doc[order] > least])
             return list(_by_shard(doc[gone], mark[gone], word[gone], shards)) if len(gone) else []
@@ -414,7 +385,7 @@ def _remove(window: int):
         import pyarrow as pa
 
         docs = docs.drop_columns(["shard_"])
-        loads = [_unpacked(x) for x in found.column("load").to_pylist()]
+        loads = [unpacked(x) for x in found.column("load").to_pylist()]
         at: dict = {}
         if loads:
             doc, mark, word = (np.concatenate(c) for c in zip(*loads))

@@ -4,7 +4,8 @@ from collections import Counter
 import pytest
 
 from tellwatt.llm import substrings
-from tellwatt.llm.substrings import _from_gaps, _gaps, _hasher, _packed, _unpacked, op4_substrings, remove_repeats, substring_dedup
+from tellwatt.llm.common import packed, unpacked
+from tellwatt.llm.substrings import _from_gaps, _gaps, _hasher, op4_substrings, remove_repeats, substring_dedup
 
 
 def removed(rows, window=50):
@@ -62,7 +63,7 @@ def test_codes_round_trip():
     numbers = np.array([0, 1, 254, 255, 256, 510, 70_000, 1 << 20])
     assert (_from_gaps(_gaps(numbers)) == numbers).all() and len(_from_gaps(_gaps(numbers[:0]))) == 0
     columns = [np.array([3, -1], np.int64), np.array([7, 8], np.uint16), np.zeros(0, np.uint32)]
-    assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(columns, _unpacked(_packed(*columns))))
+    assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(columns, unpacked(packed(*columns))))
 
 
 def test_empty(spark, none):
