@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from tellwatt.functions.dates import month_days
 from tellwatt.operators.flags import flags_from_wide
+from tellwatt.operators.quality import rejected_cells
 from tellwatt.operators.reshape import day_columns, header_row_to_absolute
-from tellwatt.plans.month import Origin, flags_table, month_indicator
+from tellwatt.plans.month import Month, Origin, flags_table, month_indicator, near_columns
 from tellwatt.plans.reports import enrich
 from tellwatt.sinks.writers import csv_to_parquet, write_csv
 from tellwatt.sources.dated import read_brands, read_reference_date, read_universe
 from tellwatt.sources.tables import read_if_present, read_table, with_file_order
-from tellwatt.vocabulary import DEFAULT_WINDOW_DAYS, ORIGIN, RESULT_SCHEMA, SMART_BRANDS
+from tellwatt.vocabulary import BRAND, CITY, DEFAULT_WINDOW_DAYS, KEY, ORIGIN, RESULT_SCHEMA, SMART_BRANDS
 
 logger = logging.getLogger(__name__)
 
@@ -28,13 +29,15 @@ class OriginFiles:
     """Where an origin's wide table is stored.
 
     Its columns are relative days when ``reference`` names the file with the
-    reference date; otherwise they are dates, or digits above a row of dates.
+    reference date; otherwise they are dates, or digits above a row of dates. ``key`` is
+    the name of its key column.
     """
 
     name: str
     table: str
     reference: str | None = None
     binary: bool = False
+    key: str = KEY
 
 
 def read_origin(spark: SparkSession, files: OriginFiles) -> Origin | None:
@@ -52,7 +55,7 @@ def read_origin(spark: SparkSession, files: OriginFiles) -> Origin | None:
         ordered = enrich(ordered, reference)
     elif not day_columns(table.columns):
         ordered = header_row_to_absolute(ordered)
-    return Origin(files.name, ordered, files.binary, order="_order")
+    return Origin(files.name, ordered, files.binary, order="_order", key=files.key)
 
 
 def read_origins(spark: SparkSession, files: Sequence[OriginFiles]) -> list[Origin]:
@@ -89,23 +92,51 @@ def month_from_files(
     brands: str,
     window_days: int = DEFAULT_WINDOW_DAYS,
     kept: Sequence[str] = SMART_BRANDS,
+    levels: bool = False,
+    key: str = KEY,
+    city: str = CITY,
+    brand: str = BRAND,
 ) -> DataFrame:
-    """A month's indicator, read from files in one plan."""
+    """A month's indicator, read from files in one plan.
+
+    ``levels`` takes any plain reading and any window, see ``month_indicator``. ``key``
+    and ``city`` are the universe files' column names, ``key`` and ``brand`` those of
+    the brand table; an origin names its own key.
+    """
     return month_indicator(
-        read_universe(spark, universe, month),
-        read_brands(spark, brands),
+        read_universe(spark, universe, month, key, city),
+        read_brands(spark, brands, key, brand),
         read_origins(spark, origins),
         month,
         window_days,
         kept,
+        levels=levels,
     )
 
 
-def flags_from_files(
+def rejected_from_files(
     spark: SparkSession, month: str, origins: Sequence[OriginFiles], window_days: int = DEFAULT_WINDOW_DAYS
+) -> DataFrame:
+    """Per origin (ORIGEM), how many cells that matter to the month hold no number or none that fits."""
+    span = Month(month, window_days)
+    return reduce(
+        DataFrame.unionByName,
+        [
+            rejected_cells(o.frame, near_columns(o, span), plain=not o.binary).select(F.lit(o.name).alias(ORIGIN), "rejected")
+            for o in read_origins(spark, origins)
+        ],
+    )
+
+
+def flags_from_files(
+    spark: SparkSession,
+    month: str,
+    origins: Sequence[OriginFiles],
+    window_days: int = DEFAULT_WINDOW_DAYS,
+    levels: bool = False,
 ) -> DataFrame:
     """A month's merged flags, read from files."""
-    return flags_table(read_origins(spark, origins), month, window_days)
+    return flags_table(read_origins(spark, origins), month, window_days, levels)
 
 
 def store_month(result: DataFrame, folder: str, month: str, parquet: bool = True) -> None:

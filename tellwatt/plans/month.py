@@ -12,7 +12,7 @@ window; the plan is otherwise the same.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import reduce
@@ -114,6 +114,30 @@ class Month:
         high = f"least(datediff({day}, DATE'{self.first}') + {self.window_days}, {self.last.day - 1})"
         return f"CASE WHEN {low} <= {high} THEN shiftleft(1L, {high} + 1) - shiftleft(1L, {low}) ELSE 0L END"
 
+    def targets_of(self, days: Iterable[date]) -> int:
+        """The same for all of these days."""
+        mask = 0
+        for day in days:
+            if self.start <= day <= self.end:
+                low = max((day - self.first).days + 1, 0)
+                high = min((day - self.first).days + self.window_days, self.last.day - 1)
+                mask |= (1 << high + 1) - (1 << low) if low <= high else 0
+        return mask
+
+    def largest_of_windows(self, cells: str) -> str:
+        """For every day of the month, the largest of its window in an array that begins with the first look-back day.
+
+        A window of a month or more is the end of the look-back's first days, what all
+        windows share, and the beginning of the month. The middle is looked through
+        once, so the work grows with the days, and the text not at all.
+        """
+        days, window = self.last.day, self.window_days
+        each = f"transform(sequence(0, {days - 1}), d -> {{0}})"
+        if window < days:
+            return each.format(f"array_max(slice({cells}, d + 1, {window}))")
+        largest = f"greatest(array_max(slice({cells}, d + 1, {days} - d)), c, array_max(slice({cells}, {window + 1}, d)))"
+        return f"transform(array(array_max(slice({cells}, {days + 1}, {window - days}))), c -> {each.format(largest)})[0]"
+
     def bit_of(self, day: date) -> int:
         return (day - self.start).days
 
@@ -199,9 +223,7 @@ def covered_days(origins: Sequence[Origin], span: Month) -> list[Column]:
         for i in places:
             if i not in found:
                 days = origins[i].days if first.is_long else day_columns(first.frame.columns).values()
-                near = [d for d in days if span.start <= d <= span.end]
-                masks_ = " | ".join(span.targets_after(f"DATE'{d}'") for d in near) or "0L"
-                found[i] = F.expr(f"({masks_})")
+                found[i] = F.lit(span.targets_of(days)).cast("bigint")
     return [found[i] for i in range(len(origins))]
 
 
@@ -260,7 +282,7 @@ def origin_levels(origin: Origin, span: Month) -> DataFrame:
             near.selectExpr(f"{normalize_key(KEY)} AS {KEY}", DAY, f"{level} AS level")
             .groupBy(KEY).pivot(DAY, days).agg(F.max("level"))
         )
-        levels, place = {quoted(str(d)): d for d in days}, "0"
+        levels, place = {d: quoted(str(d)) for d in days}, "0"
     else:
         dated = day_columns(origin.frame.columns)
         near_names = {c: d for c, d in dated.items() if span.start <= d <= span.end}
@@ -269,13 +291,14 @@ def origin_levels(origin: Origin, span: Month) -> DataFrame:
             f"{normalize_key(KEY)} AS {KEY}", f"cast({place} AS bigint) AS place",
             *(f"{cell_level(number_in(origin.frame, c), origin.binary)} AS level_{i}" for i, c in enumerate(near_names)),
         )
-        levels, place = {f"level_{i}": d for i, d in enumerate(near_names.values())}, "place"
-    windows = []
-    for number in range(span.last.day):
-        target = span.first + timedelta(days=number)
-        inside = [c for c, d in levels.items() if target - timedelta(days=span.window_days) <= d < target]
-        windows.append("cast(null AS tinyint)" if not inside else inside[0] if len(inside) == 1 else f"greatest({', '.join(inside)})")
-    return frame.selectExpr(KEY, f"array({', '.join(windows)}) AS levels", f"cast({place} AS bigint) AS place")
+        levels, place = {}, "place"
+        for i, day in enumerate(near_names.values()):
+            levels[day] = f"greatest({levels[day]}, level_{i})" if day in levels else f"level_{i}"
+    span_days = (span.end - span.start).days + 1
+    cells = ", ".join(levels.get(span.start + timedelta(days=i), "cast(null AS tinyint)") for i in range(span_days))
+    return frame.selectExpr(KEY, f"cast(array({cells}) AS array<tinyint>) AS cells", f"cast({place} AS bigint) AS place").selectExpr(
+        KEY, f"{span.largest_of_windows('cells')} AS levels", "place"
+    )
 
 
 def device_levels(origins: Sequence[Origin], covered: Sequence[Column], span: Month) -> DataFrame:

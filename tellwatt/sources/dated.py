@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 import logging
-import re
 from datetime import date
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellwatt.functions.dates import parse_date
 from tellwatt.functions.scalars import quoted
-from tellwatt.sources.tables import list_files, read_csv, read_or_empty, read_parquet
+from tellwatt.session import shared_folder
+from tellwatt.sources.tables import any_case, listed_files, read_csv, read_if_present, read_or_empty, read_parquet
 from tellwatt.vocabulary import (
     BRAND, BRAND_SCHEMA, CITY, DAY, KEY, MONTH_RESULT_NAME, RESULT_SCHEMA, UNIVERSE_GLOB, UNIVERSE_NAME,
     UNIVERSE_SCHEMA,
@@ -22,9 +20,6 @@ from tellwatt.vocabulary import (
 
 logger = logging.getLogger(__name__)
 
-# What Spark raises for a file that is not what its name says, or breaks midway.
-UNREADABLE = (PySparkException, Py4JJavaError)
-
 
 def read_reference_date(spark: SparkSession, path: str) -> date:
     """The date in the first cell of a one-row CSV."""
@@ -37,60 +32,116 @@ def read_reference_date(spark: SparkSession, path: str) -> date:
     return row["day"]
 
 
-def read_universe(spark: SparkSession, folder: str, month: str | None = None) -> DataFrame:
+def read_universe(
+    spark: SparkSession, folder: str, month: str | None = None, key: str = KEY, city: str = CITY
+) -> DataFrame:
     """Daily universe files as one table (NIO, MUNICIPIO, DATA).
 
     The day comes from the file name, so a filter on DATA leaves the other days'
-    files unread. Missing days have no rows.
+    files unread. Missing days have no rows. ``key`` and ``city`` are the files' column
+    names. Days may differ in their columns' types: their footers are read on
+    executors, and days of equal types make one scan.
     """
-    day = f"{month}-??" if month else "????-??-??"
-    pattern = f"{folder.rstrip('/')}/{UNIVERSE_GLOB.format(day=day)}"
+    root = folder.rstrip("/")
+    pattern = f"{root}/{UNIVERSE_GLOB.format(day=f'{month}-??' if month else '????-??-??')}"
 
-    def read() -> DataFrame:
+    def rows(*paths: str) -> DataFrame:
         from_name = F.regexp_extract(F.col("_metadata.file_path"), UNIVERSE_NAME, 1)
-        return read_parquet(spark, pattern).select(
-            F.col(KEY).cast("string").alias(KEY),
-            F.col(CITY).cast("string").alias(CITY),
+        return read_parquet(spark, *paths).select(
+            F.col(quoted(key)).cast("string").alias(KEY),
+            F.col(quoted(city)).cast("string").alias(CITY),
             F.to_date(from_name).alias(DAY),
         )
 
-    return read_or_empty(spark, read, UNIVERSE_SCHEMA)
+    groups = _alike_days(spark, root, pattern, key, city)
+    if not groups:
+        return spark.createDataFrame([], UNIVERSE_SCHEMA)
+    return reduce(DataFrame.unionByName, [rows(*paths) for paths in groups])
+
+
+def _alike_days(spark: SparkSession, root: str, pattern: str, key: str, city: str) -> list[list[str]]:
+    """Paths of the days whose files have the same types.
+
+    A pattern names the days of a group, of which there are no more than the calendar
+    has; only a day whose own files differ is named file by file.
+    """
+    types = listed_files(spark, pattern).mapInArrow(_footers([key, city]), "path string, types string")
+    days = types.withColumn("day", F.regexp_extract("path", UNIVERSE_NAME, 1)).groupBy("day").agg(
+        F.collect_set("types").alias("types")
+    )
+    groups = days.groupBy("types").agg(F.sort_array(F.collect_list("day")).alias("days")).collect()
+    if len(groups) == 1 and len(groups[0]["types"]) == 1:
+        return [[pattern]]
+    of = lambda days: f"{root}/{UNIVERSE_GLOB.format(day='{' + ','.join(days) + '}')}"
+    paths = [[of(g["days"])] for g in groups if len(g["types"]) == 1]
+    if mixed := [day for g in groups if len(g["types"]) > 1 for day in g["days"]]:
+        files = listed_files(spark, of(mixed)).mapInArrow(_footers([key, city]), "path string, types string")
+        named = files.groupBy("types").agg(F.collect_list("path").alias("paths"))
+        paths += [g["paths"] for g in named.collect()]
+    return paths
+
+
+def _footers(names: list[str]):
+    """The types of some columns of Parquet files, read from their footers alone."""
+
+    def run(batches):
+        import re
+        from urllib.parse import quote
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        def types(path):
+            if path.startswith("file:"):
+                files, path = fs.LocalFileSystem(), re.sub("^file:/*", "/", path)
+            else:
+                files, path = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+            schema = pq.read_schema(path, filesystem=files)
+            return str([str(schema.field(n).type) if n in schema.names else None for n in names])
+
+        for batch in batches:
+            paths = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(paths, pa.string()), pa.array([types(p) for p in paths], pa.string())], ["path", "types"]
+            )
 
+    return run
 
-def read_brands(spark: SparkSession, path: str) -> DataFrame:
-    """The brand table, empty if it does not exist."""
+
+def read_brands(spark: SparkSession, path: str, key: str = KEY, brand: str = BRAND) -> DataFrame:
+    """The brand table under its usual names, empty if it does not exist."""
     return read_or_empty(
         spark,
         lambda: read_parquet(spark, path).select(
-            F.col(KEY).cast("string").alias(KEY), F.col(BRAND).cast("string").alias(BRAND)
+            F.col(quoted(key)).cast("string").alias(KEY), F.col(quoted(brand)).cast("string").alias(BRAND)
         ),
         BRAND_SCHEMA,
     )
 
 
-def any_case(text: str) -> str:
-    """A path pattern that matches ``text`` in upper and lower case."""
-    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in text)
-
-
 def month_pattern(folder: str, suffix: str) -> str:
     return f"{folder.rstrip('/')}/{any_case('municipio_')}????-??.{any_case(suffix)}"
 
 
-def month_files(spark: SparkSession, folder: str) -> DataFrame:
-    """The stored month results of a folder (``month``, ``suffix``), those without rows included."""
-    names = sorted({_named(file) for file in _stored_files(spark, folder)})
-    return spark.createDataFrame(names, "month string, suffix string")
+def _stored_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``path``, ``month`` and ``suffix`` of the files of stored month results."""
+    files = listed_files(spark, *(month_pattern(folder, suffix) for suffix in ("csv", "parquet")))
+    month = F.regexp_extract("path", MONTH_RESULT_NAME, 1)
+    return files.select(
+        "path", month.alias("month"), F.lower(F.regexp_extract("path", MONTH_RESULT_NAME, 2)).alias("suffix")
+    ).where(month != "")
 
 
-def _stored_files(spark: SparkSession, folder: str) -> list[str]:
-    files = [f for suffix in ("csv", "parquet") for f in list_files(spark, month_pattern(folder, suffix))]
-    return [f for f in files if _named(f)]
+def month_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored month results of a folder (``month``, ``suffix``), those without rows included."""
+    return _stored_files(spark, folder).select("month", "suffix").distinct().orderBy("month", "suffix")
 
 
-def _named(file: str) -> tuple[str, str] | None:
-    found = re.search(MONTH_RESULT_NAME, file)
-    return (found[1], found[2].lower()) if found else None
+MONTH_ROWS = (
+    "file_path string, month string, suffix string, reason string,"
+    " names array<string>, types array<string>, cells array<string>"
+)
 
 
 def read_month_results(spark: SparkSession, folder: str) -> tuple[DataFrame | None, DataFrame]:
@@ -102,74 +153,102 @@ def read_month_results(spark: SparkSession, folder: str) -> tuple[DataFrame | No
     read. A result may be a file, a folder of files or a table that grew by day. The
     other table has ``file_path`` and ``reason``; each such file is also logged.
 
-    Every file's own header or footer counts, and files of a kind are read together.
-    Month results are small, a row per city, brand and day, so each is read once
-    beforehand: a file that breaks midway is left out whole.
+    One pass reads every file once, in tasks, and stores its rows as text under its
+    own column names, or why it can't be read; a file that breaks midway is left out
+    whole. A second, small job brings each file's column names and types to the
+    driver. Month results are small, a row per city, brand and day: a task holds one
+    file at a time.
     """
-    kinds: dict[tuple, list[str]] = {}
-    skipped: list[tuple[str, str]] = []
-    for file in _stored_files(spark, folder):
-        suffix = _named(file)[1]
-        try:
-            fields = tuple(_open(spark, suffix, file).dtypes)
-        except UNREADABLE as error:
-            skipped.append((file, _reason(error)))
-            continue
-        if fields:
-            kinds.setdefault((suffix, fields), []).append(file)
-    parts = []
-    for (suffix, fields), files in kinds.items():
-        good = files if _whole(spark, suffix, files, []) else [f for f in files if _whole(spark, suffix, [f], skipped)]
-        if good:
-            path = F.col("_metadata.file_path")
-            parts.append(
-                _open(spark, suffix, *good).select(
-                    *[_result_column(name, kind) for name, kind in fields],
-                    path.alias("file_path"),
-                    F.regexp_extract(path, MONTH_RESULT_NAME, 1).alias("month"),
-                    F.lower(F.regexp_extract(path, MONTH_RESULT_NAME, 2)).alias("suffix"),
-                )
-            )
-    for file, reason in skipped:
-        logger.warning("left out %s: %s", file, reason)
-    left_out = spark.createDataFrame(skipped, "file_path string, reason string")
-    if not parts:
+    path = shared_folder(spark)
+    _stored_files(spark, folder).mapInArrow(_month_rows(), MONTH_ROWS).write.parquet(path)
+    stored = spark.read.schema(MONTH_ROWS).parquet(path)
+    files = stored.where("cells IS NULL").select("file_path", "reason", "names", "types").collect()
+    for file in sorted(files, key=lambda f: f["file_path"]):
+        if file["reason"]:
+            logger.warning("left out %s: %s", file["file_path"], file["reason"])
+    left_out = stored.where("cells IS NULL AND reason IS NOT NULL").select("file_path", "reason")
+    kinds: dict[str, set[str]] = {}
+    for file in sorted(files, key=lambda f: f["file_path"]):
+        for name, kind in zip(file["names"] or (), file["types"] or ()):
+            kinds.setdefault(name, set()).add(kind)
+    if not kinds:
         return None, left_out
-    types: dict[str, set[str]] = {}
-    for part in parts:
-        for name, kind in part.dtypes:
-            types.setdefault(name, set()).add(kind)
-    mixed = [name for name, found in types.items() if len(found) > 1]
-    parts = [p.withColumns({n: F.col(quoted(n)).cast("string") for n in mixed if n in p.columns}) for p in parts]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), left_out
-
-
-def _open(spark: SparkSession, suffix: str, *files: str) -> DataFrame:
-    return read_csv(spark, *files) if suffix == "csv" else read_parquet(spark, *files)
-
-
-def _whole(spark: SparkSession, suffix: str, files: list[str], skipped: list) -> bool:
-    try:
-        _open(spark, suffix, *files).write.format("noop").mode("overwrite").save()
-    except UNREADABLE as error:
-        skipped.extend((file, _reason(error)) for file in files)
-        return False
-    return True
-
-
-def _reason(error: Exception) -> str:
-    text = str(error.java_exception) if isinstance(error, Py4JJavaError) else str(error)
-    return text.strip().split("\n")[0][:300]
-
-
-def _result_column(name: str, kind: str) -> Column:
-    """A column under its type in the result; counts may be written with a fraction of zero."""
     wanted = {f.name: f.dataType.simpleString() for f in RESULT_SCHEMA}
-    column = F.col(quoted(name))
-    if name not in wanted or wanted[name] == kind:
-        return column
-    if wanted[name] == "bigint":
-        return F.coalesce(column.try_cast("bigint"), column.try_cast("double").try_cast("bigint")).alias(name)
-    if kind in ("date", "timestamp"):
-        return F.date_format(column, "yyyy-MM-dd").alias(name)
-    return column.try_cast(wanted[name]).alias(name)
+    ordered = [n for n in wanted if n in kinds] + [n for n in kinds if n not in wanted]
+    columns = [_month_column(n, wanted.get(n) or (min(kinds[n]) if len(kinds[n]) == 1 else "string")) for n in ordered]
+    return stored.where("cells IS NOT NULL").select(*columns, "file_path", "month", "suffix"), left_out
+
+
+def _month_column(name: str, kind: str) -> Column:
+    """A column of the stored cells under its type; counts may be written with a fraction of zero."""
+    place = F.array_position("names", name).cast("int")
+    text = F.when(place > 0, F.get("cells", place - 1))
+    if kind == "bigint":
+        return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint")).alias(name)
+    return (text if kind == "string" else text.try_cast(kind)).alias(name)
+
+
+def _month_rows():
+    """A file's rows as text, after a row with its columns; or a row with the reason why it has none."""
+
+    def run(batches):
+        import re
+        from urllib.parse import quote
+
+        import pyarrow as pa
+        import pyarrow.csv as pc
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+        from pyspark.sql.pandas.types import from_arrow_type
+
+        def read(path, suffix):
+            if path.startswith("file:"):
+                files, path = fs.LocalFileSystem(), re.sub("^file:/*", "/", path)
+            else:
+                files, path = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+            if suffix == "parquet":
+                return pq.read_table(path, filesystem=files, partitioning=None)
+            with files.open_input_stream(path, compression="detect") as stream:
+                data = stream.read()
+            if not data.strip():
+                return pa.table({})
+            parse = pc.ParseOptions(newlines_in_values=True)
+            names = pc.read_csv(pa.py_buffer(data), parse_options=parse).column_names
+            convert = pc.ConvertOptions(
+                column_types={n: pa.string() for n in names}, null_values=[""], strings_can_be_null=True, quoted_strings_can_be_null=False
+            )
+            return pc.read_csv(pa.py_buffer(data), parse_options=parse, convert_options=convert)
+
+        def kind(type_):
+            try:
+                return from_arrow_type(type_).simpleString()
+            except Exception:  # a type that Spark doesn't have is shown as text
+                return "string"
+
+        def text(column):
+            try:
+                return column.cast(pa.string()).to_pylist()
+            except pa.ArrowException:
+                return [None if v is None else str(v) for v in column.to_pylist()]
+
+        def batch(rows):
+            types = [pa.string()] * 4 + [pa.list_(pa.string())] * 3
+            names = ["file_path", "month", "suffix", "reason", "names", "types", "cells"]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+        for listed in batches:
+            for path, month, suffix in zip(*(c.to_pylist() for c in listed.columns)):
+                try:
+                    table = read(path, suffix)
+                    cells = [text(c) for c in table.columns]
+                except (pa.ArrowException, OSError, UnicodeDecodeError) as error:
+                    reason = str(error).strip().split("\n")[0][:300] or type(error).__name__
+                    yield batch([(path, month, suffix, reason, None, None, None)])
+                    continue
+                names, types = table.column_names, [kind(t) for t in table.schema.types]
+                yield batch([(path, month, suffix, None, names, types, None)])
+                for at in range(0, table.num_rows, 4096):
+                    rows = zip(*(c[at:at + 4096] for c in cells))
+                    yield batch([(path, month, suffix, None, names, None, r) for r in rows])
+
+    return run

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +64,11 @@ def read_table(spark: SparkSession, path: str, delimiter: str = DEFAULT_DELIMITE
     raise ValueError(f"neither CSV nor Parquet: {path}")
 
 
+def any_case(text: str) -> str:
+    """A path pattern that matches ``text`` in upper and lower case."""
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in text)
+
+
 def read_if_present(read) -> DataFrame | None:
     """What ``read`` returns, or None when its path does not exist."""
     try:
@@ -79,26 +84,72 @@ def read_or_empty(spark: SparkSession, read, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema) if found is None else found
 
 
+def listed_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """``path`` of each file at these paths or patterns, however deep; contents stay unread.
+
+    Paths that don't exist have no files.
+    """
+    parts = [
+        read_if_present(lambda p=p: spark.read.format("binaryFile").option("recursiveFileLookup", True).load(p).select("path"))
+        for p in paths
+    ]
+    found = [p for p in parts if p is not None]
+    if not found:
+        return spark.createDataFrame([], "path string")
+    return reduce(DataFrame.unionByName, found)
+
+
 def list_files(spark: SparkSession, path: str) -> list[str]:
-    """Paths of the files at a path or pattern, however deep, in order; contents stay unread.
+    """Paths of the files at a path or pattern, in order; it brings a name per file to the driver."""
+    return sorted(r["path"] for r in listed_files(spark, path).collect())
+
 
-    It brings a name per file to the driver, as every reader's listing does.
+def first_lines(spark: SparkSession, *paths: str) -> DataFrame:
+    """``file_path`` and ``first_line`` of each file at these paths or patterns, however deep.
+
+    Tasks take the listed paths in groups and read each file's beginning up to its
+    first line break, so the work follows the number of files, not their size, and
+    neither paths nor lines meet on the driver. A file with an ending such as ``.gz``
+    is unpacked; empty files have no row. Files are opened by their scheme, from
+    within Python: what only Hadoop's clients can open needs these on the executors.
     """
-    def read() -> DataFrame:
-        return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    return listed_files(spark, *paths).mapInArrow(_beginnings(), "file_path string, first_line string")
 
-    found = read_if_present(read)
-    return [] if found is None else sorted(r["path"] for r in found.collect())
 
+def _beginnings():
+    def run(batches):
+        import re
+        from urllib.parse import quote
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        def line(path):
+            if path.startswith("file:"):
+                files, path = fs.LocalFileSystem(), re.sub("^file:/*", "/", path)
+            else:
+                files, path = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+            with files.open_input_stream(path, compression="detect") as stream:
+                text = b""
+                while part := stream.read(1 << 16):
+                    ends = [at for at in (part.find(b"\n"), part.find(b"\r")) if at >= 0]
+                    text += part[: min(ends)] if ends else part
+                    if ends:
+                        return text.decode("utf-8", "replace")
+                return text.decode("utf-8", "replace") if text else None
 
-def first_line(spark: SparkSession, file: str) -> str | None:
-    """A file's first line; reads its beginning only, however long it is."""
-    row = spark.read.text(file).first()
-    return row[0] if row else None
+        for batch in batches:
+            paths = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(paths, pa.string()), pa.array([line(p) for p in paths], pa.string())], ["file_path", "first_line"]
+            )
 
+    return run
 
-def delimiter_in(line: str | None) -> str:
-    return next((d for d in DELIMITERS if line and d in line), DEFAULT_DELIMITER)
+
+def delimiter_in(line: Column) -> Column:
+    """The first of the known delimiters, by preference, that a line has."""
+    return F.coalesce(*(F.when(F.contains(line, F.lit(d)), F.lit(d)) for d in DELIMITERS), F.lit(DEFAULT_DELIMITER))
 
 
 def detect_delimiter(spark: SparkSession, path: str) -> str:
@@ -106,21 +157,15 @@ def detect_delimiter(spark: SparkSession, path: str) -> str:
 
     Reads only the beginning of that file.
     """
-    files = list_files(spark, path)
-    return delimiter_in(first_line(spark, files[0]) if files else None)
-
+    file = listed_files(spark, path).agg(F.min("path")).first()[0]
+    line = spark.read.text(file).limit(1) if file else None
+    found = line.select(delimiter_in(F.col("value"))).first() if line is not None else None
+    return found[0] if found else DEFAULT_DELIMITER
 
-def delimiters_by_file(spark: SparkSession, path: str, at_once: int = 16) -> DataFrame:
-    """``file_path``, ``first_line`` and ``delimiter`` of each file below ``path``.
 
-    Each file's beginning is read by a task of its own and no more of it, so the work
-    follows the number of files, not their size.
-    """
-    files = list_files(spark, path)
-    with ThreadPoolExecutor(at_once) as pool:
-        lines = list(pool.map(lambda file: first_line(spark, file), files))
-    rows = [(file, line, delimiter_in(line)) for file, line in zip(files, lines)]
-    return spark.createDataFrame(rows, "file_path string, first_line string, delimiter string")
+def delimiters_by_file(spark: SparkSession, path: str) -> DataFrame:
+    """``file_path``, ``first_line`` and ``delimiter`` of each file below ``path``."""
+    return first_lines(spark, path).withColumn("delimiter", delimiter_in(F.col("first_line")))
 
 
 def read_folder(spark: SparkSession, path: str, delimiter: str | None = None) -> DataFrame:
@@ -132,10 +177,10 @@ def read_folder(spark: SparkSession, path: str, delimiter: str | None = None) ->
     root = path.rstrip("/")
 
     def parquet() -> DataFrame | None:
-        return read_if_present(lambda: read_parquet(spark, f"{root}/*.{{parquet,pq}}"))
+        return read_if_present(lambda: read_parquet(spark, f"{root}/*.{{{any_case('parquet')},{any_case('pq')}}}"))
 
     def csv() -> DataFrame | None:
-        pattern = f"{root}/*.csv"
+        pattern = f"{root}/*.{any_case('csv')}"
         return read_if_present(
             lambda: read_csv(spark, pattern, delimiter=delimiter or detect_delimiter(spark, pattern))
         )

@@ -11,7 +11,8 @@ from tellwatt.operators.flags import flags_from_long
 from tellwatt.operators.pages import file_boundaries, first_file_columns, folder_totals, page, with_position
 from tellwatt.operators.reshape import columns_between_by_header_row, to_long
 from tellwatt.plans.files import (
-    OriginFiles, flags_from_files, month_from_files, origin_flags_from_files, store_enriched, store_month,
+    OriginFiles, flags_from_files, month_from_files, origin_flags_from_files, rejected_from_files, store_enriched,
+    store_month,
 )
 from tellwatt.plans.reports import enrich, export_columns, export_days, month_columns, month_report
 from tellwatt.session import shared_folder
@@ -24,7 +25,7 @@ from tellwatt.streaming.daily import append_days_stream
 from tellwatt.vocabulary import BRAND, CITY, DAY, FLAG, KEY, ORIGIN, RAW_KEY, RESULT_SCHEMA
 from tellwatt.workloads import base
 from tellwatt.workloads.base import MONTH, SEGMENTS, SQL_AVAILABILITY, SQL_READINGS, SQL_UNIVERSE, table
-from tellwatt.workloads.flags import PADDED, edge
+from tellwatt.workloads.flags import PADDED, SQL_LEVELS, edge
 from tellwatt.workloads.scalars import SQL_ORDER_RATIO, availability_ratio, sql_wide
 
 
@@ -151,6 +152,55 @@ def availability_from_files(spark, sf):
     return month_from_files(spark, MONTH, origins, f"{folder}/universe", f"{folder}/brands.parquet", kept=SEGMENTS)
 
 
+def store_odd_files(spark, sf, folder):
+    """A month's files under other names: readings up to 2, and universe days whose key is a number or padded text."""
+    kind = F.col("event_type")
+    cell = F.when(kind == "purchase", 2).when(kind.isin("signup", "view"), None).otherwise(1)
+    store_readings = base.wide(spark, sf, cell, F.max).withColumnRenamed(KEY, "meter")
+    write_csv(store_readings, f"{folder}/readings.csv")
+    reference = table(spark, sf, "events").agg(F.date_add(F.to_date(F.max("ts")), 1).alias("day"))
+    write_csv(reference.select(iso(F.col("day")).alias("Data")), f"{folder}/reference.csv")
+    name = F.concat(F.lit("Diario_"), iso(F.col(DAY)), F.lit(".parquet"))
+    rows = base.universe(spark, sf).select(F.col(KEY).alias("device"), F.col(CITY).alias("town"), DAY, name.alias("file"))
+    even = F.dayofmonth(DAY) % 2 == 0
+    for part, key in ((even, F.col("device").cast("long")), (~even, F.lpad("device", 10, "0"))):
+        chosen = rows.where(part).withColumn("device", key).drop(DAY).hint("rebalance", "file")
+        chosen.write.mode("append").partitionBy("file").parquet(f"{folder}/universe")
+    write_table(base.brands(spark, sf).toDF("device", "maker"), f"{folder}/brands.parquet")
+    return [OriginFiles(base.SECOND, f"{folder}/readings.csv", f"{folder}/reference.csv", key="meter")]
+
+
+def availability_odd_files(spark, sf):
+    """Any reading, a window of 45 days, days of several types and own column names, from files."""
+    folder = shared_folder(spark)
+    origins = store_odd_files(spark, sf, folder)
+    return month_from_files(
+        spark, MONTH, origins, f"{folder}/universe", f"{folder}/brands.parquet", 45, SEGMENTS,
+        levels=True, key="device", city="town", brand="maker",
+    )
+
+
+def universe_of_mixed_types(spark, sf):
+    folder = shared_folder(spark)
+    store_odd_files(spark, sf, folder)
+    found = read_universe(spark, f"{folder}/universe", MONTH, "device", "town")
+    return edge(found.where(F.dayofmonth(DAY) <= 10), KEY, CITY, DAY)
+
+
+def rejected_by_origin(spark, sf):
+    """Cells of the month's files that hold no number: none, but for the reading that doesn't fit a flag."""
+    folder = shared_folder(spark)
+    cell = F.when(F.col("event_type") == "signup", "x").when(F.col("event_type") == "view", "300").otherwise("1")
+    write_csv(base.wide(spark, sf, cell, F.max), f"{folder}/readings.csv")
+    reference = table(spark, sf, "events").agg(F.date_add(F.to_date(F.max("ts")), 1).alias("day"))
+    write_csv(reference.select(iso(F.col("day")).alias("Data")), f"{folder}/reference.csv")
+    return rejected_from_files(
+        spark, MONTH,
+        [OriginFiles(name, f"{folder}/readings.csv", f"{folder}/reference.csv", name == base.FIRST) for name in (base.FIRST, base.SECOND)],
+        window_days=0,
+    )
+
+
 def availability_missing_files(spark, sf):
     """A day without a universe file has no rows; a missing brand table leaves none at all, under the same types."""
     folder = shared_folder(spark)
@@ -391,6 +441,22 @@ QUERIES = {
         availability_missing_files,
         f"""WITH {SQL_READINGS}, {SQL_UNIVERSE} SELECT * FROM ({SQL_AVAILABILITY}) WHERE "DATA" <> '2024-01-15'""",
     ),
+    "availability_odd_files": (availability_odd_files, f"WITH {SQL_LEVELS}, {SQL_UNIVERSE} {SQL_AVAILABILITY}"),
+    "universe_of_mixed_types": (
+        universe_of_mixed_types,
+        f"""WITH {SQL_READINGS}, {SQL_UNIVERSE}
+        SELECT CASE WHEN day(d) % 2 = 0 THEN CAST(k AS VARCHAR) ELSE lpad(CAST(k AS VARCHAR), 10, '0') END AS "NIO",
+          city AS "MUNICIPIO", strftime(d, '%Y-%m-%d') AS "DATA" FROM universe WHERE day(d) <= 10""",
+    ),
+    "rejected_by_origin": (
+        rejected_by_origin,
+        """WITH cells AS (
+          SELECT max(CASE event_type WHEN 'signup' THEN 'x' WHEN 'view' THEN '300' ELSE '1' END) AS v
+          FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
+          GROUP BY user_id, CAST(ts AS DATE))
+        SELECT 'ORCA' AS "ORIGEM", count(*) FILTER (v = 'x') AS rejected FROM cells
+        UNION ALL SELECT 'SANPLAT', count(*) FILTER (v IN ('x', '300')) FROM cells""",
+    ),
     "merged_flags_from_files": (
         merged_flags_from_files,
         f"""WITH {SQL_READINGS} SELECT CAST(k AS VARCHAR) AS "NIO", disp AS "DISP",

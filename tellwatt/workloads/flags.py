@@ -113,6 +113,13 @@ def availability_levels(spark, sf):
     )
 
 
+def availability_year(spark, sf):
+    """A window of a year; the readings are of its last month."""
+    return month_indicator(
+        base.universe(spark, sf), base.brands(spark, sf), odd_readings(spark, sf), MONTH, 365, SEGMENTS, levels=True
+    )
+
+
 def moving_or_flag_sliding(spark, sf):
     events = base.table(spark, sf, "events").select(
         base.padded("user_id").alias(KEY), "ts", base.first_cell().alias("VALUE")
@@ -231,6 +238,9 @@ QUERIES = {
         f"""WITH {SQL_LEVELS} SELECT CAST(k AS VARCHAR) AS "NIO", disp AS "DISP", strftime(d, '%Y-%m-%d') AS "DATA" FROM merged""",
     ),
     "availability_levels": (availability_levels, f"WITH {SQL_LEVELS}, {SQL_UNIVERSE} {SQL_AVAILABILITY}"),
+    "availability_year": (
+        availability_year, f"WITH {SQL_LEVELS.replace('- 45', '- 365')}, {SQL_UNIVERSE} {SQL_AVAILABILITY}"
+    ),
     "moving_or_flag_sliding": (
         moving_or_flag_sliding,
         f"""WITH {SQL_READINGS} SELECT DISTINCT {PADDED} AS "NIO", CAST(1 AS TINYINT) AS "DISP",

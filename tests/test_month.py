@@ -1,3 +1,4 @@
+import random
 from datetime import date, timedelta
 
 import pytest
@@ -5,10 +6,12 @@ from pyspark.sql import functions as F
 
 from tellwatt.operators.indicators import availability, brand_counts, day_totals, flag_counts
 from tellwatt.operators.joins import join_brands, join_universe
-from tellwatt.operators.quality import checkpoint_stats, missing_columns, missing_days, reconcile, rejected_cells
-from tellwatt.functions.dates import month_calendar
+from tellwatt.operators.quality import (
+    checkpoint_stats, missing_columns, missing_days, reconcile, rejected_cells, stored_with_counts, stored_with_stats,
+)
+from tellwatt.functions.dates import month_calendar, month_days
 from tellwatt.plans.files import OriginFiles, flags_from_files, month_from_files, read_origins, store_month
-from tellwatt.plans.month import Origin, flags_table, month_indicator
+from tellwatt.plans.month import Month, Origin, flags_table, month_indicator
 from tellwatt.plans.reports import month_report
 from tellwatt.sources.dated import read_brands, read_universe
 from tellwatt.vocabulary import BRAND, CITY, DAY, FLAG, KEY, RESULT_SCHEMA, UNIVERSE_SCHEMA
@@ -282,3 +285,43 @@ def test_only_needed_columns_and_files_are_read(spark, folder, stored):
     one_day.collect()
     metrics = one_day._jdf.queryExecution().executedPlan().collectLeaves().head().metrics()
     assert metrics.get("numFiles").get().value() == 1
+
+
+@pytest.mark.parametrize("window", [0, 1, 2, 5, 27, 28, 29, 45, 365])
+def test_largest_of_windows(spark, window):
+    """Arrays of any length against slices, nulls and empty windows included."""
+    span, dice = Month("2026-02", window), random.Random(window)
+    length = (span.end - span.start).days + 1
+    rows = [[dice.choice([None, 0, 1, 2, 3]) if dice.random() < 0.3 else None for _ in range(length)] for _ in range(20)]
+    df = spark.createDataFrame([(r,) for r in rows], "cells array<tinyint>").selectExpr(f"{span.largest_of_windows('cells')} AS best", "cells")
+    for row in df.collect():
+        want = [max((x for x in row["cells"][d:d + window] if x is not None), default=None) for d in range(28)]
+        assert row["best"] == want
+    assert abs(len(span.largest_of_windows("cells")) - len(Month("2026-02", 9999).largest_of_windows("cells"))) < 200
+
+
+def test_known_days_cover_what_their_windows_reach():
+    span = Month("2026-02", 3)
+    days = [span.start, date(2026, 2, 10), date(2026, 3, 1), date(2025, 1, 1)]
+    want = {d for d in range(28) for x in days if 1 <= (span.first - x).days + d <= 3}
+    assert span.targets_of(days) == sum(1 << d for d in want)
+
+
+def test_counts_of_stored_rows_show_a_loss(spark, folder):
+    rows = [("1", "A", 1, date(2026, 2, 1)), ("2", "A", 0, date(2026, 2, 1)), ("3", "B", 1, date(2026, 2, 3)), (None, "B", 1, date(2026, 2, 3))]
+    joined = spark.createDataFrame([(*r, "Nansen") for r in rows], "NIO string, MUNICIPIO string, DISP tinyint, DATA date, INTELIGENTE string")
+    path = f"{folder}/joined"
+    counts = stored_with_counts(joined, month_days("2026-02"), lambda df: df.write.parquet(path))
+    assert sorted(map(tuple, counts.collect())) == [("2026-02-01", 1, 2), ("2026-02-03", 2, 1)]
+    whole = spark.read.parquet(path)
+    same = {r["DATA"]: r["matches"] for r in reconcile(availability(whole), counts).collect()}
+    lost = {r["DATA"]: r["matches"] for r in reconcile(availability(whole.where("NIO <> '2' OR NIO IS NULL")), counts).collect()}
+    assert same == {"2026-02-01": True, "2026-02-03": True} and lost == {"2026-02-01": False, "2026-02-03": True}
+
+
+def test_stats_of_a_write_are_those_of_the_table(spark, folder):
+    flags = spark.createDataFrame([("1", 1, date(2026, 2, 1)), ("2", None, date(2026, 2, 2))], "NIO string, DISP tinyint, DATA date")
+    stats = stored_with_stats(flags, lambda df: df.write.parquet(f"{folder}/a"))
+    assert stats.collect() == checkpoint_stats(spark.read.parquet(f"{folder}/a")).collect() == checkpoint_stats(flags).collect()
+    none = stored_with_stats(flags.limit(0), lambda df: df.write.parquet(f"{folder}/b"))
+    assert none.collect() == checkpoint_stats(flags.limit(0)).collect()

@@ -1,3 +1,4 @@
+import gzip
 import re
 from datetime import date
 from pathlib import Path
@@ -17,7 +18,7 @@ from tellwatt.session import shared_folder
 from tellwatt.sinks.writers import append_days, csv_to_parquet, write_csv, write_flags, write_table
 from tellwatt.sources.dated import month_files, read_month_results, read_reference_date, read_universe
 from tellwatt.sources.tables import (
-    delimiters_by_file, detect_delimiter, read_csv, read_folder, read_if_present, read_table, with_file_order,
+    delimiters_by_file, detect_delimiter, first_lines, read_csv, read_folder, read_if_present, read_table, with_file_order,
 )
 from tellwatt.streaming.daily import append_days_stream
 from tellwatt.vocabulary import BRAND, CITY, DAY, KEY, RESULT_SCHEMA
@@ -191,6 +192,45 @@ def test_delimiter_of_each_file(spark, folder):
     assert got == {"a.csv": ";", "b.csv": "|"}
 
 
+def jobs_of(spark, run):
+    """What ``run`` gives, and how many Spark jobs it took."""
+    spark.sparkContext.setJobGroup(name := f"jobs {id(run)}", "counted")
+    try:
+        return run(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_first_lines_of_ten_thousand_files(spark, folder):
+    for i in range(10_000):
+        Path(f"{folder}/{i}.csv").write_text(f"a{';,|'[i % 3]}b\n{i}\n")
+    counts, jobs = jobs_of(
+        spark, lambda: dict(map(tuple, delimiters_by_file(spark, folder).groupBy("delimiter").count().collect()))
+    )
+    assert counts == {";": 3334, ",": 3333, "|": 3333}
+    assert jobs <= 4  # Spark's listing, then one query in stages
+
+
+def test_first_lines_of_odd_files(spark, folder):
+    put(f"{folder}/with space/é.csv", "a|b\r\n1;2\n")
+    put(f"{folder}/empty.csv", "")
+    put(f"{folder}/old.csv", "c;d\re")
+    put(f"{folder}/no break.txt", "x\ty")
+    put(f"{folder}/long.csv", "z" * 200_000 + ";\n|")
+    Path(f"{folder}/packed.csv.gz").write_bytes(gzip.compress(b"p;q\n1,2\n"))
+    got = {Path(r["file_path"]).name: r["first_line"] for r in first_lines(spark, folder).collect()}
+    assert got == {
+        "é.csv": "a|b", "old.csv": "c;d", "no break.txt": "x\ty", "long.csv": "z" * 200_000 + ";", "packed.csv.gz": "p;q",
+    }
+    assert first_lines(spark, f"{folder}/gone").collect() == []
+
+
+def test_endings_in_any_case(spark, folder):
+    put(f"{folder}/A.CSV", "a,b\n1,2\n")
+    put(f"{folder}/b.csv", "a,b\n3,4\n")
+    assert sorted(r["a"] for r in read_folder(spark, folder).collect()) == ["1", "3"]
+
+
 def test_formats(spark, folder):
     put(f"{folder}/t.txt", "NIO,v\n0043,1\n")
     assert tuple(read_table(spark, f"{folder}/t.txt").first()) == ("0043", "1")
@@ -247,6 +287,35 @@ def test_universe_of_a_month(spark, folder):
     assert sorted(r[DAY] for r in february) == [date(2026, 2, d) for d in (1, 3, 4)]
 
 
+def test_universe_days_of_several_types(spark, folder):
+    def day(name, rows, kind, more=""):
+        spark.createDataFrame(rows, f"device {kind}, town string{more}").coalesce(1).write.mode("append").parquet(f"{folder}/Diario_{name}.parquet")
+
+    day("2026-02-01", [("007", "X")], "string")
+    day("2026-02-02", [(7, "X")], "bigint")
+    day("2026-02-03", [(7, "X", 1)], "int", ", other int")
+    day("2026-02-04", [("07", "Y")], "string")
+    day("2026-02-05", [(8, "Z")], "bigint")
+    day("2026-02-05", [("08", "Z")], "string")  # a day whose own files differ
+    found = read_universe(spark, folder, "2026-02", "device", "town")
+    assert found.columns == [KEY, CITY, DAY]
+    assert sorted((r[DAY].day, r[KEY], r[CITY]) for r in found.collect()) == [
+        (1, "007", "X"), (2, "7", "X"), (3, "7", "X"), (4, "07", "Y"), (5, "08", "Z"), (5, "8", "Z"),
+    ]
+    fourth = found.where(F.col(DAY) == date(2026, 2, 4))
+    for path in Path(folder).glob("Diario_2026-02-0[1235].parquet/part-*"):
+        path.write_bytes(b"not to be read")
+    assert [r[KEY] for r in fourth.collect()] == ["07"]
+    assert read_universe(spark, folder, "2026-03").schema == read_universe(spark, f"{folder}/gone").schema
+
+
+def test_universe_of_one_type_is_one_scan(spark, folder):
+    for day in ("2026-02-01", "2026-02-02"):
+        spark.createDataFrame([("1", "X")], f"{KEY} string, {CITY} string").write.parquet(f"{folder}/Diario_{day}.parquet")
+    plan = read_universe(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
 # --- Sinks and reports ----------------------------------------------------------
 
 
@@ -385,6 +454,18 @@ def test_months_of_any_shape(spark, folder):
     assert [r["month"] for r in month_files(spark, folder).collect()] == [f"2026-0{m}" for m in range(1, 6)]
 
 
+def test_months_are_read_in_two_jobs(spark, folder):
+    header = ",".join(RESULT_SCHEMA.names)
+    for m in range(1, 13):
+        for y in (2024, 2025):
+            put(f"{folder}/municipio_{y}-{m:02}.csv", f"{header}\nA,Nansen,1,2,0.5,{y}-{m:02}-01\n,,,,,\n")
+    put(f"{folder}/municipio_2026-01.csv", "")
+    (results, skipped), jobs = jobs_of(spark, lambda: read_month_results(spark, folder))
+    assert jobs == 2  # one that reads and stores, one for the columns
+    assert results.count() == 48 and skipped.count() == 0
+    assert [tuple(r) for r in results.where(f"{CITY} IS NULL").select("CONTAGEM_TOT", "DISP").distinct().collect()] == [(None, None)]
+
+
 AWKWARD = ['He said "hi", x', "two\nlines", "\r\n", " spaced ", "", None, 'back\\"slash', "tab\t", '"', "a,b;c", "é日"]
 
 
