@@ -14,6 +14,8 @@ SEED = 42
 CELL_ROWS = 16384
 #: How much the estimate of a likeness may fall short of it: about three standard deviations at 432 bits.
 MARGIN = 0.1
+#: Comparing each node with one other is repeated while one in so many nodes gets a link by it.
+MANY = 50
 
 
 def sketches(docs: DataFrame, shingle: int = 3, bits: int = 64, tables: int = 1, distinct: bool = False) -> DataFrame:
@@ -90,7 +92,7 @@ def _sketcher(shingle: int, bits: int, tables: int, distinct: bool):
     return giving_back(run)
 
 
-def links(nodes: DataFrame, bits: int, ranks: tuple[int, int] | None = None) -> DataFrame:
+def links(nodes: DataFrame, bits: int, ranks: tuple[int, int] | None = None, nearest: bool = False) -> DataFrame:
     """Links ``a``, ``b`` between ``node`` rows that have a print within three bits.
 
     Half of three bits is one bit for one side and two for the other. Every print
@@ -105,14 +107,16 @@ def links(nodes: DataFrame, bits: int, ranks: tuple[int, int] | None = None) ->
     star per variant is not enough: the nodes within one bit of a variant are ranked,
     those from the first rank up to below the second are paired with all that meet
     there and have another ``root``, and a row with the node and a null is given for
-    each node that meets others at a variant with ranks beyond.
+    each node that meets others at a variant with ranks beyond. With ``nearest`` instead,
+    each node ``b`` gets one row only: the smallest node ``a`` of another ``root`` that it
+    meets anywhere.
 
     The shuffle deals out the variants by their first bits: a print is sent once to
     each first part that its variants have, and its variants are formed there. Their
     number is chosen so that a cell holds about ``CELL_ROWS`` prints, which bounds
     what a task holds at any size.
     """
-    rooted = ["root"] if ranks else []
+    rooted = ["root"] if ranks or nearest else []
     prints = nodes.select("node", *rooted, F.posexplode("prints").alias("t", "v"))
     n = nodes.count()
     prefix = max(4, min(24, bits - 8, (max(1, n) // CELL_ROWS).bit_length()))
@@ -137,10 +141,11 @@ def links(nodes: DataFrame, bits: int, ranks: tuple[int, int] | None = None) ->
         "t",
         first.bitwiseXOR(F.col("f.mask")).alias("cell"),
     )
-    return dealt.groupBy("t", "cell").applyInPandas(_meeting(low, ranks), "a long, b long").distinct()
+    met = dealt.groupBy("t", "cell").applyInPandas(_meeting(low, ranks, nearest), "a long, b long")
+    return met.groupBy("b").agg(F.min("a").alias("a")).select("a", "b") if nearest else met.distinct()
 
 
-def _meeting(low: int, ranks: tuple[int, int] | None):
+def _meeting(low: int, ranks: tuple[int, int] | None, nearest: bool = False):
     from typing import Iterator
 
     import pandas as pd
@@ -259,6 +264,32 @@ def _meeting(low: int, ranks: tuple[int, int] | None):
         give_back()
         yield pd.DataFrame({"a": left, "b": pd.array([None] * len(left), "Int64")})
 
+    def smallest(frame):
+        """For each row's node, the smallest node of another root at any of its variants."""
+        import numpy as np
+        import pandas as pd
+
+        node, root = frame["node"].to_numpy(np.int64), frame["root"].to_numpy(np.int64)
+        none = np.iinfo(np.int64).max
+        keys, owner, starts = variants(frame)
+        sizes = np.diff(np.r_[starts, len(keys)])
+        first = owner[starts]  # rows within a variant are in the order of their nodes
+        other = np.where(root[owner] != np.repeat(root[first], sizes), node[owner], none)
+        second = np.minimum.reduceat(other, starts) if len(starts) else other
+        best = np.full(len(frame), none)
+
+        def told(rows, at):
+            np.minimum.at(best, rows, np.where(root[rows] != root[first[at]], node[first[at]], second[at]))
+
+        told(owner, np.repeat(np.arange(len(starts)), sizes))
+        for place, row in visits(frame, keys[starts]):
+            told(row, place)
+        kept = best < none
+        give_back()
+        return pd.DataFrame({"a": best[kept], "b": node[kept]})
+
+    if nearest:
+        return smallest
     # Given here, as annotations of this module are strings.
     ranked.__annotations__ = {"frames": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]}
     return ranked if ranks else stars
@@ -294,35 +325,53 @@ def near_groups(docs: DataFrame, shingle: int = 3, bits: int = 64, tables: int =
 def _verified_groups(nodes: DataFrame, docs: DataFrame, shingle: int, bits: int, width: int, similarity: float) -> DataFrame:
     """``node`` and ``root`` of the groups that verified links connect.
 
-    In every round a few more of those that meet at a variant are compared with all
-    others there; who is in one group by then need not be compared any more. The rounds
-    go on until each two that meet are compared or in one group, so a smallest node
-    unlike the others hides no pair. They grow by four times: their number is a
+    First every node is compared with one other, the smallest of another group that it
+    meets anywhere, and groups are joined; that is repeated while it joins many. So
+    copies of one text, however many, are one group after as many comparisons as there
+    are copies, or a few times that.
+
+    Then rounds complete the search: a few more of those that meet at a variant are
+    compared with all others there that aren't in one group with them by then. The
+    rounds go on until each two that meet are compared or in one group, so a smallest
+    node unlike the others hides no pair. They grow by four times: their number is a
     logarithm of the largest meeting, and a family of many unlike members, each pair
     of which has to be compared, comes last.
     """
-    now, joined, tried = nodes.withColumn("root", F.col("node")), None, None
+    ones = nodes.withColumn("root", F.col("node"))
+    nothing = ones.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    now, tried, joined, total = ones, nothing, nothing, nodes.count()
+
+    def compared(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        near = _likely(pairs, nodes, width, max(0.0, similarity - MARGIN)).distinct()
+        likely = stored(near.join(tried, ["a", "b"], "left_anti"))
+        return likely, stored(_verified(likely, docs, shingle, similarity))
+
+    while True:
+        likely, found = compared(links(now, bits, nearest=True))
+        tried, joined = tried.union(likely), joined.union(found)
+        roots = stored(components(joined))
+        now = stored(_rooted(nodes, roots))
+        if found.count() * MANY <= total:
+            break
     first, last = 0, 1
     while True:
         met = stored(links(now, bits, (first, last)))
-        likely = _likely(met.where("b IS NOT NULL"), nodes, width, max(0.0, similarity - MARGIN)).distinct()
-        if tried is not None:
-            likely = likely.join(tried, ["a", "b"], "left_anti")
-        likely = stored(likely)
-        found = stored(_verified(likely, docs, shingle, similarity))
-        tried = likely if tried is None else tried.union(likely)
-        joined = found if joined is None else joined.union(found)
-        roots = components(joined)
+        likely, found = compared(met.where("b IS NOT NULL"))
+        tried, joined = tried.union(likely), joined.union(found)
         left = met.where("b IS NULL").select(F.col("a").alias("node")).distinct()
+        if not found.isEmpty():
+            roots = stored(components(joined))
         if left.isEmpty():
             return roots
-        now = stored(
-            nodes.join(left, "node", "left_semi").join(roots, "node", "left")
-            .select("node", "prints", F.coalesce("root", "node").alias("root"))
-        )
+        now = stored(_rooted(nodes.join(left, "node", "left_semi"), roots))
         first, last = last, 4 * last + 1
 
 
+def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    return nodes.join(roots, "node", "left").select("node", "prints", F.coalesce("root", "node").alias("root"))
+
+
 def _likely(found: DataFrame, nodes: DataFrame, width: int, similarity: float) -> DataFrame:
     """Links whose whole sketches differ as little as that likeness allows.
 
