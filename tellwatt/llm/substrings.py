@@ -12,6 +12,10 @@ WINDOW = 50
 WIDTH_BITS = 28
 #: Counters a piece of a row has, as a power of two.
 PIECE_BITS = 20
+#: Bytes of text whose windows one task settles, on average.
+SHARD_BYTES = 1 << 26
+#: Bits of the set of documents that lose words, as a power of two: 8 MB.
+TOUCHED_BITS = 26
 #: Windows that a task gathers before it passes them on.
 UNIT = 1 << 20
 
@@ -36,27 +40,113 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, width_bits: int = WIDT
 
     A task first settles its windows among themselves and sends each only from its
     smallest document, so a passage in a third of all documents is sent once a task.
+    Only documents that lose words are shuffled, and the few that a bitmap of fixed size
+    takes for such; others stay where they are.
     """
     spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions")) | 1
     plain = docs.select("doc_id", "text")
+    size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES)) | 1
     seen = spark.sparkContext.broadcast(_sketch(plain, window, width_bits))
     sent = plain.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(
         _candidates(window, width_bits, shards, seen), "shard int, settled boolean, load binary"
     )
-    found = (
+    found = stored(
         sent.repartition(shards, "shard").sortWithinPartitions("shard")
         .mapInArrow(_settle(shards), "shard_ int, load binary")
     )
-    id_ = F.coalesce("doc_id", F.xxhash64("text"))
-    shard = F.pmod(id_.bitwiseXOR(F.shiftright(id_, 13)), F.lit(shards)).cast("int")
+    touched = spark.sparkContext.broadcast(_touched(found))
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return (
-        docs.withColumn("shard_", shard).groupBy("shard_").cogroup(found.groupBy("shard_"))
-        .applyInArrow(_remove(window), f"{schema}, n_words long, n_removed long, kept string")
+    result = f"{schema}, n_words long, n_removed long, kept string"
+    at = docs.columns.index("doc_id"), docs.columns.index("text")
+    whole = docs.mapInArrow(_whole(*at, touched), result)
+    chosen = docs.mapInArrow(_chosen(at[0], touched), schema)
+    shard = F.pmod(F.col("doc_id").bitwiseXOR(F.shiftright("doc_id", 13)), F.lit(shards)).cast("int")
+    return whole.union(
+        chosen.withColumn("shard_", shard).groupBy("shard_").cogroup(found.groupBy("shard_"))
+        .applyInArrow(_remove(window), result)
     )
 
 
+def _touched(found: DataFrame):
+    """A bitmap of fixed size that has every document with windows to remove, and few others."""
+    import numpy as np
+
+    cells = found.select("load").mapInArrow(_cells(), "cell long, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits"))
+    got = cells.toArrow()
+    bitmap = np.zeros(1 << (TOUCHED_BITS - 6), np.uint64)
+    bitmap[got.column("cell").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+    return bitmap
+
+
+def _document_places(ids):
+    import numpy as np
+
+    h = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - TOUCHED_BITS)
+
+
+def _cells():
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in pieces(batches, 16):
+            ids = [np.unique(unpacked(load)[0]) for load in batch.column(0).to_pylist()]
+            places = _document_places(np.concatenate(ids)) if ids else np.zeros(0, np.uint64)
+            cell = (places >> np.uint64(6)).astype(np.int64)
+            order = np.argsort(cell, kind="stable")
+            starts = np.flatnonzero(np.diff(cell[order], prepend=-1))
+            bits = (np.uint64(1) << (places & np.uint64(63)))[order]
+            bits = np.bitwise_or.reduceat(bits, starts) if len(starts) else bits
+            yield pa.RecordBatch.from_arrays([pa.array(cell[order][starts]), pa.array(bits.view(np.int64))], ["cell", "bits"])
+
+    return giving_back(run)
+
+
+def _in_bitmap(column, bitmap):
+    """Which rows of a column of ids may be touched; null is not."""
+    import numpy as np
+
+    places = _document_places(np.array(column.fill_null(0)))
+    hit = (bitmap[places >> np.uint64(6)] >> (places & np.uint64(63))) & np.uint64(1) == 1
+    return hit & ~np.array(column.is_null())
+
+
+def _chosen(at: int, touched):
+    """Rows of documents that may have windows to remove."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for part in pieces(batches):
+            yield part.filter(pa.array(_in_bitmap(part.column(at), touched.value)))
+
+    return giving_back(run)
+
+
+def _whole(at: int, text: int, touched):
+    """All other rows, which keep every word; they needn't move."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for part in pieces(batches):
+            part = part.filter(pa.array(~_in_bitmap(part.column(at), touched.value)))
+            n_words, kept = [], []
+            for value in utf8(part.column(text)):
+                lists = list(word_lists(value or b""))
+                n_words.append(sum(map(len, lists)))
+                kept.append(b" ".join(b" ".join(words) for words in lists if words))
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.array(n_words, pa.int64()), pa.array(np.zeros(len(n_words), np.int64)), pa.array(kept, pa.binary()).cast(pa.string())],
+                [*part.schema.names, "n_words", "n_removed", "kept"],
+            )
+
+    return giving_back(run)
+
+
 def _sketch(docs: DataFrame, window: int, width_bits: int) -> list:
     """A packed bitmap of counters above one for each row of the count-min sketch."""
     piece_bits = min(PIECE_BITS, width_bits)
@@ -78,19 +168,18 @@ def _sketch(docs: DataFrame, window: int, width_bits: int) -> list:
 def _hasher(window: int):
     """A function from texts to each window's text number, first word and two hashes.
 
-    A window's hash is a polynomial over its letters with a mark at each word's
-    start, modulo 2**64: the difference of two prefix sums, divided by the power
-    where it begins. So white space doesn't count and windows cost no more than words.
+    Words are hashed by XXH64 with two seeds, and a window's hashes are polynomials of
+    its words' modulo 2**64, each the difference of two prefix sums divided by the power
+    where the window begins. So white space doesn't count, no structure of letters makes
+    windows equal, and windows cost no more than words.
     """
     import re
+    from collections import defaultdict
+    from itertools import chain, count
 
     import numpy as np
+    from xxhash import xxh64_intdigest
 
-    space = np.zeros(256, bool)
-    space[[0x20, *range(0x09, 0x0E)]] = True
-    random = np.random.default_rng(50)
-    letters = random.integers(1, 1 << 63, (2, 256), dtype=np.uint64)
-    marks = random.integers(1, 1 << 63, 2, dtype=np.uint64)
     bases = [0x9E3779B97F4A7C15, 0xD1342543DE82EF95]
     powers = [[np.ones(1, np.uint64), np.ones(1, np.uint64)] for _ in bases]
     ahead = re.compile(rb"[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){0,%d}[^\x20\x09-\x0D]*" % (window - 2))
@@ -120,37 +209,26 @@ def _hasher(window: int):
             yield n, text[at:], words
 
     def hashed(group):
-        data = np.frombuffer(b"\n".join(p for _, p, _ in group) + b"\n", np.uint8)
-        blank = space[data]
-        inside = ~blank
-        first = inside.copy()
-        first[1:] &= blank[:-1]
-        starts = np.flatnonzero(first)
-        ends = np.cumsum([len(p) + 1 for _, p, _ in group])
-        upto = np.searchsorted(starts, ends)
-        since = np.r_[0, upto[:-1]]
-        number = np.maximum(upto - since - window + 1, 0)
+        split = [p.split() for _, p, _ in group]
+        length = np.array([len(words) for words in split])
+        number = np.maximum(length - window + 1, 0)
         total = int(number.sum())
         if not total:
             return None
-        shift = np.cumsum(number) - number
-        words = np.arange(total) - np.repeat(shift - since, number)
-        kept = data[inside]
-        place = starts - np.cumsum(blank, dtype=np.int64)[starts]
-        edge = np.r_[place, len(kept)]
-        begin, end = edge[words], edge[words + window]
+        named = defaultdict(count().__next__)
+        ids = np.fromiter(map(named.__getitem__, chain.from_iterable(split)), np.int64, int(length.sum()))
+        since = np.cumsum(length) - length
+        begin = np.arange(total) + np.repeat(since - (np.cumsum(number) - number), number)
         made = []
         for k in range(2):
-            power, inverse = grown(k, len(kept))
-            value = letters[k][kept]
-            value[place] += marks[k]
-            value *= power[: len(kept)]
-            sums = np.zeros(len(kept) + 1, np.uint64)
-            np.cumsum(value, out=sums[1:])
-            made.append(finish((sums[end] - sums[begin]) * inverse[begin]))
+            power, inverse = grown(k, len(ids) + 1)
+            word = np.fromiter((xxh64_intdigest(w, k) for w in named), np.uint64, len(named))
+            sums = np.zeros(len(ids) + 1, np.uint64)
+            np.cumsum(word[ids] * power[: len(ids)], out=sums[1:])
+            made.append(finish((sums[begin + window] - sums[begin]) * inverse[begin]))
         text = np.repeat(np.array([n for n, _, _ in group]), number)
         before = np.array([w for _, _, w in group])
-        return text, words - np.repeat(since - before, number), *made
+        return text, begin - np.repeat(since - before, number), *made
 
     def run(texts):
         group, size = [], 0
@@ -262,9 +340,9 @@ def _merge(piece_bits: int):
 
 def _text_mark(text: bytes) -> int:
     """Tells apart texts under one doc_id."""
-    import zlib
+    from xxhash import xxh64_intdigest
 
-    return zlib.crc32(text) & 0xFFFF
+    return xxh64_intdigest(text)
 
 
 def _first_doc(h1, h2, doc):
@@ -319,7 +397,7 @@ def _candidates(window: int, width_bits: int, shards: int, sketch):
         for part in pieces(batches):
             ids = part.column(0).to_numpy()
             texts = utf8(part.column(1))
-            marks = np.array([_text_mark(t) for t in texts], np.uint16)
+            marks = np.array([_text_mark(t) for t in texts], np.uint64)
             for text, word, h1, h2 in windows(texts):
                 ok = twice(h1)
                 text = text[ok]

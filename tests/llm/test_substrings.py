@@ -84,3 +84,20 @@ def test_stage_keeps_documents_and_clean_texts(spark, odd, rows):
 
 def test_registered_sql():
     assert substrings.QUERIES["op4_substrings"][1]
+
+
+def test_structured_letters_make_no_windows_equal(spark):
+    """Thue-Morse words and the same with letters swapped, which polynomials over letters can't tell apart."""
+    bits = [bin(k).count("1") % 2 for k in range(2048 * 50)]
+    one = ["".join("ab"[b] for b in bits[k * 2048:(k + 1) * 2048]) + "c" * (k % 7) for k in range(50)]
+    two = [w.translate(str.maketrans("ab", "ba")) for w in one]
+    docs = spark.createDataFrame([(1, " ".join(one)), (2, " ".join(two)), (3, " ".join(one))], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in remove_repeats(docs, width_bits=16).collect()} == {1: 0, 2: 0, 3: 50}
+
+
+def test_only_touched_documents_are_shuffled(spark):
+    passage = " ".join(f"w{k}" for k in range(60))
+    rows = [(k, f"own{k} " * 10 + (passage if k in (5, 6, 9) else "")) for k in range(200)] + [(None, passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = remove_repeats(docs, width_bits=16)
+    assert {r.doc_id: r.n_removed for r in got.collect() if r.n_removed} == {6: 60, 9: 60} and got.count() == 201
