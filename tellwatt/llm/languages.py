@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tellwatt.llm.common import documents, giving_back, pieces, table
@@ -10,7 +10,7 @@ from tellwatt.llm.common import documents, giving_back, pieces, table
 #: Presence of n-grams of these lengths, in so many hashed places.
 LENGTHS = (1, 2, 3, 4)
 PLACES = 1 << 15
-#: Rows a language gives to the fit, on average, and how many of them become landmarks.
+#: Texts a language gives to the fit at most, and how many of them become landmarks.
 SAMPLE = 600
 LANDMARKS = 64
 RIDGE = 1e-3
@@ -65,24 +65,23 @@ def fit(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS, ridge
 
     ``docs`` needs ``doc_id``, ``text`` and ``lang``; rows without any of them, or
     without a letter, teach nothing. The kernel of two texts is the number of n-grams
-    present in both, over the geometric mean of how many each has. Of each language
-    about ``sample`` rows are taken, by a hash of the text, so that a repeated row
-    counts like one; only the presence of their n-grams (4 KB a row) comes to the
-    driver, and the bound is ``sample`` times the number of languages. Without rows
-    the model knows no language.
+    present in both, over the geometric mean of how many each has; n-grams are hashed to
+    ``PLACES`` places. Of each language's different texts the ``sample`` with the smallest
+    hashes are taken, or all, and the first of these are landmarks. Only the presence
+    of their n-grams (4 KB a text) comes to the driver, ``sample`` texts a language at
+    most, however often a text is repeated. Without rows the model knows no language.
     """
     import numpy as np
 
-    labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
-    share = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    languages = sorted(share)
-    if not languages:
-        return {"languages": [], "weights": np.zeros((PLACES, 0), np.float32)}
-    rate = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(sample / share[k]))])
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(10), "text"), 11) / float(1 << 53)
+    labelled = docs.where("lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}")).select(
+        "lang", "text", F.xxhash64("text").alias("h")
+    )
+    order = Window.partitionBy("lang").orderBy("h")
+    drawn = labelled.select("lang", "h").distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample)
+    once = labelled.join(drawn, ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     letters = docs.sparkSession.sparkContext.broadcast(_letters())
-    drawn = labelled.where(draw < rate[F.col("lang")]).mapInArrow(_presence(letters), "lang string, grams binary").collect()
-    rows = sorted({(lang, bytes(grams)) for lang, grams in drawn})
+    held = once.mapInArrow(_presence(letters), "lang string, h long, grams binary").collect()
+    rows = [(lang, bytes(grams)) for lang, _, grams in sorted(held)]
     known = sorted({lang for lang, _ in rows})
     if not known:
         return {"languages": [], "weights": np.zeros((PLACES, 0), np.float32)}
@@ -114,14 +113,16 @@ def _presence(letters):
 
         read = _reader(letters.value)
         for part in pieces(batches):
-            lang, grams = [], []
-            for name, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            rows = []
+            for name, h, text in zip(*(c.to_pylist() for c in part.columns)):
                 if (found := read(text)) is not None:
                     bits = np.zeros(PLACES, bool)
                     bits[found] = True
-                    lang.append(name)
-                    grams.append(np.packbits(bits).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(grams, pa.binary())], ["lang", "grams"])
+                    rows.append((name, h, np.packbits(bits).tobytes()))
+            columns = list(zip(*rows)) or [()] * 3
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.binary()))], ["lang", "h", "grams"]
+            )
 
     return giving_back(run)
 
