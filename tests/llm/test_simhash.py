@@ -1,9 +1,11 @@
+import random
 from collections import Counter
 
 import numpy as np
 import pytest
 from xxhash import xxh64_intdigest
 
+from tellwatt.llm import simhash
 from tellwatt.llm.components import components
 from tellwatt.llm.simhash import _meeting, links, near_dedup, near_groups, op1_simhash
 
@@ -187,3 +189,27 @@ def test_padding_makes_no_group_and_repeats_keep_none_apart(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in near_groups(docs, 5, 36, 12, 0.8).collect()}
     assert got == {0: 0, 1: 1, 2: 2, 3: 2, 4: 4, 5: 4}
+
+def test_copies_of_one_text_cost_few_comparisons(spark, monkeypatch):
+    """A large group of near copies is joined by about a comparison each, not by all its pairs."""
+    dice = random.Random(5)
+    words = [f"w{k}" for k in range(400)]
+    text = dice.choices(words, k=120)
+    rows = []
+    for k in range(600):
+        changed = list(text)
+        changed[dice.randrange(120)] = f"x{k}"
+        rows.append((k, " ".join(changed)))
+    compared, original = [], simhash._verified
+    monkeypatch.setattr(
+        simhash, "_verified", lambda likely, *a: (compared.append(likely.count()), original(likely, *a))[1]
+    )
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_groups(docs, shingle=5, bits=36, tables=12, similarity=0.8).collect()
+    assert {r.component_id for r in got} == {0}
+    assert sum(compared) <= 5 * len(rows)
+
+
+def test_nothing_to_compare(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert near_groups(docs, shingle=5, bits=36, tables=12, similarity=0.8).collect() == []
