@@ -22,7 +22,7 @@ BASE = {
 #: Without any of these a text holds no license; every rule's keyword and base phrase has one.
 GATE = (
     "licen", "spdx", "commons", "gpl", "public", "hereby", "redistribut", "cc", "bsd", "wtfpl", "openrail", "endorse", "proprietary",
-    "attribution",
+    "attribution", "acknowledg", "waived",
 )
 
 #: Names of licenses: label, a word that every match has, a pattern over lower-case words.
@@ -121,6 +121,18 @@ WORDINGS = (
     ("public-domain", "public", r"(released|placed|dedicated) (in|into|to) the public domain"),
     ("proprietary", "proprietary", r"all rights reserved .{0,60}proprietary and confidential"),
     ("proprietary", "licen", r"commercial licen[cs]e required|not licensed for (redistribution|commercial use)"),
+    ("bsd", "redistribut", r"redistributions of source code must retain the above copyright notice"),
+    ("bsd-4", "acknowledg", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("apache-2", "apache", r"licensed to the apache software foundation( asf)? under one or more contributor license agreements"),
+    ("apache-2", "licen", r"software distributed under the license is distributed on an as is basis"),
+    ("gpl", "general", r"you should have received a copy of the gnu general public licen[cs]e"),
+    ("lgpl", "lesser", r"you should have received a copy of the gnu lesser general public licen[cs]e"),
+    ("agpl-3", "affero", r"you should have received a copy of the gnu affero general public licen[cs]e"),
+    ("gfdl", "documentation", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation licen[cs]e"),
+    ("epl-2", "eclipse", r"made available under the terms of the eclipse public licen[cs]e v ?2 0"),
+    ("cddl", "distribution", r"subject to the terms of the common development and distribution licen[cs]e"),
+    ("mpl-1.1", "mozilla", r"the contents of this file are subject to the mozilla public licen[cs]e version 1 1"),
+    ("cc0", "waived", r"waived all copyright and related or neighbou?ring rights"),
 )
 
 #: Identifiers of tags: label and pattern of the identifier's words.
@@ -170,15 +182,68 @@ def _places(phrase: str, words: str) -> tuple[Column, Column, Column]:
     return F.when(some, times).otherwise(0), F.when(some, first), F.when(some, last)
 
 
+#: So many detections of a rule are listed at a time, as adding to a list copies it.
+LISTED = 256
+
+
+def _detections(words: str, rule: Column) -> Column:
+    """Where a rule matches the words: start, end less than zero, place of the rule, label and worth."""
+    hits = F.regexp_extract_all(words, rule["pattern"], F.lit(0))
+    between = F.split(words, rule["pattern"], -1)
+    steps = F.zip_with(
+        F.slice(between, 1, F.size(hits)), hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("size"))
+    )
+    kind = "array<struct<start:int,end:int,rule:int,label:string,worth:double>>"
+
+    def add(now: Column, step: Column) -> Column:
+        start = now["at"] + step["gap"]
+        end = start + step["size"]
+        one = F.array(F.struct(
+            start.alias("start"), (-end).alias("end"), rule["place"].alias("rule"), rule["label"].alias("label"), rule["worth"].alias("worth")
+        )).cast(kind)
+        full = F.size(now["some"]) >= LISTED
+        return F.struct(
+            end.alias("at"),
+            F.when(full, one).otherwise(F.concat(now["some"], one)).alias("some"),
+            F.when(full, F.concat(now["lists"], F.array(now["some"]))).otherwise(now["lists"]).alias("lists"),
+        )
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("some"), F.array().cast(f"array<{kind}>").alias("lists"))
+    return F.aggregate(steps, start, add, lambda now: F.concat(F.flatten(now["lists"]), now["some"]))
+
+
+def _kept(detections: Column) -> Column:
+    """Labels and best worth of the detections that don't lie within one of an earlier rule.
+
+    In the order of starts, longer ones and earlier rules first, whatever holds a detection comes
+    before it. A rule's own matches don't overlap, so no more than one a rule is open at a time.
+    """
+    kind = "array<struct<end:int,rule:int>>"
+
+    def see(now: Column, one: Column) -> Column:
+        open_ = F.filter(now["open"], lambda o: -o["end"] > one["start"])
+        inside = F.exists(open_, lambda o: (o["end"] <= one["end"]) & (o["rule"] < one["rule"]))
+        mine = F.array(F.struct(one["end"].alias("end"), one["rule"].alias("rule"))).cast(kind)
+        return F.struct(
+            F.when(inside, open_).otherwise(F.concat(open_, mine)).alias("open"),
+            F.when(inside, now["labels"]).otherwise(F.array_union(now["labels"], F.array(one["label"]))).alias("labels"),
+            F.when(inside, now["score"]).otherwise(F.greatest(now["score"], one["worth"])).alias("score"),
+        )
+
+    start = F.struct(
+        F.array().cast(kind).alias("open"), F.array().cast("array<string>").alias("labels"), F.lit(0.0).alias("score")
+    )
+    return F.aggregate(F.array_sort(detections), start, see)
+
+
 def scan(docs: DataFrame, signatures: list[tuple[str, str, str, float]] | None = None, base: dict[str, str] = BASE) -> DataFrame:
     """``doc_id``, ``n_words``, the base phrases' places and labels, ``labels`` and ``score``.
 
     ASCII letters are lower-cased; words are runs of letters, digits and anything
     beyond ASCII. Only texts with a word of ``GATE`` in them are looked at closely,
-    and in them only rules whose keyword they hold. A rule takes what it matches out
-    of the text, so that a later rule finds nothing inside that: of two detections of
-    which one lies in the other, the one whose rule comes first stays, and that is the
-    longer wherever kinds differ. ``score`` is the worth of the best evidence, 0
+    and in them only rules whose keyword they hold. Every rule is matched to the whole
+    text; a detection that lies wholly within one of an earlier rule is dropped, while
+    detections that overlap in part all stay. ``score`` is the worth of the best evidence, 0
     without any. Null and empty texts have no words; labels are empty then, and the
     first and last place null. Repeated rows are judged alike; no rows give none.
     All of it is one pass, text by text: no shuffle, whatever a text or line repeats.
@@ -195,25 +260,17 @@ def scan(docs: DataFrame, signatures: list[tuple[str, str, str, float]] | None =
     spaced = gated.withColumn("words_", F.when(held, F.regexp_replace(words, " +", " "))).drop("low_", "text")
 
     table_ = F.array(*[
-        F.struct(F.lit(label).alias("label"), F.lit(key).alias("key"), F.lit(f"(?<= )(?:{pattern})(?= )").alias("pattern"), F.lit(worth).alias("worth"))
-        for label, key, pattern, worth in (rules() if signatures is None else signatures)
+        F.struct(
+            F.lit(place).alias("place"), F.lit(label).alias("label"), F.lit(key).alias("key"),
+            F.lit(f"(?<= )(?:{pattern})(?= )").alias("pattern"), F.lit(worth).alias("worth"),
+        )
+        for place, (label, key, pattern, worth) in enumerate(rules() if signatures is None else signatures)
     ])
-    likely = F.filter(table_, lambda r: F.col("words_").contains(r["key"]))
-    start = F.struct(
-        F.col("words_").alias("left"), F.array().cast("array<string>").alias("labels"), F.lit(0.0).alias("score")
+    matching = F.filter(
+        table_, lambda r: F.when(F.col("words_").contains(r["key"]), F.regexp_like("words_", r["pattern"])).otherwise(False)
     )
-
-    def apply(now: Column, rule: Column) -> Column:
-        return F.when(
-            F.regexp_like(now["left"], rule["pattern"]),
-            F.struct(
-                F.regexp_replace(now["left"], rule["pattern"], F.lit("|")).alias("left"),
-                F.concat(now["labels"], F.array(rule["label"])).alias("labels"),
-                F.greatest(now["score"], rule["worth"]).alias("score"),
-            ),
-        ).otherwise(now)
-
-    ruled = spaced.withColumn("found_", F.when(F.col("words_").isNotNull(), F.aggregate(likely, start, apply)))
+    detections = F.flatten(F.transform(matching, lambda r: _detections("words_", r)))
+    ruled = spaced.withColumn("found_", F.when(F.col("words_").isNotNull(), _kept(detections)))
     names = [f"base{k}_" for k in range(len(base))]
     for name, phrase in zip(names, base):
         times, first, last = _places(phrase, "words_")
