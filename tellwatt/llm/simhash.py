@@ -12,30 +12,23 @@ from tellwatt.llm.components import components
 
 SEED = 42
 CELL_ROWS = 16384
-#: How much the estimate of a likeness may fall short of it: about three standard deviations at 432 bits.
-MARGIN = 0.1
-#: Comparing each node with one other is repeated while one in so many nodes gets a link by it.
-MANY = 50
 
 
-def sketches(docs: DataFrame, shingle: int = 3, bits: int = 64, tables: int = 1, distinct: bool = False) -> DataFrame:
+def sketches(docs: DataFrame, shingle: int = 3, bits: int = 64, tables: int = 1) -> DataFrame:
     """``doc_id`` and ``prints``, an array of ``tables`` fingerprints of ``bits`` bits each.
 
     ASCII letters are lower-cased, words are runs of anything but ASCII white space,
     and repeated shingles count as often as they occur. A text with fewer words than
     a shingle is one shingle; a null or wordless text has fingerprints zero. Bits
     beyond the 64 of a shingle's hash come from mixing that hash with a constant.
-    With ``distinct``, every shingle counts once, and ``key`` is a hash of the set.
     """
     return docs.select("doc_id", "text").mapInArrow(
-        _sketcher(shingle, bits, tables, distinct), "doc_id long, prints array<long>" + ", key binary" * distinct
+        _sketcher(shingle, bits, tables), "doc_id long, prints array<long>"
     )
 
 
-def _sketcher(shingle: int, bits: int, tables: int, distinct: bool):
+def _sketcher(shingle: int, bits: int, tables: int):
     def run(batches):
-        from hashlib import blake2b
-
         import numpy as np
         import pyarrow as pa
         from xxhash import xxh64_intdigest
@@ -61,38 +54,31 @@ def _sketcher(shingle: int, bits: int, tables: int, distinct: bool):
             return np.concatenate(sums)
 
         def prints(text):
-            total, seen, last, known = np.zeros(rounds * 64, np.int64), 0, [], np.zeros(0, np.uint64)
+            total, seen, last = np.zeros(rounds * 64, np.int64), 0, []
             for words in word_lists((text or b"").translate(LOWER_BYTES)):
                 last += words
                 grams = [b" ".join(g) for g in zip(*(last[i:] for i in range(shingle)))]
                 if grams:
                     made = hashes(grams)
-                    if distinct:
-                        made = np.setdiff1d(made, known)
-                        known = np.union1d(known, made)
                     for at in range(0, len(made), 1 << 15):
                         total += counts(made[at:at + (1 << 15)])
                     seen += len(made)
                     last = last[len(grams):]
             if not seen and last:
-                known = hashes([b" ".join(last)])
-                total, seen = counts(known), 1
+                total, seen = counts(hashes([b" ".join(last)])), 1
             set_bits = (total * 2 > seen)[: bits * tables].reshape(tables, bits)
-            return (set_bits * weights).sum(1, dtype=np.uint64).view(np.int64), known
+            return (set_bits * weights).sum(1, dtype=np.uint64).view(np.int64)
 
         for part in pieces(batches):
             made = [prints(t) for t in utf8(part.column(1))]
-            flat = pa.array(np.concatenate([p for p, _ in made]))
+            flat = pa.array(np.concatenate(made))
             offsets = pa.array(np.arange(len(made) + 1, dtype=np.int32) * tables)
-            columns = {"doc_id": part.column(0), "prints": pa.ListArray.from_arrays(offsets, flat)}
-            if distinct:
-                columns["key"] = pa.array([blake2b(known.tobytes(), digest_size=16).digest() for _, known in made])
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(offsets, flat)], ["doc_id", "prints"])
 
     return giving_back(run)
 
 
-def links(nodes: DataFrame, bits: int, ranks: tuple[int, int] | None = None, nearest: bool = False) -> DataFrame:
+def links(nodes: DataFrame, bits: int) -> DataFrame:
     """Links ``a``, ``b`` between ``node`` rows that have a print within three bits.
 
     Half of three bits is one bit for one side and two for the other. Every print
@@ -103,21 +89,12 @@ def links(nodes: DataFrame, bits: int, ranks: tuple[int, int] | None = None, nea
     smallest node among those within one bit: each node gets one link there, not one
     per pair.
 
-    ``ranks`` is for callers that verify links by more than these bits, for whom one
-    star per variant is not enough: the nodes within one bit of a variant are ranked,
-    those from the first rank up to below the second are paired with all that meet
-    there and have another ``root``, and a row with the node and a null is given for
-    each node that meets others at a variant with ranks beyond. With ``nearest`` instead,
-    each node ``b`` gets one row only: the smallest node ``a`` of another ``root`` that it
-    meets anywhere.
-
     The shuffle deals out the variants by their first bits: a print is sent once to
     each first part that its variants have, and its variants are formed there. Their
     number is chosen so that a cell holds about ``CELL_ROWS`` prints, which bounds
     what a task holds at any size.
     """
-    rooted = ["root"] if ranks or nearest else []
-    prints = nodes.select("node", *rooted, F.posexplode("prints").alias("t", "v"))
+    prints = nodes.select("node", F.posexplode("prints").alias("t", "v"))
     n = nodes.count()
     prefix = max(4, min(24, bits - 8, (max(1, n) // CELL_ROWS).bit_length()))
     low = bits - prefix
@@ -132,24 +109,18 @@ def links(nodes: DataFrame, bits: int, ranks: tuple[int, int] | None = None, nea
         F.concat(flips(0), flips(1))
     )
     first = F.shiftrightunsigned("v", low)
-    dealt = prints.select("node", *rooted, "t", "v", F.explode(reach).alias("f")).select(
+    dealt = prints.select("node", "t", "v", F.explode(reach).alias("f")).select(
         "node",
-        *rooted,
         F.col("v").bitwiseAND((1 << low) - 1).alias("low"),
         (F.bit_count("v") % 2 == 0).alias("even"),
         F.col("f.k").alias("k"),
         "t",
         first.bitwiseXOR(F.col("f.mask")).alias("cell"),
     )
-    met = dealt.groupBy("t", "cell").applyInPandas(_meeting(low, ranks, nearest), "a long, b long")
-    return met.groupBy("b").agg(F.min("a").alias("a")).select("a", "b") if nearest else met.distinct()
-
+    return dealt.groupBy("t", "cell").applyInPandas(_meeting(low), "a long, b long").distinct()
 
-def _meeting(low: int, ranks: tuple[int, int] | None, nearest: bool = False):
-    from typing import Iterator
-
-    import pandas as pd
 
+def _meeting(low: int):
     def variants(frame):
         """Variants within one bit, whose rows they are, by node within a variant, and where each variant begins."""
         import numpy as np
@@ -210,214 +181,22 @@ def _meeting(low: int, ranks: tuple[int, int] | None, nearest: bool = False):
         give_back()
         return pd.DataFrame({"a": made[:, 0], "b": made[:, 1]})
 
-    def ranked(frames):
-        import numpy as np
-        import pandas as pd
+    return stars
 
-        frame = pd.concat(list(frames), ignore_index=True)
-        node, root = frame["node"].to_numpy(np.int64), frame["root"].to_numpy(np.int64)
-        keys, owner, starts = variants(frame)
-        unique, sizes = keys[starts], np.diff(np.r_[starts, len(keys)])
-        first, last = ranks
-        unfinished, waiting, held = np.zeros(len(frame), bool), [], 0
-
-        def pairs():
-            made = np.unique(np.concatenate(waiting), axis=0)
-            waiting.clear()
-            return pd.DataFrame({"a": made[:, 0], "b": pd.array(made[:, 1], "Int64")})
-
-        def keep(x, y):
-            other = root[x] != root[y]
-            x, y = node[x[other]], node[y[other]]
-            waiting.append(np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0))
-            return len(waiting[-1])
-
-        least = np.minimum.reduceat(root[owner], starts) if len(starts) else root[:0]
-        mixed = least != np.maximum.reduceat(root[owner], starts) if len(starts) else np.zeros(0, bool)
-        unfinished[owner[np.repeat(mixed & (sizes > last + 1), sizes)]] = True
-        for rank in range(first, min(last, int(sizes.max(initial=0)))):
-            where = np.flatnonzero(mixed & (sizes > rank + 1))
-            most = max(1, (1 << 20) // max(1, int(sizes.max(initial=1))))
-            for at in range(0, len(where), most):
-                some = where[at:at + most]
-                beyond = sizes[some] - rank - 1
-                begin = np.repeat(starts[some] + rank + 1 - (np.cumsum(beyond) - beyond), beyond)
-                held += keep(np.repeat(owner[starts[some] + rank], beyond), owner[begin + np.arange(beyond.sum())])
-                if held > 1 << 20:
-                    yield pairs()
-                    held = 0
-        for place, row in visits(frame, unique):
-            more = (sizes[place] > last) & (mixed[place] | (least[place] != root[row]))
-            unfinished[row[more]] = True
-            full = np.zeros(len(starts), bool)
-            full[place[more]] = True
-            unfinished[owner[np.repeat(full, sizes)]] = True
-            for rank in range(first, min(last, int(sizes[place].max(initial=0)))):
-                some = sizes[place] > rank
-                held += keep(owner[starts[place[some]] + rank], row[some])
-                if held > 1 << 20:
-                    yield pairs()
-                    held = 0
-        if waiting:
-            yield pairs()
-        left = np.unique(node[unfinished])
-        give_back()
-        yield pd.DataFrame({"a": left, "b": pd.array([None] * len(left), "Int64")})
-
-    def smallest(frame):
-        """For each row's node, the smallest node of another root at any of its variants."""
-        import numpy as np
-        import pandas as pd
 
-        node, root = frame["node"].to_numpy(np.int64), frame["root"].to_numpy(np.int64)
-        none = np.iinfo(np.int64).max
-        keys, owner, starts = variants(frame)
-        sizes = np.diff(np.r_[starts, len(keys)])
-        first = owner[starts]  # rows within a variant are in the order of their nodes
-        other = np.where(root[owner] != np.repeat(root[first], sizes), node[owner], none)
-        second = np.minimum.reduceat(other, starts) if len(starts) else other
-        best = np.full(len(frame), none)
-
-        def told(rows, at):
-            np.minimum.at(best, rows, np.where(root[rows] != root[first[at]], node[first[at]], second[at]))
-
-        told(owner, np.repeat(np.arange(len(starts)), sizes))
-        for place, row in visits(frame, keys[starts]):
-            told(row, place)
-        kept = best < none
-        give_back()
-        return pd.DataFrame({"a": best[kept], "b": node[kept]})
-
-    if nearest:
-        return smallest
-    # Given here, as annotations of this module are strings.
-    ranked.__annotations__ = {"frames": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]}
-    return ranked if ranks else stars
-
-
-def near_groups(docs: DataFrame, shingle: int = 3, bits: int = 64, tables: int = 1, similarity: float | None = None) -> DataFrame:
+def near_groups(docs: DataFrame, shingle: int = 3, bits: int = 64, tables: int = 1) -> DataFrame:
     """``doc_id``, ``prints`` and ``component_id``, the smallest doc_id of the group.
 
     Two documents are linked if a fingerprint of both differs by three bits or
-    fewer and, where ``similarity`` is given, if the Jaccard likeness of their sets of
-    shingles is at least that; groups are what links connect. The share of differing
-    bits over all tables turns most false pairs away before texts are compared. Equal sketches,
-    or with ``similarity`` equal sets of shingles, are one node from the start, so exact
-    copies, however many, cost one row; other equal sketches are compared like any
-    pair. Rows without a doc_id make no group: they take that of an equal sketch or
-    set, or null. Repeated rows stay; no rows give none.
+    fewer; groups are what links connect. Equal sketches are one node from the start, so
+    exact copies, however many, cost one row. Rows without a doc_id make no group: they
+    take that of an equal sketch, or null. Repeated rows stay; no rows give none.
     """
-    key = "prints" if similarity is None else "key"
-    sketched = stored(sketches(docs, shingle, bits, tables, distinct=similarity is not None))
-    nodes = stored(
-        sketched.where("doc_id IS NOT NULL").groupBy(key).agg(F.min("doc_id").alias("node"), *[F.first("prints").alias("prints")] * (key != "prints"))
-    )
-    if similarity is None:
-        roots = components(links(nodes, bits))
-    else:
-        roots = _verified_groups(nodes, docs, shingle, bits, bits * tables, similarity)
-    named = nodes.join(roots, "node", "left").select(
-        key, F.coalesce("root", "node").alias("component_id")
-    )
-    return sketched.join(named, key, "left").select("doc_id", "prints", "component_id")
-
-
-def _verified_groups(nodes: DataFrame, docs: DataFrame, shingle: int, bits: int, width: int, similarity: float) -> DataFrame:
-    """``node`` and ``root`` of the groups that verified links connect.
-
-    First every node is compared with one other, the smallest of another group that it
-    meets anywhere, and groups are joined; that is repeated while it joins many. So
-    copies of one text, however many, are one group after as many comparisons as there
-    are copies, or a few times that.
-
-    Then rounds complete the search: a few more of those that meet at a variant are
-    compared with all others there that aren't in one group with them by then. The
-    rounds go on until each two that meet are compared or in one group, so a smallest
-    node unlike the others hides no pair. They grow by four times: their number is a
-    logarithm of the largest meeting, and a family of many unlike members, each pair
-    of which has to be compared, comes last.
-    """
-    ones = nodes.withColumn("root", F.col("node"))
-    nothing = ones.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    now, tried, joined, total = ones, nothing, nothing, nodes.count()
-
-    def compared(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        near = _likely(pairs, nodes, width, max(0.0, similarity - MARGIN)).distinct()
-        likely = stored(near.join(tried, ["a", "b"], "left_anti"))
-        return likely, stored(_verified(likely, docs, shingle, similarity))
-
-    while True:
-        likely, found = compared(links(now, bits, nearest=True))
-        tried, joined = tried.union(likely), joined.union(found)
-        roots = stored(components(joined))
-        now = stored(_rooted(nodes, roots))
-        if found.count() * MANY <= total:
-            break
-    first, last = 0, 1
-    while True:
-        met = stored(links(now, bits, (first, last)))
-        likely, found = compared(met.where("b IS NOT NULL"))
-        tried, joined = tried.union(likely), joined.union(found)
-        left = met.where("b IS NULL").select(F.col("a").alias("node")).distinct()
-        if not found.isEmpty():
-            roots = stored(components(joined))
-        if left.isEmpty():
-            return roots
-        now = stored(_rooted(nodes.join(left, "node", "left_semi"), roots))
-        first, last = last, 4 * last + 1
-
-
-def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    return nodes.join(roots, "node", "left").select("node", "prints", F.coalesce("root", "node").alias("root"))
-
-
-def _likely(found: DataFrame, nodes: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Links whose whole sketches differ as little as that likeness allows.
-
-    Shingle sets of Jaccard likeness J have cosine 2J / (1 + J), and a sketch bit
-    differs with probability acos(cosine) / pi.
-    """
-    from math import acos, floor, pi
-
-    most = floor(width * acos(2 * similarity / (1 + similarity)) / pi)
-    left = nodes.select(F.col("node").alias("a"), F.col("prints").alias("p"))
-    right = nodes.select(F.col("node").alias("b"), F.col("prints").alias("q"))
-    apart = F.aggregate(
-        F.zip_with("p", "q", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
-    )
-    return found.join(left, "a").join(right, "b").where(apart <= most).select("a", "b")
-
-
-def _verified(likely: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Links whose texts are as alike as that; only texts that stand in a link are read on."""
-    ends = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
-    texts = docs.select("doc_id", "text").join(ends, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    left, right = texts.toDF("a", "x"), texts.toDF("b", "y")
-    both = likely.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return both.mapInArrow(_alike(shingle, similarity), "a long, b long")
-
-
-def _alike(shingle: int, similarity: float):
-    def run(batches):
-        import pyarrow as pa
-
-        def shingles(text):
-            words = (text or b"").translate(LOWER_BYTES).split()
-            made = {b" ".join(g) for g in zip(*(words[i:] for i in range(shingle)))}
-            return made or ({b" ".join(words)} if words else set())
-
-        for part in pieces(batches):
-            keep, last, mine = [], None, set()
-            for x, y in zip(utf8(part.column(2)), utf8(part.column(3))):
-                if x != last:
-                    last, mine = x, shingles(x)
-                other = shingles(y)
-                same = len(mine & other)
-                keep.append(same >= similarity * (len(mine) + len(other) - same))
-            yield part.select([0, 1]).filter(pa.array(keep))
-
-    return giving_back(run)
+    sketched = stored(sketches(docs, shingle, bits, tables))
+    nodes = stored(sketched.where("doc_id IS NOT NULL").groupBy("prints").agg(F.min("doc_id").alias("node")))
+    roots = components(links(nodes, bits))
+    named = nodes.join(roots, "node", "left").select("prints", F.coalesce("root", "node").alias("component_id"))
+    return sketched.join(named, "prints", "left").select("doc_id", "prints", "component_id")
 
 
 def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
@@ -430,15 +209,11 @@ def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
     """Pipeline stage: the document with the smallest doc_id of each group stays.
 
-    Five-word shingles and a likeness of 0.8, which a single 64-bit fingerprint can't
-    reach within three bits: twelve fingerprints of 36 bits propose pairs, and all
-    432 bits turn false ones away before texts are compared. Rows without a doc_id
-    stay; of rows that repeat one, one stays.
+    Groups are those of ``near_groups`` as it stands: three-word shingles, 64 bits, and
+    three bits at most between fingerprints. Rows without a doc_id stay; of rows that
+    repeat one, one stays.
     """
-    kept = (
-        near_groups(docs, shingle=5, bits=36, tables=12, similarity=0.8)
-        .where("doc_id = component_id").select("doc_id").distinct()
-    )
+    kept = near_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
     known = documents(docs)
     once = (
         known.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct(*known.columns)).alias("row"))

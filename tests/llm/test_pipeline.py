@@ -16,7 +16,7 @@ ROOT = Path(__file__).resolve().parents[2]
 def test_registered():
     assert set(QUERIES) <= set(registered.queries())
     numbers = {int(name[2:].split("_")[0]) for name in QUERIES if name != "pipeline"}
-    assert numbers == set(range(1, 11)) and len(QUERIES) == 11
+    assert numbers == set(range(1, 14)) and len(QUERIES) == 14
 
 
 @pytest.mark.parametrize("name", sorted(name for name, (_, sql) in QUERIES.items() if sql))
