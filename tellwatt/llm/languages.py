@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tellwatt.llm.common import documents, giving_back, pieces, table
+from tellwatt.llm.common import documents, giving_back, pieces, stored, table
 
 #: Presence of n-grams of these lengths, in so many hashed places.
 LENGTHS = (1, 2, 3, 4)
@@ -14,6 +14,9 @@ PLACES = 1 << 15
 SAMPLE = 600
 LANDMARKS = 64
 RIDGE = 1e-3
+#: A language's smallest hashes are found in so many parts first; so many rows at most are broadcast.
+PARTS = 16
+BROADCAST_ROWS = 1 << 20
 UNKNOWN = "und"
 
 
@@ -76,9 +79,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS, ridge
     labelled = docs.where("lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}")).select(
         "lang", "text", F.xxhash64("text").alias("h")
     )
-    order = Window.partitionBy("lang").orderBy("h")
-    drawn = labelled.select("lang", "h").distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample)
-    once = labelled.join(drawn, ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    drawn = labelled.select("lang", "h").distinct().withColumn("part", F.pmod("h", F.lit(PARTS)))
+    # First in parts, so that a language with most of the texts doesn't come to one task.
+    for group in (["lang", "part"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*group).orderBy("h"))
+        drawn = drawn.withColumn("place", place).where(F.col("place") <= sample).drop("place")
+    drawn = stored(drawn.drop("part"))
+    once = labelled.join(F.broadcast(drawn) if drawn.count() <= BROADCAST_ROWS else drawn, ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     letters = docs.sparkSession.sparkContext.broadcast(_letters())
     held = once.mapInArrow(_presence(letters), "lang string, h long, grams binary").collect()
     rows = [(lang, bytes(grams)) for lang, _, grams in sorted(held)]

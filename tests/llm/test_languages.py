@@ -60,3 +60,20 @@ def test_stage_rejects_what_has_no_letter(spark, odd, rows):
     found = made.collect()
     assert len(found) == sum(any(c.isalpha() for c in t or "") for _, t in rows)
     assert all(r.lang for r in found)
+
+
+def test_hot_texts_neither_fill_the_sample_nor_hide_a_language(spark, monkeypatch):
+    """A text in a third of the rows is one row of the sample; a language of copies of one text is learned."""
+    from tellwatt.llm import languages
+
+    rows = labelled(900) + [(5000 + k, "ba do ri mu", "aa", "x", 1) for k in range(500)] + [(7000 + k, "żółć się", "dd", "x", 1) for k in range(50)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = fit(docs, sample=20, landmarks=10)
+    assert model["languages"] == ["aa", "bb", "cc", "dd"]
+    got = {r.doc_id: r.lang_pred for r in predict(docs, model).collect()}
+    assert got[7000] == "dd" and got[5000] == "aa"
+    # The same, whether the sample is broadcast or joined, and whatever the parts.
+    monkeypatch.setattr(languages, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(languages, "PARTS", 3)
+    again = fit(docs, sample=20, landmarks=10)
+    assert (again["weights"] == model["weights"]).all()
