@@ -34,27 +34,35 @@ ENDS = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+#: Any other block ends an open paragraph.
+PARAGRAPHS = ({"p"}, {"article", "section", "div", "td", "table", "button"})
 #: Share of the best path's ratio that a path must reach.
 THRESHOLD = 0.2
 #: First words by which a name tells of a part rather than marks it, as in has-sidebar.
 TELLING = frozenset("no not without hide hidden has have with is show".split())
 #: Elements whose names tell what they are about, not what part of the page they are.
 TITLES = frozenset("h1 h2 h3 h4 h5 h6 p".split())
-#: Parts out by name count after all if less than this share of the letters outside links is left without them.
-LEFT = 0.25
-#: What a name takes off a path's ratio then.
-LOWERED = 1 / 3
+#: Last words of names that hold such a part, as in comment-list or ad-container.
+HOLDERS = frozenset(
+    "list section body area inner outer posts articles stories news bar box container wrapper wrap block item items content text "
+    "links link row col column panel group unit slot zone region title thread author module holder entry message post main".split()
+)
+#: Parts that an article has too: article-header is one of its own.
+OWN = frozenset("header head footer foot masthead".split())
+#: What each step that a name or a form marks leaves of a path's ratio.
+LOWERED = 0.05
 
 
 def extractor():
     """A function from a page to its main text."""
+    import heapq
     import html
     import re
 
     token = re.compile(
         r"<!--.*?(?:-->|\Z)"
         r"|<(script|style|xmp)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-        r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)"
+        r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]+|=\s*(?:\"[^\"]*\"|'[^']*')?|[\"'])*+)(?:>|\Z)"
         r"|<[!?/][^>]*(?:>|\Z)",
         re.S | re.I,
     )
@@ -62,9 +70,12 @@ def extractor():
     word = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
     def marks(name: str) -> bool:
-        """Whether one name of a class or id, by its last word, marks a part outside the article."""
+        """Whether one name of a class or id marks a part outside the article, or what holds one."""
         parts = [w.lower() for w in word.findall(name)]
-        return bool(parts) and parts[-1] in OUTSIDE_NAMES and parts[0] not in TELLING and not INSIDE_NAMES & set(parts)
+        at = next((k for k, w in enumerate(parts) if w in OUTSIDE_NAMES), None)
+        if at is None or parts[0] in TELLING or parts[at] in OWN and INSIDE_NAMES & set(parts[:at]):
+            return False
+        return parts[-1] in OUTSIDE_NAMES or parts[-1] in HOLDERS
 
     def standing(tag: str, attributes: str, inside: bool) -> tuple[str, bool, bool, bool]:
         """An element's step in a path, whether it is out of the article, probably out by name, or a part of it by name."""
@@ -77,9 +88,11 @@ def extractor():
             key, value = key.lower(), "".join(values)
             if key in ("class", "id"):
                 names.append(value)
-                parts = {w.lower() for w in word.findall(value)}
-                soft = soft or tag not in TITLES and any(map(marks, value.split()))
-                hint = hint or bool(parts & INSIDE_NAMES)
+                for name in value.split():
+                    if marks(name):
+                        soft = soft or tag not in TITLES
+                    else:
+                        hint = hint or any(w.lower() in INSIDE_NAMES for w in word.findall(name))
             elif key == "role":
                 out = out or value.lower() in OUTSIDE_ROLES
                 hint = hint or value.lower() in INSIDE
@@ -93,39 +106,40 @@ def extractor():
             out, soft = out or soft, False
         return ".".join([tag, *sorted(names)]), out, soft, hint
 
-    def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str, int, bool]]:
-        """Path, whether a step of it is named as content, text, letters in links, and whether a step is probably out, for every block in reach."""
-        stack: list[tuple[str, str, bool, bool, bool]] = []  # tag, step, outside, probably so, hinted
-        found, texts, linked = [], [], 0
-        out = soft = hint = links = 0
+    def blocks(page: str):
+        """Paths as (parent, last step, marked steps, named as content), and the blocks as (path, text, letters in links)."""
+        paths, known = [(-1, "", 0, False)], {}
+        stack: list[tuple] = []  # tag, whether outside, path, path of what is around
+        places: dict[str, list[int]] = {}  # where each tag is open
+        found, texts, linked, out, here = [], [], 0, 0, 0
 
         def close() -> None:
             nonlocal texts, linked
             if texts:
                 text = " ".join(html.unescape("".join(texts)).split())
                 if text:
-                    path = tuple(step for tag, step, *_ in stack if tag not in INLINE)
-                    found.append((path, hint > 0, text, min(linked, len(text)), soft > 0))
+                    found.append((here, text, min(linked, len(text))))
             texts, linked = [], 0
 
         def pop(to: int) -> None:
-            nonlocal out, soft, hint, links
-            if any(tag not in INLINE for tag, *_ in stack[to:]):
+            nonlocal out, here
+            if any(e[0] not in INLINE for e in stack[to:]):
                 close()
             while len(stack) > to:
-                tag, _, outside, probably, hinted = stack.pop()
+                tag, outside, here = stack.pop()
+                places[tag].pop()
                 out -= outside
-                soft -= probably
-                hint -= hinted
-                links -= tag == "a"
 
         def hold(text: str) -> None:
             nonlocal linked
             if text and not out:
                 texts.append(text)
-                if links:
+                if places.get("a"):
                     linked += len(text)
 
+        def last(tags) -> int:
+            return max((places[t][-1] for t in tags if places.get(t)), default=-1)
+
         at = 0
         for match in token.finditer(page):
             hold(page[at:match.start()])
@@ -135,82 +149,100 @@ def extractor():
                 continue
             tag = tag.lower()
             if match.group(2):
-                place = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-                if place is not None:
-                    pop(place)
+                if places.get(tag):
+                    pop(places[tag][-1])
                 elif tag not in INLINE:
                     close()
                 continue
-            block = tag not in INLINE
-            if block:
+            if tag not in INLINE:
                 close()
-                if tag in ENDS:
-                    ended, bounds = ENDS[tag]
-                    for k in range(len(stack) - 1, -1, -1):
-                        if stack[k][0] in bounds:
-                            break
-                        if stack[k][0] in ended:
-                            pop(k)
-                            break
-                else:
-                    for k in range(len(stack) - 1, -1, -1):
-                        if stack[k][0] in ("article", "section", "div", "td", "table", "button"):
-                            break
-                        if stack[k][0] == "p":
-                            pop(k)
-                            break
+                ended, bounds = ENDS.get(tag, PARAGRAPHS)
+                place = last(ended)
+                if place > last(bounds):
+                    pop(place)
             elif tag == "br":
                 hold(" ")
             if tag not in VOID:
-                step, outside, probably, hinted = standing(tag, match.group(4), any(s[0] in INSIDE for s in stack) if tag == "header" else False)
-                stack.append((tag, step, outside, probably, hinted))
+                step, outside, marked, named = standing(tag, match.group(4), last(INSIDE) >= 0 if tag == "header" else False)
+                stack.append((tag, outside, here))
+                places.setdefault(tag, []).append(len(stack) - 1)
                 out += outside
-                soft += probably
-                hint += hinted
-                links += tag == "a"
+                if tag not in INLINE:
+                    key = here, step, marked, named
+                    if key not in known:
+                        known[key] = len(paths)
+                        paths.append((here, step, paths[here][2] + marked, paths[here][3] or named))
+                    here = known[key]
+                elif named and not paths[here][3]:
+                    key = here, "", False, True
+                    if key not in known:
+                        known[key] = len(paths)
+                        paths.append((here, "", paths[here][2], True))
+                    here = known[key]
         hold(page[at:])
         close()
-        return found
+        return paths, found
 
-    def ratios(found) -> dict[tuple[str, ...], float]:
-        """For every path, text and punctuation per block, fused, and smoothed along the page."""
-        sums: dict[tuple[str, ...], list] = {}
-        for path, hinted, text, linked, probably in found:
-            s = sums.setdefault(path, [0, 0, 0, 0, probably, hinted])
+    def ratios(paths, found) -> dict[int, float]:
+        """For every path with blocks, text and punctuation per block, smoothed along the page and fused with the names."""
+        sums: dict[int, list] = {}
+        for path, text, linked in found:
+            s = sums.setdefault(path, [0, 0, 0, 0])
             s[0] += 1
             s[1] += len(text)
             s[2] += sum(map(text.count, PUNCTUATION))
             s[3] += linked
-        fused = []
-        for count, letters, points, linked, probably, hinted in sums.values():
-            ratio = (letters / count) ** 0.5 * (1 + points / count) ** 0.5 * (1 - linked / letters)
-            fused.append(ratio * (3 if hinted else 1) * (LOWERED if probably else 1))
-        padded = [fused[0], *fused, fused[-1]]
-        smooth = [0.25 * a + 0.5 * b + 0.25 * c for a, b, c in zip(padded, padded[1:], padded[2:])]
-        return {path: min(f, s) if h is False and f == 0 else s for (path, (*_, h)), f, s in zip(sums.items(), fused, smooth)}
+        plain = [
+            (letters / count) ** 0.5 * (1 + points / count) ** 0.5 * (1 - linked / letters)
+            for count, letters, points, linked in sums.values()
+        ]
+        padded = [plain[0], *plain, plain[-1]]
+        fewest = min(paths[path][2] for path in sums)
+        made = {}
+        for path, a, b, c in zip(sums, padded, padded[1:], padded[2:]):
+            _, _, marked, named = paths[path]
+            smooth = 0.25 * a + 0.5 * b + 0.25 * c if b or named else 0.0
+            made[path] = smooth * (3 if named and marked == fewest else 1) * LOWERED ** (marked - fewest)
+        return made
+
+    def shared(paths, some) -> int:
+        """The longest path that all of these go on from."""
+        some = set(some)
+        # A path's number is larger than that of what it goes on from.
+        heap = [-p for p in some]
+        heapq.heapify(heap)
+        while len(some) > 1:
+            path = -heapq.heappop(heap)
+            some.discard(path)
+            parent = paths[path][0]
+            if parent not in some:
+                some.add(parent)
+                heapq.heappush(heap, -parent)
+        return some.pop()
 
     def extract(page: str | None) -> str:
-        found = blocks(page or "")
+        paths, found = blocks(page or "")
         if not found:
             return ""
-        plain = [b for b in found if not b[4]]
-        if plain and sum(len(b[2]) - b[3] for b in plain) >= LEFT * sum(len(b[2]) - b[3] for b in found):
-            found = plain
-        ratio = ratios(found)
+        ratio = ratios(paths, found)
         least = THRESHOLD * max(ratio.values())
         chosen = {path for path, r in ratio.items() if r >= least}
-        named = {path for path, hinted, *_ in found if hinted and path in chosen}
-        # What the best paths have in common is the article; all in it belongs to it.
-        best = list(named or chosen)
-        root = best[0]
-        for path in best[1:]:
-            root = root[: next((k for k, (a, b) in enumerate(zip(root, path)) if a != b), min(len(root), len(path)))]
-        whole = [s.split(".")[0] for s in root]
-        if named or whole and whole[-1] not in ("html", "body"):
-            inside = [t for path, _, t, *_ in found if path[: len(root)] == root and (len(root) > 2 or path in chosen)]
+        fewest = min(paths[path][2] for path in ratio)
+        named = {path for path in chosen if paths[path][3] and paths[path][2] == fewest}
+        # What the best paths have in common is the article; all in it belongs to it but for what names mark.
+        root = shared(paths, named or chosen)
+        tag = paths[root][1].split(".")[0]
+        if named or tag not in ("", "html", "body"):
+            inside = [False] * len(paths)
+            for path, (parent, _, marked, _) in enumerate(paths):
+                below = path == root or path > root and parent >= 0 and inside[parent]
+                inside[path] = below
+            kept = {path for path in ratio if inside[path] and (path in chosen or paths[path][2] == paths[root][2])}
+            if tag in ("", "html", "body"):
+                kept &= chosen
         else:
-            inside = [t for path, _, t, *_ in found if path in chosen or path[-1:] and path[-1].split(".")[0] in ("h1", "h2", "h3")]
-        return "\n".join(inside)
+            kept = {path for path in ratio if path in chosen or paths[path][1].split(".")[0] in ("h1", "h2", "h3")}
+        return "\n".join(text for path, text, _ in found if path in kept)
 
     return extract
 
@@ -220,14 +252,14 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     A page is cut into blocks, runs of text between block elements, each under its
     path of tags with their class and id names. Per path, the letters and the
-    punctuation of a block are averaged, fused with the share of text outside links
-    and with what the names say, smoothed along the page, and paths below a share of
+    punctuation of a block are averaged, taken with the share of text outside links,
+    smoothed along the page and fused with what the names say; paths below a share of
     the best are dropped. What the remaining paths, those named as content first, have
-    in common is the article, and every block in it is kept. Parts that tags or
-    roles mark as menus, headers, footers, sidebars or notices take no part at any step,
-    nor do scripts and styles. Forms, and parts that the last word of a class or id name
-    marks, take none either, unless little is left without them: then names only lower
-    a path's ratio.
+    in common is the article, and every block in it is kept but those that names mark
+    and whose paths were dropped. Parts that tags or roles mark as menus, headers,
+    footers, sidebars or notices take no part at any step, nor do scripts and styles. Forms,
+    and parts that a class or id name marks, only have their path's ratio lowered, so
+    a page that lies in such a part as a whole is read like any other.
 
     Character references are decoded, white space within a block becomes one space,
     and blocks are joined by line feeds. Null and empty pages, and pages without such

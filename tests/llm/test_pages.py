@@ -50,3 +50,32 @@ def test_names_do_not_lose_the_article(page):
 def test_headings_named_like_other_parts_stay():
     page = "<article><h2 id='discussion'>Said of it</h2><p>One, two. Three.</p><section id='related-work'><p>Four, five. Six.</p></section></article>"
     assert extractor()(page) == "Said of it\nOne, two. Three.\nFour, five. Six."
+
+
+@pytest.mark.parametrize("part", [
+    "div class='comment-list'", "section id='comments-section'", "div class='comment-body'", "div class='sidebar-inner'", "div class='related-posts'",
+    "div class='cookie-bar'", "div class='newsletter-box'", "div class='ad-container'", "div class='post-comments'", "form action=x",
+])
+@pytest.mark.parametrize("page", [
+    "<body>{nav}<article>{a}{part}</article></body>", "<body>{part}<div class=wrap><div>{a}</div></div>{nav}</body>",
+    "<body><div id=content>{part}{a}</div></body>", "<body>{nav}<form><div class='post'>{a}{part}</div></form></body>",
+])
+def test_marked_parts_stay_out(page, part):
+    inner = "<p>I think, that is so. And, what is more, it always was.</p><div><p>So, say others. Again, and again.</p></div>"
+    made = f"<{part}>{inner}</{part.split()[0]}>"
+    assert extractor()(page.format(a=ARTICLE, nav=NAV, part=made)) == TEXT
+
+
+def test_quoted_ends_of_tags():
+    extract = extractor()
+    assert extract("<article><p>One <img alt='a > b'>two.</p><p title=\"x>y\" data-a = '>'>Three.</p></article>") == "One two.\nThree."
+    assert extract("<article><p class=it's>One.</p><p class=\">Two.</p></article>") == "One.\nTwo."
+
+
+@pytest.mark.parametrize("opened", ["<blockquote>", "<b><p>", "<div>", "<li>", "<b>", "<div>x", "<p><b>x", "<ul><li>x", "</p>", "<a x='"])
+def test_deep_pages_take_time_in_proportion(opened):
+    from time import process_time
+
+    extract, start = extractor(), process_time()
+    extract("<article>" + opened * 50000 + "end, of it.")
+    assert process_time() - start < 3
