@@ -16,8 +16,12 @@ PIECE_BITS = 20
 SHARD_BYTES = 1 << 26
 #: Bits of the set of documents that lose words, as a power of two: 8 MB.
 TOUCHED_BITS = 26
-#: Windows that a task gathers before it passes them on.
+#: The same of one row's piece of that set.
+TOUCHED_PIECE_BITS = 20
+#: Windows that a task gathers before it passes them on, and before it passes on its counters:
+#: the more at a time, the smaller the gaps between these.
 UNIT = 1 << 20
+COUNTED = 1 << 21
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, width_bits: int = WIDTH_BITS) -> DataFrame:
@@ -72,11 +76,16 @@ def _touched(found: DataFrame):
     """A bitmap of fixed size that has every document with windows to remove, and few others."""
     import numpy as np
 
-    cells = found.select("load").mapInArrow(_cells(), "cell long, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits"))
-    got = cells.toArrow()
-    bitmap = np.zeros(1 << (TOUCHED_BITS - 6), np.uint64)
-    bitmap[got.column("cell").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
-    return bitmap
+    pieces_ = (
+        found.select("load").mapInArrow(_marked(), "piece int, bits binary")
+        .repartition(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), "piece")
+        .sortWithinPartitions("piece").mapInArrow(_united(), "piece int, bits binary")
+    )
+    size = 1 << (TOUCHED_PIECE_BITS - 3)
+    bitmap = np.zeros(1 << (TOUCHED_BITS - 3), np.uint8)
+    for piece, bits in pieces_.toLocalIterator():  # 8 MB in all
+        bitmap[piece * size:(piece + 1) * size] = np.frombuffer(unpacked(bits)[0], np.uint8)
+    return bitmap.view(np.uint64)
 
 
 def _document_places(ids):
@@ -86,20 +95,47 @@ def _document_places(ids):
     return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - TOUCHED_BITS)
 
 
-def _cells():
+def _marked():
+    """A task's documents as the pieces of its bitmap that have any, packed."""
+
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
+        bitmap = np.zeros(1 << (TOUCHED_BITS - 6), np.uint64)
         for batch in pieces(batches, 16):
-            ids = [np.unique(unpacked(load)[0]) for load in batch.column(0).to_pylist()]
-            places = _document_places(np.concatenate(ids)) if ids else np.zeros(0, np.uint64)
-            cell = (places >> np.uint64(6)).astype(np.int64)
-            order = np.argsort(cell, kind="stable")
-            starts = np.flatnonzero(np.diff(cell[order], prepend=-1))
-            bits = (np.uint64(1) << (places & np.uint64(63)))[order]
-            bits = np.bitwise_or.reduceat(bits, starts) if len(starts) else bits
-            yield pa.RecordBatch.from_arrays([pa.array(cell[order][starts]), pa.array(bits.view(np.int64))], ["cell", "bits"])
+            for load in batch.column(0).to_pylist():
+                places = _document_places(np.unique(unpacked(load)[0]))
+                np.bitwise_or.at(bitmap, places >> np.uint64(6), np.uint64(1) << (places & np.uint64(63)))
+        rows = bitmap.reshape(-1, 1 << (TOUCHED_PIECE_BITS - 6))
+        some = np.flatnonzero(rows.any(1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some, pa.int32()), pa.array([packed(rows[k].view(np.uint8)) for k in some], pa.binary())], ["piece", "bits"]
+        )
+
+    return giving_back(run)
+
+
+def _united():
+    """Unites the rows of a piece as they come by."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([packed(bits)], pa.binary())], ["piece", "bits"])
+
+        now, bits = None, None
+        for batch in batches:
+            for piece, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if piece != now:
+                    if now is not None:
+                        yield out()
+                    now, bits = piece, unpacked(data)[0]
+                else:
+                    bits = bits | unpacked(data)[0]
+        if now is not None:
+            yield out()
 
     return giving_back(run)
 
@@ -300,7 +336,7 @@ def _counters(window: int, width_bits: int, piece_bits: int):
             for _, _, h, _ in windows(utf8(part.column(1))):
                 held.append(h)
                 count += len(h)
-                if count >= UNIT:
+                if count >= COUNTED:
                     yield sent()
                     held, count = [], 0
         if held:
