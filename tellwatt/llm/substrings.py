@@ -18,10 +18,8 @@ SHARD_BYTES = 1 << 26
 TOUCHED_BITS = 26
 #: The same of one row's piece of that set.
 TOUCHED_PIECE_BITS = 20
-#: Windows that a task gathers before it passes them on, and before it passes on its counters:
-#: the more at a time, the smaller the gaps between these.
+#: Windows that a task gathers before it passes them on.
 UNIT = 1 << 20
-COUNTED = 1 << 21
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, width_bits: int = WIDTH_BITS) -> DataFrame:
@@ -336,7 +334,7 @@ def _counters(window: int, width_bits: int, piece_bits: int):
             for _, _, h, _ in windows(utf8(part.column(1))):
                 held.append(h)
                 count += len(h)
-                if count >= COUNTED:
+                if count >= UNIT:
                     yield sent()
                     held, count = [], 0
         if held:
