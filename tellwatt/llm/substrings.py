@@ -14,10 +14,10 @@ WIDTH_BITS = 28
 PIECE_BITS = 20
 #: Bytes of text whose windows one task settles, on average.
 SHARD_BYTES = 1 << 26
-#: Bits of the set of documents that lose words, as a power of two: 8 MB.
-TOUCHED_BITS = 26
+#: Bits of a set of documents, as a power of two: 8 MB.
+SET_BITS = 26
 #: The same of one row's piece of that set.
-TOUCHED_PIECE_BITS = 20
+SET_PIECE_BITS = 20
 #: Windows that a task gathers before it passes them on.
 UNIT = 1 << 20
 
@@ -42,22 +42,26 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, width_bits: int = WIDT
 
     A task first settles its windows among themselves and sends each only from its
     smallest document, so a passage in a third of all documents is sent once a task.
-    Only documents that lose words are shuffled, and the few that a bitmap of fixed size
-    takes for such; others stay where they are.
+    Windows are sent in the order of their documents, each document once for all its
+    windows in a row. Texts are told apart by a hash only under ids that repeat, or that
+    a bitmap of fixed size takes for such. Only documents that lose words are shuffled,
+    and the few that another such bitmap takes for them; others stay where they are.
     """
     spark = docs.sparkSession
     plain = docs.select("doc_id", "text")
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES)) | 1
     seen = spark.sparkContext.broadcast(_sketch(plain, window, width_bits))
+    often = plain.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = spark.sparkContext.broadcast(_set_of(often, lambda ids: ids))
     sent = plain.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(
-        _candidates(window, width_bits, shards, seen), "shard int, settled boolean, load binary"
+        _candidates(window, width_bits, shards, seen, repeated), "shard int, settled boolean, load binary"
     )
     found = stored(
         sent.repartition(shards, "shard").sortWithinPartitions("shard")
         .mapInArrow(_settle(shards), "shard_ int, load binary")
     )
-    touched = spark.sparkContext.broadcast(_touched(found))
+    touched = spark.sparkContext.broadcast(_set_of(found.select("load"), lambda load: _from_load(load)[0]))
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
     result = f"{schema}, n_words long, n_removed long, kept string"
     at = docs.columns.index("doc_id"), docs.columns.index("text")
@@ -66,21 +70,21 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, width_bits: int = WIDT
     shard = F.pmod(F.col("doc_id").bitwiseXOR(F.shiftright("doc_id", 13)), F.lit(shards)).cast("int")
     return whole.union(
         chosen.withColumn("shard_", shard).groupBy("shard_").cogroup(found.groupBy("shard_"))
-        .applyInArrow(_remove(window), result)
+        .applyInArrow(_remove(window, repeated), result)
     )
 
 
-def _touched(found: DataFrame):
-    """A bitmap of fixed size that has every document with windows to remove, and few others."""
+def _set_of(rows: DataFrame, ids_of):
+    """A bitmap of fixed size that has every document that ``ids_of`` finds in a value, and few others."""
     import numpy as np
 
     pieces_ = (
-        found.select("load").mapInArrow(_marked(), "piece int, bits binary")
-        .repartition(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), "piece")
+        rows.mapInArrow(_marked(ids_of), "piece int, bits binary")
+        .repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "piece")
         .sortWithinPartitions("piece").mapInArrow(_united(), "piece int, bits binary")
     )
-    size = 1 << (TOUCHED_PIECE_BITS - 3)
-    bitmap = np.zeros(1 << (TOUCHED_BITS - 3), np.uint8)
+    size = 1 << (SET_PIECE_BITS - 3)
+    bitmap = np.zeros(1 << (SET_BITS - 3), np.uint8)
     for piece, bits in pieces_.toLocalIterator():  # 8 MB in all
         bitmap[piece * size:(piece + 1) * size] = np.frombuffer(unpacked(bits)[0], np.uint8)
     return bitmap.view(np.uint64)
@@ -90,22 +94,24 @@ def _document_places(ids):
     import numpy as np
 
     h = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - TOUCHED_BITS)
+    return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - SET_BITS)
 
 
-def _marked():
+def _marked(ids_of):
     """A task's documents as the pieces of its bitmap that have any, packed."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        bitmap = np.zeros(1 << (TOUCHED_BITS - 6), np.uint64)
-        for batch in pieces(batches, 16):
-            for load in batch.column(0).to_pylist():
-                places = _document_places(np.unique(unpacked(load)[0]))
+        bitmap = np.zeros(1 << (SET_BITS - 6), np.uint64)
+        for batch in pieces(batches, 1024):
+            column = batch.column(0)
+            found = [ids_of(x) for x in column.to_pylist()] if pa.types.is_binary(column.type) else [column.to_numpy()]
+            for ids in found:
+                places = _document_places(np.unique(ids))
                 np.bitwise_or.at(bitmap, places >> np.uint64(6), np.uint64(1) << (places & np.uint64(63)))
-        rows = bitmap.reshape(-1, 1 << (TOUCHED_PIECE_BITS - 6))
+        rows = bitmap.reshape(-1, 1 << (SET_PIECE_BITS - 6))
         some = np.flatnonzero(rows.any(1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(some, pa.int32()), pa.array([packed(rows[k].view(np.uint8)) for k in some], pa.binary())], ["piece", "bits"]
@@ -139,7 +145,7 @@ def _united():
 
 
 def _in_bitmap(column, bitmap):
-    """Which rows of a column of ids may be touched; null is not."""
+    """Which rows of a column of ids may be in a set; null is not."""
     import numpy as np
 
     places = _document_places(np.array(column.fill_null(0)))
@@ -199,10 +205,10 @@ def _sketch(docs: DataFrame, window: int, width_bits: int) -> list:
     return [rows[0], rows[1]]
 
 
-def _hasher(window: int):
-    """A function from texts to each window's text number, first word and two hashes.
+def _hasher(window: int, hashes: int = 2):
+    """A function from texts to each window's text number, first word and hashes.
 
-    Words are hashed by XXH64 with two seeds, and a window's hashes are polynomials of
+    Words are hashed by XXH64, with a seed for each hash, and a window's hashes are polynomials of
     its words' modulo 2**64, each the difference of two prefix sums divided by the power
     where the window begins. So white space doesn't count, no structure of letters makes
     windows equal, and windows cost no more than words.
@@ -254,7 +260,7 @@ def _hasher(window: int):
         since = np.cumsum(length) - length
         begin = np.arange(total) + np.repeat(since - (np.cumsum(number) - number), number)
         made = []
-        for k in range(2):
+        for k in range(hashes):
             power, inverse = grown(k, len(ids) + 1)
             word = np.fromiter((xxh64_intdigest(w, k) for w in named), np.uint64, len(named))
             sums = np.zeros(len(ids) + 1, np.uint64)
@@ -288,21 +294,75 @@ def _places(h, width_bits: int):
 
 
 def _gaps(numbers) -> bytes:
-    """Ascending numbers as gaps: a byte below 255 ends one, each 255 adds to it."""
+    """Ascending numbers as gaps: their number, a byte of each, and what is above it in unary bits."""
     import numpy as np
 
     gaps = np.diff(numbers.astype(np.int64), prepend=0)
-    full = gaps // 255
-    out = np.full(int(full.sum()) + len(gaps), 255, np.uint8)
-    out[np.cumsum(full + 1) - 1] = gaps % 255
-    return out.tobytes()
+    ends = np.cumsum((gaps >> 8) + 1) - 1
+    unary = np.zeros(int(ends[-1]) + 1 if len(ends) else 0, np.uint8)
+    unary[ends] = 1
+    return len(gaps).to_bytes(4, "little") + gaps.astype(np.uint8).tobytes() + np.packbits(unary).tobytes()
 
 
 def _from_gaps(data: bytes):
     import numpy as np
 
-    raw = np.frombuffer(data, np.uint8)
-    return np.cumsum(raw, dtype=np.int64)[raw < 255]
+    number = int.from_bytes(data[:4], "little")
+    ends = np.flatnonzero(np.unpackbits(np.frombuffer(data[4 + number:], np.uint8)))
+    return np.cumsum((np.diff(ends, prepend=-1) - 1 << 8) + np.frombuffer(data[4:4 + number], np.uint8))
+
+
+#: What a load has of each run of windows of one text, and of each window.
+OF_RUN, OF_WINDOW = ("<i8", "<u8", "<u4"), ("<u4", "<u8", "<u4")
+
+
+def _to_load(doc, mark, word, *hashes) -> bytes:
+    """Windows packed: id, mark and length of each run of one text; steps between first words; hashes.
+
+    Each byte's place is a plane of its own: none if all are zero, else compressed or as it is.
+    """
+    import numpy as np
+    import zstandard
+
+    new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])])
+    steps = np.diff(word, prepend=word[:1])
+    steps[new] = word[new]
+    columns = [doc[new], mark[new], np.diff(np.r_[new, len(doc)]), steps, *hashes]
+    squeeze, lengths, planes = zstandard.ZstdCompressor(level=1), [len(new), len(doc)], []
+    for column, kind in zip(columns, OF_RUN + OF_WINDOW):
+        for plane in column.astype(kind).view(np.uint8).reshape(len(column), -1).T:
+            raw = plane.tobytes() if plane.any() else b""
+            small = squeeze.compress(raw)
+            planes.append(small if len(small) < len(raw) else raw)
+            lengths.append(len(planes[-1]))
+    head = zstandard.ZstdCompressor(level=1).compress(np.array(lengths, "<u4").tobytes())
+    return len(head).to_bytes(4, "little") + head + b"".join(planes)
+
+
+def _from_load(data: bytes) -> list:
+    """Id, mark and first word of each window of a load, and its hashes if it has any."""
+    import numpy as np
+    import zstandard
+
+    spread, at = zstandard.ZstdDecompressor(), 4 + int.from_bytes(data[:4], "little")
+    runs, windows, *lengths = np.frombuffer(spread.decompress(data[4:at]), "<u4").tolist()
+    columns, lengths = [], iter(lengths)
+    for kind, number in zip(OF_RUN + OF_WINDOW, [runs] * len(OF_RUN) + [windows] * len(OF_WINDOW)):
+        planes = np.zeros((number, np.dtype(kind).itemsize), np.uint8)
+        for k in range(planes.shape[1]):
+            if (length := next(lengths, None)) is None:
+                break
+            if length:
+                raw = data[at:at + length]
+                planes[:, k] = np.frombuffer(raw if length == number else spread.decompress(raw), np.uint8)
+                at += length
+        else:
+            columns.append(planes.view(kind).ravel())
+    doc, mark, number, steps, *hashes = columns
+    word = np.cumsum(steps, dtype=np.uint32)
+    new = np.cumsum(number, dtype=np.int64) - number
+    word -= np.repeat(word[new] - steps[new], number)
+    return [np.repeat(doc, number), np.repeat(mark, number), word, *hashes]
 
 
 def _counters(window: int, width_bits: int, piece_bits: int):
@@ -310,7 +370,7 @@ def _counters(window: int, width_bits: int, piece_bits: int):
         import numpy as np
         import pyarrow as pa
 
-        windows = _hasher(window)
+        windows = _hasher(window, 1)
         held, count = [], 0
 
         def sent():
@@ -331,7 +391,7 @@ def _counters(window: int, width_bits: int, piece_bits: int):
             )
 
         for part in pieces(batches):
-            for _, _, h, _ in windows(utf8(part.column(1))):
+            for _, _, h in windows(utf8(part.column(1))):
                 held.append(h)
                 count += len(h)
                 if count >= UNIT:
@@ -372,25 +432,28 @@ def _merge(piece_bits: int):
     return giving_back(run)
 
 
-def _text_mark(text: bytes) -> int:
-    """Tells apart texts under one doc_id."""
+def _text_marks(ids, texts: list, repeated) -> list[int]:
+    """Tells apart texts under one doc_id; zero where no other row has the doc_id."""
     from xxhash import xxh64_intdigest
 
-    return xxh64_intdigest(text)
+    return [xxh64_intdigest(t or b"") if often else 0 for t, often in zip(texts, _in_bitmap(ids, repeated).tolist())]
 
 
 def _first_doc(h1, h2, doc):
     """Order of windows by hash, where each hash begins, and its smallest document for each window in that order."""
     import numpy as np
 
-    order = np.lexsort((h2, h1))
+    order = np.argsort(h1, kind="stable")
     a, b = h1[order], h2[order]
+    if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():
+        order = np.lexsort((h2, h1))
+        a, b = h1[order], h2[order]
     starts = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
     least = np.minimum.reduceat(doc[order], starts)
     return order, starts, np.repeat(least, np.diff(np.r_[starts, len(order)]))
 
 
-def _candidates(window: int, width_bits: int, shards: int, sketch):
+def _candidates(window: int, width_bits: int, shards: int, sketch, repeated):
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -411,13 +474,13 @@ def _candidates(window: int, width_bits: int, shards: int, sketch):
             mine = doc[order] == least
             keep = np.sort(order[mine])  # by document and word again, which packs better
             shard, settled, load = [], [], []
-            to = ((h1[keep] >> np.uint64(20)) % np.uint64(shards)).astype(np.int64)
+            to = (h1[keep] % np.uint64(shards)).astype(np.int64)
             by = np.argsort(to, kind="stable")
             for at in np.split(by, np.flatnonzero(np.diff(to[by])) + 1):
                 at_ = keep[at]
                 shard.append(int(to[at[0]]))
                 settled.append(False)
-                load.append(packed(doc[at_], mark[at_], word[at_], h1[at_], h2[at_]))
+                load.append(_to_load(doc[at_], mark[at_], word[at_], h1[at_] // np.uint64(shards), h2[at_]))
             gone = np.sort(order[~mine])
             if len(gone):
                 for s, data in _by_shard(doc[gone], mark[gone], word[gone], shards):
@@ -431,7 +494,7 @@ def _candidates(window: int, width_bits: int, shards: int, sketch):
         for part in pieces(batches):
             ids = part.column(0).to_numpy()
             texts = utf8(part.column(1))
-            marks = np.array([_text_mark(t) for t in texts], np.uint64)
+            marks = np.array(_text_marks(part.column(0), texts, repeated.value), np.uint64)
             for text, word, h1, h2 in windows(texts):
                 ok = twice(h1)
                 text = text[ok]
@@ -453,7 +516,7 @@ def _by_shard(doc, mark, word, shards: int):
     to = (doc ^ (doc >> 13)) % shards
     by = np.argsort(to, kind="stable")
     for at in np.split(by, np.flatnonzero(np.diff(to[by])) + 1):
-        yield int(to[at[0]]), packed(doc[at], mark[at], word[at])
+        yield int(to[at[0]]), _to_load(doc[at], mark[at], word[at])
 
 
 def _settle(shards: int):
@@ -469,7 +532,7 @@ def _settle(shards: int):
             )
 
         def settled(loads):
-            doc, mark, word, h1, h2 = (np.concatenate(c) for c in zip(*map(unpacked, loads)))
+            doc, mark, word, h1, h2 = (np.concatenate(c) for c in zip(*map(_from_load, loads)))
             order, _, least = _first_doc(h1, h2, doc)
             gone = np.sort(order[doc[order] > least])
             return list(_by_shard(doc[gone], mark[gone], word[gone], shards)) if len(gone) else []
@@ -491,13 +554,13 @@ def _settle(shards: int):
     return giving_back(run)
 
 
-def _remove(window: int):
+def _remove(window: int, repeated):
     def run(docs, found):
         import numpy as np
         import pyarrow as pa
 
         docs = docs.drop_columns(["shard_"])
-        loads = [unpacked(x) for x in found.column("load").to_pylist()]
+        loads = [_from_load(x) for x in found.column("load").to_pylist()]
         at: dict = {}
         if loads:
             doc, mark, word = (np.concatenate(c) for c in zip(*loads))
@@ -507,9 +570,10 @@ def _remove(window: int):
             for a, b in zip(starts, [*starts[1:], len(doc)]):
                 at[int(doc[a]), int(mark[a])] = word[a:b]
         n_words, n_removed, kept = [], [], []
-        for id_, text in zip(docs.column("doc_id").to_pylist(), utf8(docs.column("text"))):
+        ids, texts = docs.column("doc_id").combine_chunks(), utf8(docs.column("text"))
+        for id_, text, mark in zip(ids.to_pylist(), texts, _text_marks(ids, texts, repeated.value)):
             text = text or b""
-            first = at.get((id_, _text_mark(text)))
+            first = at.get((id_, mark))
             total, gone, parts = 0, 0, []
             for words in word_lists(text):
                 if first is not None:

@@ -5,7 +5,7 @@ import pytest
 
 from tellwatt.llm import substrings
 from tellwatt.llm.common import packed, unpacked
-from tellwatt.llm.substrings import _from_gaps, _gaps, _hasher, op4_substrings, remove_repeats, substring_dedup
+from tellwatt.llm.substrings import _from_gaps, _from_load, _gaps, _hasher, _to_load, op4_substrings, remove_repeats, substring_dedup
 
 
 def removed(rows, window=50):
@@ -66,6 +66,21 @@ def test_codes_round_trip():
     assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(columns, unpacked(packed(*columns))))
 
 
+def test_loads_round_trip():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 3000):
+        doc = np.sort(rng.integers(-9, 9, n)) * (1 << 40)
+        mark = np.where(doc > 0, doc.astype(np.uint64), np.uint64(0))
+        word = rng.integers(0, 1 << 20, n).astype(np.uint32)  # in any order
+        h1, h2 = rng.integers(0, 1 << 63, n).astype(np.uint64), rng.integers(0, 1 << 32, n).astype(np.uint32)
+        for columns in ((doc, mark, word), (doc, mark, word, h1, h2)):
+            again = _from_load(_to_load(*columns))
+            assert len(again) == len(columns)
+            assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(columns, again))
+
+
 def test_empty(spark, none):
     assert op4_substrings(spark, none).collect() == []
 
