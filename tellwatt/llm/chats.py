@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,13 +14,18 @@ START, END = "<|im_start|>", "<|im_end|>"
 TURNS = "array<struct<role:string,text:string>>"
 
 
+#: Fields that any record, or any object of its array, may have beside those of its layout.
+OPTIONAL = ("id", "metadata", "name", "source", "weight")
+ADDED = ("layout", "turns", "reason", "paths_")
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where a layout of chat records keeps its turns.
 
-    Either ``fields``, pairs of a role and the field with its text, in turn order; or
-    ``items``, an array of objects, whose fields ``role`` and ``text`` name these, with
-    ``roles`` to translate role names.
+    Either ``fields``, pairs of a role and the field with its text, in turn order, where
+    fields of one role in a row make one turn; or ``items``, an array of objects, whose
+    fields ``role`` and ``text`` name these, with ``roles`` to translate role names.
     """
 
     fields: tuple[tuple[str, str], ...] = ()
@@ -28,27 +34,38 @@ class Layout:
     text: str = ""
     roles: dict[str, str] = field(default_factory=dict)
 
-    def paths(self) -> str:
+    def names(self) -> list[str]:
+        return [name for _, name in self.fields] or [self.items]
+
+    def schemas(self) -> list[str]:
+        """The field paths of its records: texts plain, in parts or both, and no object at all."""
         if self.fields:
-            return ";".join(sorted(name for _, name in self.fields))
-        return f"{self.items}[{','.join(sorted((self.role, self.text)))}]"
+            return [";".join(sorted(self.names()))]
+        role, plain = f"{self.items}[].{self.role}", f"{self.items}[].{self.text}"
+        parts = f"{plain}[text,type]"
+        return [";".join(sorted(p)) for p in ([role, plain], [role, parts], [role, plain, parts], [f"{self.items}[]"])]
 
     def turns(self, record: str) -> Column:
         if self.fields:
-            names = ", ".join(f"`{name}` string" for _, name in self.fields)
-            read = F.from_json(record, names)
-            made = [F.struct(F.lit(role).alias("role"), F.coalesce(read[name], F.lit("")).alias("text")) for role, name in self.fields]
+            read = F.from_json(record, ", ".join(f"`{name}` string" for name in self.names()))
+            made = []
+            for role, run in groupby(self.fields, lambda f: f[0]):
+                texts = [F.coalesce(read[name], F.lit("")) for _, name in run]
+                text = texts[0] if len(texts) == 1 else F.array_join(F.filter(F.array(*texts), lambda t: t != ""), "\n\n")
+                made.append(F.struct(F.lit(role).alias("role"), text.alias("text")))
             return F.array(*made).cast(TURNS)
-        read = F.from_json(record, f"`{self.items}` array<struct<`{self.role}` string, `{self.text}` string>>")
         names = F.create_map(*[F.lit(x) for pair in self.roles.items() for x in pair]) if self.roles else None
 
         def turn(item: Column) -> Column:
-            role = F.coalesce(item[self.role], F.lit(""))
+            read = F.from_json(item, f"`{self.role}` string, `{self.text}` string")
+            parts = F.from_json(item, f"`{self.text}` array<struct<text:string>>")[self.text]
+            joined = F.array_join(F.transform(parts, lambda p: F.coalesce(p["text"], F.lit(""))), "\n")
+            role = F.coalesce(read[self.role], F.lit(""))
             if names is not None:
                 role = F.coalesce(names[role], role)
-            return F.struct(role.alias("role"), F.coalesce(item[self.text], F.lit("")).alias("text"))
+            return F.struct(role.alias("role"), F.coalesce(joined, read[self.text], F.lit("")).alias("text"))
 
-        return F.transform(read[self.items], turn).cast(TURNS)
+        return F.transform(_objects(record, [self.items])[self.items], turn).cast(TURNS)
 
 
 #: Layouts that chat data comes in.
@@ -57,6 +74,7 @@ LAYOUTS = {
     "completion": Layout(fields=(("user", "prompt"), ("assistant", "completion"))),
     "question": Layout(fields=(("user", "question"), ("assistant", "answer"))),
     "instruction": Layout(fields=(("user", "instruction"), ("assistant", "output"))),
+    "instruction_input": Layout(fields=(("user", "instruction"), ("user", "input"), ("assistant", "output"))),
     "system_question": Layout(fields=(("system", "system_prompt"), ("user", "question"), ("assistant", "response"))),
     "messages": Layout(items="messages", role="role", text="content"),
     "conversations": Layout(
@@ -66,32 +84,86 @@ LAYOUTS = {
 }
 
 
-def field_paths(record: str) -> Column:
-    """The record's field names in order, those that hold arrays with their objects' names in brackets."""
+def _objects(record: str | Column, names: list[str], kind: str = "array<string>") -> Column:
+    """Fields of a JSON object that hold arrays, their elements as JSON; null where they hold anything else."""
+    return F.from_json(record, ", ".join(f"`{name}` {kind}" for name in names))
 
-    def path(key: Column) -> Column:
-        first = F.call_function("get_json_object", F.col(record), F.concat(F.lit("$['"), key, F.lit("'][0]")))
-        inner = F.array_join(F.array_sort(F.json_object_keys(first)), ",")
-        return F.concat(key, F.coalesce(F.concat(F.lit("["), inner, F.lit("]")), F.lit("")))
 
-    return F.array_join(F.transform(F.array_sort(F.json_object_keys(record)), path), ";")
+def _paths(record: str | Column, names: list[str], inside) -> Column:
+    """Field paths of a JSON object; ``inside`` gives those of the array in one of the named fields."""
+    keys = F.json_object_keys(record)
+    lists, maps = _objects(record, names), _objects(record, names, "map<string,string>")
+    none = F.array().cast("array<string>")
+    named = [
+        F.when(~F.array_contains(keys, name), none)
+        .when(lists[name].isNotNull(), inside(name, lists[name]))
+        .when(maps[name].isNotNull(), F.array(F.lit(name + "{}")))
+        .otherwise(F.array(F.lit(name)))
+        for name in names
+    ]
+    return F.concat(F.filter(keys, lambda key: ~key.isin(*names)), *named)
 
 
-def canonical(records: DataFrame, layouts: dict[str, Layout] = LAYOUTS, record: str = "record") -> DataFrame:
-    """All columns, then ``layout`` and ``turns`` (role and text, in order).
+def field_paths(record: str, layouts: dict[str, Layout] = LAYOUTS) -> Column:
+    """The record's nested field paths, sorted and joined, of all objects of its arrays together.
+
+    ``messages[].role`` is a field of objects in an array, ``messages[].content[text,type]``
+    one whose array has objects of just these fields, ``prompt{}`` one that holds an
+    object, ``messages[]`` an empty array, ``messages[]!`` one with something that is no
+    object. Optional fields, and empty arrays beside others, are left out.
+    """
+    names = sorted({name for layout in layouts.values() for name in layout.names()})
+    texts = {layout.items: layout.text for layout in layouts.values() if layout.items}
+
+    def parts(text: str, found: Column) -> Column:
+        def part(x: Column) -> Column:
+            of = F.array_join(F.array_sort(F.json_object_keys(x)), ",")
+            return F.coalesce(F.concat(F.lit(text + "["), of, F.lit("]")), F.lit(text + "[]!"))
 
-    ``record`` is a JSON object. A hash of its nested field paths picks the layout;
-    the first object of an array speaks for all. Missing texts are empty. A record of
-    no known layout, a null and broken JSON have null for both, and stay. Columns
-    named ``layout``, ``turns`` or ``schema_`` aren't allowed.
+        return F.when(F.size(found) == 0, F.array(F.lit(text))).otherwise(F.transform(found, part))
+
+    def inside(name: str, items: Column) -> Column:
+        def item(x: Column) -> Column:
+            found = _paths(x, [texts[name]], parts) if name in texts else F.json_object_keys(x)
+            found = F.filter(found, lambda key: ~key.isin(*OPTIONAL))
+            return F.coalesce(
+                F.transform(found, lambda key: F.concat(F.lit(name + "[]."), key)), F.array(F.lit(name + "[]!"))
+            )
+
+        return F.when(F.size(items) == 0, F.array(F.lit(name + "[]"))).otherwise(F.flatten(F.transform(items, item)))
+
+    paths = F.filter(_paths(record, names, inside), lambda p: ~p.isin(*OPTIONAL))
+    full = F.filter(paths, lambda p: ~p.endswith("[]"))
+    return F.array_join(F.array_sort(F.array_distinct(F.when(F.size(full) > 0, full).otherwise(paths))), ";")
+
+
+def canonical(records: DataFrame, layouts: dict[str, Layout] = LAYOUTS, record: str = "record") -> DataFrame:
+    """All columns, then ``layout``, ``turns`` (role and text, in order) and ``reason``.
+
+    ``record`` is a JSON object. A hash of its nested field paths, those of all objects
+    of an array together, picks the layout. Fields in ``OPTIONAL`` and empty arrays
+    beside other fields don't count; an empty array alone has no turns. Texts in parts
+    (objects of ``type`` and ``text``) are joined by line feeds. Missing texts are empty.
+    A record of no known layout, a null and broken JSON have null for ``layout`` and
+    ``turns``, say why in ``reason``, and stay; so do records whose objects differ in
+    layout, none is read in part. Columns named like those added, or ``paths_``, are
+    refused.
     """
-    hashed = records.withColumn("schema_", F.xxhash64(field_paths(record)))
+    if clash := sorted({c.lower() for c in records.columns} & set(ADDED)):
+        raise ValueError(f"columns named like those that are added: {clash}")
+    hashed = records.withColumn("paths_", field_paths(record, layouts))
+    schema = F.xxhash64("paths_")
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for key, layout in layouts.items():
-        same = F.col("schema_") == F.xxhash64(F.lit(layout.paths()))
+        same = F.col("paths_").isNotNull() & schema.isin(*[F.xxhash64(F.lit(x)) for x in layout.schemas()])
         name = F.when(same, F.lit(key)).otherwise(name)
         turns = F.when(same, layout.turns(record)).otherwise(turns)
-    return hashed.withColumn("layout", name).withColumn("turns", turns).drop("schema_")
+    reason = (
+        F.when(F.col(record).isNull(), F.lit("no record"))
+        .when(F.col("paths_").isNull(), F.lit("not a JSON object"))
+        .when(F.col("layout").isNull(), F.concat(F.lit("no layout has the fields "), F.col("paths_")))
+    )
+    return hashed.withColumn("layout", name).withColumn("turns", turns).withColumn("reason", reason).drop("paths_")
 
 
 def escaped(text: Column) -> Column:
@@ -192,7 +264,7 @@ def op3_chats(spark: SparkSession, sf: str) -> DataFrame:
         ])),
     )
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    done = formatted(canonical(as_records(rows)).drop("record", "layout"))
+    done = formatted(canonical(as_records(rows)).drop("record", "layout", "reason"))
     back = done.select("conv_id", "formatted", read_turns().alias("turns"), loss_text().alias("loss"))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
