@@ -58,7 +58,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, width_bits: int = WIDT
         _candidates(window, width_bits, shards, seen, repeated), "shard int, settled boolean, load binary"
     )
     found = stored(
-        sent.repartition(shards, "shard").sortWithinPartitions("shard")
+        sent.repartitionById(shards, F.col("shard"))
         .mapInArrow(_settle(shards), "shard_ int, load binary")
     )
     touched = spark.sparkContext.broadcast(_set_of(found.select("load"), lambda load: _from_load(load)[0]))
