@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from itertools import count
+from functools import cached_property
+from itertools import count, pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,7 @@ PART_GRAMS = 1 << 22
 BROADCAST_BYTES = 128 << 20
 #: Words with at least this share of all tokens are broadcast with their counts: no more than its inverse, 20 MB.
 COMMON_SHARE = 1 / (1 << 20)
-#: Texts that the weight of shorter contexts is fitted on, and the weights to choose from.
-TUNING = 2000
+#: Weights of shorter contexts to choose from.
 WEIGHTS = (1.0, 4.0, 16.0, 64.0, 256.0, 1024.0, 4096.0, 16384.0)
 #: Words that a task gathers before it passes on what it found.
 UNIT = 1 << 20
@@ -30,15 +30,19 @@ END, BEGIN = b"", b" "  # no words
 
 
 class Model:
-    """What scoring needs: totals, exact counts by word, and the filter."""
+    """What scoring needs: totals, exact counts by word, the filter, and the weight of shorter contexts."""
 
-    def __init__(self, words: DataFrame, tokens: int, distinct: int, parts: DataFrame, count: int, order: int):
-        self.words, self.tokens, self.distinct = words, tokens, distinct
+    def __init__(self, texts: DataFrame, words: DataFrame, tokens: int, distinct: int, parts: DataFrame, count: int, order: int):
+        self.texts, self.words, self.tokens, self.distinct = texts, words, tokens, distinct
         self.parts, self.count, self.order = parts, count, order
-        self.weight = WEIGHTS[-1]
 
+    @cached_property
+    def weight(self) -> float:
+        """Fitted on all texts when first asked for, unless ``scored`` has done it on its way."""
+        return _weight(self)
 
-def learn(docs: DataFrame, order: int = ORDER, tuning: int = TUNING) -> Model:
+
+def learn(docs: DataFrame, order: int = ORDER) -> Model:
     """Counts of the words and n-grams of all texts of ``docs``, which needs ``text``.
 
     ASCII letters are lower-cased, words are runs of anything but ASCII white space,
@@ -57,12 +61,10 @@ def learn(docs: DataFrame, order: int = ORDER, tuning: int = TUNING) -> Model:
     parts = max(partitions, -(-tokens * order // PART_GRAMS))
     grams = texts.mapInArrow(_gram_counts(order, parts), "part int, load binary")
     filled = grams.repartition(min(parts, 8 * partitions), "part").sortWithinPartitions("part")
-    model = Model(words, tokens, distinct, stored(filled.mapInArrow(_filled(), "part int, size long, bits binary")), parts, order)
-    model.weight = _weight(texts, model, tuning)
-    return model
+    return Model(texts, words, tokens, distinct, stored(filled.mapInArrow(_filled(), "part int, size long, bits binary")), parts, order)
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
+def scored(docs: DataFrame, model: Model, learned: Column | None = None) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``base_score`` and ``score`` of every row of ``docs``.
 
     Texts are read as by ``learn``. ``n_known`` counts tokens that the model has seen,
@@ -80,13 +82,25 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     and their levels back to the unit; the result is the same. Counts of words come
     from a broadcast of the common ones, whose number is bounded, and from a join for
     the others, none of which is common enough to be a hot key.
+
+    ``learned`` tells the rows that the model comes from, when all of them are among
+    ``docs``. The weight is then fitted in the same pass, in which texts are scored
+    under every weight, and not in one of its own; the result is the same.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    text = F.coalesce("text", F.lit(""))
+    key = F.lit(None).cast("long") if learned is None else F.when(learned, F.xxhash64(text))
+    rows = docs.select(F.struct("doc_id", key.alias("key")).alias("doc"), text.alias("text"))
+    weights = (model.weight,) if learned is None else WEIGHTS
     common = docs.sparkSession.sparkContext.broadcast(_common(model))
-    finish = _text_scores(model.tokens, model.distinct, model.weight, common)
-    schema = "doc_id long, n_tokens long, n_known long, base double, score double, rare array<struct<word: string, times: long>>"
-    made = _with_counts(rows, model, finish, schema)
+    finish = _text_scores(model.tokens, model.distinct, weights, learned is not None, common)
+    made = _with_counts(
+        rows, model, finish,
+        "doc_id long, n_tokens long, n_known long, base double, scores array<double>, "
+        "rare array<struct<word: string, times: long>>, key long, likelihoods array<double>",
+    )
     made = stored(made.withColumn("row", F.monotonically_increasing_id()))  # stored, so that numbers stay
+    if learned is not None:
+        model.weight = _likeliest(made.where("key IS NOT NULL"))
     rare = made.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times").join(model.words, "word", "left")
     share = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / (model.tokens + 0.5 * (model.distinct + 1)))
     sums = rare.groupBy("row").agg(
@@ -96,7 +110,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         "doc_id", "n_tokens",
         (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"),
-        "score",
+        F.col("scores")[weights.index(model.weight)].alias("score"),
     )
 
 
@@ -322,35 +336,45 @@ def _levels(keys, bits, start, size):
     return level
 
 
-def _probabilities(unit: Unit, counts, tokens: int, distinct: int, weight: float, without: int = 0):
-    """Each token's probability; ``counts`` are the mean counts of the unit's keys, less ``without`` for its own place."""
+def _probabilities(unit: Unit, counts, tokens: int, distinct: int, weights: tuple, without: int = 0):
+    """Each token's probability by weight; ``counts`` are the mean counts of the unit's keys, less ``without`` for its own place."""
     import numpy as np
 
     _, real, _ = unit.tokens()
-    before = np.flatnonzero(real) - 1
-    at, p, shorter = 0, None, None
+    places, at, by_length = np.flatnonzero(real), 0, []
     for h, holds in unit.held:
         c = np.zeros(len(real))
-        c[holds] = counts[at:at + int(holds.sum())]
-        at += int(holds.sum())
-        mine = np.maximum(c[real] - without, 0)
-        if p is None:
-            p = np.minimum((mine + 0.5) / (tokens - without + 0.5 * (distinct + 1)), 1)
-        else:
-            context = np.maximum(shorter[before] - without, 0)
-            p = (np.minimum(mine, context) + weight * p) / (context + weight)
-        shorter = c
-    return p
+        n = int(holds.sum())
+        c[holds] = counts[at:at + n]
+        at += n
+        by_length.append(c)
+    share = np.minimum((np.maximum(by_length[0][places] - without, 0) + 0.5) / (tokens - without + 0.5 * (distinct + 1)), 1)
+    steps = []
+    for shorter, c in pairwise(by_length):
+        context = np.maximum(shorter[places - 1] - without, 0)
+        steps.append((np.minimum(np.maximum(c[places] - without, 0), context), context))
+    for weight in weights:
+        p = share
+        for mine, context in steps:
+            p = (mine + weight * p) / (context + weight)
+        yield p
+
+
+#: What goes with a text: its id, and a key if the weight is fitted on it.
+DOC = "doc struct<doc_id: long, key: long>"
 
 
 def _with_counts(rows: DataFrame, model: Model, finish, schema: str) -> DataFrame:
-    """``finish(unit, ids, counts)`` of each unit of texts: a batch made from the mean counts of its keys."""
+    """``finish(unit, docs, counts)`` of each unit of texts: a batch made from the mean counts of its keys.
+
+    ``rows`` has ``doc`` and ``text``.
+    """
     spark = rows.sparkSession
     size = model.parts.agg(F.coalesce(F.sum(F.octet_length("bits")), F.lit(0))).first()[0]
     if size <= BROADCAST_BYTES:
         return rows.mapInArrow(_asked_here(model.order, spark.sparkContext.broadcast(_whole(model)), finish), schema)
     partitions = min(model.count, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sent = stored(rows.mapInArrow(_questions(model.order, model.count), "unit string, part int, load binary, place int, doc_id long, text string"))
+    sent = stored(rows.mapInArrow(_questions(model.order, model.count), f"unit string, part int, load binary, place int, {DOC}, text string"))
     nothing = F.lit(None)
     asked = sent.where("part IS NOT NULL").select("part", "unit", F.lit(0).cast("long").alias("size"), "load")
     held = model.parts.select("part", nothing.cast("string").alias("unit"), "size", F.col("bits").alias("load"))
@@ -358,8 +382,8 @@ def _with_counts(rows: DataFrame, model: Model, finish, schema: str) -> DataFram
         held.union(asked).repartition(partitions, "part").sortWithinPartitions("part", F.asc_nulls_first("unit"))
         .mapInArrow(_answers(), "unit string, load binary")
     )
-    back = levels.select("unit", F.lit(-1).alias("place"), "load", nothing.cast("long").alias("doc_id"), nothing.cast("string").alias("text"))
-    texts = sent.where("part IS NULL").select("unit", "place", "load", "doc_id", "text")
+    back = levels.select("unit", F.lit(-1).alias("place"), "load", nothing.cast(sent.schema["doc"].dataType).alias("doc"), nothing.cast("string").alias("text"))
+    texts = sent.where("part IS NULL").select("unit", "place", "load", "doc", "text")
     return (
         back.union(texts).repartition(partitions, "unit").sortWithinPartitions("unit", "place")
         .mapInArrow(_answered(model.order, finish), schema)
@@ -383,9 +407,11 @@ def _whole(model: Model) -> tuple:
 def _asked_here(order: int, told, finish):
     def run(batches):
         import numpy as np
+        import pyarrow as pa
 
         def done(unit, rows):
-            keys, at = np.unique(unit.keys(), return_inverse=True)
+            coded = pa.array(unit.keys()).dictionary_encode()
+            keys, at = coded.dictionary.to_numpy(), coded.indices.to_numpy()
             bits, start, size = told.value
             part = (keys % np.uint64(len(start))).astype(np.int64)
             counts = _mean_counts(_levels(keys, bits, start[part], size[part]))[at]
@@ -403,8 +429,9 @@ def _questions(order: int, parts: int):
         import numpy as np
         import pyarrow as pa
 
-        types = pa.string(), pa.int32(), pa.binary(), pa.int32(), pa.int64(), pa.string()
-        names = ["unit", "part", "load", "place", "doc_id", "text"]
+        doc = pa.struct([("doc_id", pa.int64()), ("key", pa.int64())])
+        types = pa.string(), pa.int32(), pa.binary(), pa.int32(), doc, pa.string()
+        names = ["unit", "part", "load", "place", "doc", "text"]
 
         def done(unit, rows):
             name = uuid4().hex  # fixed when the table is stored
@@ -472,35 +499,47 @@ def _answered(order: int, finish):
     return giving_back(run)
 
 
-def _weight(texts: DataFrame, model: Model, tuning: int) -> float:
-    """The weight under which some texts are likeliest, each token without its own occurrence.
+def _weight(model: Model) -> float:
+    """The model's weight by all texts that it has learned from."""
+    rows = model.texts.select(F.struct(F.lit(None).cast("long").alias("doc_id"), F.xxhash64("text").alias("key")).alias("doc"), "text")
+    return _likeliest(_with_counts(rows, model, _likelihoods(model.tokens, model.distinct), "key long, likelihoods array<double>"))
+
 
-    They are the distinct texts with the ``tuning`` smallest hashes; what they are
-    measured against are the counts of all.
+def _likeliest(texts: DataFrame) -> float:
+    """The weight under which the texts are likeliest, each token without its own occurrence.
+
+    Every text counts, repeated ones (of one ``key``) once; they are measured against
+    the counts of all.
     """
-    h = F.xxhash64("text")
-    highest = texts.select(h.alias("h")).distinct().orderBy("h").limit(tuning).agg(F.max("h")).first()[0]
-    if highest is None:
-        return WEIGHTS[-1]
-    some = texts.where(h <= highest).distinct().select(F.lit(None).cast("long").alias("doc_id"), "text")
-    sums = _with_counts(some, model, _likelihoods(model.tokens, model.distinct), "weight double, likelihood double")
-    best = sums.groupBy("weight").agg(F.round(F.sum("likelihood"), 3).alias("likelihood"))
-    return best.orderBy(F.desc("likelihood"), F.desc("weight")).first()["weight"]
+    columns = [f"w{k}" for k in range(len(WEIGHTS))]
+    by_text = texts.select("key", *(F.col("likelihoods")[k].alias(c) for k, c in enumerate(columns)))
+    by_text = by_text.groupBy("key").agg(*(F.first(c).alias(c) for c in columns))
+    sums = by_text.agg(*(F.round(F.sum(c), 3).alias(c) for c in columns)).first()
+    return WEIGHTS[-1] if sums[0] is None else max(zip(sums, WEIGHTS))[1]
 
 
 def _likelihoods(tokens: int, distinct: int):
-    def finish(unit, ids, counts):
-        import numpy as np
+    def finish(unit, docs, counts):
         import pyarrow as pa
 
-        sums = [float(np.log10(_probabilities(unit, counts, tokens, distinct, w, without=1)).sum()) for w in WEIGHTS]
-        return pa.RecordBatch.from_arrays([pa.array(WEIGHTS), pa.array(sums)], ["weight", "likelihood"])
+        sums = _text_sums(unit, _probabilities(unit, counts, tokens, distinct, WEIGHTS, without=1))
+        return pa.RecordBatch.from_arrays([pa.array([d["key"] for d in docs], pa.int64()), sums], ["key", "likelihoods"])
 
     return finish
 
 
-def _text_scores(tokens: int, distinct: int, weight: float, common):
-    def finish(unit, ids, counts):
+def _text_sums(unit: Unit, probabilities):
+    """For each text of a unit a list: the sum of its tokens' logarithms for each of the probabilities."""
+    import numpy as np
+    import pyarrow as pa
+
+    first = np.cumsum(unit.lengths) - unit.lengths
+    sums = np.stack([np.add.reduceat(np.log10(p), first) for p in probabilities], axis=1)
+    return pa.FixedSizeListArray.from_arrays(sums.ravel(), sums.shape[1]).cast(pa.list_(pa.float64()))
+
+
+def _text_scores(tokens: int, distinct: int, weights: tuple, fit: bool, common):
+    def finish(unit, docs, counts):
         import numpy as np
         import pyarrow as pa
 
@@ -516,25 +555,28 @@ def _text_scores(tokens: int, distinct: int, weight: float, common):
         number = number[real]
         lengths = np.array(unit.lengths)
         first = np.cumsum(lengths) - lengths
-        p = _probabilities(unit, counts, tokens, distinct, weight)
         text = np.repeat(np.arange(len(lengths)), lengths)
         unknown = c[number] == 0
         pairs, times = np.unique(text[unknown] * len(words) + number[unknown], return_counts=True)
-        rare = [[] for _ in lengths]
-        for pair, n in zip(pairs.tolist(), times.tolist()):
-            rare[pair // len(words)].append({"word": words[pair % len(words)], "times": n})
-        kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
-        out = pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))
+        ends = np.searchsorted(pairs, np.arange(len(lengths) + 1) * len(words)).astype(np.int32)
+        names = pa.array(words, pa.binary()).cast(pa.string()).take(pa.array(pairs % len(words)))
+        rare = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([names, pa.array(times)], ["word", "times"]))
+        if fit:
+            likelihoods = _text_sums(unit, _probabilities(unit, counts, tokens, distinct, WEIGHTS, without=1))
+        else:
+            likelihoods = pa.nulls(len(docs), pa.list_(pa.float64()))
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(ids, pa.int64()),
+                pa.array([d["doc_id"] for d in docs], pa.int64()),
                 pa.array(lengths, pa.int64()),
                 pa.array(np.add.reduceat((~unknown).astype(np.int64), first)),
                 pa.array(np.add.reduceat(share[number], first)),
-                pa.array(np.add.reduceat(np.log10(p), first)),
-                pa.array(rare, kind).cast(out),
+                _text_sums(unit, _probabilities(unit, counts, tokens, distinct, weights)),
+                rare,
+                pa.array([d["key"] for d in docs], pa.int64()),
+                likelihoods,
             ],
-            ["doc_id", "n_tokens", "n_known", "base", "score", "rare"],
+            ["doc_id", "n_tokens", "n_known", "base", "scores", "rare", "key", "likelihoods"],
         )
 
     return finish
@@ -548,7 +590,7 @@ def op12_scores(spark: SparkSession, sf: str) -> DataFrame:
     """A row without a doc_id is neither held out nor learned from."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     model = learn(docs.where(fold() != 1))
-    return scored(docs, model).select(
+    return scored(docs, model, learned=fold() != 1).select(
         "doc_id", F.coalesce(fold() == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
     )

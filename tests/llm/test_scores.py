@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tellwatt.llm import scores as module
 from tellwatt.llm.common import ASCII_LOWER, ASCII_UPPER
 from tellwatt.llm.scores import _lowest, _mean_counts, learn, op12_scores, scored
@@ -152,3 +153,49 @@ def test_nothing_learned(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     got = scored(df, learn(df.limit(0))).collect()
     assert sorted(map(tuple, got)) == [(1, 3, 0, 0.0, 0.0), (2, 1, 0, 0.0, 0.0)]
+
+
+def likeliest(some, texts):
+    """The weight under which some texts are likeliest, by dictionaries of the bigrams of all texts."""
+    c, contexts, pairs = Counter(), Counter(), Counter()
+    for text in texts:
+        words = tokens(text)
+        c.update(words)
+        contexts.update(["<", *words[:-1]])
+        pairs.update(zip(["<", *words[:-1]], words))
+    share = {w: (held(n) - 1 + 0.5) / (c.total() - 1 + 0.5 * (len(c) + 1)) for w, n in c.items()}
+    times = Counter()
+    for text in some:
+        words = tokens(text)
+        times.update(zip(["<", *words[:-1]], words))
+    counts = [(n, held(pairs[p]) - 1, held(c.get(p[0], contexts[p[0]])) - 1, share[p[1]]) for p, n in times.items()]
+    return max((sum(n * math.log10((min(x, y) + w * p) / (y + w)) for n, x, y, p in counts), w) for w in module.WEIGHTS)[1]
+
+
+def test_weight_is_fitted_on_all_texts(spark):
+    """The 2,000 texts of the smallest hashes are noise, on which a fit comes out otherwise than on all."""
+    dice = random.Random(11)
+    pairs = [" ".join(dice.choices([f"n{k}" for k in range(40)], k=6)) + f" {k}" for k in range(2600)]
+    cycle = [f"c{k}" for k in range(50)]
+    runs = [" ".join((cycle * 8)[k % 50:k % 50 + 300]) + f" {k}" for k in range(1500)]
+    hashed = spark.createDataFrame([(t,) for t in pairs + runs], "t string").selectExpr("t", "xxhash64(t) AS h").collect()
+    noise = sorted((r.h, r.t) for r in hashed if r.t in set(pairs))[:2000]
+    rest = [r.t for r in hashed if r.t in set(runs) and r.h > noise[-1][0]]
+    assert len(noise) == 2000 and len(rest) > 100
+    texts = [t for _, t in noise] + rest + rest[:50]  # some twice
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = learn(df)
+    assert model.weight == likeliest(set(texts), texts) != likeliest({t for _, t in noise}, texts)
+    apart = sorted(map(tuple, scored(df, model).collect()))
+    other = learn(df)
+    together = sorted(map(tuple, scored(df, other, learned=F.lit(True)).collect()))
+    assert other.weight == model.weight
+    assert [r[:3] for r in together] == [r[:3] for r in apart]
+    assert np.allclose([r[3:] for r in together], [r[3:] for r in apart])
+
+
+def test_query_is_its_operators(spark, odd):
+    df = spark.read.parquet(f"{odd}/documents.parquet")
+    want = scored(df, learn(df.where(module.fold() != 1))).collect()
+    got = op12_scores(spark, odd).collect()
+    assert Counter((r.doc_id, r.n_tokens, round(r.score, 6)) for r in got) == Counter((r.doc_id, r.n_tokens, round(r.score, 6)) for r in want)
