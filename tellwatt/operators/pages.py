@@ -80,6 +80,8 @@ def _is_csv(path: str) -> bool:
 def numbered(spark: SparkSession, starts: dict[str, int], csv: bool) -> DataFrame:
     """The rows of these files with ``row_number``, counted on from each file's start.
 
+    Rows stay in the tasks that read them: what is joined to them is a row per block.
+
     Parquet knows a row's place in its file. A CSV file is read in blocks; rows are
     counted per block and numbered in the same query over the same files, so both see
     the same blocks.
@@ -93,7 +95,7 @@ def numbered(spark: SparkSession, starts: dict[str, int], csv: bool) -> DataFram
     blocks = rows.groupBy("file_path", "block").agg(F.count("*").alias("_rows"), F.min("_order").alias("_first"))
     before = F.sum("_rows").over(W.partitionBy("file_path").orderBy("block")) - F.col("_rows")
     blocks = blocks.withColumn("_start", first[F.col("file_path")] + before)
-    placed = rows.join(blocks, ["file_path", "block"])
+    placed = rows.join(F.broadcast(blocks), ["file_path", "block"])
     number = F.col("_start") + F.col("_order") - F.col("_first")
     return placed.withColumn("row_number", number).drop("file_path", "block", "_order", "_rows", "_first", "_start")
 

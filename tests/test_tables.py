@@ -22,6 +22,7 @@ from tellwatt.sources.tables import (
 )
 from tellwatt.streaming.daily import append_days_stream
 from tellwatt.vocabulary import BRAND, CITY, DAY, KEY, RESULT_SCHEMA
+from tellwatt.workloads import files
 
 
 def put(path, text):
@@ -515,3 +516,28 @@ def test_stored_csv_has_header(spark, folder):
     write_csv(batch(spark, "2026-01-25").coalesce(1), f"{folder}/x.csv")
     part = next(Path(f"{folder}/x.csv").glob("part-*"))
     assert part.read_text().splitlines()[0] == ",".join(RESULT_SCHEMA.names)
+
+
+def test_long_lines_are_as_many_files_as_they_need(spark, folder, monkeypatch):
+    rows = [(k * 7 % 300 if k % 50 else None, k % 5, "ANR"[k % 3]) for k in range(1000)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_returnflag string").write.parquet(f"{folder}/lineitem.parquet")
+    monkeypatch.setattr(files, "shared_folder", lambda _: f"{folder}/shared")
+    monkeypatch.setattr(files, "LINES", 100, raising=False)
+    got = files.row_page_deep(spark, folder).collect()
+    order = sorted((r[:2] for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert sorted(map(tuple, got), key=lambda r: r[2]) == [(*order[k], k) for k in range(795, 806)]
+    assert len(list(Path(folder, "shared", "long lines").glob("*.csv"))) >= 8
+
+
+def test_numbering_leaves_rows_where_they_are(spark, folder, monkeypatch):
+    spark.range(1000).write.option("header", True).csv(f"{folder}/t")
+    starts = {r.p: 0 for r in spark.read.csv(f"{folder}/t").selectExpr("_metadata.file_path AS p").distinct().collect()}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = pages.numbered(spark, starts, csv=True)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert found.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
