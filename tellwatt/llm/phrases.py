@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellwatt.llm.common import pieces, table
+from tellwatt.llm.common import giving_back, pieces, table
 
 #: Smallest phrase hashes that a fingerprint keeps.
 KEPT = 64
@@ -92,7 +92,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 made.append(written(parse.signature()))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.string())], ["doc_id", "fingerprint"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fingerprint string")
+    return docs.select("doc_id", "text").mapInArrow(giving_back(run), "doc_id long, fingerprint string")
 
 
 def compare_edits(docs: DataFrame) -> DataFrame:
@@ -124,7 +124,7 @@ def compare_edits(docs: DataFrame) -> DataFrame:
         "run", "tail", F.desc_nulls_last("doc_id"), F.desc_nulls_last("mark")
     )
     return ordered.select("doc_id", "text", "run", "tail").mapInArrow(
-        _compare,
+        giving_back(_compare),
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double",
     )

@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 
+from tellwatt.llm import phrases as module
 from tellwatt.llm.phrases import Parse, _place, compare_edits, fingerprints, likeness, op6_phrases, written
 
 
@@ -74,3 +75,11 @@ def test_empty_and_single(spark, none):
     assert op6_phrases(spark, none).collect() == []
     one = compare_edits(spark.createDataFrame([(1, "abcdef")], "doc_id long, text string")).collect()
     assert len(one) == 1 and one[0].near_next == 1 and one[0].edited_sha256 == hashlib.sha256(b"abcdab").hexdigest()
+
+
+def test_tasks_give_memory_back(spark, monkeypatch):
+    wrapped, real = [], module.giving_back
+    monkeypatch.setattr(module, "giving_back", lambda run: wrapped.append(run) or real(run))
+    df = spark.createDataFrame([(1, "abcdef"), (2, "abc")], "doc_id long, text string")
+    assert compare_edits(df).count() == fingerprints(df).count() == 2
+    assert len(wrapped) == 2
