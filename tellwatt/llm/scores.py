@@ -9,7 +9,7 @@ from itertools import count, pairwise
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellwatt.llm.common import LOWER_BYTES, giving_back, packed, pieces, stored, table, unpacked, utf8, word_lists
+from tellwatt.llm.common import giving_back, packed, pieces, stored, table, unpacked, utf8
 
 ORDER = 2
 #: A count c is held as ``1 + floor(log(c, BASE))``.
@@ -18,14 +18,19 @@ BASE = 1.5
 EVENT_BITS, PROBES = 10, 4
 #: N-grams that a part of the filter holds, on average.
 PART_GRAMS = 1 << 22
+#: Bytes of text taken for a token when parts are planned, before tokens are counted.
+TOKEN_BYTES = 6
 #: Bytes of the filter that are broadcast; a larger one is asked part by part.
 BROADCAST_BYTES = 128 << 20
 #: Words with at least this share of all tokens are broadcast with their counts: no more than its inverse, 20 MB.
 COMMON_SHARE = 1 / (1 << 20)
 #: Weights of shorter contexts to choose from.
 WEIGHTS = (1.0, 4.0, 16.0, 64.0, 256.0, 1024.0, 4096.0, 16384.0)
-#: Words that a task gathers before it passes on what it found.
-UNIT = 1 << 20
+#: Words that a task gathers before it passes on what it found, and before it asks a filter that it has whole, for
+#: which more are no use. Results don't depend on them, memory does.
+UNIT, UNIT_HERE = 1 << 19, 1 << 17
+#: N-grams looked up at a time, so that what is made of them stays in a core's cache.
+BLOCK = 1 << 16
 END, BEGIN = b"", b" "  # no words
 
 
@@ -49,19 +54,22 @@ def learn(docs: DataFrame, order: int = ORDER) -> Model:
     and every text ends in one more token. Null texts are empty ones; repeated rows
     count each time; no rows make a model for which everything is equally likely.
 
-    Tasks count n-grams unit by unit and deal them out by hash, so a common one is
-    sent once a unit. A part of the filter holds some ``PART_GRAMS`` of them at any
-    size: for every level of an n-gram's count, ``PROBES`` of ``EVENT_BITS`` bits.
+    Tasks count words and n-grams unit by unit and deal them out by hash, so a common
+    one is sent once a unit. A part adds up the words dealt to it, which no other part
+    has, and holds some ``PART_GRAMS`` n-grams at any size: for every level of an
+    n-gram's count, ``PROBES`` of ``EVENT_BITS`` bits.
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    words = stored(texts.mapInArrow(_word_counts(), "word string, c long").groupBy("word").agg(F.sum("c").alias("c")))
-    tokens, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(partitions, -(-tokens * order // PART_GRAMS))
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text") + TOKEN_BYTES), F.lit(0))).first()[0]
+    parts = max(partitions, -(-size * order // (TOKEN_BYTES * PART_GRAMS)))
     grams = texts.mapInArrow(_gram_counts(order, parts), "part int, load binary")
     filled = grams.repartition(min(parts, 8 * partitions), "part").sortWithinPartitions("part")
-    return Model(texts, words, tokens, distinct, stored(filled.mapInArrow(_filled(), "part int, size long, bits binary")), parts, order)
+    made = stored(filled.mapInArrow(_filled(), "part int, size long, bits binary, word string, c long"))
+    words = made.where("word IS NOT NULL").select("word", "c")
+    tokens, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    return Model(texts, words, tokens, distinct, made.where("part IS NOT NULL").select("part", "size", "bits"), parts, order)
 
 
 def scored(docs: DataFrame, model: Model, learned: Column | None = None) -> DataFrame:
@@ -93,7 +101,7 @@ def scored(docs: DataFrame, model: Model, learned: Column | None = None) -> Data
     weights = (model.weight,) if learned is None else WEIGHTS
     common = docs.sparkSession.sparkContext.broadcast(_common(model))
     finish = _text_scores(model.tokens, model.distinct, weights, learned is not None, common)
-    made = _with_counts(
+    made = _with_levels(
         rows, model, finish,
         "doc_id long, n_tokens long, n_known long, base double, scores array<double>, "
         "rare array<struct<word: string, times: long>>, key long, likelihoods array<double>",
@@ -125,61 +133,117 @@ def _common(model: Model) -> tuple:
     return first[order], second[order], got.column("c").to_numpy()[order]
 
 
-def _named(words: list) -> tuple:
-    """128 bits of hash a word, by which it is told apart."""
+def _hashes(words: list, seed: int = 0):
     import numpy as np
     from xxhash import xxh64_intdigest
 
-    return tuple(np.fromiter((xxh64_intdigest(w, seed) for w in words), np.uint64, len(words)) for seed in (0, 1))
+    return np.fromiter((xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+
+
+def _named(words: list) -> tuple:
+    """128 bits of hash a word, by which it is told apart."""
+    return _hashes(words), _hashes(words, 1)
 
 
 class Unit:
     """Words of some texts, as numbers in order; every text begins and ends with a token of its own."""
 
     def __init__(self, order: int):
-        self.number = defaultdict(count().__next__)
-        self.end, self.begin = self.number[END], self.number[BEGIN]
-        self.order, self.ids, self.lengths, self.size = order, [], [], 0
+        self.order, self.size = order, 0
+        self.texts, self.waiting = [], 0
+        self.found, self.counts = [], []
 
     def add(self, text: bytes) -> None:
+        self.texts.append(text)
+        self.waiting += len(text)
+        if self.waiting >= UNIT_HERE:
+            self.split()
+
+    def split(self) -> None:
+        """Splits the texts added since the last time, all at once."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(self.texts, pa.large_string())))
+        words = lists.flatten()
+        some = pc.greater(pc.binary_length(words), 0)  # white space at either end leaves empty ones
+        before = np.r_[0, np.cumsum(some.to_numpy(zero_copy_only=False))]
+        ends = before[np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]]
+        self.found.append(words.filter(some))
+        self.counts.append(np.diff(ends))
+        self.size += int(ends[-1]) + len(self.texts)
+        self.texts, self.waiting = [], 0
+
+    @cached_property
+    def coded(self) -> tuple:
+        """Distinct words, the text's end and beginning first, as an Arrow array; and all words as numbers of them."""
+        import pyarrow as pa
+
+        if self.texts:
+            self.split()
+        found, self.found = self.found, []
+        all_ = pa.chunked_array([pa.array([END, BEGIN], pa.large_string()), *found]).combine_chunks().dictionary_encode()
+        return all_.dictionary, all_.indices.to_numpy()[2:]
+
+    @cached_property
+    def words(self) -> list:
+        import pyarrow as pa
+
+        return self.coded[0].cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+
+    @cached_property
+    def named(self):
+        """Hashes of the distinct words."""
+        return _hashes(self.words)
+
+    @cached_property
+    def lengths(self):
+        """Tokens of each text."""
         import numpy as np
 
-        parts = [np.full(self.order - 1, self.begin)]
-        for words in word_lists(text.translate(LOWER_BYTES)):
-            parts.append(np.fromiter(map(self.number.__getitem__, words), np.int64, len(words)))
-        parts.append(np.full(1, self.end))
-        self.ids += parts
-        self.lengths.append(sum(map(len, parts)) - self.order + 1)
-        self.size += self.lengths[-1]
+        self.coded
+        return np.concatenate(self.counts) + 1
 
-    def tokens(self):
+    @cached_property
+    def tokens(self) -> tuple:
         """All numbers; which are tokens; and which of the others end a context."""
         import numpy as np
 
-        ids = np.concatenate(self.ids).astype(np.int64)
-        real = ids != self.begin
+        words, lengths = self.coded[1], self.lengths
+        ids = np.ones(int(lengths.sum()) + len(lengths) * (self.order - 1), np.int32)
+        first = np.arange(len(lengths)) * self.order + self.order - 1
+        ids[np.repeat(first, lengths - 1) + np.arange(len(words))] = words
+        ids[np.cumsum(lengths - 1) + first] = 0
+        real = ids != 1
         return ids, real, ~real & np.r_[real[1:], False]
 
-    def grams(self):
+    @cached_property
+    def held(self) -> list:
         """Hashes of the n-grams that end at each place, by length, and whether they count there."""
         import numpy as np
-        from xxhash import xxh64_intdigest
 
-        ids, real, last = self.tokens()
-        one = np.fromiter(map(xxh64_intdigest, self.number), np.uint64, len(self.number))[ids]
-        h = one
+        ids, real, last = self.tokens
+        one = self.named[ids]
+        h, out = one, []
         for length in range(1, self.order + 1):
             if length > 1:
                 h = _joint(np.r_[np.uint64(0), h[:-1]], one)
-            yield h, real | last if length < self.order else real
+            out.append((h, real | last if length < self.order else real))
+        return out
 
     def keys(self):
         """The n-grams that count, by length and place."""
         import numpy as np
 
-        self.held = list(self.grams())
         return np.concatenate([h[holds] for h, holds in self.held])
 
+    def longer(self):
+        """Those of them that are no single words."""
+        import numpy as np
+
+        return np.concatenate([np.empty(0, np.uint64), *(h[holds] for h, holds in self.held[1:])])
+
 
 def _joint(x, y):
     """A hash of an n-gram and the word after it."""
@@ -195,46 +259,27 @@ def _mixed(h):
     return h ^ (h >> np.uint64(29))
 
 
-def _units(batches, order: int, column: int, done):
+def _units(batches, order: int, column: int, done, size: int):
     """Gathers texts to units of a bounded number of words; ``done(unit, rows)`` makes batches of each."""
     unit, rows = Unit(order), []
     for part in pieces(batches):
         for k, text in enumerate(utf8(part.column(column))):
             unit.add(text)
             rows.append((part, k))
-            if unit.size >= UNIT:
+            if unit.size >= size:
                 yield from done(unit, rows)
                 unit, rows = Unit(order), []
     if rows:
         yield from done(unit, rows)
 
 
-def _word_counts():
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        def done(unit, rows):
-            ids, real, _ = unit.tokens()
-            f = np.bincount(ids[real], minlength=len(unit.number))
-            words = [w for w in unit.number]
-            seen = np.flatnonzero(f)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([words[k] for k in seen], pa.binary()).cast(pa.string()), pa.array(f[seen], pa.int64())], ["word", "c"]
-            )
-
-        yield from _units(batches, 1, 0, done)
-
-    return giving_back(run)
-
-
 def _dealt(keys, parts: int):
     """Each part's places in ``keys``, which stay in order."""
     import numpy as np
 
-    to = (keys % np.uint64(parts)).astype(np.int64)
+    to = (keys % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)  # short ones are sorted faster
     by = np.argsort(to, kind="stable")
-    cuts = np.flatnonzero(np.diff(to[by])) + 1
+    cuts = np.flatnonzero(to[by][1:] != to[by][:-1]) + 1
     return [(int(to[at[0]]), at) for at in np.split(by, cuts) if len(at)]
 
 
@@ -244,15 +289,21 @@ def _gram_counts(order: int, parts: int):
         import pyarrow as pa
 
         def done(unit, rows):
-            keys, f = np.unique(unit.keys(), return_counts=True)
-            f = f.astype(np.uint8 if f.max() < 256 else np.int64)
-            dealt = _dealt(keys, parts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p for p, _ in dealt], pa.int32()), pa.array([packed(keys[at], f[at]) for _, at in dealt], pa.binary())],
-                ["part", "load"],
-            )
-
-        yield from _units(batches, order, 0, done)
+            keys, f = np.unique(unit.longer(), return_counts=True)
+            ids, holds = unit.tokens[0], unit.held[0][1]
+            c = np.bincount(ids[holds], minlength=len(unit.words))
+            seen = np.flatnonzero(c)
+            f, c = (x.astype(np.uint8 if x.max(initial=0) < 256 else np.int64) for x in (f, c[seen]))
+            grams, words = dict(_dealt(keys, parts)), dict(_dealt(unit.named[seen], parts))
+            to, none = sorted(grams.keys() | words.keys()), np.empty(0, np.int64)
+            loads = []
+            for p in to:
+                mine, here = grams.get(p, none), words.get(p, none)
+                joined = b"\n".join([unit.words[k] for k in seen[here].tolist()])  # no word has a line's end
+                loads.append(packed(keys[mine], f[mine], np.frombuffer(joined, np.uint8), c[here]))
+            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(loads, pa.binary())], ["part", "load"])
+
+        yield from _units(batches, order, 0, done, UNIT)
 
     return giving_back(run)
 
@@ -268,35 +319,62 @@ def _places(keys, level: int, size):
         yield (((h + np.uint64(k) * step) >> half) * size) >> half
 
 
+def _summed(keys, f):
+    """Distinct keys, and the sum of ``f`` for each."""
+    import numpy as np
+
+    by = np.argsort(keys)
+    keys = keys[by]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
+    return keys[first], np.add.reduceat(f[by].astype(np.int64), first) if len(first) else f
+
+
 def _filled():
+    """A row for each part of the filter, and one for each word dealt to it."""
+
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
+        names = ["part", "size", "bits", "word", "c"]
+        types = pa.int32(), pa.int64(), pa.binary(), pa.string(), pa.int64()
+
         def made(part, loads):
-            keys, f = (np.concatenate(c) for c in zip(*map(unpacked, loads)))
-            keys, at = np.unique(keys, return_inverse=True)
-            f = np.bincount(at, f)
+            keys, f, joined, c = zip(*map(unpacked, loads))
+            keys, f = _summed(np.concatenate(keys), np.concatenate(f))
+            number, ids = defaultdict(count().__next__), []
+            for some, n in zip(joined, c):
+                if len(n):
+                    ids.append(np.fromiter(map(number.__getitem__, some.tobytes().split(b"\n")), np.int64, len(n)))
+            words = list(number)
+            c = np.bincount(np.concatenate(ids), np.concatenate(c)).astype(np.int64) if words else np.empty(0, np.int64)
+            keys, f = np.r_[keys, _hashes(words)], np.r_[f, c]
             # In whole numbers: the highest level whose lowest count is not above f.
             level = np.searchsorted(_lowest(f.max()), f, side="right")
             size = max(64, -(-int(level.sum()) * EVENT_BITS // 64) * 64)
             bits = np.zeros(size, bool)
             for j in range(1, int(level.max()) + 1):
-                for place in _places(keys[level >= j], j, np.uint64(size)):
-                    bits[place] = True
-            row = [pa.array([part], pa.int32()), pa.array([size], pa.int64()), pa.array([np.packbits(bits, bitorder="little").tobytes()])]
-            return pa.RecordBatch.from_arrays(row, ["part", "size", "bits"])
+                here = keys[level >= j]
+                for begin in range(0, len(here), BLOCK):
+                    for place in _places(here[begin:begin + BLOCK], j, np.uint64(size)):
+                        bits[place.view(np.int64)] = True
+            row = part, size, np.packbits(bits, bitorder="little").tobytes(), None, None
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names)
+            tokens = [k for k, w in enumerate(words) if w != BEGIN]
+            row = [pa.nulls(len(tokens), t) for t in types[:3]]
+            row += [pa.array([words[k] for k in tokens], pa.binary()).cast(pa.string()), pa.array(c[tokens], pa.int64())]
+            yield pa.RecordBatch.from_arrays(row, names)
 
         now, loads = None, []
-        for batch in batches:
+        for batch in pieces(batches, 16):
             for part, load in zip(*(c.to_pylist() for c in batch.columns)):
                 if part != now and loads:
-                    yield made(now, loads)
+                    yield from made(now, loads)
                     loads = []
                 now = part
                 loads.append(load)
         if loads:
-            yield made(now, loads)
+            yield from made(now, loads)
 
     return giving_back(run)
 
@@ -323,40 +401,72 @@ def _levels(keys, bits, start, size):
     """Levels of n-grams, asked for in parts of ``bits`` that begin at ``start`` and have ``size`` bits."""
     import numpy as np
 
-    level = np.zeros(len(keys), np.int64)
+    level = np.zeros(len(keys), np.uint8)  # the 255th begins beyond 10^44
     at, now = np.arange(len(keys)), 0
     while len(at):
         now += 1
-        found = np.ones(len(at), bool)
+        found, clear = np.ones(len(at), bool), start[at]
         for place in _places(keys[at], now, size[at]):
-            place = place + start[at]
-            found &= (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            place = place + clear
+            byte = bits[(place >> np.uint64(3)).view(np.int64)]  # signed, as numpy would convert it
+            found &= ((byte >> (place & np.uint64(7)).astype(np.uint8)) & 1).view(bool)
         at = at[found]
         level[at] = now
     return level
 
 
-def _probabilities(unit: Unit, counts, tokens: int, distinct: int, weights: tuple, without: int = 0):
-    """Each token's probability by weight; ``counts`` are the mean counts of the unit's keys, less ``without`` for its own place."""
+def _whole_levels(keys, bits, start, size):
+    """Levels of n-grams, asked for in the whole filter: where each of its parts begins and how many bits it has."""
     import numpy as np
 
-    _, real, _ = unit.tokens()
+    out = [np.empty(0, np.uint8)]
+    for begin in range(0, len(keys), BLOCK):
+        some = keys[begin:begin + BLOCK]
+        part = (some % np.uint64(len(start))).astype(np.int64)
+        out.append(_levels(some, bits, start[part], size[part]))
+    return np.concatenate(out)
+
+
+def _cases(unit: Unit, levels) -> tuple:
+    """Each token's case, and the levels of every case, one array for each that a probability is made from.
+
+    ``levels`` are those of the unit's keys. Cases are few, as levels are.
+    """
+    import numpy as np
+
+    real = unit.tokens[1]
     places, at, by_length = np.flatnonzero(real), 0, []
-    for h, holds in unit.held:
-        c = np.zeros(len(real))
+    for _, holds in unit.held:
+        c = np.zeros(len(real), levels.dtype)
         n = int(holds.sum())
-        c[holds] = counts[at:at + n]
+        c[holds] = levels[at:at + n]
         at += n
         by_length.append(c)
-    share = np.minimum((np.maximum(by_length[0][places] - without, 0) + 0.5) / (tokens - without + 0.5 * (distinct + 1)), 1)
-    steps = []
+    columns = [by_length[0][places]]
     for shorter, c in pairwise(by_length):
-        context = np.maximum(shorter[places - 1] - without, 0)
-        steps.append((np.minimum(np.maximum(c[places] - without, 0), context), context))
+        columns += [shorter[places - 1], c[places]]
+    case, cases, number = np.zeros(len(places), np.int64), [], 1
+    for c in columns:
+        wide = int(c.max()) + 1
+        case = case * wide + c
+        seen = np.zeros(number * wide, bool)
+        seen[case] = True
+        used = np.flatnonzero(seen)
+        cases = [x[used // wide] for x in cases] + [used % wide]
+        case, number = (np.cumsum(seen) - 1)[case], len(used)
+    return case, cases
+
+
+def _probabilities(cases: list, tokens: int, distinct: int, weights: tuple, without: int = 0):
+    """The probability of each case's token by weight, from mean counts less ``without`` for the token's own place."""
+    import numpy as np
+
+    first, *rest = (np.maximum(_mean_counts(c) - without, 0) for c in cases)
+    share = np.minimum((first + 0.5) / (tokens - without + 0.5 * (distinct + 1)), 1)
     for weight in weights:
         p = share
-        for mine, context in steps:
-            p = (mine + weight * p) / (context + weight)
+        for context, c in zip(rest[::2], rest[1::2]):
+            p = (np.minimum(c, context) + weight * p) / (context + weight)
         yield p
 
 
@@ -364,8 +474,8 @@ def _probabilities(unit: Unit, counts, tokens: int, distinct: int, weights: tupl
 DOC = "doc struct<doc_id: long, key: long>"
 
 
-def _with_counts(rows: DataFrame, model: Model, finish, schema: str) -> DataFrame:
-    """``finish(unit, docs, counts)`` of each unit of texts: a batch made from the mean counts of its keys.
+def _with_levels(rows: DataFrame, model: Model, finish, schema: str) -> DataFrame:
+    """``finish(unit, docs, levels)`` of each unit of texts: a batch made from the levels of its keys.
 
     ``rows`` has ``doc`` and ``text``.
     """
@@ -407,17 +517,13 @@ def _whole(model: Model) -> tuple:
 def _asked_here(order: int, told, finish):
     def run(batches):
         import numpy as np
-        import pyarrow as pa
 
         def done(unit, rows):
-            coded = pa.array(unit.keys()).dictionary_encode()
-            keys, at = coded.dictionary.to_numpy(), coded.indices.to_numpy()
-            bits, start, size = told.value
-            part = (keys % np.uint64(len(start))).astype(np.int64)
-            counts = _mean_counts(_levels(keys, bits, start[part], size[part]))[at]
-            yield finish(unit, [p.column(0)[k].as_py() for p, k in rows], counts)
+            of_words = _whole_levels(unit.named, *told.value)[unit.tokens[0][unit.held[0][1]]]
+            of_longer = _whole_levels(unit.longer(), *told.value)  # few come twice
+            yield finish(unit, [p.column(0)[k].as_py() for p, k in rows], np.concatenate([of_words, of_longer]))
 
-        yield from _units(batches, order, 1, done)
+        yield from _units(batches, order, 1, done, UNIT_HERE)
 
     return giving_back(run)
 
@@ -440,7 +546,7 @@ def _questions(order: int, parts: int):
             out += [(name, None, None, n, p.column(0)[k].as_py(), p.column(1)[k].as_py()) for n, (p, k) in enumerate(rows)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-        yield from _units(batches, order, 1, done)
+        yield from _units(batches, order, 1, done, UNIT)
 
     return giving_back(run)
 
@@ -464,7 +570,7 @@ def _answers():
                 (keys,) = unpacked(load)
                 flat = np.zeros(len(keys), np.uint64)
                 level = _levels(keys, bits, flat, flat + np.uint64(size))
-                out.append((unit, packed(keys, level.astype(np.uint16))))
+                out.append((unit, packed(keys, level)))
             columns = list(zip(*out)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.binary())], ["unit", "load"])
 
@@ -479,7 +585,7 @@ def _answered(order: int, finish):
             keys, levels = (np.concatenate(c) for c in zip(*map(unpacked, loads)))
             by = np.argsort(keys)
             at = np.searchsorted(keys[by], unit.keys())
-            return finish(unit, ids, _mean_counts(levels[by][at].astype(np.int64)))
+            return finish(unit, ids, levels[by][at])
 
         now, unit, ids, loads = None, None, [], []
         for batch in pieces(batches):
@@ -502,7 +608,7 @@ def _answered(order: int, finish):
 def _weight(model: Model) -> float:
     """The model's weight by all texts that it has learned from."""
     rows = model.texts.select(F.struct(F.lit(None).cast("long").alias("doc_id"), F.xxhash64("text").alias("key")).alias("doc"), "text")
-    return _likeliest(_with_counts(rows, model, _likelihoods(model.tokens, model.distinct), "key long, likelihoods array<double>"))
+    return _likeliest(_with_levels(rows, model, _likelihoods(model.tokens, model.distinct), "key long, likelihoods array<double>"))
 
 
 def _likeliest(texts: DataFrame) -> float:
@@ -519,50 +625,50 @@ def _likeliest(texts: DataFrame) -> float:
 
 
 def _likelihoods(tokens: int, distinct: int):
-    def finish(unit, docs, counts):
+    def finish(unit, docs, levels):
         import pyarrow as pa
 
-        sums = _text_sums(unit, _probabilities(unit, counts, tokens, distinct, WEIGHTS, without=1))
+        case, cases = _cases(unit, levels)
+        sums = _text_sums(unit, case, _probabilities(cases, tokens, distinct, WEIGHTS, without=1))
         return pa.RecordBatch.from_arrays([pa.array([d["key"] for d in docs], pa.int64()), sums], ["key", "likelihoods"])
 
     return finish
 
 
-def _text_sums(unit: Unit, probabilities):
-    """For each text of a unit a list: the sum of its tokens' logarithms for each of the probabilities."""
+def _text_sums(unit: Unit, case, probabilities):
+    """For each text of a unit a list: the sum of its tokens' logarithms for each of the probabilities of their cases."""
     import numpy as np
     import pyarrow as pa
 
     first = np.cumsum(unit.lengths) - unit.lengths
-    sums = np.stack([np.add.reduceat(np.log10(p), first) for p in probabilities], axis=1)
+    sums = np.stack([np.add.reduceat(np.log10(p)[case], first) for p in probabilities], axis=1)
     return pa.FixedSizeListArray.from_arrays(sums.ravel(), sums.shape[1]).cast(pa.list_(pa.float64()))
 
 
 def _text_scores(tokens: int, distinct: int, weights: tuple, fit: bool, common):
-    def finish(unit, docs, counts):
+    def finish(unit, docs, levels):
         import numpy as np
         import pyarrow as pa
 
-        words = list(unit.number)
+        words, mine = unit.words, unit.named
         first_, second, held = common.value
-        mine, check = _named(words)
         place = np.minimum(np.searchsorted(first_, mine), max(0, len(first_) - 1))
         c = np.zeros(len(words))
         if len(first_):
-            c = np.where((first_[place] == mine) & (second[place] == check), held[place], 0).astype(np.float64)
+            c = np.where((first_[place] == mine) & (second[place] == _hashes(words, 1)), held[place], 0).astype(np.float64)
         share = np.where(c > 0, np.log10((c + 0.5) / (tokens + 0.5 * (distinct + 1))), 0)
-        number, real, _ = unit.tokens()
-        number = number[real]
-        lengths = np.array(unit.lengths)
+        number, real, _ = unit.tokens
+        number, lengths = number[real], unit.lengths
         first = np.cumsum(lengths) - lengths
         text = np.repeat(np.arange(len(lengths)), lengths)
         unknown = c[number] == 0
         pairs, times = np.unique(text[unknown] * len(words) + number[unknown], return_counts=True)
         ends = np.searchsorted(pairs, np.arange(len(lengths) + 1) * len(words)).astype(np.int32)
-        names = pa.array(words, pa.binary()).cast(pa.string()).take(pa.array(pairs % len(words)))
+        names = unit.coded[0].take(pa.array(pairs % len(words))).cast(pa.string())
         rare = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([names, pa.array(times)], ["word", "times"]))
+        case, cases = _cases(unit, levels)
         if fit:
-            likelihoods = _text_sums(unit, _probabilities(unit, counts, tokens, distinct, WEIGHTS, without=1))
+            likelihoods = _text_sums(unit, case, _probabilities(cases, tokens, distinct, WEIGHTS, without=1))
         else:
             likelihoods = pa.nulls(len(docs), pa.list_(pa.float64()))
         return pa.RecordBatch.from_arrays(
@@ -571,7 +677,7 @@ def _text_scores(tokens: int, distinct: int, weights: tuple, fit: bool, common):
                 pa.array(lengths, pa.int64()),
                 pa.array(np.add.reduceat((~unknown).astype(np.int64), first)),
                 pa.array(np.add.reduceat(share[number], first)),
-                _text_sums(unit, _probabilities(unit, counts, tokens, distinct, weights)),
+                _text_sums(unit, case, _probabilities(cases, tokens, distinct, weights)),
                 rare,
                 pa.array([d["key"] for d in docs], pa.int64()),
                 likelihoods,

@@ -199,3 +199,47 @@ def test_query_is_its_operators(spark, odd):
     want = scored(df, learn(df.where(module.fold() != 1))).collect()
     got = op12_scores(spark, odd).collect()
     assert Counter((r.doc_id, r.n_tokens, round(r.score, 6)) for r in got) == Counter((r.doc_id, r.n_tokens, round(r.score, 6)) for r in want)
+
+
+def test_texts_are_split_in_two_passes(spark, odd, monkeypatch):
+    """One counts words and n-grams, one scores under every weight; each pass over texts costs what splitting them does."""
+    frame, passes = type(spark.range(1)), []
+    plain = frame.mapInArrow
+
+    def counted(df, *args, **kwargs):
+        passes.extend(c for c in df.columns if c == "text")
+        return plain(df, *args, **kwargs)
+
+    monkeypatch.setattr(frame, "mapInArrow", counted)
+    assert len(op12_scores(spark, odd).collect()) > 0
+    assert len(passes) == 2
+
+
+def test_words_are_counted_once_across_units(spark):
+    """More words than a unit takes, in several tasks and parts, some of them odd."""
+    dice = random.Random(12)
+    odd_words = ["\x00", "a\x1cb", "\u2028", "\u00a0", "\u00c9", "\U0001f600", "A\u0130"]
+    texts = [" ".join(dice.choices([*odd_words, *(f"w{k}" for k in range(5000))], k=100_000)) for _ in range(24)]
+    texts += ["", None, " \n", "\x0b lead\x0cand\rtrail\t", "x " * 10]
+    model = learn(spark.createDataFrame([(t,) for t in texts], "text string").repartition(2))
+    want = Counter(w for t in texts for w in tokens(t))
+    assert dict(map(tuple, model.words.collect())) == want
+    assert (model.tokens, model.distinct) == (want.total(), len(want))
+
+
+def test_probabilities_are_made_by_case():
+    """A log for each case of levels, not for each token: the same sums."""
+    unit, dice = module.Unit(3), random.Random(13)
+    for _ in range(50):
+        unit.add(" ".join(dice.choices("abcdefgh", k=dice.randrange(200))).encode())
+    levels = np.random.default_rng(13).integers(0, 6, len(unit.keys()))
+    case, cases = module._cases(unit, levels)
+    assert len(cases) == 5 and len(case) == sum(unit.lengths)
+    assert len({*zip(*cases)}) == len(cases[0]) == len(set(case.tolist()))
+    real, at, by_length = unit.tokens[1], 0, []
+    for _, holds in unit.held:
+        by_length.append(dict(zip(np.flatnonzero(holds).tolist(), levels[at:].tolist())))
+        at += int(holds.sum())
+    for n, k in enumerate(np.flatnonzero(real).tolist()):
+        one, two, three = by_length
+        assert [c[case[n]] for c in cases] == [one[k], one[k - 1], two[k], two[k - 1], three[k]]
