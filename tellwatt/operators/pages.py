@@ -115,13 +115,15 @@ def page(spark: SparkSession, path: str, row: int, context: int = 5, csv: bool =
         rows = read_folder(spark, path)
     else:
         rows = with_position(read_csv(spark, path) if csv or kinds == {"csv"} else read_parquet(spark, path))
-    bounds = file_boundaries(rows.select("file_path"))
+    whole = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    bounds = file_boundaries(rows.select("file_path")).withColumn("last_row", F.max("end_row").over(whole))
     low, high = max(row - context, 0), row + context
-    last = bounds.agg(F.max("end_row")).first()[0]
-    if last is None or not 0 <= row <= last:
-        raise IndexError(f"row {row} is outside the table")
     holding = bounds.where((F.col("rows") > 0) & (F.col("end_row") >= low) & (F.col("start_row") <= high))
-    starts = {b["file_path"]: b["start_row"] for b in holding.select("file_path", "start_row").collect()}
+    held = holding.select("file_path", "start_row", "last_row").collect()
+    last = held[0]["last_row"] if held else -1
+    if not 0 <= row <= last:
+        raise IndexError(f"row {row} is outside the table")
+    starts = {b["file_path"]: b["start_row"] for b in held}
     parts = []
     for kind in (True, False):
         of_kind = {p: s for p, s in starts.items() if (_is_csv(p) or csv and not p.lower().endswith(PARQUET_SUFFIXES)) == kind}

@@ -10,8 +10,9 @@ from tellwatt.sources.tables import read_csv
 from tellwatt.vocabulary import CSV_TEXT, DAY, DAY_FOLDER, ORIGIN
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).options(**CSV_TEXT).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> None:
+    """CSV with a header. With ``compression``, a codec's name, files get its ending, by which readers unpack them."""
+    df.write.mode(mode).options(**CSV_TEXT).option("header", True).csv(path, compression=compression)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:

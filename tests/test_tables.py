@@ -529,6 +529,28 @@ def test_long_lines_are_as_many_files_as_they_need(spark, folder, monkeypatch):
     assert len(list(Path(folder, "shared", "long lines").glob("*.csv"))) >= 8
 
 
+def test_many_long_lines_are_packed(spark, folder, monkeypatch):
+    rows = [(k // 4 if k % 50 else None, k % 5, "ANR"[k % 3] if k % 7 else None) for k in range(3000)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_returnflag string").write.parquet(f"{folder}/lineitem.parquet")
+    monkeypatch.setattr(files, "shared_folder", lambda _: f"{folder}/shared")
+    monkeypatch.setattr(files, "LINES", 500)
+    monkeypatch.setattr(files, "PLAIN", 1000, raising=False)
+    got = files.row_page_deep(spark, folder).collect()
+    order = sorted((r[:2] for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert sorted(map(tuple, got), key=lambda r: r[2]) == [(*order[k], k) for k in range(2395, 2406)]
+    stored = Path(folder, "shared", "long lines")
+    assert sum(f.stat().st_size for f in stored.glob("part-*")) < 40 * len(rows)
+    lines = read_csv(spark, str(stored), schema="l_orderkey long, l_linenumber int, pad string")
+    want = [(a, b, flag and flag + "x" * 399) for a, b, flag in rows]
+    assert sorted(map(str, map(tuple, lines.collect()))) == sorted(map(str, want))
+    starts = sorted(r["start_row"] for r in file_boundaries(with_position(lines)).collect())
+    assert len(starts) >= 4
+    for start in starts[1:3]:
+        found = page(spark, str(stored), start, 2, csv=True).collect()
+        shown = sorted((r["row_number"], int(r["l_orderkey"] or -1), int(r["l_linenumber"])) for r in found)
+        assert shown == [(k, -1 if order[k][0] is None else order[k][0], order[k][1]) for k in range(start - 2, start + 3)]
+
+
 def test_numbering_leaves_rows_where_they_are(spark, folder, monkeypatch):
     spark.range(1000).write.option("header", True).csv(f"{folder}/t")
     starts = {r.p: 0 for r in spark.read.csv(f"{folder}/t").selectExpr("_metadata.file_path AS p").distinct().collect()}
